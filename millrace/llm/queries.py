@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding, warc
+from millrace.llm import langid, mixing, packing, quality, sharding, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, posterior quality and verdict of every document."""
+    got = quality.judge_quality(_read(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document, learned from those outside the held-out third."""
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written as a WARC record, revisits resolved, and the archives read back."""
     path = warc.write_archives(_read(spark, sf_dir, "pages"))
@@ -42,6 +59,11 @@ FROM m
 """
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of 2048."""
+    return packing.pack_documents(_read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes, equal texts together."""
     got = sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), shards=40)
@@ -55,7 +77,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_warc, op7_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op7_sharding, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
