@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, mixing, packing, quality, sharding, warc
+from millrace.llm import hamming, langid, mixing, packing, quality, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -64,12 +64,39 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes, equal texts together."""
     got = sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), shards=40)
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors, by Hamming distance of sign codes, of each whose id is divisible by 50."""
+    rows = _read(spark, sf_dir, "embeddings")
+    return hamming.nearest(rows, rows.filter("vec_id % 50 = 0"), k=10)
+
+
+OP8_SQL = """
+WITH c AS (
+  SELECT vec_id,
+    CAST(list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS BIGINT) << (32 - i) ELSE 0 END FOR i IN range(1, 33)]) AS BIGINT) AS hi,
+    CAST(list_sum([CASE WHEN embedding[i] > 0 THEN CAST(1 AS BIGINT) << (64 - i) ELSE 0 END FOR i IN range(33, 65)]) AS BIGINT) AS lo
+  FROM embeddings
+), d AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id, CAST(bit_count(xor(q.hi, c.hi)) + bit_count(xor(q.lo, c.lo)) AS INTEGER) AS distance
+  FROM c AS q, c WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM d
+)
+SELECT query_id, rank, neighbor_id, distance FROM r WHERE rank <= 10
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's place in the stream that mixes the sources to tempered weights."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
@@ -77,8 +104,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op7_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op7_sharding, op8_hamming, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL}
+    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL}
