@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hamming, langid, mixing, packing, quality, sharding, token_counts, warc
+from millrace.llm import hamming, langid, mixing, near, packing, quality, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -97,6 +97,42 @@ SELECT query_id, rank, neighbor_id, distance FROM r WHERE rank <= 10
 """
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 5-word shingles, Jaccard similarity of 0.8 or more."""
+    return near.jaccard_join(_read(spark, sf_dir, "documents"), threshold=0.8)
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[!-/:-@\[-`{-~]', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' ')) END) AS shingles
+  FROM w WHERE len(words) > 0
+), n AS (
+  SELECT doc_id, len(shingles) AS size FROM s
+), e AS (
+  SELECT doc_id, unnest(shingles) AS shingle FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM e AS a JOIN e AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT p.a, p.b, 5 * p.inter >= 4 * (x.size + y.size - p.inter) AS linked, p.inter = x.size AND p.inter = y.size AS same
+  FROM p JOIN n AS x ON x.doc_id = p.a JOIN n AS y ON y.doc_id = p.b
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, l.b FROM r JOIN l ON l.a = r.b AND l.linked
+)
+SELECT d.doc_id,
+  least(d.doc_id, (SELECT min(b) FROM l WHERE l.a = d.doc_id AND l.same)) AS copy_id,
+  (SELECT min(b) FROM r WHERE r.a = d.doc_id) AS class_id,
+  CAST((SELECT count(*) FROM l WHERE l.a = d.doc_id AND l.linked) AS BIGINT) AS n_links
+FROM documents AS d
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's place in the stream that mixes the sources to tempered weights."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source")
@@ -104,8 +140,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op7_sharding, op8_hamming, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL}
+    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL}
