@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -48,7 +49,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     the others revisits of it; pages with smaller payloads are all responses. Only ids, addresses, digests and
     lengths are shuffled by digest; payloads move once, by a unique key, and a revisit's payload is not written.
     A null payload is an empty one; a null id counts as the smallest; of repeated rows (same id and payload) one
-    keeps the role and the others revisit it. The archives are plain (uncompressed) WARC 1.1 in UTF-8.
+    keeps the role and the others revisit it. The archives are WARC 1.1 in UTF-8, each gzipped as a whole.
     """
     spark = pages.sparkSession
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
@@ -66,7 +67,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     key = F.concat_ws("|", F.col("pid").cast("string"), "digest")
     revisits = headers.select("pid", "digest").join(leaders, "digest").groupBy(key.alias("key")).agg(F.first("leader").alias("leader"), F.first("leader_url").alias("leader_url"))
     files = max(1, -(-(total + 600 * n) // ARCHIVE_BYTES))
-    placed = rows.withColumn("key", key).repartition(files, "key").join(revisits, "key", "left")
+    placed = rows.withColumn("key", key).repartition(files, "key").join(revisits.repartition(files, "key"), "key", "left")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("url"))
     placed = placed.withColumn("nth", nth)
     is_revisit = F.col("leader").isNotNull() & ((F.col("leader") != F.col("pid")) | (F.col("nth") > 1))
@@ -98,7 +99,7 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     )
     path = shared_path(spark, "warc")
     # the text writer's line end closes a record
-    placed.select(record.alias("value")).write.option("lineSep", CRLF * 2).text(path)
+    placed.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
     return path
 
 
@@ -149,7 +150,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, size = [], 0
-                for r in parse_archive(batch.column(0)[i].as_py()):
+                for r in parse_archive(gzip.decompress(batch.column(0)[i].as_py())):
                     rows.append({n: r[n] for n in names})
                     size += len(r["payload"] or b"") if payloads else 1
                     if len(rows) >= 1000 or size > 8 << 20:
