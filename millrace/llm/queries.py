@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hamming, langid, mixing, near, packing, quality, sharding, token_counts, warc
+from millrace.llm import hamming, langid, mixing, near, ngram_lm, packing, quality, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and interpolated bigram scores of every document."""
+    return ngram_lm.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near-equal bytes, equal texts together."""
     got = sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), shards=40)
@@ -140,7 +145,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
