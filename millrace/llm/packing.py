@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import arrow_rows, salted_rank, salts_for, stored, text_bytes
 
 #: Nodes that the branch-and-bound visits before it settles for its incumbent.
-MOST_NODES = 5_000
+MOST_NODES = 6_000
+#: At every so manieth node the rest is packed by best fit, for a better incumbent.
+EACH = 32
 #: Fillings that one node branches on, those of least waste.
 MOST_FILLINGS = 12
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -22,11 +25,19 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 Bins = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times), ...) of a bin, and how many such bins
 
 
+#: Pieces into which the tokenizer's pattern cuts lower-case Latin text without apostrophes.
+_LATIN = re.compile(r"[^\W\d_]+|\d|(?:[^\w]|_)+")
+#: The byte-level alphabet of public BPE vocabularies: printable bytes stand for themselves, others follow from 256.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+
+
 class ChunkIds(dict):
     """Token ids, as little-endian uint32 bytes, of chunks between ASCII white space, remembered up to a bound.
 
     The tokenizer drops white space and no token spans it, so a text's ids are its chunks' ids joined. Unknown
-    chunks are encoded together, a special token between them: it cuts the text before normalisation.
+    chunks of plain Latin letters, digits and ASCII marks are cut as the tokenizer cuts them, and the pieces go
+    to its BPE model directly; all others are encoded by the whole tokenizer.
     """
 
     def __init__(self, path: str, most: int = 300_000):
@@ -34,25 +45,41 @@ class ChunkIds(dict):
         from tokenizers import Tokenizer
 
         self.tok, self.most = Tokenizer.from_file(path), most
-        self.cut = "<|endoftext|>"
-        self.cut_id = self.tok.token_to_id(self.cut)
-
-    def learn(self, chunks: set[bytes]) -> None:
+        self.model = self.tok.model
+        self.pieces: dict[str, bytes] = {}
+
+    @staticmethod
+    def plain(text: str) -> bool:
+        """Whether a chunk has only composed Latin letters below U+0180, digits and printable ASCII marks, and
+        nothing that the tokenizer's pattern treats by context."""
+        if "'" in text or "<|" in text:
+            return False
+        if text.isascii():
+            return text.isprintable()
+        return all(c.isalpha() and c not in "ªºİŉ" and "À" <= c < "ƀ" for c in text if c > "~" or c < "!")
+
+    def encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if not self.plain(text):
+            return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        out = []
+        for piece in _LATIN.findall(text.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                ids = self.pieces[piece] = np.asarray([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
+            out.append(ids)
+        return b"".join(out)
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        got = self[chunk] = self.encode(chunk)
+        return got
+
+    def trim(self) -> None:
         if len(self) > self.most:
             self.clear()
-        new = [c for c in chunks if c not in self]
-        odd = [c for c in new if b"<|" in c or self.cut_id is None]
-        for c in odd:
-            self[c] = np.asarray(self.tok.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        new = [c for c in new if c not in self]
-        for at in range(0, len(new), 2_000):
-            some = new[at : at + 2_000]
-            ids = np.asarray(self.tok.encode(self.cut.join(c.decode() for c in some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(ids == self.cut_id).tolist()
-            whole, last = ids.tobytes(), 0
-            for c, end in zip(some, [*ends, len(ids)], strict=True):
-                self[c] = whole[4 * last : 4 * end]
-                last = end + 1
+        if len(self.pieces) > self.most:
+            self.pieces.clear()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -68,7 +95,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
 
         def work(batch: pa.RecordBatch):
             texts = [(t or b"").split() for t in text_bytes(batch.column(1))]
-            memo.learn(set().union(*texts))
+            memo.trim()
             out: dict[str, list] = {n: [] for n in names}
             for i, chunks in zip(batch.column(0).to_pylist(), texts, strict=True):
                 ids = b"".join([*map(memo.__getitem__, chunks), tail])
@@ -133,13 +160,12 @@ def lower_bound(counts: Counter, capacity: int) -> int:
         n[size] = times
     sizes = np.arange(capacity + 1)
     count, total = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * sizes)])
-    best = -(-int(total[-1]) // capacity)
-    for k in range(1, capacity // 2 + 1):
-        alone = count[-1] - count[capacity - k + 1]
-        big, big_sum = count[capacity - k + 1] - count[capacity // 2 + 1], total[capacity - k + 1] - total[capacity // 2 + 1]
-        small = total[capacity // 2 + 1] - total[k]
-        best = max(best, int(alone + big + max(0, -(-int(small - (big * capacity - big_sum)) // capacity))))
-    return best
+    best, half = -(-int(total[-1]) // capacity), capacity // 2
+    k = np.arange(1, half + 1)
+    alone = count[-1] - count[capacity - k + 1]
+    big, big_sum = count[capacity - k + 1] - count[half + 1], total[capacity - k + 1] - total[half + 1]
+    small = total[half + 1] - total[k]
+    return max(best, int((alone + big + np.maximum(0, -(-(small - (big * capacity - big_sum)) // capacity))).max(initial=0)))
 
 
 def _fits(items: tuple[int, ...], holes: tuple[int, ...]) -> bool:
@@ -157,29 +183,29 @@ def fillings(counts: Counter, gap: int, most: int = MOST_FILLINGS) -> list[tuple
     A filling dominates another if the other's items fit into its items' places; then a packing with the other
     can be exchanged for one with it. Fillings to which a remaining item could be added are left out.
     """
-    sizes = sorted((s for s, n in counts.items() if n and s <= gap), reverse=True)
+    sizes = sorted(s for s, n in counts.items() if n and s <= gap)
     if not sizes:
         return [()]
-    if sizes[0] == gap:
+    if sizes[-1] == gap:
         return [(gap,)]  # it dominates all others
     found: list[tuple[int, tuple[int, ...]]] = []
     steps = 0
 
-    def grow(at: int, room: int, taken: tuple[int, ...]) -> None:
+    def grow(below: int, room: int, taken: tuple[int, ...]) -> None:
+        """Adds items of sizes[:below], the largest that fit first."""
         nonlocal steps
         steps += 1
-        if steps > 4_000:
-            return
-        fit = False
-        for i in range(at, len(sizes)):
-            s = sizes[i]
-            if s <= room and taken.count(s) < counts[s]:
-                fit = True
-                grow(i, room - s, (*taken, s))
-        if not fit and not any(s <= room and taken.count(s) < counts[s] for s in sizes[:at]):
+        smallest = next((s for s in sizes if taken.count(s) < counts[s]), room + 1)
+        if smallest > room:
             found.append((room, taken))
+            return
+        for i in range(min(below, bisect_right(sizes, room)) - 1, -1, -1):
+            if steps > 1_000:
+                return
+            if taken.count(sizes[i]) < counts[sizes[i]]:
+                grow(i + 1, room - sizes[i], (*taken, sizes[i]))
 
-    grow(0, gap, ())
+    grow(len(sizes), gap, ())
     found = sorted(set(found), key=lambda x: (x[0], len(x[1]), [-s for s in x[1]]))[: 8 * most]
     kept: list[tuple[int, ...]] = []
     for _, f in found:
@@ -194,8 +220,8 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     The incumbent is best-fit decreasing; if its number of bins meets the lower bound it is optimal. Else the
     largest item's bin is completed by each undominated filling in turn, as many such bins at once as the
     histogram allows; a branch ends when its waste exceeds what a packing with one bin less could waste, or its
-    lower bound doesn't beat the incumbent. At each node the best-fit packing of the rest may become the
-    incumbent. After MOST_NODES nodes the incumbent stands.
+    lower bound doesn't beat the incumbent. At every EACH-th node, and where few lengths are left, the best-fit
+    packing of the rest may become the incumbent. After MOST_NODES nodes the incumbent stands.
     """
     counts = Counter({s: n for s, n in counts.items() if n > 0})
     if not counts:
@@ -212,9 +238,10 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
         nodes += 1
         if waste > (most - 1) * capacity - total or bins + lower_bound(left, capacity) >= most:
             continue
-        rest = best_fit(left, capacity)
-        if (n := bins + sum(x for _, x in rest)) < most:
-            best, most = made + rest, n
+        if nodes % EACH == 1 or len(left) <= EACH:
+            rest = best_fit(left, capacity)
+            if (n := bins + sum(x for _, x in rest)) < most:
+                best, most = made + rest, n
         if not left:
             continue
         size = max(left)
