@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows that one salted slice of a group holds on average.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
 
 
 def shared_dir(spark: SparkSession) -> str:

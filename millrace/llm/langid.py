@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import arrow_rows, crc_mod, unit_hash
+from millrace.llm.common import arrow_rows, crc_mod, stored, unit_hash
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -24,52 +24,53 @@ KNOWN_GRAMS = 20_000
 LONGEST = 5
 
 
+def grams_of(word: str) -> Iterator[tuple[int, str]]:
+    """Sizes and n-grams of a word, its ends marked for all but single characters."""
+    marked = f"^{word}$"
+    for size in range(1, LONGEST + 1):
+        text = word if size == 1 else marked
+        for i in range(len(text) - size + 1):
+            yield size, text[i : i + size]
+
+
 class Model:
-    """Log frequencies by language of words and character n-grams, and the rule of backing off.
+    """Log frequencies by language of words (size 0) and character n-grams, and the rule of backing off.
+
+    A known word scores log((count + a) / (tokens + a * types)) in each language. An unseen word is scored by its
+    n-grams of the longest length of which it has a known one, from LONGEST down to 1, each with the like log
+    frequency, averaged so that a word counts once whatever its length. A word without any known n-gram says
+    nothing.
 
-    A known word scores log((count + a) / (tokens + a * words)) in each language. An unseen word is scored by its
-    n-grams of the longest length of which it has a known one, from LONGEST down to 1 (its ends marked), each
-    with the like log frequency, averaged so that a word counts once whatever its length. A word without any known
-    n-gram says nothing.
+    counts: rows (language, size, entry, count) of what is known; totals: by (language, size) all tokens.
     """
 
-    def __init__(self, words: dict[str, Counter], smooth: float = 0.5):
-        self.langs = sorted(words)
-        grams: list[dict[str, Counter]] = [{k: Counter() for k in self.langs} for _ in range(LONGEST)]
-        for k in self.langs:
-            for w, n in words[k].items():
-                for size, g in self.grams_of(w):
-                    grams[size - 1][k][g] += n
-        known = {k: Counter({w: n for w, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:KNOWN_WORDS] if n > 1}) for k, c in words.items()}
-        self.words = self._table(known, {k: sum(c.values()) for k, c in words.items()}, smooth)
-        self.grams = []
-        for by in grams:
-            kept = {k: Counter(dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:KNOWN_GRAMS])) for k, c in by.items()}
-            self.grams.append(self._table(kept, {k: sum(c.values()) for k, c in by.items()}, smooth))
-
-    @staticmethod
-    def grams_of(word: str):
-        marked = f"^{word}$"
-        for size in range(1, LONGEST + 1):
-            text = word if size == 1 else marked
-            for i in range(len(text) - size + 1):
-                yield size, text[i : i + size]
-
-    def _table(self, counts: dict[str, Counter], totals: dict[str, int], smooth: float) -> dict[str, np.ndarray]:
-        every = set().union(*counts.values()) if counts else set()
-        below = np.array([math.log(totals[k] + smooth * (len(every) + 1)) for k in self.langs])
-        return {w: np.log([counts[k][w] + smooth for k in self.langs]) - below for w in every}
+    def __init__(self, langs: list[str], counts: Iterable[tuple[str, int, str, int]], totals: dict[tuple[str, int], int], smooth: float = 0.5):
+        self.langs = sorted(langs)
+        at = {k: i for i, k in enumerate(self.langs)}
+        self.rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        cells: list[tuple[list, list, list]] = [([], [], []) for _ in range(LONGEST + 1)]
+        for lang, size, entry, n in counts:
+            row = self.rows[size].setdefault(entry, len(self.rows[size]))
+            for part, v in zip(cells[size], (row, at[lang], n), strict=True):
+                part.append(v)
+        self.logs = []
+        for size, (row, col, n) in enumerate(cells):
+            table = np.full((len(self.rows[size]), len(self.langs)), smooth)
+            table[row, col] += n
+            below = [totals.get((k, size), 0) + smooth * (len(table) + 1) for k in self.langs]
+            self.logs.append((np.log(table) - np.log(below)).astype(np.float32))
 
     def score(self, word: str) -> np.ndarray:
         """Log scores of a lower-case word by language."""
-        if (got := self.words.get(word)) is not None:
-            return got
+        if (row := self.rows[0].get(word)) is not None:
+            return self.logs[0][row]
         for size in range(LONGEST, 0, -1):
             text = word if size == 1 else f"^{word}$"
-            found = [g for i in range(len(text) - size + 1) if (g := self.grams[size - 1].get(text[i : i + size])) is not None]
+            known = self.rows[size]
+            found = [r for i in range(len(text) - size + 1) if (r := known.get(text[i : i + size])) is not None]
             if found:
-                return np.mean(found, axis=0)
-        return np.zeros(len(self.langs))
+                return self.logs[size][found].mean(0)
+        return np.zeros(len(self.langs), np.float32)
 
 
 class Scores(dict):
@@ -78,7 +79,7 @@ class Scores(dict):
     def __init__(self, model: Model, most: int = 300_000):
         super().__init__()
         self.model, self.most = model, most
-        self.rows = np.zeros((1024, max(1, len(model.langs))))
+        self.rows = np.zeros((1024, max(1, len(model.langs))), np.float32)
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
@@ -94,7 +95,7 @@ class Scores(dict):
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
         at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        total = self.rows[at].sum(0)
+        total = self.rows[at].sum(0, dtype=np.float64)
         odds = np.exp(total - total.max())
         best = int(total.argmax())
         return self.model.langs[best], float(odds[best] / odds.sum())
@@ -103,14 +104,15 @@ class Scores(dict):
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang") -> Model:
     """The model of the labelled rows of docs, from a sample of about `train_docs` a language.
 
-    The sample is by hash, from the whole table, all rows of a language that has no more. Word counts are summed
-    by Spark; the driver gets those of the sample, so what is broadcast is bounded by train_docs, KNOWN_WORDS and
-    KNOWN_GRAMS a language. Rows with a null language or text teach nothing.
+    The sample is by hash, from the whole table, all rows of a language that has no more. Counts of words and
+    n-grams are summed by Spark, and only the most frequent come to the driver: KNOWN_WORDS words seen twice or
+    more and KNOWN_GRAMS n-grams of each length a language, which bounds the driver's work and the broadcast.
+    Rows with a null language or text teach nothing.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null")
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
-        return Model({})
+        return Model([], [], {})
     shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, train_docs / n))])
     some = rows.filter(unit_hash("text") < shares[F.col("lang")]).filter("text is not null").select("lang", "text")
 
@@ -119,14 +121,24 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", l
             by: dict[str, Counter] = {}
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(k, Counter()).update(LETTERS.findall(t.lower()))
-            flat = [(k, w, n) for k, c in by.items() for w, n in c.items()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in flat], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
-
-    counted = some.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    words: dict[str, Counter] = {k: Counter() for k in sizes}
-    for k, w, n in counted.collect():
-        words[k][w] = n
-    return Model({k: c for k, c in words.items() if c})
+            flat: Counter = Counter()
+            for k, words in by.items():
+                for w, n in words.items():
+                    flat[k, 0, w] += n
+                    for size, g in grams_of(w):
+                        flat[k, size, g] += n
+            columns = [[x[i] for x in flat] for i in range(3)] + [list(flat.values())]
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["lang", "size", "entry", "n"])
+
+    counted = stored(some.mapInArrow(count, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")), "counted")
+    totals = {(r[0], r[1]): r[2] for r in counted.groupBy("lang", "size").agg(F.sum("n")).collect()}
+    nth = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))
+    most = F.when(F.col("size") == 0, KNOWN_WORDS).otherwise(KNOWN_GRAMS)
+    known = counted.filter("size > 0 or n > 1").withColumn("nth", nth).filter(F.col("nth") <= most).select("lang", "size", "entry", "n").toArrow()
+    columns = [known.column(i) for i in range(4)]
+    learned = [k for k in sizes if totals.get((k, 0))]
+    return Model(learned, ((a.as_py(), b.as_py(), c.as_py(), d.as_py()) for a, b, c, d in zip(*columns, strict=True)), totals)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
