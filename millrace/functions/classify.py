@@ -32,9 +32,21 @@ def whole_word_hits(text: Column, word: str) -> Column:
 
 def category_scores(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, distinct: bool = False) -> dict[str, Column]:
     """For each category the whole-word occurrences of its keywords, added up keyword by keyword, or with
-    `distinct` how many of its keywords occur."""
-    one = (lambda w: (whole_word_hits(text, w) > 0).cast("int")) if distinct else (lambda w: whole_word_hits(text, w))
-    return {c: _total([one(w) for w in ws]) for c, ws in lexicon.items()}
+    `distinct` how many of its keywords occur.
+
+    Single words can't overlap each other, so one scan counts them all; phrases are counted one by one."""
+    out = {}
+    for c, ws in lexicon.items():
+        singles = [w for w in dict.fromkeys(ws) if re.fullmatch(r"\w+", w)]
+        phrases = [w for w in dict.fromkeys(ws) if w not in singles]
+        pattern = F.lit(rf"\b({'|'.join(map(re.escape, singles))})\b")
+        low = F.lower(text)
+        parts = []
+        if singles:
+            parts.append(F.size(F.array_distinct(F.regexp_extract_all(low, pattern, F.lit(1)))) if distinct else F.regexp_count(low, pattern))
+        parts += [(whole_word_hits(text, w) > 0).cast("int") if distinct else whole_word_hits(text, w) for w in phrases]
+        out[c] = _total(parts)
+    return out
 
 
 def infer_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, priority: Sequence[str] = tuple(lex.CATEGORY_PRIORITY), min_chars: int = 20) -> Column:
@@ -42,20 +54,20 @@ def infer_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATE
     scores = category_scores(text, lexicon)
     ranked = [c for c in priority if c in scores] + [c for c in scores if c not in priority]
     best = F.array_max(F.array(*[F.struct(scores[c].alias("s"), F.lit(-i).alias("p"), F.lit(c).alias("c")) for i, c in enumerate(ranked)]))
-    return F.when((F.length(text) >= min_chars) & (best["s"] > 0), best["c"]).otherwise(F.lit(""))
+    return F.when(F.length(text) >= min_chars, T.let(best, lambda b: F.when(b["s"] > 0, b["c"]).otherwise(F.lit("")))).otherwise(F.lit(""))
 
 
 def has_mixed_categories(text: Column, primary: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, most: int = 3, ratio: float = 0.65) -> Column:
     """More than `most` categories occur, and the primary doesn't, or another has `ratio` of its keywords."""
-    hits = category_scores(text, lexicon, distinct=True)
-    present = _total([(h > 0).cast("int") for h in hits.values()])
-    own = F.lit(0)
-    for c, h in hits.items():
-        own = F.when(primary == c, h).otherwise(own)
-    rival = F.lit(False)
-    for c, h in hits.items():
-        rival = rival | ((primary != c) & (h >= ratio * own))
-    return (present > most) & ((own == 0) | rival)
+    hits = F.array(*[F.struct(F.lit(c).alias("c"), h.alias("h")) for c, h in category_scores(text, lexicon, distinct=True).items()])
+
+    def judge(x: Column) -> Column:
+        present = F.size(F.filter(x, lambda e: e["h"] > 0))
+        own = F.coalesce(F.get(F.filter(x, lambda e: e["c"] == primary), F.lit(0))["h"], F.lit(0))
+        rival = F.exists(x, lambda e: (e["c"] != primary) & (e["h"] >= ratio * own))
+        return (present > most) & ((own == 0) | rival)
+
+    return T.let(hits, judge)
 
 
 def secondary_categories(text: Column, primary: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS) -> Column:
@@ -69,7 +81,7 @@ def dominant_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.C
     low = F.lower(text)
     hits = {c: _total([F.contains(low, F.lit(w)).cast("int") for w in ws]) for c, ws in lexicon.items()}
     best = F.array_max(F.array(*[F.struct(h.alias("s"), F.lit(-i).alias("p"), F.lit(c).alias("c")) for i, (c, h) in enumerate(hits.items())]))
-    return F.when(best["s"] > 0, best["c"]).otherwise(F.lit(default))
+    return T.let(best, lambda b: F.when(b["s"] > 0, b["c"]).otherwise(F.lit(default)))
 
 
 def mixed_topics(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, least: int = 2) -> Column:
@@ -87,7 +99,7 @@ def infer_title(text: Column, rules: Sequence[tuple[str, Sequence[str]]] = tuple
     for c, ws in reversed(list(lexicon.items())):
         enough = _total([F.contains(low, F.lit(w)).cast("int") for w in ws]) >= 2
         by_category = F.when(enough, F.lit(c.replace("_", " ").title() + " Information")).otherwise(by_category)
-    return F.when(best["s"] >= 1, best["t"]).otherwise(by_category)
+    return T.let(best, lambda b: F.when(b["s"] >= 1, b["t"]).otherwise(by_category))
 
 
 def program_scope(text: Column, programs: Mapping[str, Sequence[str]] = lex.PROGRAM_SCOPE, whole_words: bool = False) -> Column:
@@ -133,22 +145,24 @@ def is_header(line: Column, strong: Sequence[str] = tuple(lex.STRONG_HEADER_WORD
     Ten characters and two words of letters at least, no units or symbols only, none of the rejected shapes, in
     capitals or title case. Then a strong keyword: the line begins with its first word, or is short and no
     sub-header; or a weak keyword in three words or more whose first three aren't all plain words."""
-    x = T.strip(line)
-    upper = F.upper(x)
-    refused = x.rlike(r"^[()\d\s\-=.:/|]+$") | x.rlike(r"(?i)^(.*\d.*HOURS.*|\d.*MARKS.*|\d.*CREDITS.*|\d.*POINTS.*)$")
-    for p in lex.NO_HEADER_PATTERNS:
-        refused = refused | upper.rlike(p)
-    alphabetic = F.regexp_count(x, F.lit(r"\b[A-Za-z]+\b")) >= 2
-    plain = ~upper.rlike(r"\d+\.\d+") & ~F.lower(x).rlike(r"\([a-z]\)") & (T.count_of(upper, ".") <= 1)
-    has_strong = F.lit(False)
-    for w in strong:
-        short = (F.length(upper) <= len(w) + 15) & plain
-        has_strong = has_strong | (F.contains(upper, F.lit(w)) & (F.startswith(upper, F.lit(w.split()[0])) | short))
-    has_weak = F.lit(False)
-    for w in weak:
-        has_weak = has_weak | F.contains(upper, F.lit(w))
-    has_weak = has_weak & (T.word_count(x) >= 3) & ~x.rlike(r"^\w+\s+\w+\s+\w+")
-    return (F.length(x) >= 10) & ~refused & alphabetic & (T.is_upper(x) | T.is_title(x)) & (has_strong | has_weak)
+    def test(x: Column) -> Column:
+        upper = F.upper(x)
+        refused = x.rlike(r"^[()\d\s\-=.:/|]+$") | x.rlike(r"(?i)^(.*\d.*HOURS.*|\d.*MARKS.*|\d.*CREDITS.*|\d.*POINTS.*)$")
+        for p in lex.NO_HEADER_PATTERNS:
+            refused = refused | upper.rlike(p)
+        alphabetic = F.regexp_count(x, F.lit(r"\b[A-Za-z]+\b")) >= 2
+        plain = ~upper.rlike(r"\d+\.\d+") & ~F.lower(x).rlike(r"\([a-z]\)") & (T.count_of(upper, ".") <= 1)
+        has_strong = F.lit(False)
+        for w in strong:
+            short = (F.length(upper) <= len(w) + 15) & plain
+            has_strong = has_strong | (F.contains(upper, F.lit(w)) & (F.startswith(upper, F.lit(w.split()[0])) | short))
+        has_weak = F.lit(False)
+        for w in weak:
+            has_weak = has_weak | F.contains(upper, F.lit(w))
+        has_weak = has_weak & (T.word_count(x) >= 3) & ~x.rlike(r"^\w+\s+\w+\s+\w+")
+        return (F.length(x) >= 10) & ~refused & alphabetic & (T.is_upper(x) | T.is_title(x)) & (has_strong | has_weak)
+
+    return T.let(T.strip(line), test)
 
 
 def is_rule_title(line: Column) -> Column:
@@ -193,11 +207,13 @@ def regulation_year(text: Column, patterns: Sequence[str] = tuple(lex.ADMIN_YEAR
 def majority_program(text: Column, file: Column | None = None) -> Column:
     """The program mentioned most, the first of equals; then one in the file name; else Unknown."""
     def best(of: Column) -> Column:
-        return F.array_max(F.array(*[F.struct(F.regexp_count(of, F.lit("(?i)" + p)).alias("s"), F.lit(-i).alias("p"), F.lit(n).alias("n")) for i, (n, p) in enumerate(lex.PROGRAM_PATTERNS.items())]))
+        most = F.array_max(F.array(*[F.struct(F.regexp_count(of, F.lit("(?i)" + p)).alias("s"), F.lit(-i).alias("p"), F.lit(n).alias("n")) for i, (n, p) in enumerate(lex.PROGRAM_PATTERNS.items())]))
+        return T.let(most, lambda m: F.when(m["s"] > 0, m["n"]))
 
-    out = F.when(best(text)["s"] > 0, best(text)["n"])
+    out = best(text)
     if file is not None:
-        out = F.coalesce(out, F.when(best(file)["s"] > 0, best(file)["n"]))
+        spaced = F.translate(file, "_-", "  ")
+        out = F.coalesce(out, best(spaced))
     return F.coalesce(out, F.lit("Unknown"))
 
 

@@ -6,7 +6,7 @@ Classes such as \\s and \\d are ASCII, as in Spark. Null in, null out, if nothin
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,11 @@ def _drop(text: Column, patterns: Iterable[str]) -> Column:
     return text
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def collapse(text: Column) -> Column:
     """White space runs to one space, none at the ends."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))

@@ -13,6 +13,7 @@ from pyspark.sql import types as TY
 from millrace.config import DedupRules
 from millrace.functions import classify as C
 from millrace.functions import text as T
+from millrace.operators.staging import staged
 
 
 def keep_first(df: DataFrame, key: Column | list[Column], order: list[str], always: Column | None = None) -> DataFrame:
@@ -92,15 +93,15 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def jaccard_links(df: DataFrame, tokens: Column, block: list[Column], order: str, threshold: float) -> DataFrame:
-    """Pairs i < j (by order) of a block whose token sets are similar by `threshold` or more: i, j, similarity.
+    """Pairs i < j (by order) of a block whose token sets are similar by `threshold` or more: i, j, similarity, copy.
 
     A prefix filter finds candidates: two such sets share one of their first n - ceil(t * n) + 1 tokens, rarest
-    first. Equal sets are classes: candidates come from one row a set, and pairs of copies from the class's
-    own members, each only with the first, so copies make no square of pairs."""
+    first. Equal sets are a class that its first row stands for: candidates come from first rows only, and each
+    other member has one pair, with the first (copy), so copies make no square of pairs."""
     base = df.select(F.col(order).alias("o"), F.array_sort(F.array_distinct(tokens)).alias("set"), *[b.alias(f"b{i}") for i, b in enumerate(block)]).filter(F.size("set") > 0)
     blocks = [f"b{i}" for i in range(len(block))]
     classes = base.groupBy("set", *blocks).agg(F.min("o").alias("o"))
-    copies = base.join(classes.withColumnRenamed("o", "i"), ["set", *blocks]).filter("o > i").select("i", F.col("o").alias("j"), F.lit(1.0).alias("similarity"))
+    copies = base.join(classes.withColumnRenamed("o", "i"), ["set", *blocks]).filter("o > i").select("i", F.col("o").alias("j"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
     each = classes.select("*", F.explode("set").alias("token"))
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ranked = each.join(often, "token").groupBy("o", *blocks).agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"), F.first("set").alias("set"))
@@ -112,43 +113,43 @@ def jaccard_links(df: DataFrame, tokens: Column, block: list[Column], order: str
         on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     near = (F.size("a.set") >= threshold * F.size("b.set")) & (F.size("b.set") >= threshold * F.size("a.set"))
     pairs = a.join(b, on & near).select(F.col("a.o").alias("i"), F.col("b.o").alias("j"), jaccard(F.col("a.set"), F.col("b.set")).alias("similarity")).filter(F.col("similarity") >= threshold)
-    return pairs.distinct().unionByName(copies)
+    return pairs.distinct().withColumn("copy", F.lit(False)).unionByName(copies)
 
 
 def greedy_duplicates(links: DataFrame) -> DataFrame:
     """Of links i -> j (i < j, a similar pair in block order) the nodes that a greedy pass in order removes: a
-    node falls if a node before it that didn't fall is linked to it. Returns removed, kept, similarity.
+    node falls if a node before it that didn't fall is linked to it. Returns removed, kept, similarity. A copy
+    always falls: to its first, or to what that fell to.
 
     Decided in rounds instead of a pass: a node whose earlier neighbours have all fallen stays, one with an
     earlier neighbour that stays falls. Each round is one shuffle of the open links; rounds follow the longest
     chain of undecided neighbours, not the data's size. Rounds are cut by checkpoints in the shared folder."""
-    spark = links.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        from tempfile import mkdtemp
-
-        found = spark.conf.get("spark.checkpoint.dir", None)
-        if not found and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(found or mkdtemp(prefix="millrace-"))
-    open_ = links.select("i", "j", "similarity").checkpoint()
+    links = staged(links)
+    open_ = links.filter("not copy").select("i", "j", "similarity")
     out = None
     while open_.limit(1).count():
         later = open_.select(F.col("j").alias("n")).distinct()
         stays = open_.select(F.col("i").alias("n")).distinct().join(later, "n", "left_anti")
-        hit = open_.join(stays.withColumnRenamed("n", "i"), "i", "left_semi").checkpoint()
+        hit = open_.join(stays.withColumnRenamed("n", "i"), "i", "left_semi")
         fallen = hit.groupBy("j").agg(F.min(F.struct("i", "similarity")).alias("by")).select(F.col("j").alias("removed"), F.col("by.i").alias("kept"), F.col("by.similarity").alias("similarity"))
+        fallen = staged(fallen)
         out = fallen if out is None else out.unionByName(fallen)
         gone = fallen.select("removed")
-        open_ = open_.join(gone.withColumnRenamed("removed", "j"), "j", "left_anti").join(gone.withColumnRenamed("removed", "i"), "i", "left_anti").checkpoint()
-    return out if out is not None else open_.select(F.col("j").alias("removed"), F.col("i").alias("kept"), "similarity")
+        open_ = staged(open_.join(gone.withColumnRenamed("removed", "j"), "j", "left_anti").join(gone.withColumnRenamed("removed", "i"), "i", "left_anti"))
+    if out is None:
+        out = open_.select(F.col("j").alias("removed"), F.col("i").alias("kept"), "similarity")
+    by = out.select(F.col("removed").alias("i"), F.col("kept").alias("_kept"), F.col("similarity").alias("_s"))
+    copies = links.filter("copy").join(by, "i", "left").select(F.col("j").alias("removed"), F.coalesce("_kept", "i").alias("kept"), F.coalesce("_s", "similarity").alias("similarity"))
+    return out.unionByName(copies)
 
 
 def dedup_courses(courses: DataFrame, order: str, threshold: float = DedupRules.jaccard, remove: bool = True) -> DataFrame:
     """The three passes over courses: same code, same name in a program, department and semester, near titles of a
     program and department. Adds dedup_status: clean, or near_duplicate where they are only flagged."""
     code = F.upper(T.strip(F.coalesce(F.col("course_code"), F.lit(""))))
+    courses = staged(courses)
     one = keep_first(courses, code, [order], always=code == "")
-    two = keep_first(one, soft_key(F.col("course_name"), F.col("program"), F.col("department"), F.col("semester")), [order])
+    two = staged(keep_first(one, soft_key(F.col("course_name"), F.col("program"), F.col("department"), F.col("semester")), [order]))
     tokens = T.words(normal_name(F.coalesce(F.col("ako_title"), F.col("course_name"))))
     links = jaccard_links(two, tokens, [F.col("program"), F.lower(F.coalesce(F.col("department"), F.lit("")))], order, threshold)
     gone = greedy_duplicates(links).select(F.col("removed").alias(order))
@@ -207,15 +208,15 @@ def soft_dedup(records: DataFrame, order: str, vector: str, category: str = "cat
     Equal contents keep the better record. Then clusters within categories, generic titles with the looser
     threshold, keep the better of each. Then records with generic titles that are left are clustered across
     categories. The order of passes is the corrected one: each works on what the one before has kept."""
-    exact = keep_better(records, stripped_md5(F.col(content)), F.col(title), F.col(content), F.col(version), order)
+    exact = keep_better(staged(records), stripped_md5(F.col(content)), F.col(title), F.col(content), F.col(version), order)
 
     def survivors(df: DataFrame, block: Column) -> DataFrame:
         limit = F.when(C.is_bad_title(F.col(title)), rules.generic).otherwise(rules.strict)
-        marked = df.withColumn("_block", block).withColumn("_limit", limit)
+        marked = staged(df.withColumn("_block", block).withColumn("_limit", limit))
         leaders = leader_clusters(marked, "_block", order, vector, "_limit").select(F.col(order).alias("_o"), F.col("leader").alias("_leader"))
-        joined = marked.join(leaders, F.col(order) == F.col("_o"))
+        joined = staged(marked.join(leaders, F.col(order) == F.col("_o")))
         return keep_better(joined, F.col("_leader"), F.col(title), F.col(content), F.col(version), order).select(*df.columns)
 
-    within = survivors(exact, F.coalesce(F.col(category), F.lit("")))
+    within = staged(survivors(exact, F.coalesce(F.col(category), F.lit(""))))
     bad = C.is_bad_title(F.col(title))
     return within.filter(~bad).unionByName(survivors(within.filter(bad), F.lit("")))

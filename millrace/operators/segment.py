@@ -5,6 +5,8 @@ Order is explicit: every row carries its document and an ordinal, nothing relies
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,6 +124,10 @@ def chunk_spans(ends: Column, n: Column, least: int = 5, most: int = 20) -> Colu
     return F.flatten(F.transform(raw, capped))
 
 
+def _of_sentences(text: Column, min_chars: int, body: Callable[[Column], Column]) -> Column:
+    return T.let(T.sentences(text, min_chars), lambda parts: body(parts))
+
+
 def bisect(sections_: DataFrame, mixed: Column, depth: int = 2, rules: ChunkRules = ChunkRules(), content: str = "content") -> DataFrame:
     """Sections for which `mixed` holds cut in the middle of their sentences, `depth` times at most.
 
@@ -129,12 +135,14 @@ def bisect(sections_: DataFrame, mixed: Column, depth: int = 2, rules: ChunkRule
     `bisected` counts the cuts. Others pass as they are."""
     out = sections_.withColumn("path", F.array().cast("array<int>")).withColumn("bisected", F.lit(0))
     for _ in range(depth):
-        parts = T.sentences(F.col(content), rules.min_sentence_chars)
-        half = F.floor(F.size(parts) / 2).cast("int")
-        left, right = F.array_join(F.slice(parts, 1, half), " "), F.array_join(F.slice(parts, half + 1, F.size(parts)), " ")
-        fit = mixed & (F.size(parts) >= 10) & (T.word_count(left) >= rules.min_words) & (T.word_count(right) >= rules.min_words)
-        cut = F.when(fit, F.array(F.struct(F.lit(0).alias("k"), left.alias("c"), F.lit(1).alias("b")), F.struct(F.lit(1).alias("k"), right.alias("c"), F.lit(1).alias("b"))))
-        cut = cut.otherwise(F.array(F.struct(F.lit(0).alias("k"), F.col(content).alias("c"), F.lit(0).alias("b"))))
+        whole = F.array(F.struct(F.lit(0).alias("k"), F.col(content).alias("c"), F.lit(0).alias("b")))
+
+        def halves(parts: Column, whole: Column = whole) -> Column:
+            half = F.floor(F.size(parts) / 2).cast("int")
+            pair = F.array(*[F.struct(F.lit(k).alias("k"), F.array_join(p, " ").alias("c"), F.lit(1).alias("b")) for k, p in enumerate((F.slice(parts, 1, half), F.slice(parts, half + 1, F.size(parts))))])
+            return F.when((F.size(parts) >= 10) & F.forall(pair, lambda p: T.word_count(p["c"]) >= rules.min_words), pair).otherwise(whole)
+
+        cut = F.when(mixed, _of_sentences(F.col(content), rules.min_sentence_chars, halves)).otherwise(whole)
         rest = [c for c in out.columns if c not in (content, "path", "bisected")]
         out = out.withColumn("_x", F.explode(cut)).select(*rest, F.col("_x.c").alias(content), F.concat("path", F.array("_x.k")).alias("path"), (F.col("bisected") + F.col("_x.b")).alias("bisected"))
     return out

@@ -11,6 +11,7 @@ from millrace.config import ChunkRules, DedupRules, Thresholds
 from millrace.functions import classify as C
 from millrace.functions import text as T
 from millrace.operators import dedup, segment, titles, vectors
+from millrace.operators.staging import staged
 from millrace.sources.readers import stable_id
 
 
@@ -21,7 +22,7 @@ def sentences(docs: DataFrame, doc: str = "doc", text: str = "text", rules: Chun
 
 def semantic_sections(docs: DataFrame, thresholds: Thresholds = Thresholds(), rules: ChunkRules = ChunkRules(), embedder: Callable = vectors.hashing_embedder) -> DataFrame:
     """Sections between topic boundaries: doc, section_no, section_title (inferred), content."""
-    rows = vectors.embed(sentences(docs, rules=rules), "sentence", embedder)
+    rows = staged(vectors.embed(sentences(docs, rules=rules), "sentence", embedder))
     ends = vectors.topic_boundaries(rows.select("doc", "sentence_no", "embedding"), "doc", "sentence_no", "embedding", thresholds.similarity_threshold, rules.min_sentences)
     texts = rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("sentence_no", "sentence"))).alias("ss"))
     spans = segment.chunk_spans(F.col("ends"), F.col("n"), rules.min_sentences, rules.max_sentences)
@@ -34,15 +35,16 @@ def semantic_sections(docs: DataFrame, thresholds: Thresholds = Thresholds(), ru
 def candidates(sections: DataFrame, thresholds: Thresholds = Thresholds(), rules: ChunkRules = ChunkRules()) -> DataFrame:
     """Sections with category; mixed ones bisected. Parts keep their order in `path`."""
     c = F.col("content")
-    mixed = (T.word_count(c) >= rules.min_words) & (C.infer_category(c) != "") & C.has_mixed_categories(c, C.infer_category(c), most=thresholds.mixed_category_max_allowed, ratio=thresholds.mixed_category_dominance_ratio)
-    return segment.bisect(sections, mixed, thresholds.max_bisection_depth, rules).withColumn("category", C.infer_category(c))
+    limits = dict(most=thresholds.mixed_category_max_allowed, ratio=thresholds.mixed_category_dominance_ratio)
+    mixed = (T.word_count(c) >= rules.min_words) & T.let(C.infer_category(c), lambda p: (p != "") & C.has_mixed_categories(c, p, **limits))
+    return segment.bisect(staged(sections), mixed, thresholds.max_bisection_depth, rules).withColumn("category", C.infer_category(c))
 
 
 def gate(found: DataFrame, thresholds: Thresholds = Thresholds(), rules: ChunkRules = ChunkRules(), embedder: Callable = vectors.hashing_embedder) -> DataFrame:
     """Candidates with purity and `reason`: null if accepted, else too_short, unclear_category, duplicate or
     low_purity, the first that holds. A duplicate is the same first 200 characters in a document; the first that
     comes claims them, before its purity is looked at."""
-    keyed = found.withColumn("_id", F.struct("doc", "section_no", "path"))
+    keyed = staged(found).withColumn("_id", F.struct("doc", "section_no", "path"))
     short = T.word_count(F.col("content")) < rules.min_words
     early = F.when(short, "too_short").when(F.col("category") == "", "unclear_category")
     keyed = keyed.withColumn("_early", early)
@@ -67,7 +69,7 @@ def records(gated: DataFrame, updated: str = "1970-01-01") -> DataFrame:
 def cleanup(recs: DataFrame, version: str = "v2.2_rule_based") -> DataFrame:
     """Contents made standalone, repeated first characters dropped (the first id stays), then validity."""
     clean = recs.withColumn("content", T.clean_record(F.col("content"), F.col("section_title"))).withColumn("cleanup_version", F.lit(version))
-    clean = clean.withColumn("content_hash", dedup.prefix_md5(F.col("content")))
+    clean = staged(clean.withColumn("content_hash", dedup.prefix_md5(F.col("content"))))
     one = dedup.keep_first(clean, F.col("content_hash"), ["source_file", "section_no", "path"])
     return one.filter(C.cleanup_valid(F.col("content"), F.col("section_title"), F.col("category")))
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
 from millrace.operators import courses, dedup, segment, vectors
+from millrace.operators.staging import staged
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    got = courses.extract_courses(segment.document_text(pages), file="doc")
+    got = staged(courses.extract_courses(segment.document_text(pages), file="doc"))
     return courses.course_pages(got, pages)
 
 
