@@ -50,7 +50,7 @@ def cleanup_summary(df: DataFrame, content: str, duplicate: Column, invalid: Col
 
 
 def length_stats(df: DataFrame, content: str) -> DataFrame:
-    n = F.length(content)
+    n = F.length(content).cast("long")
     return df.agg(F.min(n).alias("min_chars"), F.max(n).alias("max_chars"), F.avg(n).alias("mean_chars"), F.median(n).alias("median_chars"))
 
 

@@ -295,7 +295,7 @@ def validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, array_to_string(f, ',') AS flags, greatest(0.0, 1 - 0.15 * len(f)) AS score FROM (SELECT doc_id, list_filter([CASE WHEN n_chars // 1000 = 0 THEN 'NO_UNITS' END, CASE WHEN doc_id % 3 = 0 THEN 'NO_OUTCOMES' END, CASE WHEN doc_id % 5 = 0 THEN 'NO_OBJECTIVES' END, "
+    "SELECT doc_id, array_to_string(f, ',') AS flags, CAST(greatest(0.0, 1 - 0.15 * len(f)) AS DOUBLE) AS score FROM (SELECT doc_id, list_filter([CASE WHEN n_chars // 1000 = 0 THEN 'NO_UNITS' END, CASE WHEN doc_id % 3 = 0 THEN 'NO_OUTCOMES' END, CASE WHEN doc_id % 5 = 0 THEN 'NO_OBJECTIVES' END, "
     "CASE WHEN regexp_matches(text, ' (and|of|in|the|for|to|&|or|-)$') THEN 'TRUNCATED_NAME' END, CASE WHEN contains(text, '[NEEDS REVIEW]') THEN 'NAME_UNRESOLVED' END, CASE WHEN doc_id % 7 = 0 THEN 'ZERO_CREDITS' END], lambda x: x IS NOT NULL) AS f FROM documents)"
 )
 def quality_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
