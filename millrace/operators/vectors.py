@@ -140,6 +140,21 @@ def recommend(rows: DataFrame, block: str, order: str, vector: str, **how) -> Da
     return one.select(F.round(F.coalesce("threshold", "p25"), 3).alias("similarity_threshold"), F.round("p75", 3).alias("semantic_boundary_threshold"), F.round("m", 3).alias("mixed_topic_threshold"), F.round("f", 3).alias("purity_floor"))
 
 
+def best_places(scores: np.ndarray, place: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of each row's k greatest scores, ties to the smaller place; a partition, then a sort of
+    what reaches the kth score."""
+    if scores.shape[1] > k:
+        least = np.partition(scores, -k, axis=1)[:, -k]
+        rows, cols = np.nonzero(scores >= least[:, None])
+    else:
+        rows, cols = np.indices(scores.shape).reshape(2, -1)
+    order = np.lexsort((place[cols], -scores[rows, cols], rows))
+    rows, cols = rows[order], cols[order]
+    first = np.searchsorted(rows, rows, "left")
+    keep = np.arange(len(rows)) - first < k
+    return rows[keep], cols[keep]
+
+
 def top_k(queries: DataFrame, index: DataFrame, k: int, query_id: str = "query_id", query_vector: str = "vector", pos: str = "pos", vector: str = "embedding", group: str | None = None) -> DataFrame:
     """The k rows of the index with the greatest inner products for each query (in each group, if given):
     query_id, group, pos, score, rank; ties to the smaller pos, fewer than k if there are fewer.
@@ -174,9 +189,7 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, query_id: str = "query_i
                 for g, part in pdf.groupby(group, dropna=False) if group else [(None, pdf)]:
                     place = part[pos].to_numpy()
                     scores = q @ np.stack(part[vector].to_numpy()).astype(np.float64).T
-                    order = np.lexsort((np.broadcast_to(place, scores.shape), -scores), axis=1)[:, :k]
-                    rows = np.repeat(np.arange(len(names)), order.shape[1])
-                    cols = order.ravel()
+                    rows, cols = best_places(scores, place, k)
                     out = {"query_id": [names[r] for r in rows]}
                     if group:
                         out[group] = g
