@@ -220,3 +220,13 @@ def soft_dedup(records: DataFrame, order: str, vector: str, category: str = "cat
     within = staged(survivors(exact, F.coalesce(F.col(category), F.lit(""))))
     bad = C.is_bad_title(F.col(title))
     return within.filter(~bad).unionByName(survivors(within.filter(bad), F.lit("")))
+
+
+def cluster_report(clusters: DataFrame, block: str, order: str, sims: int = 20, merges: int = 50) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of `leader_clusters`: the first similarities of each block, the first merges, and counters in one row."""
+    merged = clusters.filter(F.col(order) != F.col("leader"))
+    n = F.row_number().over(Window.partitionBy(block).orderBy(order))
+    first = merged.withColumn("_n", n).filter(F.col("_n") <= sims).select(block, order, "leader", F.round("similarity", 4).alias("similarity"))
+    shown = merged.orderBy(block, order).limit(merges).select(block, order, "leader", F.round("similarity", 4).alias("similarity"))
+    counts = clusters.agg(F.count(F.lit(1)).alias("input"), F.count_if(F.col(order) == F.col("leader")).alias("clusters"), F.count_if(F.col(order) != F.col("leader")).alias("merged"), F.countDistinct(block).alias("blocks"))
+    return first, shown, counts

@@ -219,6 +219,15 @@ def route_by_index(queries: DataFrame, index: DataFrame, group: str, weak: float
     return out.join(named, "query_id").withColumn("status", C.margin_class(F.col("predicted") == F.col("label"), F.col("margin"), weak, strong))
 
 
+def routing_report(hits: DataFrame, group: str, title: str | None = None, places: int = 6) -> DataFrame:
+    """Of `top_k` hits by index: a query's best score in each index as a map, and its hits in order."""
+    entry = F.struct("score", "rank", "pos", *([title] if title else []))
+    per = hits.groupBy("query_id", group).agg(F.max("score").alias("s"), F.array_sort(F.collect_list(F.struct("rank", entry.alias("hit")))).alias("hs"))
+    scores = F.map_from_entries(F.array_sort(F.collect_list(F.struct(group, F.round("s", places)))))
+    top = F.map_from_entries(F.array_sort(F.collect_list(F.struct(group, F.transform("hs", lambda x: x["hit"])))))
+    return per.groupBy("query_id").agg(scores.alias("scores"), top.alias("top_hits"))
+
+
 def index_report(index: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """Dimension and number of vectors of each index."""
     return index.groupBy(group).agg(F.max(F.size(vector)).alias("dimension"), F.count(F.lit(1)).alias("vectors"))

@@ -15,6 +15,15 @@ from millrace.operators.staging import staged
 from millrace.sources.readers import stable_id
 
 
+def curated(*sources: DataFrame, order: str = "ordinal") -> DataFrame:
+    """Curated records of several sources in their given order, equal contents once (the first source's)."""
+    placed = [df.withColumn("_source", F.lit(i)) for i, df in enumerate(sources)]
+    whole = placed[0]
+    for df in placed[1:]:
+        whole = whole.unionByName(df, allowMissingColumns=True)
+    return dedup.keep_first(whole, dedup.content_md5(F.col("content")), ["_source", order]).drop("_source")
+
+
 def sentences(docs: DataFrame, doc: str = "doc", text: str = "text", rules: ChunkRules = ChunkRules()) -> DataFrame:
     """doc, sentence_no, sentence of the cleaned texts."""
     return docs.select(F.col(doc).alias("doc"), F.posexplode(T.sentences(T.clean_institutional(F.col(text)), rules.min_sentence_chars)).alias("sentence_no", "sentence"))

@@ -538,3 +538,59 @@ def category_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _read(spark, sf_dir, "documents").select(C.infer_category(t, TEST_LEXICON, tuple(TEST_LEXICON)).alias("category"), T.word_count(t).alias("w"), F.size(T.sentences(t)).alias("s"))
     valid = (F.col("w") >= 30) & (F.col("category") != "")
     return d.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("w"), 6).alias("mean_words"), F.sum("s").alias("sentences"), F.round(100 * F.avg(valid.cast("int")), 4).alias("valid_pct"))
+
+
+def _ocr(x: str) -> str:
+    x = _drop(x, *lex.WEB_ARTIFACTS)
+    for old, new in lex.OCR_REPAIRS:
+        x = f"replace({x}, '{old}', '{new}')"
+    return _STRIP.format(rf"regexp_replace(regexp_replace({x}, '\n{{3,}}', chr(10) || chr(10), 'g'), '[ \t]+', ' ', 'g')")
+
+
+@query(f"SELECT doc_id, {_ocr('text')} AS content FROM documents")
+def clean_ocr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Optical-recognition repairs in their fixed order."""
+    return _read(spark, sf_dir, "documents").select("doc_id", T.clean_ocr(F.col("text")).alias("content"))
+
+
+_ISSUE_COUNTS = {"empty": "t = ''", "short": "t <> '' AND length(t) <= 5", "long": "length(t) > 80", "mixed_case": "t <> '' AND NOT (upper(t) = t AND lower(t) <> t)", "with_digits": r"regexp_matches(t, '\d')", "punctuation": r"regexp_matches(t, '[^a-zA-Z0-9_\s)]$')"}
+
+
+@query("SELECT *, CASE WHEN empty + short + long + mixed_case + with_digits + punctuation = 0 THEN 'PERFECT' WHEN empty + short + long + mixed_case + with_digits + punctuation <= 0.05 * n THEN 'GOOD' ELSE 'NEEDS WORK' END AS verdict FROM (SELECT " + ", ".join(f"count(*) FILTER ({c}) AS {k}" for k, c in _ISSUE_COUNTS.items()) + " , count(*) AS n FROM (SELECT coalesce(p_name, '') AS t FROM part))")
+def title_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title faults of part names."""
+    return evaluate.title_issues(_read(spark, sf_dir, "part"), "p_name")
+
+
+@query(
+    r"SELECT *, empty_table + missing_id + repeated_id + missing_content + missing_title + missing_category + missing_source + repeated_content = 0 AS passed FROM (SELECT CAST(count(*) = 0 AS INT) AS empty_table, count(*) FILTER (doc_id IS NULL) AS missing_id, count(doc_id) - count(DISTINCT doc_id) AS repeated_id, "
+    r"count(*) FILTER (regexp_matches(coalesce(text, ''), '^\s*$')) AS missing_content, count(*) FILTER (coalesce(lang, '') = '') AS missing_title, count(*) FILTER (coalesce(source, '') = '') AS missing_category, count(*) FILTER (coalesce(source, '') = '') AS missing_source, count(text) - count(DISTINCT "
+    + _STRIP.format("text")
+    + ") AS repeated_content FROM documents)"
+)
+def smoke_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structural checks of documents as records."""
+    d = _read(spark, sf_dir, "documents").withColumn("id", F.col("doc_id").cast("string"))
+    return evaluate.smoke_checks(d, "id", "text", F.col("lang"), F.col("source"), "source")
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (length(source || chr(10) || text) > 30) AS ready FROM documents")
+def readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.readiness(_read(spark, sf_dir, "documents"), F.concat_ws("\n", "source", "text"))
+
+
+@query("SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE lang = 'es' AND n_chars < 300)")
+def new_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that an earlier, smaller version doesn't have."""
+    d = _read(spark, sf_dir, "documents")
+    return evaluate.new_keys(d, d.filter("lang = 'es' AND n_chars < 300"), "source")
+
+
+@query(
+    f"WITH q AS ({_Q}), s AS (SELECT query_id, e.label AS l, vec_id AS pos, " + _DOT.format(a="q.q", b="e.embedding") + " AS score FROM q, embeddings e), r AS (SELECT *, row_number() OVER (PARTITION BY query_id, l ORDER BY score DESC, pos) AS n FROM s) SELECT query_id, l AS label, pos, CAST(n AS INT) AS rank, round(score, 4) AS score FROM r WHERE n <= 3"
+)
+def top_hits_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3 best hits of each query in each index (label)."""
+    e = _read(spark, sf_dir, "embeddings")
+    got = vectors.top_k(e.filter("vec_id % 50 = 0").select("vec_id", F.col("embedding").alias("q")), e, 3, query_id="vec_id", query_vector="q", pos="vec_id", group="label")
+    return got.select("query_id", "label", "pos", "rank", F.round("score", 4).alias("score"))

@@ -78,3 +78,9 @@ def test_soft_dedup_passes(spark):
     df = spark.createDataFrame(rows, "id string, category string, title string, content string, cleanup_version string, v array<float>")
     # 5 equals 4; 2 is within 0.90 of 1 and has more words; 3 joins leader 1 at 0.825 (generic), 4 stays
     assert sorted(r.id for r in D.soft_dedup(df, "id", "v").collect()) == ["2", "4"]
+
+
+def test_cluster_report(spark):
+    df = spark.createDataFrame([(i, 0, 0, 0.91234) if i else (0, 0, 0, 1.0) for i in range(30)], "o int, b int, leader int, similarity double")
+    sims, merges, counts = D.cluster_report(df, "b", "o", merges=5)
+    assert (sims.count(), merges.count(), tuple(counts.first())) == (20, 5, (30, 1, 29, 1))

@@ -116,3 +116,9 @@ def test_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         ingest.ingest(spark, source, sink, str(tmp_path / "check")).awaitTermination()
     assert [(r.doc, r.text, r.n_words) for r in spark.read.parquet(sink).collect()] == [("d", "body text", 2)]
+
+
+def test_curated_sources(spark):
+    a = spark.createDataFrame([(1, "a", "same"), (2, "b", "own")], "ordinal int, title string, content string")
+    b = spark.createDataFrame([(1, "c", "same")], "ordinal int, title string, content string")
+    assert sorted(r.title for r in institutional.curated(a, b).collect()) == ["a", "b"]

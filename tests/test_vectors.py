@@ -95,3 +95,9 @@ def test_retrieval_metrics_and_coverage(spark):
     assert (t.empty, t.short, t.mixed_case, t.verdict) == (1, 1, 1, "NEEDS WORK")
     base = evaluate.baseline_delta(docs.withColumn("k", F.lit("a")), docs.withColumn("k", F.lit("b")), "k", "content")
     assert {(x.k, x.now_n, x.before_n, x.delta) for x in base.collect()} == {("a", 2, 0, 2), ("b", 0, 2, -2)}
+
+
+def test_routing_report(spark):
+    hits = spark.createDataFrame([(1, "x", 5, 0.5, 1), (1, "x", 6, 0.4, 2), (1, "y", 7, 0.7, 1)], "query_id int, db string, pos int, score double, rank int")
+    r = V.routing_report(hits, "db").first()
+    assert r.scores == {"x": 0.5, "y": 0.7} and [h.pos for h in r.top_hits["x"]] == [5, 6]
