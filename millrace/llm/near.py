@@ -66,14 +66,14 @@ def node_of(shingles: np.ndarray) -> int:
 
 
 def signed_docs(docs: DataFrame, depth: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, node (null without words), n_shingles, sig (a byte of each minimum hash) and a bucket per tree."""
+    """doc_id, text_hash, node (null without words), n_shingles, sig (a byte of each minimum hash) and a bucket per tree."""
 
     def make():
         memo = WordHash()
         trees = mix(np.arange(1, TREES + 1, dtype=np.uint64))
 
         def work(batch: pa.RecordBatch):
-            sets = shingle_sets(text_bytes(batch.column(1)), memo)
+            sets = shingle_sets(text_bytes(batch.column(2)), memo)
             sigs = [signature(s) if len(s) else None for s in sets]
             keys = []
             for s in sigs:
@@ -87,18 +87,20 @@ def signed_docs(docs: DataFrame, depth: int, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "node", "n_shingles", "sig", "buckets"],
+                names=["doc_id", "text_hash", "node", "n_shingles", "sig", "buckets"],
             )
 
         return work
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(arrow_rows(make), "doc_id long, node long, n_shingles long, sig binary, buckets array<long>")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(arrow_rows(make), "doc_id long, text_hash long, node long, n_shingles long, sig binary, buckets array<long>")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -333,6 +335,10 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     Null texts and texts without words are linked to none. Repeated rows are copies of each other. Null ids are
     kept, but are never the smallest. An empty table gives an empty result.
     """
+    return _joined(docs, threshold, id_col, text_col).drop("text_hash")
+
+
+def _joined(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     spark = docs.sparkSession
     depth = prefix_depth(threshold)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
@@ -354,18 +360,18 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     known = classes.select("node", "copies", "rep").join(label, "node", "left").select("node", "copies", "rep", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     first = known.groupBy("root").agg(F.min("rep").alias("class_id"))
     known = stored(known.join(first, "root").select("node", F.col("rep").alias("copy_id"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "known")
-    out = signed.select("doc_id", "node").join(known, "node", "left")
+    out = signed.select("doc_id", "text_hash", "node").join(known, "node", "left")
     real = lambda c: F.coalesce(F.nullif(F.col(c), F.lit((1 << 63) - 1)), F.col("doc_id"))
-    return out.select("doc_id", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", "text_hash", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each near-duplicate group, that with the smallest id; of repeated rows one.
 
     Documents without words stay, each; so do documents without an id, which no group can be named after."""
-    joined = jaccard_join(docs, threshold, id_col, text_col)
-    kept = joined.filter(F.col("class_id") == F.col("doc_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    joined = _joined(docs, threshold, id_col, text_col)
+    kept = joined.filter(F.col("class_id") == F.col("doc_id")).select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).distinct()
     mine = docs.columns
-    named = docs.filter(F.col(id_col).isNotNull()).join(kept, F.col(id_col) == F.col("_kept"), "left_semi")
-    named = named.withColumn("_text", F.xxhash64(text_col)).dropDuplicates([id_col, "_text"]).select(*mine)
-    return named.unionByName(docs.filter(F.col(id_col).isNull()))
+    named = docs.filter(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(F.col(text_col).cast("string")))
+    named = named.join(kept, (F.col(id_col) == F.col("_kept")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    return named.dropDuplicates([id_col, "_text"]).select(*mine).unionByName(docs.filter(F.col(id_col).isNull()))

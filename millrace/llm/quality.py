@@ -74,23 +74,24 @@ def _count_batch(texts: list[bytes | None], memo: WordHash) -> dict[str, np.ndar
 
 
 def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the counts of COUNTS of each whole text; words are runs without ASCII white space.
+    """doc_id, text_hash and the counts of COUNTS of each whole text; words are runs without ASCII white space.
 
     n_repeat_words: words in 5-word windows found twice or more in the text, the first included. n_dup_lines:
     lines with a word that equal an earlier line. A null or empty text has zeros."""
-    names = ["doc_id", *[x.split()[0] for x in COUNTS.split(", ")]]
+    names = ["doc_id", "text_hash", *[x.split()[0] for x in COUNTS.split(", ")]]
 
     def make():
         memo = WordHash()
 
         def work(batch: pa.RecordBatch):
-            got = _count_batch(text_bytes(batch.column(1)), memo)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(got[n], pa.int64()) for n in names[1:])], names=names)
+            got = _count_batch(text_bytes(batch.column(2)), memo)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(got[n], pa.int64()) for n in names[2:])], names=names)
 
         return work
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(arrow_rows(make), f"doc_id long, {COUNTS}")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(arrow_rows(make), f"doc_id long, text_hash long, {COUNTS}")
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -170,8 +171,8 @@ def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id
     return voted.withColumn("quality", 1 / (1 + F.exp(-logit))).withColumn("base_failed", base).withColumn("kept", ~base & (F.col("quality") >= threshold))
 
 
-def keep_quality(docs: DataFrame, **how) -> DataFrame:
-    """The documents that `judge_quality` keeps, each as often as it came."""
-    judged = judge_quality(docs, **how)
-    kept = judged.filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi")
+def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The documents that `judge_quality` keeps, told by id and text, each as often as it came; null ids too."""
+    kept = judge_quality(docs, id_col=id_col, text_col=text_col, **how).filter("kept").select(F.col("doc_id").alias("_kept"), "text_hash").distinct()
+    same = F.col(id_col).eqNullSafe(F.col("_kept")) & (F.xxhash64(docs[text_col].cast("string")) == kept["text_hash"])
+    return docs.join(kept, same, "left_semi")
