@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -27,6 +28,7 @@ Bins = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times), ...) o
 
 #: Pieces into which the tokenizer's pattern cuts lower-case Latin text without apostrophes.
 _LATIN = re.compile(r"[^\W\d_]+|\d|(?:[^\w]|_)+")
+_PLAIN = re.compile("[!-&(-;=-~À-ÖØ-öø-įı-ňŊ-ſ]*")
 #: The byte-level alphabet of public BPE vocabularies: printable bytes stand for themselves, others follow from 256.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
@@ -40,7 +42,7 @@ class ChunkIds(dict):
     to its BPE model directly; all others are encoded by the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 500_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -51,25 +53,22 @@ class ChunkIds(dict):
     @staticmethod
     def plain(text: str) -> bool:
         """Whether a chunk has only composed Latin letters below U+0180, digits and printable ASCII marks, and
-        nothing that the tokenizer's pattern treats by context."""
-        if "'" in text or "<|" in text:
-            return False
-        if text.isascii():
-            return text.isprintable()
-        return all(c.isalpha() and c not in "ªºİŉ" and "À" <= c < "ƀ" for c in text if c > "~" or c < "!")
+        nothing that the tokenizer treats by context (apostrophes, special tokens)."""
+        return _PLAIN.fullmatch(text) is not None
+
+    def piece(self, piece: str) -> bytes:
+        got = self.pieces.get(piece)
+        if got is None:
+            raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            got = self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.model.tokenize(raw)]) else b""
+        return got
 
     def encode(self, chunk: bytes) -> bytes:
         text = chunk.decode()
         if not self.plain(text):
             return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for piece in _LATIN.findall(text.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                raw = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                ids = self.pieces[piece] = np.asarray([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
-            out.append(ids)
-        return b"".join(out)
+        text = text.lower()
+        return self.piece(text) if text.isalpha() else b"".join(map(self.piece, _LATIN.findall(text)))
 
     def __missing__(self, chunk: bytes) -> bytes:
         got = self[chunk] = self.encode(chunk)
