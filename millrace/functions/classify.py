@@ -160,7 +160,8 @@ def is_header(line: Column, strong: Sequence[str] = tuple(lex.STRONG_HEADER_WORD
         for w in weak:
             has_weak = has_weak | F.contains(upper, F.lit(w))
         has_weak = has_weak & (T.word_count(x) >= 3) & ~x.rlike(r"^\w+\s+\w+\s+\w+")
-        return (F.length(x) >= 10) & ~refused & alphabetic & (T.is_upper(x) | T.is_title(x)) & (has_strong | has_weak)
+        # the cheapest tests first: most lines are ordinary prose
+        return (F.length(x) >= 10) & (T.is_upper(x) | T.is_title(x)) & (has_strong | has_weak) & alphabetic & ~refused
 
     return T.let(T.strip(line), test)
 
