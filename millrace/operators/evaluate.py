@@ -172,25 +172,15 @@ def new_keys(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
     return now.select(key).distinct().join(before.select(key).distinct(), key, "left_anti")
 
 
-def marker_contamination(df: DataFrame, ids: str, content: str, markers: DataFrame, marker_id: str, marker: str, words: int = 8) -> DataFrame:
-    """Records that contain a marker phrase: ids, marker_id.
-
-    An equi-join on hashes of the markers' first `words` words against the records' windows of as many words
-    finds candidates, a containment test of whole words decides. Shorter markers are compared by all their words."""
-    phrase = markers.select(F.col(marker_id).alias("marker_id"), T.words(F.col(marker)).alias("mw")).filter(F.size("mw") > 0).withColumn("span", F.least(F.size("mw"), F.lit(words)))
-    spans = [r[0] for r in phrase.select("span").distinct().collect()]  # `words` numbers at most
-    heads = phrase.select("marker_id", "span", F.array_join("mw", " ").alias("whole"), F.xxhash64(F.array_join(F.slice("mw", F.lit(1), F.col("span")), " ")).alias("h"))
+def marker_contamination(df: DataFrame, ids: str, content: str, markers: DataFrame, marker_id: str, marker: str) -> DataFrame:
+    """Records that contain a marker phrase in whole words: ids, marker_id.
+
+    A record that holds a phrase holds its longest word, the likeliest to be rare: an equi-join on that word finds
+    candidates, a containment test decides. Markers without words are found nowhere."""
+    phrase = markers.select(F.col(marker_id).alias("marker_id"), T.words(F.col(marker)).alias("mw")).filter(F.size("mw") > 0)
+    anchor = F.array_max(F.transform("mw", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    heads = phrase.select("marker_id", F.array_join("mw", " ").alias("whole"), anchor.alias("word"))
     rec = df.select(F.col(ids).alias("id"), T.words(F.col(content)).alias("w"))
-    out = None
-    def windows(span: int) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size("w") - span + 1), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, F.lit(span)), " ")))
-
-    for span in sorted(spans):
-        own = heads.filter(F.col("span") == span)
-        hashed = rec.filter(F.size("w") >= span).select("id", F.explode(F.array_distinct(windows(span))).alias("h"))
-        got = hashed.join(own, "h").select("id", "marker_id", "whole")
-        out = got if out is None else out.unionByName(got)
-    if out is None:
-        return rec.select(F.col("id").alias(ids), F.lit(None).cast("long").alias("marker_id")).limit(0)
-    full = out.join(rec.select("id", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("t")), "id")
+    found = rec.select("id", F.explode(F.array_distinct("w")).alias("word")).join(heads, "word").select("id", "marker_id", "whole")
+    full = found.join(rec.select("id", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("t")), "id")
     return full.filter(F.contains("t", F.concat(F.lit(" "), F.col("whole"), F.lit(" ")))).select(F.col("id").alias(ids), "marker_id").distinct()
