@@ -8,7 +8,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import salted_rank, salts_for, stored
+from millrace.llm.common import salted_rank, salts_for
 
 #: Slots of one hyperperiod: weights are multiples of 1/PERIOD, and the schedule repeats after PERIOD slots.
 PERIOD = 4_096
@@ -105,5 +105,4 @@ def mixed_stream(docs: DataFrame, **how) -> DataFrame:
     """The rows of `mix_sources` that are in the mix, in stream order, with the columns of docs."""
     got = mix_sources(docs, **how)
     mine = [c for c in docs.columns if c not in ("mix_slot", "mix_offset", "in_mix")]
-    kept = stored(got.filter("in_mix"), "mixed")
-    return kept.orderBy("mix_slot", "mix_offset").select(*mine)
+    return got.filter("in_mix").orderBy("mix_slot", "mix_offset").select(*mine)
