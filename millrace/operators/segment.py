@@ -29,18 +29,18 @@ def lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
 
 
-def sections(docs: DataFrame, header: Column | None = None, doc: str = "doc_id", text: str = "text", min_chars: int = 50, title: str = "GENERAL REGULATIONS") -> DataFrame:
+def sections(docs: DataFrame, header: Callable[[Column], Column] = C.is_header, doc: str = "doc_id", text: str = "text", min_chars: int = 50, title: str = "GENERAL REGULATIONS") -> DataFrame:
     """A document's sections between header lines: doc, section_no, section_title, content.
 
-    `header` is a predicate on column `line`, by default `classify.is_header`. Lines of under three characters,
+    `header` is a predicate on a line. Only documents with a header are taken apart into rows of lines. Lines of under three characters,
     short lines in capitals and lines of symbols are left out of contents, which are then cleaned; sections under
     `min_chars` are dropped. Of sections with the same title and the same first 200 characters the first stays.
     A document without any header is one section if it is longer than `min_chars`. What comes before the first
     header is dropped.
     """
-    found = F.filter(F.transform(F.split(F.col(text), "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("line"))), lambda x: x["line"] != "")
-    one = docs.select(F.col(doc).alias("doc"), F.posexplode(found).alias("k", "l")).select("doc", "k", F.col("l.line").alias("line"))
-    flagged = one.withColumn("is_head", C.is_header(F.col("line")) if header is None else header)
+    headed = F.coalesce(F.exists(F.split(F.col(text), "\n"), lambda x: header(x)), F.lit(False))
+    one = docs.filter(headed).select(F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("k", "line")).filter("line <> ''")
+    flagged = one.withColumn("is_head", header(F.col("line")))
     order = Window.partitionBy("doc").orderBy("k")
     numbered = flagged.withColumn("section_no", F.sum(F.col("is_head").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     x = T.strip(F.col("line"))
@@ -52,8 +52,7 @@ def sections(docs: DataFrame, header: Column | None = None, doc: str = "doc_id",
     key = F.substring(F.lower(T.collapse(F.col("content"))), 1, 200)
     first = F.row_number().over(Window.partitionBy("doc", "section_title", key).orderBy("section_no"))
     made = made.withColumn("_n", first).filter("_n = 1").drop("_n")
-    headed = numbered.filter("is_head").select("doc").distinct()
-    rest = docs.select(F.col(doc).alias("doc"), T.clean_regulation(F.col(text)).alias("content")).join(headed, "doc", "left_anti")
+    rest = docs.filter(~headed).select(F.col(doc).alias("doc"), T.clean_regulation(F.col(text)).alias("content"))
     whole = rest.filter(F.length("content") > min_chars).select("doc", F.lit(0).cast("long").alias("section_no"), F.lit(title).alias("section_title"), "content")
     return made.unionByName(whole)
 
