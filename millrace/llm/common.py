@@ -62,18 +62,16 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], salts: int, na
     slices' first ranks, so no task ever sorts a whole group. The rank is total and repeatable for rows that
     differ in the order columns; rows that agree in all of them are exchangeable.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int"))
-    by = [*keys, "_slice"]
-    counts = sliced.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
-    first = counts.select(*by, F.coalesce(before, F.lit(0)).alias("_first"))
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by]
-    on = same[0]
-    for x in same[1:]:
-        on = on & x
-    joined = sliced.alias("l").join(first.alias("r"), on, "left").select("l.*", "r._first")
-    own = F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1
-    return joined.withColumn(name, (F.col("_first") + own).cast("long")).drop("_first", "_slice")
+    mine = df.columns
+    # one struct as key: null keys are equal in it, and window and join share its partitioning
+    at = F.struct(*keys, F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int").alias("_slice")).alias("_at")
+    sliced = df.select("*", at)
+    counts = sliced.groupBy("_at").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*[f"_at.{k}" for k in keys]).orderBy("_at._slice").rowsBetween(Window.unboundedPreceding, -1))
+    first = counts.select("_at", F.coalesce(before, F.lit(0)).alias("_first"))
+    own = F.row_number().over(Window.partitionBy("_at").orderBy(*order)) - 1
+    ranked = sliced.withColumn("_own", own).join(first, "_at")
+    return ranked.select(*mine, (F.col("_first") + F.col("_own")).cast("long").alias(name))
 
 
 def unit_hash(*cols: Column | str) -> Column:
