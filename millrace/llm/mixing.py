@@ -69,7 +69,9 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, alpha: float = 0.9
     hyperperiod goes to slot (j div a) * period + offset[j mod a], where the offsets come from `pfair`, computed
     once for one hyperperiod. `weights` maps source (None for null) to its weight; sources without one, or with
     none above 0, get no slot. Left out, the weights are tempered counts. No row is repeated, so the stream
-    keeps the weights until the first source lacks a block: rows before that slot are `in_mix`.
+    keeps the weights until the first source lacks a block: rows before that slot are `in_mix`. The flag is no
+    bound of the stream: behind that slot the slots of a source that has ended stay empty, so the sources left
+    go on in proportion to their weights until each has given its last, part block.
 
     Adds to the columns of docs: mix_slot (long, null without weight), mix_offset (int, place in the block),
     in_mix (boolean). Columns of those names in docs are replaced. Null source is a source of its own; repeated
@@ -106,3 +108,11 @@ def mixed_stream(docs: DataFrame, **how) -> DataFrame:
     got = mix_sources(docs, **how)
     mine = [c for c in docs.columns if c not in ("mix_slot", "mix_offset", "in_mix")]
     return got.filter("in_mix").orderBy("mix_slot", "mix_offset").select(*mine)
+
+
+def whole_stream(docs: DataFrame, **how) -> DataFrame:
+    """All rows of `mix_sources` that have a slot, in stream order, with the columns of docs: without `weights`
+    every row of docs, however small the smallest source is."""
+    got = mix_sources(docs, **how)
+    mine = [c for c in docs.columns if c not in ("mix_slot", "mix_offset", "in_mix")]
+    return got.filter("mix_slot is not null").orderBy("mix_slot", "mix_offset").select(*mine)

@@ -166,3 +166,20 @@ def test_mixing(spark, odd, none):
     assert mixing.mix_sources(none).count() == 0 and mixing.mixed_stream(none).count() == 0
     unweighted = mixing.mix_sources(docs, {"big": 1.0}).filter("mix_slot is null")
     assert unweighted.count() == 1000 and unweighted.filter("in_mix").count() == 0
+
+
+def test_a_rare_source_does_not_end_the_stream(spark):
+    import corpus_pipeline as cp
+
+    kind = F.when(F.col("id") == 7, None).when(F.col("id") % 4 == 0, "b").otherwise("a")
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("en").alias("lang"), kind.alias("source"), F.lit(1).alias("n_chars"))
+    rows = cp.source_mixing(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in rows) == list(range(40_000))
+    inside = [r.doc_id for r in mixing.mixed_stream(docs).collect()]
+    assert len(inside) < 32_768 and [r.doc_id for r in rows[: len(inside)]] == inside
+    # sources that still have blocks keep their proportion behind the rare one's end
+    share = 3**0.9 / (3**0.9 + 1)
+    tail = Counter(r.source for r in rows[32_800:36_800])
+    assert abs(tail["a"] / 4_000 - share) < 0.01
+    weights = {"a": 1.0, "b": 0.0}
+    assert mixing.whole_stream(docs, weights=weights).count() == sum(r.source == "a" for r in rows)
