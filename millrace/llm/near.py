@@ -19,9 +19,12 @@ WORDS, TREES, LONGEST, RECALL = 5, 20, 6, 0.9999
 BLOCK, BLOCK_BYTES = 2_048, 16 << 20
 #: Estimated similarity that a candidate pair needs: more than four deviations of the estimate below the threshold.
 SLACK = 0.16
+#: Stands for a null id, behind all others.
+NO_ID = (1 << 63) - 1
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+_WHITE = b" \t\n\r\v\f"
 _SEEDS = np.random.RandomState(20240601).randint(1, 2**32, size=(2, TREES * LONGEST), dtype=np.uint64).astype(np.uint32)
 _SEEDS[0] |= np.uint32(1)
 
@@ -274,14 +277,21 @@ def verify_group(sets: list[np.ndarray], weights: np.ndarray, own: np.ndarray, c
     return links, labels
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """rep, text_hash, text of all documents; of those without an id, whose rep is NO_ID, one a text."""
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    unnamed = texts.filter("rep is null").dropDuplicates(["text_hash"]).withColumn("rep", F.lit(NO_ID))
+    return texts.filter("rep is not null").unionByName(unnamed)
+
+
 def verified(docs: DataFrame, found: DataFrame, threshold: float, partitions: int, id_col: str, text_col: str) -> DataFrame:
     """node, links, root, whole: links of each class found in one task, and the smallest node it is connected to there.
 
-    found: node, rep (a document that has it), copies, comp, blocks (of its component). A text is shuffled once
-    to find the candidates' texts; only those are cut into shingles, and go to their component's tasks."""
+    found: node, rep and text_hash (of a document that has it), copies, comp, blocks (of its component). A text is
+    shuffled once to find the candidates' texts; only those are cut into shingles, and go to their component's tasks."""
     limit = Fraction(str(threshold))
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-    wanted = texts.join(found.hint("shuffle_hash"), "rep").select("text", "node", "copies", "comp", "blocks")
+    wanted = _texts(docs, id_col, text_col).join(found.hint("shuffle_hash"), ["rep", "text_hash"]).select("text", "node", "copies", "comp", "blocks")
     kinds = "node long, copies long, comp long, blocks long, shingles binary"
 
     def make():
@@ -289,7 +299,7 @@ def verified(docs: DataFrame, found: DataFrame, threshold: float, partitions: in
 
         def work(batch: pa.RecordBatch):
             sets = shingle_sets(text_bytes(batch.column(0)), memo)
-            # another text may have the same id
+            # another text may have the same hash
             keep = [i for i, s in enumerate(sets) if len(s) and node_of(s) == batch.column(1)[i].as_py()]
             cut = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(cut.column(k) for k in range(1, 5)), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=[x.split()[0] for x in kinds.split(", ")])
@@ -335,21 +345,26 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     Null texts and texts without words are linked to none. Repeated rows are copies of each other. Null ids are
     kept, but are never the smallest. An empty table gives an empty result.
     """
-    return _joined(docs, threshold, id_col, text_col).drop("text_hash")
+    signed, known = _grouped(docs, threshold, id_col, text_col)
+    out = signed.select("doc_id", "node").join(known, "node", "left")
+    real = lambda c: F.coalesce(F.nullif(F.col(c), F.lit(NO_ID)), F.col("doc_id"))
+    return out.select("doc_id", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def _joined(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of `signed_docs`, and of each class node, copy_id, class_id, class_hash (the text hash of the
+    group's document with the smallest id) and n_links. NO_ID stands for null ids."""
     spark = docs.sparkSession
     depth = prefix_depth(threshold)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     signed = stored(signed_docs(docs, depth, id_col, text_col), "signed")
-    one = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("rep"), "n_shingles", "sig", "buckets")).alias("x")
+    one = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text_hash", "n_shingles", "sig", "buckets")).alias("x")
     classes = signed.filter("node is not null").groupBy("node").agg(one, F.count(F.lit(1)).alias("copies")).select("node", "copies", "x.*")
     classes = stored(classes, "classes")
     maybe = components(candidate_edges(classes, depth, threshold, partitions))
-    grown = maybe.join(classes.select("node", "rep", "copies", "n_shingles"), "node")
+    grown = maybe.join(classes.select("node", "rep", "text_hash", "copies", "n_shingles"), "node")
     sizes = grown.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(8 * F.sum("n_shingles") / BLOCK_BYTES)).alias("blocks"))
-    found = grown.join(sizes, "comp").select("node", "rep", "copies", "comp", "blocks")
+    found = grown.join(sizes, "comp").select("node", "rep", "text_hash", "copies", "comp", "blocks")
     links = stored(verified(docs, found, threshold, partitions, id_col, text_col), "links")
     total = links.groupBy("node").agg(F.sum("links").alias("links"), F.min("root").alias("root"), F.min("whole").alias("whole"))
     parts = links.filter(~F.col("whole"))
@@ -357,21 +372,24 @@ def _joined(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     if parts.limit(1).count():
         joined = components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
         label = label.join(joined, "node", "left").select("node", "links", F.coalesce("comp", "root").alias("root"))
-    known = classes.select("node", "copies", "rep").join(label, "node", "left").select("node", "copies", "rep", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    first = known.groupBy("root").agg(F.min("rep").alias("class_id"))
-    known = stored(known.join(first, "root").select("node", F.col("rep").alias("copy_id"), "class_id", (F.col("links") + F.col("copies") - 1).alias("n_links")), "known")
-    out = signed.select("doc_id", "text_hash", "node").join(known, "node", "left")
-    real = lambda c: F.coalesce(F.nullif(F.col(c), F.lit((1 << 63) - 1)), F.col("doc_id"))
-    return out.select("doc_id", "text_hash", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    known = classes.select("node", "copies", "rep", "text_hash").join(label, "node", "left").select("node", "copies", "rep", "text_hash", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
+    first = known.groupBy("root").agg(F.min(F.struct("rep", "text_hash")).alias("first")).select("root", F.col("first.rep").alias("class_id"), F.col("first.text_hash").alias("class_hash"))
+    known = known.join(first, "root").select("node", F.col("rep").alias("copy_id"), "class_id", "class_hash", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    return signed, stored(known, "known")
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each near-duplicate group, that with the smallest id; of repeated rows one.
 
-    Documents without words stay, each; so do documents without an id, which no group can be named after."""
-    joined = _joined(docs, threshold, id_col, text_col)
-    kept = joined.filter(F.col("class_id") == F.col("doc_id")).select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash")).distinct()
+    A group without any id keeps one of its documents too. Documents without words stay, each."""
+    signed, known = _grouped(docs, threshold, id_col, text_col)
     mine = docs.columns
-    named = docs.filter(F.col(id_col).isNotNull()).withColumn("_text", F.xxhash64(F.col(text_col).cast("string")))
-    named = named.join(kept, (F.col(id_col) == F.col("_kept")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    return named.dropDuplicates([id_col, "_text"]).select(*mine).unionByName(docs.filter(F.col(id_col).isNull()))
+    rows = docs.withColumn("_text", F.xxhash64(F.col(text_col).cast("string")))
+    best = known.select(F.col("class_id").alias("_kept"), F.col("class_hash").alias("_hash"))
+    wordless = signed.filter("node is null").select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash"))
+    kept = best.unionByName(wordless.filter("_kept is not null")).distinct()
+    named = rows.filter(F.col(id_col).isNotNull()).join(kept, (F.col(id_col) == F.col("_kept")) & (F.col("_text") == F.col("_hash")), "left_semi")
+    unnamed = rows.filter(F.col(id_col).isNull())
+    empty = F.coalesce(F.translate(F.col(text_col).cast("string"), (_PUNCTUATION + _WHITE).decode(), "") == "", F.lit(True))
+    grouped = unnamed.filter(~empty).dropDuplicates(["_text"]).join(best.filter(F.col("_kept") == NO_ID).distinct(), F.col("_text") == F.col("_hash"), "left_semi")
+    return named.dropDuplicates([id_col, "_text"]).unionByName(grouped).unionByName(unnamed.filter(empty)).select(*mine)

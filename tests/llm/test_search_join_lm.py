@@ -194,3 +194,16 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = ngram_lm.score_documents(docs).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert r[0] > r[1]
+
+
+def test_documents_without_an_id_are_linked(spark):
+    words = [f"w{i}" for i in range(60)]
+    alone = [f"z{i}" for i in range(20)]
+    # the outer texts are similar to the middle one only, which has no id
+    outer = [" ".join([*"abcde", *words[5:]]), " ".join([*words[:55], *"fghij"])]
+    rows = [(5, outer[0]), (None, " ".join(words)), (9, outer[1]), (None, " ".join(words).upper()), (None, " ".join(alone)), (None, " ".join(alone)), (None, " ".join(alone)), (None, "?!"), (None, None), (7, "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(tuple(r) for r in near.jaccard_join(docs).collect())
+    assert got[5, 5, 5, 2] == 1 and got[9, 9, 5, 2] == 1 and got[None, None, 5, 3] == 2 and got[None, None, None, 2] == 3 and sum(got.values()) == len(rows)
+    kept = Counter(tuple(r) for r in near.keep_one(docs).collect())
+    assert kept == Counter([(5, outer[0]), (None, " ".join(alone)), (None, "?!"), (None, None), (7, "!")])
