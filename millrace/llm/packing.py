@@ -6,7 +6,9 @@ import re
 import struct
 import zlib
 from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections import Counter, deque
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +21,9 @@ from millrace.llm.common import arrow_rows, salted_rank, salts_for, stored, text
 MOST_NODES = 6_000
 #: At every so manieth node the rest is packed by best fit, for a better incumbent.
 EACH = 32
-#: Fillings that one node branches on, those of least waste.
+#: Fillings that a node branches on at a time, those of least waste; steps of the enumeration between two of its sorts.
 MOST_FILLINGS = 12
+STEPS = 1_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 Bins = list[tuple[tuple[tuple[int, int], ...], int]]  # ((length, times), ...) of a bin, and how many such bins
@@ -176,41 +179,72 @@ def _fits(items: tuple[int, ...], holes: tuple[int, ...]) -> bool:
     return any(h >= items[0] and _fits(items[1:], (*holes[:i], h - items[0], *holes[i + 1 :])) for i, h in enumerate(holes))
 
 
-def fillings(counts: Counter, gap: int, most: int = MOST_FILLINGS) -> list[tuple[int, ...]]:
-    """Undominated fillings of a gap, least waste first, `most` at most.
+def _grown(counts: Counter, sizes: list[int], gap: int) -> Iterator[tuple[int, tuple[int, ...]] | None]:
+    """All fillings of a gap to which no item can be added, with the room left, those of the largest items first;
+    None for each step without one."""
+    used: Counter = Counter()
+    taken: list[int] = []
+    room = gap
+    tries = [bisect_right(sizes, room) - 1]  # by items taken, the place in sizes of the next one to try
+    new = True
+    while True:
+        if new:
+            smallest = next((s for s in sizes if used[s] < counts[s]), room + 1)
+            full = smallest > room
+            yield (room, tuple(taken)) if full else None
+            if full:
+                tries[-1] = -1
+        at, new = tries[-1], False
+        if at >= 0:
+            tries[-1] -= 1
+            if used[sizes[at]] < counts[sizes[at]]:
+                used[sizes[at]] += 1
+                taken.append(sizes[at])
+                room -= sizes[at]
+                tries.append(min(at, bisect_right(sizes, room) - 1))
+                new = True
+        elif taken:
+            tries.pop()
+            used[taken[-1]] -= 1
+            room += taken.pop()
+        else:
+            return
+
+
+def filling_batches(counts: Counter, gap: int, most: int | None = None) -> Iterator[list[tuple[int, ...]]]:
+    """Undominated fillings of a gap, in batches of `most` at most (MOST_FILLINGS), one batch at least.
 
     A filling dominates another if the other's items fit into its items' places; then a packing with the other
-    can be exchanged for one with it. Fillings to which a remaining item could be added are left out.
+    can be exchanged for one with it. Fillings to which a remaining item could be added are left out. The
+    enumeration stops after each STEPS steps, gives what it found, least waste first, and goes on when it is
+    asked for more, until all have come.
     """
+    most = most or MOST_FILLINGS
     sizes = sorted(s for s, n in counts.items() if n and s <= gap)
-    if not sizes:
-        return [()]
-    if sizes[-1] == gap:
-        return [(gap,)]  # it dominates all others
-    found: list[tuple[int, tuple[int, ...]]] = []
-    steps = 0
-
-    def grow(below: int, room: int, taken: tuple[int, ...]) -> None:
-        """Adds items of sizes[:below], the largest that fit first."""
-        nonlocal steps
-        steps += 1
-        smallest = next((s for s in sizes if taken.count(s) < counts[s]), room + 1)
-        if smallest > room:
-            found.append((room, taken))
-            return
-        for i in range(min(below, bisect_right(sizes, room)) - 1, -1, -1):
-            if steps > 1_000:
-                return
-            if taken.count(sizes[i]) < counts[sizes[i]]:
-                grow(i + 1, room - sizes[i], (*taken, sizes[i]))
-
-    grow(len(sizes), gap, ())
-    found = sorted(set(found), key=lambda x: (x[0], len(x[1]), [-s for s in x[1]]))[: 8 * most]
-    kept: list[tuple[int, ...]] = []
-    for _, f in found:
-        if len(kept) < most and not any(len(f) <= 6 and _fits(f, k) for k in kept):
-            kept.append(f)
-    return kept or [()]
+    if not sizes or sizes[-1] == gap:
+        yield [(gap,)] if sizes else [()]  # an item that fills the gap dominates all others
+        return
+    walk, given, going = _grown(counts, sizes, gap), [], True
+    while going:
+        part = list(islice(walk, STEPS))
+        going = len(part) == STEPS
+        found = sorted(filter(None, part), key=lambda x: (x[0], len(x[1]), [-s for s in x[1]]))
+        for at in range(0, len(found), 8 * most):
+            kept: list[tuple[int, ...]] = []
+            for _, f in found[at : at + 8 * most]:
+                if not any(len(f) <= 6 and _fits(f, k) for k in given):
+                    given.append(f)
+                    kept.append(f)
+                    if len(kept) == most:
+                        yield kept
+                        kept = []
+            if kept:
+                yield kept
+
+
+def fillings(counts: Counter, gap: int) -> list[tuple[int, ...]]:
+    """All undominated fillings of a gap, see `filling_batches`."""
+    return [f for batch in filling_batches(counts, gap) for f in batch]
 
 
 def bin_completion(counts: Counter, capacity: int) -> Bins:
@@ -220,7 +254,10 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     largest item's bin is completed by each undominated filling in turn, as many such bins at once as the
     histogram allows; a branch ends when its waste exceeds what a packing with one bin less could waste, or its
     lower bound doesn't beat the incumbent. At every EACH-th node, and where few lengths are left, the best-fit
-    packing of the rest may become the incumbent. After MOST_NODES nodes the incumbent stands.
+    packing of the rest may become the incumbent.
+
+    A node branches on its best fillings first. When all branches made so are done, the nodes are visited again,
+    the first ones first, for their other fillings, so the search ends with a proof or after MOST_NODES visits.
     """
     counts = Counter({s: n for s, n in counts.items() if n > 0})
     if not counts:
@@ -231,29 +268,62 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     best, bound = best_fit(counts, capacity), lower_bound(counts, capacity)
     most, nodes = sum(n for _, n in best), 0
 
-    stack: list[tuple[Counter, Bins, int, int]] = [(counts, [], 0, 0)]
-    while stack and most > bound and nodes < MOST_NODES:
-        left, made, bins, waste = stack.pop()
-        nodes += 1
-        if waste > (most - 1) * capacity - total or bins + lower_bound(left, capacity) >= most:
-            continue
-        if nodes % EACH == 1 or len(left) <= EACH:
-            rest = best_fit(left, capacity)
-            if (n := bins + sum(x for _, x in rest)) < most:
-                best, most = made + rest, n
-        if not left:
-            continue
+    def children(left: Counter, made: tuple, bins: int, waste: int, batch: list[tuple[int, ...]]) -> Iterator[tuple]:
         size = max(left)
-        own = left.copy()
-        own[size] -= 1
-        branches = []
-        for f in fillings(own, capacity - size):
+        for f in batch:
             use = Counter(f) + Counter({size: 1})
             times = min(left[s] // n for s, n in use.items())
             after = Counter({s: n - times * use[s] for s, n in left.items() if n > times * use[s]})
             filled = tuple(sorted(use.items(), reverse=True))
-            branches.append((after, [*made, (filled, times)], bins + times, waste + times * (capacity - size - sum(f))))
-        stack += reversed(branches)
+            yield after, (made, (filled, times)), bins + times, waste + times * (capacity - size - sum(f))
+
+    def batches_of(left: Counter) -> Iterator[list[tuple[int, ...]]]:
+        size = max(left)
+        own = left.copy()
+        own[size] -= 1
+        return filling_batches(own, capacity - size)
+
+    def listed(made: tuple) -> Bins:
+        out: Bins = []
+        while made:
+            made, last = made
+            out.append(last)
+        return out[::-1]
+
+    def hopeless(left: Counter, bins: int, waste: int) -> bool:
+        return waste > (most - 1) * capacity - total or bins + lower_bound(left, capacity) >= most
+
+    stack: list[tuple[Counter, tuple, int, int]] = [(counts, (), 0, 0)]
+    later: deque[tuple[tuple, int, int]] = deque()  # nodes whose fillings have not all come
+    again: tuple | None = None  # the one of them that is being continued
+    while (stack or again or later) and most > bound and nodes < MOST_NODES:
+        nodes += 1
+        if stack:
+            left, made, bins, waste = stack.pop()
+            if hopeless(left, bins, waste):
+                continue
+            if nodes % EACH == 1 or len(left) <= EACH:
+                rest = best_fit(left, capacity)
+                if (n := bins + sum(x for _, x in rest)) < most:
+                    best, most = listed(made) + rest, n
+            if not left:
+                continue
+            stack += reversed(list(children(left, made, bins, waste, next(batches_of(left)))))
+            later.append((made, bins, waste))
+            continue
+        if not again:
+            made, bins, waste = later.popleft()
+            left = counts.copy()
+            for filled, times in listed(made):
+                left.subtract({s: times * n for s, n in filled})
+            left = +left
+            again = left, made, bins, waste, islice(batches_of(left), 1, None)
+        left, made, bins, waste, batches = again
+        batch = None if hopeless(left, bins, waste) else next(batches, None)
+        if batch is None:
+            again = None
+        else:
+            stack += reversed(list(children(left, made, bins, waste, batch)))
     return best
 
 

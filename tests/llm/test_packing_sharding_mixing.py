@@ -1,7 +1,7 @@
 import random
 import zlib
 from collections import Counter, defaultdict
-from itertools import product
+from itertools import combinations, product
 
 import numpy as np
 import pytest
@@ -183,3 +183,18 @@ def test_a_rare_source_does_not_end_the_stream(spark):
     assert abs(tail["a"] / 4_000 - share) < 0.01
     weights = {"a": 1.0, "b": 0.0}
     assert mixing.whole_stream(docs, weights=weights).count() == sum(r.source == "a" for r in rows)
+
+
+def test_all_fillings_come_in_the_end(monkeypatch):
+    rng = random.Random(4)
+    sizes = rng.sample(range(20, 90), 28)
+    got = packing.fillings(Counter(sizes), 200)
+    exact = [c for k in range(2, 6) for c in combinations(sorted(sizes, reverse=True), k) if sum(c) == 200]
+    assert len(exact) > 100 and all(c in got or any(packing._fits(c, f) for f in got) for c in exact)
+    # nodes are visited again for what a small batch leaves out
+    monkeypatch.setattr(packing, "MOST_FILLINGS", 1)
+    monkeypatch.setattr(packing, "STEPS", 2)
+    monkeypatch.setattr(packing, "best_fit", lambda counts, capacity: [(((s, 1),), n) for s, n in counts.items()])
+    for _ in range(60):
+        sizes = [rng.randint(3, 14) for _ in range(rng.randint(1, 9))]
+        assert sum(n for _, n in packing.bin_completion(Counter(sizes), 20)) == fewest_bins(sizes, 20)
