@@ -15,7 +15,7 @@ from millrace.llm.common import arrow_rows, crc_mod, stored, unit_hash
 
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
-#: Labelled documents of a language that the model is fitted on, about; fewer if there are fewer.
+#: Different labelled texts of a language that the model is fitted on, about; fewer if there are fewer.
 TRAIN_DOCS = 2_000
 #: Words of a language that are known: the most frequent ones seen twice or more.
 KNOWN_WORDS = 30_000
@@ -102,19 +102,20 @@ class Scores(dict):
 
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model of the labelled rows of docs, from a sample of about `train_docs` a language.
+    """The model of the labelled rows of docs, from a sample of about `train_docs` different texts a language.
 
-    The sample is by hash, from the whole table, all rows of a language that has no more. Counts of words and
+    The sample is by hash, from the whole table, all texts of a language that has no more. Copies of a text in a
+    language count as one, so they neither keep a language out of the sample nor make it large. Counts of words and
     n-grams are summed by Spark, and only the most frequent come to the driver: KNOWN_WORDS words seen twice or
     more and KNOWN_GRAMS n-grams of each length a language, which bounds the driver's work and the broadcast.
     Rows with a null language or text teach nothing.
     """
-    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
+    sizes = {r[0]: r[1] for r in rows.select("lang", F.xxhash64("text").alias("key")).distinct().groupBy("lang").count().collect()}
     if not sizes:
         return Model([], [], {})
     shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, train_docs / n))])
-    some = rows.filter(unit_hash("text") < shares[F.col("lang")]).filter("text is not null").select("lang", "text")
+    some = rows.filter(unit_hash("text") < shares[F.col("lang")]).dropDuplicates(["lang", "text"]).select("lang", "text")
 
     def count(batches):
         for batch in batches:

@@ -115,3 +115,13 @@ def test_held_out_accuracy(spark):
 def test_scores_object(text, want):
     m = langid.Model(["xx"], [("xx", 0, "alpha", 2)], {("xx", 0): 2})
     assert langid.Scores(m).predict(text)[0] == want
+
+
+def test_copies_neither_hide_a_language_nor_fill_the_sample(spark):
+    one = [(None, f"palabra{c} otra{c} mas", "l" + c) for c in "abcdefgh" for _ in range(60)]
+    many = [(i, "hot text here" if i % 2 else "rare " + "abcdefghij"[i % 10] * (i // 10 % 30 + 1), "zz") for i in range(2000)]
+    docs = spark.createDataFrame(one + many, "doc_id long, text string, lang string")
+    model = langid.fit(docs, train_docs=20)
+    assert model.langs == [*["l" + c for c in "abcdefgh"], "zz"]
+    got = {r.lang_pred for r in langid.predict(docs.filter("lang <> 'zz'"), model).collect()}
+    assert got == set(model.langs) - {"zz"}
