@@ -343,8 +343,8 @@ def dedup_soft_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.keep_first(p, dedup.soft_key(F.col("p_name"), F.col("p_type"), F.col("p_brand"), F.col("p_size").cast("string")), ["p_partkey"]).select("p_partkey")
 
 
-def _title_tokens() -> tuple:
-    return T.words(dedup.normal_name(F.substring("text", 1, 160))), [F.col("lang"), F.col("source")]
+def _text_tokens() -> tuple:
+    return T.words(dedup.normal_name(F.col("text"))), [F.col("lang"), F.col("source")]
 
 
 _TOKENS = r"list_distinct(list_filter(string_split_regex(regexp_replace(lower(trim(substr(text, 1, 160))), '[^a-z0-9_\x09-\x0d ]', ' ', 'g'), '\s+'), lambda w: w <> ''))"
@@ -352,8 +352,8 @@ _TOKENS = r"list_distinct(list_filter(string_split_regex(regexp_replace(lower(tr
 
 @query()
 def greedy_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that the greedy pass over similar first words of a language and source removes, with what they fall to."""
-    tokens, block = _title_tokens()
+    """Documents that the greedy pass over similar whole texts of a language and source removes, with what they fall to."""
+    tokens, block = _text_tokens()
     links = dedup.jaccard_links(_read(spark, sf_dir, "documents"), tokens, block, "doc_id", 0.8)
     got = dedup.greedy_duplicates(links)
     return got.select("removed", "kept", F.round("similarity", 6).alias("similarity"))

@@ -84,3 +84,15 @@ def test_cluster_report(spark):
     df = spark.createDataFrame([(i, 0, 0, 0.91234) if i else (0, 0, 0, 1.0) for i in range(30)], "o int, b int, leader int, similarity double")
     sims, merges, counts = D.cluster_report(df, "b", "o", merges=5)
     assert (sims.count(), merges.count(), tuple(counts.first())) == (20, 5, (30, 1, 29, 1))
+
+
+def test_greedy_jaccard_reads_whole_texts(spark, tmp_path):
+    from millrace import queries as Q
+
+    head = " ".join(f"h{i}" for i in range(60))
+    tails = [" ".join(f"{k}{i}" for i in range(60)) for k in "abc"]
+    near = " ".join(["other"] * 40 + [f"n{i}" for i in range(80)])
+    texts = [f"{head} {tails[0]}", f"{head} {tails[1]}", f"{head} {tails[2]}", near, "first " * 40 + near]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Q.QUERIES["greedy_jaccard"](spark, str(tmp_path)).collect()
+    assert [(r.removed, r.kept) for r in got] == [(4, 3)]
