@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -31,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get().rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(own)
@@ -50,6 +51,14 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have, whatever the case: `name`, lengthened if need be."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def salts_for(rows: int) -> int:
     """Slices into which a group that may hold all `rows` is cut."""
     return max(1, math.ceil(rows / SLICE_ROWS))
@@ -87,7 +96,7 @@ def crc_mod(col: Column | str, mod: int) -> Column:
 class WordHash(dict):
     """64-bit hashes of byte words, remembered up to a bound."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 200_000):
         super().__init__()
         self.most = most
 

@@ -11,31 +11,51 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHash, arrow_rows, mix, stored, text_bytes
+from millrace.llm.common import WordHash, arrow_rows, fresh, mix, stored, text_bytes
 
 #: Words of a shingle; trees of the forest and the longest prefix of each; recall at the threshold to reach.
 WORDS, TREES, LONGEST, RECALL = 5, 20, 6, 0.9999
 #: Members of a bucket or component block that are compared in one task, and bytes of a component block.
 BLOCK, BLOCK_BYTES = 2_048, 16 << 20
-#: Estimated similarity that a candidate pair needs: more than four deviations of the estimate below the threshold.
+#: How far below the threshold a candidate pair's estimated similarity may lie: over four deviations of an estimate
+#: from TREES * LONGEST values. At 0.8 it loses a pair with probability 0.000017; a slack of 1 checks all that meet.
 SLACK = 0.16
 #: Stands for a null id, behind all others.
 NO_ID = (1 << 63) - 1
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
-_WHITE = b" \t\n\r\v\f"
 _SEEDS = np.random.RandomState(20240601).randint(1, 2**32, size=(2, TREES * LONGEST), dtype=np.uint64).astype(np.uint32)
 _SEEDS[0] |= np.uint32(1)
 
 
+def meeting(similarity: float, depth: int) -> float:
+    """The probability that two sets share a prefix of `depth` values in one of TREES trees at least."""
+    return 1 - (1 - similarity**depth) ** TREES
+
+
 def prefix_depth(threshold: float, recall: float = RECALL) -> int:
-    """The shortest prefix that has to be matched: the forest starts at LONGEST and shortens until pairs at the
-    threshold meet in some tree with probability `recall`, 1 - (1 - threshold ** depth) ** TREES."""
-    for depth in range(LONGEST, 0, -1):
-        if 1 - (1 - threshold**depth) ** TREES >= recall:
-            return depth
-    return 1
+    """The longest prefix at which pairs just at the threshold meet with probability `recall`: no need to go below."""
+    return next((d for d in range(LONGEST, 0, -1) if meeting(threshold, d) >= recall), 1)
+
+
+def estimated_recall(agreements: dict[int, int], depth: int, threshold: float, at: int | None = None) -> float:
+    """The share of all links that a forest matched at prefixes of `at` values (`depth`, if not given) finds, judged
+    by the links found at `depth`.
+
+    agreements: how many found pairs agree in so many of their TREES * LONGEST values. A found pair stands for
+    1 / (its probability of being found) links. Its similarity is taken a deviation lower than estimated, but for
+    the threshold, so the recall is rather under- than overestimated. Without a found link it is 0."""
+    found = expected = 0.0
+    for agree, n in agreements.items():
+        s = (agree / (TREES * LONGEST) - 1 / 256) / (1 - 1 / 256)  # values are compared by their low bytes
+        if s < threshold:
+            continue
+        s = max(threshold, s - (s * (1 - s) / (TREES * LONGEST)) ** 0.5)
+        links = n / meeting(s, depth)
+        found += links * meeting(s, at or depth)
+        expected += links
+    return found / expected if found else 0.0
 
 
 def shingle_sets(texts: list[bytes | None], memo: WordHash) -> list[np.ndarray]:
@@ -63,47 +83,40 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
-def node_of(shingles: np.ndarray) -> int:
-    """A set's name: a signed 64-bit hash of it."""
-    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
+def node_of(shingles: np.ndarray) -> bytes:
+    """A set's name: a 128-bit hash of it, so that no two different sets of any corpus share one."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def signed_docs(docs: DataFrame, depth: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, node (null without words), n_shingles, sig (a byte of each minimum hash) and a bucket per tree."""
+def packed(values: np.ndarray) -> bytes:
+    """The low bytes of all minimum hashes, then their second bytes."""
+    return values.astype(np.uint8).tobytes() + (values >> np.uint32(8)).astype(np.uint8).tobytes()
+
+
+def signed_docs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text_hash, node (null without words), n_shingles and sig (two bytes of each minimum hash, see `packed`)."""
 
     def make():
         memo = WordHash()
-        trees = mix(np.arange(1, TREES + 1, dtype=np.uint64))
 
         def work(batch: pa.RecordBatch):
             sets = shingle_sets(text_bytes(batch.column(2)), memo)
-            sigs = [signature(s) if len(s) else None for s in sets]
-            keys = []
-            for s in sigs:
-                if s is not None:
-                    acc, values = trees.copy(), s.reshape(TREES, LONGEST).astype(np.uint64)
-                    for k in range(depth):
-                        acc = mix(acc ^ values[:, k])
-                    keys.append(acc.view(np.int64))
-                else:
-                    keys.append(None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
-                    pa.array(keys, pa.list_(pa.int64())),
+                    pa.array([packed(signature(s)) if len(s) else None for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "text_hash", "node", "n_shingles", "sig", "buckets"],
+                names=["doc_id", "text_hash", "node", "n_shingles", "sig"],
             )
 
         return work
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(arrow_rows(make), "doc_id long, text_hash long, node long, n_shingles long, sig binary, buckets array<long>")
+    return rows.mapInArrow(arrow_rows(make), "doc_id long, text_hash long, node binary, n_shingles long, sig binary")
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
@@ -206,22 +219,27 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
-def candidate_edges(classes: DataFrame, depth: int, threshold: float, partitions: int) -> DataFrame:
-    """Edges a - b that connect the classes which meet in a bucket and agree in their signatures."""
-    members = classes.select("node", F.explode("buckets").alias("bucket"))
+def candidate_edges(classes: DataFrame, depth: int, least: float, partitions: int) -> DataFrame:
+    """Edges a - b that connect the classes which share a prefix of `depth` values in a tree and agree in `least` of
+    their signatures, with the number of values in which the two agree."""
+    trees = F.sequence(F.lit(0), F.lit(TREES - 1))
+    low = lambda t: F.substr("sig", t * LONGEST + 1, F.lit(depth))
+    high = lambda t: F.substr("sig", t * LONGEST + TREES * LONGEST + 1, F.lit(depth))
+    prefixes = F.transform(trees, lambda t: F.struct(t.alias("tree"), F.xxhash64(low(t), high(t), t).alias("bucket")))
+    members = classes.select("node", F.explode(prefixes).alias("x")).select("node", "x.*")
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = members.join(sizes, "bucket").select("node", "bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    dealt = _block_pairs(met.join(classes.select("node", "sig"), "node"), "bucket", "blocks").select("g", "node", "sig", "bucket")
-    least = threshold - SLACK
+    met = members.join(sizes, "bucket").select("node", "tree", "bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    signs = classes.select("node", F.substr("sig", F.lit(1), F.lit(TREES * LONGEST)).alias("sig"))
+    dealt = _block_pairs(met.join(signs, "node"), "bucket", "blocks").select("g", "node", "tree", "sig")
 
     def link(batches):
         for table in whole_groups(batches, "g"):
-            keys, nodes = table.column("g").to_numpy(), table.column("node").to_numpy()
+            keys, trees_ = table.column("g").to_numpy(), table.column("tree").to_numpy()
+            nodes = np.array(table.column("node").to_pylist(), object)
             sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(keys), -1)
-            a, b = [], []
+            a, b, agree = [], [], []
             # neighbours of all groups at once: most groups have two members
-            same = keys[1:] == keys[:-1]
-            near = same & ((sig[1:] == sig[:-1]).mean(1) >= least)
+            near = (keys[1:] == keys[:-1]) & ((sig[1:] == sig[:-1]).mean(1) >= least)
             for lo, hi in _spans(keys):
                 if hi - lo < 2:
                     continue
@@ -230,21 +248,39 @@ def candidate_edges(classes: DataFrame, depth: int, threshold: float, partitions
                 elif hi - lo == 2:
                     continue
                 else:
-                    part = sig[lo:hi]
-                    # the tree of a bucket is the one whose first bytes all members share
-                    shared = (part.reshape(hi - lo, TREES, LONGEST)[:, :, :depth] == part[0].reshape(TREES, LONGEST)[:, :depth]).all((0, 2))
-                    tree = int(np.argmax(shared))
+                    part, tree = sig[lo:hi], int(trees_[lo])
                     labels = link_bucket(part, part.reshape(hi - lo, TREES, LONGEST)[:, tree, depth:], least)
                 for k in np.unique(labels):
-                    mine = nodes[lo:hi][labels == k]
+                    mine = lo + np.flatnonzero(labels == k)
                     if len(mine) > 1:
-                        root = mine.min()
-                        a.append(mine[mine != root])
-                        b.append(np.full(len(a[-1]), root))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (a, b)], names=["a", "b"])
-
-    by_group = dealt.select("g", "node", "sig").repartition(partitions, "g").sortWithinPartitions("g")
-    return by_group.mapInArrow(link, "a long, b long")
+                        root = mine[nodes[mine].argmin()]
+                        others = mine[mine != root]
+                        a.append(nodes[others])
+                        b.append(np.full(len(others), nodes[root], object))
+                        agree.append((sig[others] == sig[root]).sum(1))
+            flat = lambda x, t: pa.array(np.concatenate(x).tolist() if x else [], t)
+            yield pa.RecordBatch.from_arrays([flat(a, pa.binary()), flat(b, pa.binary()), flat(agree, pa.int32())], names=["a", "b", "agree"])
+
+    by_group = dealt.repartition(partitions, "g").sortWithinPartitions("g")
+    return by_group.mapInArrow(link, "a binary, b binary, agree int")
+
+
+def forest_edges(classes: DataFrame, threshold: float, recall: float, slack: float, partitions: int) -> tuple[DataFrame, int, float]:
+    """Candidate edges, the length of the prefixes matched at last, and the estimated recall there.
+
+    The matched prefixes begin at their full length. As long as the links found let expect that less than `recall`
+    of all links is among them, the prefixes get shorter, by as much as the estimate says it takes, at the most to
+    where pairs just at the threshold meet so often. Each length tried is one pass over all classes; a count for
+    each number of agreeing values, TREES * LONGEST at most, goes to the driver."""
+    last, depth = prefix_depth(threshold, recall), LONGEST
+    while True:
+        edges = stored(candidate_edges(classes, depth, max(0.0, threshold - slack), partitions).distinct(), "edges")
+        agreements = dict(map(tuple, edges.groupBy("agree").count().collect()))
+        reached = estimated_recall(agreements, depth, threshold)
+        if reached >= recall or depth <= last:
+            return edges.select("a", "b"), depth, reached
+        shorter = range(depth - 1, last, -1)
+        depth = next((d for d in shorter if estimated_recall(agreements, depth, threshold, d) >= recall), last)
 
 
 def verify_group(sets: list[np.ndarray], weights: np.ndarray, own: np.ndarray, cross: bool, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
@@ -292,7 +328,7 @@ def verified(docs: DataFrame, found: DataFrame, threshold: float, partitions: in
     shuffled once to find the candidates' texts; only those are cut into shingles, and go to their component's tasks."""
     limit = Fraction(str(threshold))
     wanted = _texts(docs, id_col, text_col).join(found.hint("shuffle_hash"), ["rep", "text_hash"]).select("text", "node", "copies", "comp", "blocks")
-    kinds = "node long, copies long, comp long, blocks long, shingles binary"
+    kinds = "node binary, copies long, comp binary, blocks long, shingles binary"
 
     def make():
         memo = WordHash()
@@ -309,7 +345,8 @@ def verified(docs: DataFrame, found: DataFrame, threshold: float, partitions: in
     def check(batches):
         for table in whole_groups(batches, "g"):
             out: list[tuple] = []
-            columns = {c: table.column(c).to_numpy() for c in ("g", "node", "copies", "own", "i", "j", "blocks")}
+            columns = {c: table.column(c).to_numpy() for c in ("g", "copies", "own", "i", "j", "blocks")}
+            columns["node"] = np.array(table.column("node").to_pylist(), object)
             blobs = table.column("shingles")
             for lo, hi in _spans(columns["g"]):
                 _, first = np.unique(columns["node"][lo:hi], return_index=True)  # of repeated rows one
@@ -320,16 +357,16 @@ def verified(docs: DataFrame, found: DataFrame, threshold: float, partitions: in
                 links, labels = verify_group(sets, columns["copies"][rows], columns["own"][rows], cross, limit)
                 for k in np.unique(labels):
                     mine = np.flatnonzero(labels == k)
-                    root = int(nodes[mine].min())
-                    out += [(int(nodes[m]), int(links[m]), root, bool(columns["blocks"][lo] == 1)) for m in mine]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.bool_()))], names=["node", "links", "root", "whole"])
+                    root = nodes[mine].min()
+                    out += [(nodes[m], int(links[m]), root, bool(columns["blocks"][lo] == 1)) for m in mine]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.binary(), pa.int64(), pa.binary(), pa.bool_()))], names=["node", "links", "root", "whole"])
 
     cut = wanted.mapInArrow(arrow_rows(make), kinds)
     dealt = _block_pairs(cut, "comp", "blocks").select("g", "node", "copies", "own", "i", "j", "blocks", "shingles")
-    return dealt.repartition(partitions, "g").sortWithinPartitions("g").mapInArrow(check, "node long, links long, root long, whole boolean")
+    return dealt.repartition(partitions, "g").sortWithinPartitions("g").mapInArrow(check, "node binary, links long, root binary, whole boolean")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL, slack: float = SLACK) -> DataFrame:
     """Near-duplicate groups of whole texts: doc_id, copy_id, class_id, n_links, one row a document.
 
     Two documents are linked if the Jaccard similarity of their sets of 5-word shingles is `threshold` or more.
@@ -337,32 +374,33 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     n_links: how many other documents this one is linked to, copies of its own set included.
 
     Equal sets become one class first. Classes meet where they share a prefix of a tree's signature, in any of
-    TREES trees, the prefix shortened as `prefix_depth` says, and are candidates if their whole signatures
-    agree nearly enough. Candidates' connected components then get their true similarities, all pairs of a
-    component by way of an inverted index; large buckets and components are compared in pairs of blocks, so that
-    no task holds more than two blocks. No pair is ever a row.
+    TREES trees; the prefixes are shortened until the links found let expect `recall` of all (`forest_edges`).
+    Those that meet are candidates if their whole signatures agree in threshold - slack of their values.
+    Candidates' connected components then get their true similarities, all pairs of a component by way of an
+    inverted index; large buckets and components are compared in pairs of blocks, so that no task holds more than
+    two blocks. No pair is ever a row. For an exact join take a slack of 1 and a recall near 1.
 
     Null texts and texts without words are linked to none. Repeated rows are copies of each other. Null ids are
-    kept, but are never the smallest. An empty table gives an empty result.
+    kept and linked, but are never the smallest; a group without any id has a null class_id. Texts are compared
+    whole, however long. Other columns don't matter. An empty table gives an empty result.
     """
-    signed, known = _grouped(docs, threshold, id_col, text_col)
+    signed, known = _grouped(docs, threshold, id_col, text_col, recall, slack)
     out = signed.select("doc_id", "node").join(known, "node", "left")
     real = lambda c: F.coalesce(F.nullif(F.col(c), F.lit(NO_ID)), F.col("doc_id"))
     return out.select("doc_id", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str, recall: float, slack: float) -> tuple[DataFrame, DataFrame]:
     """The rows of `signed_docs`, and of each class node, copy_id, class_id, class_hash (the text hash of the
     group's document with the smallest id) and n_links. NO_ID stands for null ids."""
     spark = docs.sparkSession
-    depth = prefix_depth(threshold)
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    signed = stored(signed_docs(docs, depth, id_col, text_col), "signed")
-    one = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text_hash", "n_shingles", "sig", "buckets")).alias("x")
+    signed = stored(signed_docs(docs, id_col, text_col), "signed")
+    one = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("rep"), "text_hash", "n_shingles", "sig")).alias("x")
     classes = signed.filter("node is not null").groupBy("node").agg(one, F.count(F.lit(1)).alias("copies")).select("node", "copies", "x.*")
     classes = stored(classes, "classes")
-    maybe = components(candidate_edges(classes, depth, threshold, partitions))
-    grown = maybe.join(classes.select("node", "rep", "text_hash", "copies", "n_shingles"), "node")
+    edges, _, _ = forest_edges(classes, threshold, recall, slack, partitions)
+    grown = components(edges).join(classes.select("node", "rep", "text_hash", "copies", "n_shingles"), "node")
     sizes = grown.groupBy("comp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(8 * F.sum("n_shingles") / BLOCK_BYTES)).alias("blocks"))
     found = grown.join(sizes, "comp").select("node", "rep", "text_hash", "copies", "comp", "blocks")
     links = stored(verified(docs, found, threshold, partitions, id_col, text_col), "links")
@@ -372,24 +410,31 @@ def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> t
     if parts.limit(1).count():
         joined = components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")))
         label = label.join(joined, "node", "left").select("node", "links", F.coalesce("comp", "root").alias("root"))
-    known = classes.select("node", "copies", "rep", "text_hash").join(label, "node", "left").select("node", "copies", "rep", "text_hash", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
-    first = known.groupBy("root").agg(F.min(F.struct("rep", "text_hash")).alias("first")).select("root", F.col("first.rep").alias("class_id"), F.col("first.text_hash").alias("class_hash"))
+    known = classes.select("node", "copies", "rep", "text_hash").join(label, "node", "left")
+    known = known.select("node", "copies", "rep", "text_hash", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
+    first = known.groupBy("root").agg(F.min(F.struct("rep", "text_hash")).alias("first"))
+    first = first.select("root", F.col("first.rep").alias("class_id"), F.col("first.text_hash").alias("class_hash"))
     known = known.join(first, "root").select("node", F.col("rep").alias("copy_id"), "class_id", "class_hash", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     return signed, stored(known, "known")
 
 
-def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text", recall: float = RECALL, slack: float = SLACK) -> DataFrame:
     """One document of each near-duplicate group, that with the smallest id; of repeated rows one.
 
-    A group without any id keeps one of its documents too. Documents without words stay, each."""
-    signed, known = _grouped(docs, threshold, id_col, text_col)
+    A group without any id keeps one of its documents too. Documents without words stay, each. Texts are shuffled
+    once by (id, text hash) to meet the list of what stays, and never sorted; only where rows repeat both are those
+    rows, and no others, reduced to one. Columns of any names may come along; an empty table stays empty."""
+    signed, known = _grouped(docs, threshold, id_col, text_col, recall, slack)
     mine = docs.columns
-    rows = docs.withColumn("_text", F.xxhash64(F.col(text_col).cast("string")))
-    best = known.select(F.col("class_id").alias("_kept"), F.col("class_hash").alias("_hash"))
-    wordless = signed.filter("node is null").select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash"))
-    kept = best.unionByName(wordless.filter("_kept is not null")).distinct()
-    named = rows.filter(F.col(id_col).isNotNull()).join(kept, (F.col(id_col) == F.col("_kept")) & (F.col("_text") == F.col("_hash")), "left_semi")
-    unnamed = rows.filter(F.col(id_col).isNull())
-    empty = F.coalesce(F.translate(F.col(text_col).cast("string"), (_PUNCTUATION + _WHITE).decode(), "") == "", F.lit(True))
-    grouped = unnamed.filter(~empty).dropDuplicates(["_text"]).join(best.filter(F.col("_kept") == NO_ID).distinct(), F.col("_text") == F.col("_hash"), "left_semi")
-    return named.dropDuplicates([id_col, "_text"]).unionByName(grouped).unionByName(unnamed.filter(empty)).select(*mine)
+    key, mark, times = fresh(docs, "_id"), fresh(docs, "_hash"), fresh(docs, "_times")
+    rows = docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID))).withColumn(mark, F.xxhash64(F.col(f"`{text_col}`").cast("string")))
+    here = signed.select(F.coalesce("doc_id", F.lit(NO_ID)).alias(key), F.col("text_hash").alias(mark), "node")
+    best = known.select(F.col("class_id").alias(key), F.col("class_hash").alias(mark)).distinct()
+    repeats = here.filter("node is not null").groupBy(key, mark).agg(F.count(F.lit(1)).alias(times))
+    wordless = here.filter("node is null").select(key, mark, F.lit(1).cast("long").alias(times)).distinct()
+    kept = stored(repeats.join(best, [key, mark], "left_semi").unionByName(wordless), "kept")
+    joined = rows.join(kept.hint("shuffle_hash"), [key, mark])
+    out = joined.filter(F.col(times) == 1)
+    if kept.filter(F.col(times) > 1).limit(1).count():
+        out = out.unionByName(joined.filter(F.col(times) > 1).dropDuplicates([key, mark]))
+    return out.select(*[F.col(f"`{c}`") for c in mine])

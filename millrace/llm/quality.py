@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from millrace.llm.common import WordHash, arrow_rows, mix, stored, text_bytes
+from millrace.llm.common import WordHash, arrow_rows, fresh, mix, stored, text_bytes
 
 #: Characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -73,25 +74,35 @@ def _count_batch(texts: list[bytes | None], memo: WordHash) -> dict[str, np.ndar
     }
 
 
-def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash and the counts of COUNTS of each whole text; words are runs without ASCII white space.
+NAMES = [x.split()[0] for x in COUNTS.split(", ")]
+
 
-    n_repeat_words: words in 5-word windows found twice or more in the text, the first included. n_dup_lines:
-    lines with a word that equal an earlier line. A null or empty text has zeros."""
-    names = ["doc_id", "text_hash", *[x.split()[0] for x in COUNTS.split(", ")]]
+def beside_counts(docs: DataFrame, text_col: str = "text", name: str = "counts") -> DataFrame:
+    """docs with a struct column `name` of the counts of COUNTS of each whole text; rows stay where they are.
+
+    Words are runs without ASCII white space. n_repeat_words: words in 5-word windows found twice or more in the
+    text, the first included. n_dup_lines: lines with a word that equal an earlier line. A null or empty text has
+    zeros; a text is counted whole, however long; an empty table stays empty."""
+    at = docs.columns.index(text_col)
 
     def make():
         memo = WordHash()
 
         def work(batch: pa.RecordBatch):
-            got = _count_batch(text_bytes(batch.column(2)), memo)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(got[n], pa.int64()) for n in names[2:])], names=names)
+            got = _count_batch(text_bytes(batch.column(at)), memo)
+            counts = pa.StructArray.from_arrays([pa.array(got[n], pa.int64()) for n in NAMES], names=NAMES)
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], names=[*batch.schema.names, name])
 
         return work
 
-    text = F.col(text_col).cast("string")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(arrow_rows(make), f"doc_id long, text_hash long, {COUNTS}")
+    schema = StructType([*docs.schema.fields, StructField(name, _parse_datatype_string(COUNTS))])
+    return docs.mapInArrow(arrow_rows(make), schema)
+
+
+def text_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the counts of `beside_counts`, one row a document."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return beside_counts(rows).select("doc_id", "counts.*")
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -151,28 +162,42 @@ def fit_votes(patterns: np.ndarray, weights: np.ndarray, rounds: int = 100) -> d
     return {"prior": np.array(prior), "odds": odds, "accuracy": accuracy}
 
 
-def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
-    """Counts, votes, the posterior probability of good quality and the verdict, one row a document.
+def _judged(counts: DataFrame, threshold: float, min_words: int, max_repeat_percent: int) -> DataFrame:
+    """counts with a vote column a rule, quality, base_failed and kept.
 
     The model sees only how many documents cast each vote vector (3 ** rules at most, whatever the input), so
-    the fit covers all rows. kept: not base_failed (under min_words words, or over max_repeat_percent of the
-    words in repeated windows) and quality >= threshold. Null and empty texts fail the base. Repeated rows are
-    judged each; an empty table gives an empty result.
-    """
-    counts = stored(text_counts(docs, id_col, text_col), "counts")
+    the fit covers all rows."""
     voted = counts.select("*", *[v.alias(f"vote_{k}") for k, v in rules().items()])
     names = [f"vote_{k}" for k in rules()]
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     seen = voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).collect()
-    model = fit_votes(np.array([[r[n] for n in names] for r in seen], np.int64).reshape(-1, len(names)), np.array([r["n"] for r in seen], float))
+    patterns = np.array([[r[n] for n in names] for r in seen], np.int64).reshape(-1, len(names))
+    model = fit_votes(patterns, np.array([r["n"] for r in seen], float))
     logit = F.lit(float(model["prior"]))
     for n, odds in zip(names, model["odds"], strict=True):
         logit = logit + F.when(F.col(n) == -1, float(odds[0])).when(F.col(n) == 1, float(odds[1])).otherwise(0.0)
-    return voted.withColumn("quality", 1 / (1 + F.exp(-logit))).withColumn("base_failed", base).withColumn("kept", ~base & (F.col("quality") >= threshold))
+    judged = voted.withColumn("quality", 1 / (1 + F.exp(-logit))).withColumn("base_failed", base)
+    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+
+
+def judge_quality(docs: DataFrame, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """Counts, votes, the posterior probability of good quality and the verdict, one row a document.
+
+    kept: not base_failed (under min_words words, or over max_repeat_percent of the words in repeated windows)
+    and quality >= threshold. Null and empty texts fail the base. Repeated rows and null ids are judged each;
+    texts are judged whole, however long; an empty table gives an empty result. Only the id and the text are
+    read, so other columns' names don't matter."""
+    return _judged(stored(text_counts(docs, id_col, text_col), "counts"), threshold, min_words, max_repeat_percent)
+
 
+def keep_quality(docs: DataFrame, threshold: float = 0.5, text_col: str = "text", min_words: int = 10, max_repeat_percent: int = 20) -> DataFrame:
+    """The documents that `judge_quality` would keep, with the columns of docs, each row as often as it came.
 
-def keep_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The documents that `judge_quality` keeps, told by id and text, each as often as it came; null ids too."""
-    kept = judge_quality(docs, id_col=id_col, text_col=text_col, **how).filter("kept").select(F.col("doc_id").alias("_kept"), "text_hash").distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_kept")) & (F.xxhash64(docs[text_col].cast("string")) == kept["text_hash"])
-    return docs.join(kept, same, "left_semi")
+    The rows are written once with their counts beside them, and that table is filtered: nothing is shuffled but
+    the numbers of vote vectors. Columns of any names may come along; null ids, ties and repeated rows need no
+    rule, as a row's verdict rests on its own text; an empty table stays empty."""
+    name = fresh(docs, "counts")
+    beside = stored(beside_counts(docs.withColumn(text_col, F.col(text_col).cast("string")), text_col, name), "beside")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    judged = _judged(beside.select(row, F.col(f"`{name}`.*")), threshold, min_words, max_repeat_percent)
+    return judged.filter("kept").select("_row.*")

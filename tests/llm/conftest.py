@@ -15,7 +15,7 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     # extra columns whose names clash with the operators' own
-    extra = ["_slice", "node", "part", "key", "size", "_group", "digest", "rank", "quality", "n_words", "shard", "mix_slot"]
+    extra = ["_slice", "node", "part", "key", "size", "_group", "digest", "rank", "quality", "n_words", "shard", "mix_slot", "_text", "_kept", "_row", "counts", "sig", "_id", "_hash", "_times", "_rank", "_source"]
     return spark.createDataFrame(ODD, DOC).select("*", *[F.lit("x").alias(c) for c in extra])
 
 

@@ -207,3 +207,28 @@ def test_documents_without_an_id_are_linked(spark):
     assert got[5, 5, 5, 2] == 1 and got[9, 9, 5, 2] == 1 and got[None, None, 5, 3] == 2 and got[None, None, None, 2] == 3 and sum(got.values()) == len(rows)
     kept = Counter(tuple(r) for r in near.keep_one(docs).collect())
     assert kept == Counter([(5, outer[0]), (None, " ".join(alone)), (None, "?!"), (None, None), (7, "!")])
+
+
+def test_recall_estimate():
+    full = near.TREES * near.LONGEST
+    assert near.estimated_recall({}, 6, 0.8) == 0
+    assert near.estimated_recall({full: 100}, 6, 0.8) == 1
+    low, high = near.estimated_recall({round(0.81 * full): 100}, 6, 0.8), near.estimated_recall({round(0.81 * full): 100}, 4, 0.8)
+    assert near.meeting(0.8, 6) <= low < high < 1
+    assert low < near.estimated_recall({round(0.81 * full): 100}, 6, 0.8, 4) < 1
+
+
+def test_join_recall_at_scale(spark):
+    """Links and classes of sf0.1 against all pairs by SQL: at least the recall that the forest aims at."""
+    import duckdb
+
+    from millrace.llm import queries as Q
+
+    sf = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(f"SELECT doc_id, copy_id, class_id, n_links FROM ({Q.OP9_SQL})").fetchall()}
+    got = {r.doc_id: (r.copy_id, r.class_id, r.n_links) for r in Q.op9_ngram_join(spark, sf).collect()}
+    assert got.keys() == want.keys()
+    assert sum(x[2] for x in got.values()) >= near.RECALL * sum(x[2] for x in want.values())
+    assert sum(got[k][:2] == want[k][:2] for k in want) >= near.RECALL * len(want)
