@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from tempfile import mkdtemp
 
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        if not found and not spark.sparkContext.master.startswith("local"):
+        if not found and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(found or mkdtemp(prefix="millrace-"))
     return df.checkpoint()
