@@ -230,27 +230,28 @@ def _repeats(text: str | None, share: float, least: int) -> bool:
     parts = re.split("[.!?]", (text or "").lower())
     if len(parts) < 3:
         return False
-    sets = [x for x in (set(re.split(r"[ \t-\r]+", p)) - {""} for p in parts) if len(x) > least]
-    if len(sets) < 2:
-        return False
-    number: dict[str, int] = {}
-    rows = [[number.setdefault(w, len(number)) for w in x] for x in sets]
-    sizes = np.array([len(r) for r in rows])
-    found = np.zeros((len(rows), len(number)), np.float32)
-    found[np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows)] = 1
-    for at in range(0, len(rows), 64):  # most texts that repeat themselves do so early
-        shared = found[at : at + 64] @ found[at:].T
-        shared[np.tril_indices(len(shared), 0, shared.shape[1])] = 0
-        if (shared > share * np.minimum(sizes[at : at + 64, None], sizes[None, at:])).any():
-            return True
+    seen: list[int] = []  # sizes of the sets so far
+    at: dict[str, list[int]] = {}  # by word, the sets that hold it
+    for p in parts:
+        words = set(re.split(r"[ \t-\r]+", p)) - {""}
+        if len(words) <= least:
+            continue
+        lists = [held for w in words if (held := at.get(w))]
+        if lists:
+            both = np.bincount(np.concatenate([np.asarray(x) for x in lists]), minlength=len(seen))
+            if (both > share * np.minimum(np.asarray(seen), len(words))).any():
+                return True
+        for w in words:
+            at.setdefault(w, []).append(len(seen))
+        seen.append(len(words))
     return False
 
 
 def similar_sentences(text: Column, share: float = 0.5, least: int = 5) -> Column:
     """Whether two sentences of more than `least` different words share over `share` of the smaller one's.
 
-    All pairs of a text's sentences by matrix products over its own words, in Arrow batches; higher-order
-    functions would take an intersection of arrays for each pair."""
+    A sentence is compared with those before it by lists of the sentences that hold its words, so memory follows
+    the text's words; higher-order functions would take an intersection of arrays for each pair."""
 
     @F.pandas_udf("boolean")
     def check(texts: pd.Series) -> pd.Series:
@@ -261,7 +262,9 @@ def similar_sentences(text: Column, share: float = 0.5, least: int = 5) -> Colum
 
 def chunk_issues(text: Column, least: int = 200, most: int = 800, bullets: int = 3, pairs: Sequence[tuple[str, str]] = tuple(lex.MIXED_TOPIC_PAIRS)) -> Column:
     """What is wrong with a chunk: its size, its bullets, topics that don't belong together unless adjacent,
-    sentences that repeat each other (over half of the words of the smaller of two with more than five), blank."""
+    sentences that repeat each other (over half of the words of the smaller of two with more than five), blank.
+    A null text is an empty one."""
+    text = F.coalesce(text, F.lit(""))
     low = F.lower(text)
     n_bullets = T.count_of(text, "\n-") + T.count_of(text, "\n•") + T.count_of(text, "\n*")
     issues = [

@@ -15,23 +15,32 @@ from millrace.functions import classify as C
 from millrace.functions import text as T
 from millrace.operators.staging import staged
 
+#: Rows of a block that leader clustering compares with each other at once.
+SLICE = 256
+
+
+def _first_of(keyed: DataFrame, keys: list[str], order: Column, mine: list[str]) -> DataFrame:
+    """Of each key the row with the least `order`; of rows that tie in it the one with the least hash, so exactly one.
+
+    One aggregation with partial results: a key with very many rows sends one of them a task, and is no task of
+    its own."""
+    kinds = dict(keyed.dtypes)
+    hashed = F.xxhash64(*[F.to_json(F.col(f"`{c}`")) if "map<" in kinds[c] else F.col(f"`{c}`") for c in mine])
+    row = F.struct(*[F.col(f"`{c}`") for c in mine])
+    best = F.min_by(row, F.struct(order.alias("o"), hashed.alias("h")))
+    return keyed.groupBy(*keys).agg(best.alias("_row")).select("_row.*")
+
 
 def keep_first(df: DataFrame, key: Column | list[Column], order: list[str], always: Column | None = None) -> DataFrame:
     """The first row of each key by `order`; rows for which `always` holds stay in any case.
 
-    The first rows' orders come from an aggregation with partial sums, and rows are kept by a semi join on key
-    and order, so a key with very many rows is no task of its own."""
+    Of rows that tie in the order one stays, the same one whatever the partitions. Null keys are a key."""
     keys = key if isinstance(key, list) else [key]
     mine = df.columns
     keyed = df.select("*", *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    names = [f"_k{i}" for i in range(len(keys))]
     if always is not None:
         stay, keyed = keyed.filter(F.coalesce(always, F.lit(False))), keyed.filter(~F.coalesce(always, F.lit(False)))
-    first = keyed.groupBy(*names).agg(F.min(F.struct(*order)).alias("_first")).select(*[F.col(n).alias(f"f{n}") for n in names], "_first")
-    on = F.struct(*order).eqNullSafe(F.col("_first"))
-    for n in names:
-        on = on & F.col(n).eqNullSafe(F.col(f"f{n}"))
-    out = keyed.join(first, on, "left_semi").select(*mine)
+    out = _first_of(keyed, [f"_k{i}" for i in range(len(keys))], F.struct(*order), mine)
     return out if always is None else out.unionByName(stay.select(*mine))
 
 
@@ -68,12 +77,15 @@ def worth(title: Column, content: Column, version: Column) -> Column:
 
 
 def keep_better(df: DataFrame, key: Column, title: Column, content: Column, version: Column, order: str) -> DataFrame:
-    """Of each key the best row by `worth`, the earlier of equals."""
-    mine = df.columns
+    """Of each key the best row by `worth`, the earlier of equals; exactly one, also of rows that tie in all that."""
     w = worth(title, content, version)
-    rated = df.select("*", key.alias("_k"), F.struct((-w["good"]).alias("g"), (-w["words"]).alias("w"), (-w["rank"]).alias("r"), F.col(order).alias("o")).alias("_w"))
-    best = rated.groupBy("_k").agg(F.min("_w").alias("_b")).withColumnRenamed("_k", "_bk")
-    return rated.join(best, F.col("_k").eqNullSafe(F.col("_bk")) & F.col("_w").eqNullSafe(F.col("_b")), "left_semi").select(*mine)
+    rank = F.struct((-w["good"]).alias("g"), (-w["words"]).alias("w"), (-w["rank"]).alias("r"), F.col(order).alias("o"))
+    return _first_of(df.select("*", key.alias("_k"), rank.alias("_w")), ["_k"], F.col("_w"), df.columns)
+
+
+def in_final_order(records: DataFrame, category: str = "category", title: str = "title") -> DataFrame:
+    """Records sorted by category, then title in lower case; nulls count as empty."""
+    return records.orderBy(F.coalesce(F.col(category), F.lit("")), F.lower(F.coalesce(F.col(title), F.lit(""))))
 
 
 def normal_name(name: Column) -> Column:
@@ -96,48 +108,68 @@ def jaccard_links(df: DataFrame, tokens: Column, block: list[Column], order: str
     """Pairs i < j (by order) of a block whose token sets are similar by `threshold` or more: i, j, similarity, copy.
 
     A prefix filter finds candidates: two such sets share one of their first n - ceil(t * n) + 1 tokens, rarest
-    first. Equal sets are a class that its first row stands for: candidates come from first rows only, and each
-    other member has one pair, with the first (copy), so copies make no square of pairs."""
-    base = df.select(F.col(order).alias("o"), F.array_sort(F.array_distinct(tokens)).alias("set"), *[b.alias(f"b{i}") for i, b in enumerate(block)]).filter(F.size("set") > 0)
+    first. How many of these a pair shares, and where the last of them lies, bounds what it can share in all; only
+    pairs for which that is enough are compared, on hashes of their tokens. Equal sets are a class that its first
+    row stands for: candidates come from first rows only, and each other member has one pair, with the first
+    (copy), so copies make no square of pairs. Rows with the same order value are not compared with each other."""
+    hashed = F.transform(F.array_distinct(tokens), lambda x: F.xxhash64(x))
+    base = df.select(F.col(order).alias("o"), F.array_sort(hashed).alias("set"), *[b.alias(f"b{i}") for i, b in enumerate(block)]).filter(F.size("set") > 0)
     blocks = [f"b{i}" for i in range(len(block))]
     classes = base.groupBy("set", *blocks).agg(F.min("o").alias("o"))
-    copies = base.join(classes.withColumnRenamed("o", "i"), ["set", *blocks]).filter("o > i").select("i", F.col("o").alias("j"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
-    each = classes.select("*", F.explode("set").alias("token"))
+    copies = base.alias("x").join(classes.alias("c"), _same(["set", *blocks], "x", "c")).filter("x.o > c.o")
+    copies = copies.select(F.col("c.o").alias("i"), F.col("x.o").alias("j"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
+    classes = staged(classes.withColumn("k", F.struct("o", F.xxhash64("set").alias("h"))))
+    each = classes.select("k", *blocks, F.explode("set").alias("token"))
     often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = each.join(often, "token").groupBy("o", *blocks).agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"), F.first("set").alias("set"))
+    ranked = each.join(often, "token").groupBy("k", *blocks).agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"))
     keep = F.size("ts") - F.ceil(F.lit(threshold) * F.size("ts")).cast("int") + 1
-    prefix = ranked.select("o", "set", *blocks, F.explode(F.transform(F.slice("ts", 1, keep), lambda x: x["token"])).alias("token"))
+    prefix = ranked.select("k", *blocks, F.size("ts").alias("n"), F.posexplode(F.transform(F.slice("ts", 1, keep), lambda x: x["token"])).alias("at", "token"))
     a, b = prefix.alias("a"), prefix.alias("b")
-    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.o") < F.col("b.o"))
-    for c in blocks:
-        on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    near = (F.size("a.set") >= threshold * F.size("b.set")) & (F.size("b.set") >= threshold * F.size("a.set"))
-    pairs = a.join(b, on & near).select(F.col("a.o").alias("i"), F.col("b.o").alias("j"), jaccard(F.col("a.set"), F.col("b.set")).alias("similarity")).filter(F.col("similarity") >= threshold)
-    return pairs.distinct().withColumn("copy", F.lit(False)).unionByName(copies)
+    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.k.o") < F.col("b.k.o")) & _same(blocks, "a", "b")
+    sized = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n"))
+    met = a.join(b, on & sized).groupBy(F.col("a.k").alias("i"), F.col("b.k").alias("j")).agg(
+        F.count(F.lit(1)).alias("c"), F.max("a.at").alias("p"), F.max("b.at").alias("q"), F.first("a.n").alias("m"), F.first("b.n").alias("n")
+    )
+    most = F.col("c") + F.least(F.col("m") - F.col("p"), F.col("n") - F.col("q")) - 1
+    hopeful = met.filter(most * (1 + threshold) >= threshold * (F.col("m") + F.col("n")) - 1e-6).select("i", "j")
+    sets = classes.select("k", "set")
+    pairs = hopeful.join(sets.withColumnsRenamed({"k": "i", "set": "x"}), "i").join(sets.withColumnsRenamed({"k": "j", "set": "y"}), "j")
+    near = pairs.select(F.col("i.o").alias("i"), F.col("j.o").alias("j"), jaccard(F.col("x"), F.col("y")).alias("similarity"))
+    near = near.filter(F.col("similarity") >= threshold).groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
+    return near.withColumn("copy", F.lit(False)).unionByName(copies)
+
+
+def _same(columns: list[str], a: str, b: str) -> Column:
+    """Whether two sides agree in all columns, nulls being equal."""
+    on = F.lit(True)
+    for c in columns:
+        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
+    return on
 
 
 def greedy_duplicates(links: DataFrame) -> DataFrame:
     """Of links i -> j (i < j, a similar pair in block order) the nodes that a greedy pass in order removes: a
-    node falls if a node before it that didn't fall is linked to it. Returns removed, kept, similarity. A copy
-    always falls: to its first, or to what that fell to.
+    node falls if a node before it that didn't fall is linked to it. Returns removed, kept (the first such node)
+    and similarity. A copy always falls: to its first, or to what that fell to.
 
     Decided in rounds instead of a pass: a node whose earlier neighbours have all fallen stays, one with an
     earlier neighbour that stays falls. Each round is one shuffle of the open links; rounds follow the longest
     chain of undecided neighbours, not the data's size. Rounds are cut by checkpoints in the shared folder."""
     links = staged(links)
-    open_ = links.filter("not copy").select("i", "j", "similarity")
-    out = None
+    near = links.filter("not copy").select("i", "j", "similarity")
+    open_, gone = near, None
     while open_.limit(1).count():
-        later = open_.select(F.col("j").alias("n")).distinct()
-        stays = open_.select(F.col("i").alias("n")).distinct().join(later, "n", "left_anti")
-        hit = open_.join(stays.withColumnRenamed("n", "i"), "i", "left_semi")
-        fallen = hit.groupBy("j").agg(F.min(F.struct("i", "similarity")).alias("by")).select(F.col("j").alias("removed"), F.col("by.i").alias("kept"), F.col("by.similarity").alias("similarity"))
-        fallen = staged(fallen)
-        out = fallen if out is None else out.unionByName(fallen)
-        gone = fallen.select("removed")
-        open_ = staged(open_.join(gone.withColumnRenamed("removed", "j"), "j", "left_anti").join(gone.withColumnRenamed("removed", "i"), "i", "left_anti"))
-    if out is None:
-        out = open_.select(F.col("j").alias("removed"), F.col("i").alias("kept"), "similarity")
+        later = open_.select(F.col("j").alias("i")).distinct()
+        hit = open_.join(later, "i", "left_anti")
+        fallen = staged(hit.select(F.col("j").alias("removed")).distinct())
+        gone = fallen if gone is None else gone.unionByName(fallen)
+        open_ = open_.join(fallen.withColumnRenamed("removed", "j"), "j", "left_anti")
+        open_ = staged(open_.join(fallen.withColumnRenamed("removed", "i"), "i", "left_anti"))
+    if gone is None:
+        gone = near.select(F.col("j").alias("removed"))
+    stays = near.join(gone.withColumnRenamed("removed", "i"), "i", "left_anti").join(gone.withColumnRenamed("removed", "j"), "j", "left_semi")
+    out = stays.groupBy(F.col("j").alias("removed")).agg(F.min(F.struct("i", "similarity")).alias("by")).select("removed", F.col("by.i").alias("kept"), F.col("by.similarity").alias("similarity"))
+    out = staged(out)
     by = out.select(F.col("removed").alias("i"), F.col("kept").alias("_kept"), F.col("similarity").alias("_s"))
     copies = links.filter("copy").join(by, "i", "left").select(F.col("j").alias("removed"), F.coalesce("_kept", "i").alias("kept"), F.coalesce("_s", "similarity").alias("similarity"))
     return out.unionByName(copies)
@@ -164,42 +196,72 @@ def removal_report(before: DataFrame, after: DataFrame, target_pct: float = 15.0
     return n.select("*", (F.col("total_input") - F.col("total_output")).alias("total_removed"), rate.alias("duplicate_rate_pct")).withColumn("target_met", F.col("duplicate_rate_pct") < target_pct)
 
 
+def _cluster_slice(state: dict, names: list, vectors: np.ndarray, limits: np.ndarray) -> tuple[list, list]:
+    """Leaders and similarities of a slice of a block's rows in order; `state` holds the block's leaders so far.
+
+    Similarities to all earlier leaders come from one matrix product, those among the slice's rows from another;
+    what is left to do row by row is to choose."""
+    used, leaders = len(state["names"]), state["rows"]
+    best = np.full(len(names), -np.inf)
+    at = np.zeros(len(names), np.int64)
+    if used:
+        sims = vectors @ leaders[:used].T
+        at = sims.argmax(1)
+        best = sims[np.arange(len(names)), at]
+    own = vectors @ vectors.T
+    lead, found, new = [], [], []
+    for r, name in enumerate(names):
+        score, leader = best[r], state["names"][at[r]] if used else None
+        if new and (mine := own[r, new]).max() > score:  # of equals the earlier leader
+            score, leader = mine.max(), names[new[int(mine.argmax())]]
+        if score >= limits[r]:
+            lead.append(leader)
+            found.append(float(score))
+        else:
+            new.append(r)
+            lead.append(name)
+            found.append(1.0)
+    while used + len(new) > len(leaders):
+        leaders = np.concatenate([leaders, np.zeros((max(64, len(leaders)), vectors.shape[1]))]) if leaders.size else np.zeros((64 + len(new), vectors.shape[1]))
+    leaders[used : used + len(new)] = vectors[new]
+    state["rows"], state["names"] = leaders, state["names"] + [names[r] for r in new]
+    return lead, found
+
+
 def leader_clusters(rows: DataFrame, block: str, order: str, vector: str, threshold: float | str) -> DataFrame:
     """Greedy leader clustering of unit vectors within blocks: rows plus leader (an order value) and similarity.
 
     In order, a row joins the leader most similar to it if that is `threshold` (a number or a column) or more,
     the earlier of equals, else it leads a new cluster; leaders never change. The rule is sequential in a block.
-    A block streams through one task in order and in Arrow batches; the task keeps only the leaders, and compares
-    a batch with all earlier leaders in one matrix product."""
+    A block streams through one task in order and in Arrow batches; the task keeps only the leaders. A row without
+    a vector leads itself alone, with a null similarity; null blocks are a block."""
     limit = rows[threshold] if isinstance(threshold, str) else F.lit(float(threshold))
     one = rows.select(F.col(block).alias("block"), F.col(order).alias("o"), F.col(vector).alias("v"), limit.cast("double").alias("limit"))
 
     def cluster(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, leaders, names, used = object(), np.zeros((0, 0)), [], 0
+        at, state = object(), {}
         for pdf in frames:
-            lead, sims = [], []
-            for b, o, v, limit_ in zip(pdf["block"], pdf["o"], pdf["v"], pdf["limit"], strict=True):
+            blocks = pdf["block"].tolist()
+            lead, sims, lo = [], [], 0
+            while lo < len(blocks):
+                b = blocks[lo]
                 if b != at and not (b != b and at != at):
-                    at, names, used = b, [], 0
-                    leaders = np.zeros((64, len(v)))
-                s = leaders[:used] @ np.asarray(v, float) if used else np.zeros(0)
-                k = int(s.argmax()) if used else -1
-                if k >= 0 and s[k] >= limit_:
-                    lead.append(names[k])
-                    sims.append(float(s[k]))
-                else:
-                    if used == len(leaders):
-                        leaders = np.concatenate([leaders, np.zeros_like(leaders)])
-                    leaders[used] = v
-                    used += 1
-                    names.append(o)
-                    lead.append(o)
-                    sims.append(1.0)
+                    at, state = b, {"names": [], "rows": np.zeros((0, 0))}
+                hi = lo + 1
+                while hi < min(len(blocks), lo + SLICE) and (blocks[hi] == b or (blocks[hi] != blocks[hi] and b != b)):
+                    hi += 1
+                part = pdf.iloc[lo:hi]
+                got = _cluster_slice(state, part["o"].tolist(), np.array(part["v"].tolist(), float), part["limit"].to_numpy(float))
+                lead += got[0]
+                sims += got[1]
+                lo = hi
             yield pd.DataFrame({"block": pdf["block"], "o": pdf["o"], "leader": lead, "similarity": sims})
 
     kinds = dict(one.dtypes)
     schema = TY._parse_datatype_string(f"block {kinds['block']}, o {kinds['o']}, leader {kinds['o']}, similarity double")
-    return one.repartition("block").sortWithinPartitions("block", "o").mapInPandas(cluster, schema).withColumnsRenamed({"block": block, "o": order})
+    got = one.filter("v is not null").repartition("block").sortWithinPartitions("block", "o").mapInPandas(cluster, schema)
+    alone = one.filter("v is null").select("block", "o", F.col("o").alias("leader"), F.lit(None).cast("double").alias("similarity"))
+    return got.unionByName(alone).withColumnsRenamed({"block": block, "o": order})
 
 
 def soft_dedup(records: DataFrame, order: str, vector: str, category: str = "category", title: str = "title", content: str = "content", version: str = "cleanup_version", rules: DedupRules = DedupRules()) -> DataFrame:
