@@ -30,25 +30,40 @@ def whole_word_hits(text: Column, word: str) -> Column:
     return F.regexp_count(F.lower(text), F.lit(rf"\b{re.escape(word)}\b"))
 
 
-def category_scores(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, distinct: bool = False) -> dict[str, Column]:
-    """For each category the whole-word occurrences of its keywords, added up keyword by keyword, or with
-    `distinct` how many of its keywords occur.
+def category_scores(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS) -> dict[str, Column]:
+    """For each category the whole-word occurrences of its keywords, added up keyword by keyword.
 
     Single words can't overlap each other, so one scan counts them all; phrases are counted one by one."""
     out = {}
     for c, ws in lexicon.items():
         singles = [w for w in dict.fromkeys(ws) if re.fullmatch(r"\w+", w)]
-        phrases = [w for w in dict.fromkeys(ws) if w not in singles]
-        pattern = F.lit(rf"\b({'|'.join(map(re.escape, singles))})\b")
-        low = F.lower(text)
-        parts = []
-        if singles:
-            parts.append(F.size(F.array_distinct(F.regexp_extract_all(low, pattern, F.lit(1)))) if distinct else F.regexp_count(low, pattern))
-        parts += [(whole_word_hits(text, w) > 0).cast("int") if distinct else whole_word_hits(text, w) for w in phrases]
-        out[c] = _total(parts)
+        parts = [F.regexp_count(F.lower(text), F.lit(rf"\b({'|'.join(map(re.escape, singles))})\b"))] if singles else []
+        out[c] = _total(parts + [whole_word_hits(text, w) for w in dict.fromkeys(ws) if w not in singles])
     return out
 
 
+def keywords_found(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS) -> Column:
+    """An array with the number of each category's keywords that occur as whole words, in the lexicon's order.
+
+    One scan of the text finds the different single words of all categories; phrases are looked for one by one."""
+    single = [w for w in dict.fromkeys(w for ws in lexicon.values() for w in ws) if re.fullmatch(r"\w+", w)]
+    pattern = rf"\b({'|'.join(map(re.escape, single))})\b"
+
+    def counts(low: Column) -> Column:
+        seen = F.array_distinct(F.regexp_extract_all(low, F.lit(pattern), F.lit(1))) if single else _strings([])
+
+        def of(words: Column) -> Column:
+            each = []
+            for ws in lexicon.values():
+                phrases = [low.rlike(rf"\b{re.escape(w)}\b").cast("int") for w in dict.fromkeys(ws) if w not in single]
+                each.append(_total([F.size(F.array_intersect(words, _strings([w for w in dict.fromkeys(ws) if w in single]))), *phrases]))
+            return F.array(*each)
+
+        return T.let(seen, of)
+
+    return T.let(F.lower(text), counts)
+
+
 def infer_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, priority: Sequence[str] = tuple(lex.CATEGORY_PRIORITY), min_chars: int = 20) -> Column:
     """The category with the most whole-word hits, ties by priority; empty without a hit or for a short text."""
     scores = category_scores(text, lexicon)
@@ -59,21 +74,30 @@ def infer_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATE
 
 def has_mixed_categories(text: Column, primary: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, most: int = 3, ratio: float = 0.65) -> Column:
     """More than `most` categories occur, and the primary doesn't, or another has `ratio` of its keywords."""
-    hits = F.array(*[F.struct(F.lit(c).alias("c"), h.alias("h")) for c, h in category_scores(text, lexicon, distinct=True).items()])
+    return mixed_by(keywords_found(text, lexicon), primary, lexicon, most, ratio)
+
+
+def mixed_by(found: Column, primary: Column, lexicon: Mapping[str, Sequence[str]], most: int = 3, ratio: float = 0.65) -> Column:
+    """`has_mixed_categories` on a column of `keywords_found`, for callers that use it more than once."""
+    names = _strings(list(lexicon))
 
     def judge(x: Column) -> Column:
-        present = F.size(F.filter(x, lambda e: e["h"] > 0))
-        own = F.coalesce(F.get(F.filter(x, lambda e: e["c"] == primary), F.lit(0))["h"], F.lit(0))
-        rival = F.exists(x, lambda e: (e["c"] != primary) & (e["h"] >= ratio * own))
+        present = F.size(F.filter(x, lambda h: h > 0))
+        own = F.coalesce(F.try_element_at(x, F.nullif(F.array_position(names, primary).cast("int"), F.lit(0))), F.lit(0))
+        rival = F.exists(F.zip_with(names, x, lambda c, h: (c != primary) & (h >= ratio * own)), lambda r: r)
         return (present > most) & ((own == 0) | rival)
 
-    return T.let(hits, judge)
+    return T.let(found, judge)
 
 
 def secondary_categories(text: Column, primary: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS) -> Column:
     """The other categories with a whole-word hit, in the lexicon's order."""
-    hits = category_scores(text, lexicon, distinct=True)
-    return F.array_compact(F.array(*[F.when((h > 0) & (primary != c), F.lit(c)) for c, h in hits.items()]))
+    return secondary_by(keywords_found(text, lexicon), primary, lexicon)
+
+
+def secondary_by(found: Column, primary: Column, lexicon: Mapping[str, Sequence[str]]) -> Column:
+    """`secondary_categories` on a column of `keywords_found`."""
+    return F.array_compact(F.zip_with(_strings(list(lexicon)), found, lambda c, h: F.when((h > 0) & (primary != c), c)))
 
 
 def dominant_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, default: str = "general") -> Column:
@@ -86,8 +110,11 @@ def dominant_category(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.C
 
 def mixed_topics(text: Column, lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, least: int = 2) -> Column:
     """Categories whose keywords occur `least` times or more as substrings; mixed if more than one."""
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(_total([T.count_of(low, w) for w in ws]) >= least, F.lit(c)) for c, ws in lexicon.items()]))
+
+    def often(low: Column) -> Column:
+        return F.array_compact(F.array(*[F.when(_total([T.count_of(low, w) for w in ws]) >= least, F.lit(c)) for c, ws in lexicon.items()]))
+
+    return T.let(F.lower(text), often)
 
 
 def infer_title(text: Column, rules: Sequence[tuple[str, Sequence[str]]] = tuple(lex.TITLE_RULES), lexicon: Mapping[str, Sequence[str]] = lex.CATEGORY_KEYWORDS, default: str = lex.DEFAULT_TITLE) -> Column:

@@ -5,8 +5,10 @@ Order is explicit: every row carries its document and an ordinal, nothing relies
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,8 +54,10 @@ def sections(docs: DataFrame, header: Callable[[Column], Column] = C.is_header,
     key = F.substring(F.lower(T.collapse(F.col("content"))), 1, 200)
     first = F.row_number().over(Window.partitionBy("doc", "section_title", key).orderBy("section_no"))
     made = made.withColumn("_n", first).filter("_n = 1").drop("_n")
-    rest = docs.filter(~headed).select(F.col(doc).alias("doc"), T.clean_regulation(F.col(text)).alias("content"))
-    whole = rest.filter(F.length("content") > min_chars).select("doc", F.lit(0).cast("long").alias("section_no"), F.lit(title).alias("section_title"), "content")
+    # an array of none or one, so that a text is cleaned once, not once to be tested and once to be returned
+    long = lambda c: F.filter(F.array(c), lambda x: F.length(x) > min_chars)
+    rest = docs.filter(~headed).select(F.col(doc).alias("doc"), F.explode(long(T.clean_regulation(F.col(text)))).alias("content"))
+    whole = rest.select("doc", F.lit(0).cast("long").alias("section_no"), F.lit(title).alias("section_title"), "content")
     return made.unionByName(whole)
 
 
@@ -147,21 +151,37 @@ def bisect(sections_: DataFrame, mixed: Column, depth: int = 2, rules: ChunkRule
     return out
 
 
+def _oversize_parts(text: str | None, target: int, most: int, least: int) -> list[str] | None:
+    if text is None:
+        return None
+    whole = re.sub(r"[ \t-\r]+", " ", text).strip(" ")
+    if len(whole) <= most:
+        return [whole]
+    out: list[str] = []
+    part: list[str] = []  # pieces of the part being filled
+    size = 0  # its length when joined
+    for sentence in re.split(r"(?<=[.!?]) ", whole):
+        for piece in [sentence] if len(sentence) <= most else sentence.split(" "):
+            if part and size + 1 + len(piece) > target:
+                out.append(" ".join(part))
+                part = []
+            size = size + 1 + len(piece) if part else len(piece)
+            part.append(piece)
+    out.append(" ".join(part))
+    return [x for x in out if len(x) >= least]
+
+
 def split_oversize(text: Column, target: int = 800, most: int = 1200, least: int = 20) -> Column:
     """A text's parts of about `target` characters, cut between sentences; a sentence over `most` is cut between
-    words. Parts under `least` characters are dropped. A text up to `most` long is one part."""
-    pieces = F.split(T.collapse(text), r"(?<=[.!?])\s+")
-    small = F.flatten(F.transform(pieces, lambda s: F.when(F.length(s) <= most, F.array(s)).otherwise(F.split(s, " "))))
-
-    def step(acc: Column, s: Column) -> Column:
-        last = F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))
-        fits = (last == "") | (F.length(last) + 1 + F.length(s) <= target)
-        grown = F.when(last == "", s).otherwise(F.concat(last, F.lit(" "), s))
-        done = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(fits, F.concat(done, F.array(grown))).otherwise(F.concat(acc, F.array(s)))
-
-    cut = F.aggregate(small, F.array().cast("array<string>"), step)
-    return F.when(F.length(T.collapse(text)) <= most, F.array(T.collapse(text))).otherwise(F.filter(cut, lambda s: F.length(s) >= least))
+    words. Parts under `least` characters are dropped. A text up to `most` long is one part; null stays null.
+
+    Each part's end depends on the one before, so texts go through Arrow batches, in time linear in their length."""
+
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: _oversize_parts(t, target, most, least))
+
+    return cut(text)
 
 
 def oversize_rows(sections_: DataFrame, title: str = "section_title", content: str = "content", **how) -> DataFrame:

@@ -170,8 +170,14 @@ def dominant_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mixed_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mixed-category test, secondary categories and topics of every text."""
-    t, alpha = F.col("text"), F.lit("alpha")
-    return _read(spark, sf_dir, "documents").select("doc_id", C.has_mixed_categories(t, alpha, TEST_LEXICON, most=2).alias("mixed"), F.array_join(C.secondary_categories(t, alpha, TEST_LEXICON), ",").alias("secondary"), F.array_join(C.mixed_topics(t, TEST_LEXICON), ",").alias("topics"))
+    alpha = F.lit("alpha")
+    found = _read(spark, sf_dir, "documents").select("doc_id", "text", C.keywords_found(F.col("text"), TEST_LEXICON).alias("found"))
+    return found.select(
+        "doc_id",
+        C.mixed_by(F.col("found"), alpha, TEST_LEXICON, most=2).alias("mixed"),
+        F.array_join(C.secondary_by(F.col("found"), alpha, TEST_LEXICON), ",").alias("secondary"),
+        F.array_join(C.mixed_topics(F.col("text"), TEST_LEXICON), ",").alias("topics"),
+    )
 
 
 _SAMPLE = "lower(array_to_string(list_slice(string_split_regex(text, '[.!?]+'), 1, 10), ' '))"
