@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace import lexicons as lex
@@ -223,6 +223,13 @@ def best_title(llm_title: Column, section_title: Column) -> Column:
     return T.strip(F.coalesce(T.either(llm_title, section_title), F.lit("")))
 
 
+def stringify(df: DataFrame, column: str) -> Column:
+    """A column of any type as text: null is empty, containers are JSON, all else is cast."""
+    kind = dict(df.dtypes)[column]
+    c = F.col(f"`{column}`")
+    return F.coalesce(F.to_json(c) if kind.startswith(("array", "map", "struct")) else c.cast("string"), F.lit(""))
+
+
 def normal_category(category: Column) -> Column:
     return F.coalesce(F.nullif(F.lower(T.strip(category)), F.lit("")), F.lit("unknown"))
 
@@ -344,6 +351,17 @@ def course_errors(code: Column, name: Column) -> Column:
     return _errors((_blank(code), "course_code"), (_blank(name), "course_name"))
 
 
+def loadable(kind: str, title: Column, content: Column, *more: Column) -> Column:
+    """Whether a record may enter the index of its kind: admin (regulation name), institutional (id, category, source)
+    or course (code, name)."""
+    if kind == "admin":
+        return F.size(admin_errors(title, content, *more)) == 0
+    if kind == "institutional":
+        ako_id, category, source = more
+        return F.size(institutional_errors(ako_id, category, title, content, source)) == 0
+    return F.size(course_errors(*more)) == 0
+
+
 def cleanup_valid(content: Column, title: Column, category: Column, least_words: int = 30) -> Column:
     return (T.word_count(content) >= least_words) & ~_blank(title) & ~_blank(category) & (category != "unknown")
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import lexicons as lex
 from millrace.functions import classify as C
 from millrace.functions import text as T
 
@@ -105,6 +106,45 @@ def routing_accuracy(df: DataFrame, predicted: str, label: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), _count(F.col(predicted) == F.col(label)).alias("correct"), _share(F.count_if(F.col(predicted) == F.col(label)), F.count(F.lit(1))).alias("accuracy_pct"))
 
 
+def chunk_sizes(df: DataFrame, content: str, most: int = 800) -> DataFrame:
+    """Smallest, largest and mean length of chunks, and how many are longer than `most` characters."""
+    n = F.length(content).cast("long")
+    return df.agg(F.min(n).alias("min_chars"), F.max(n).alias("max_chars"), F.avg(n).alias("mean_chars"), _count(n > most).alias("oversized"))
+
+
+def check_summary(results: DataFrame, status: str = "status") -> DataFrame:
+    """Of checks with a status pass, warn or fail: how many of each, of all, and whether none failed."""
+    s = F.lower(F.col(status))
+    got = results.agg(_count(s == "pass").alias("passed"), _count(s == "warn").alias("warned"), _count(s == "fail").alias("failed"), F.count(F.lit(1)).alias("total"))
+    return got.withColumn("ok", F.col("failed") == 0)
+
+
+QUERY_SET = "set string, qid int, query string, label string, expected array<string>, min_score double"
+
+
+def labelled_queries(spark: SparkSession, own: str | None = None) -> DataFrame:
+    """The labelled query sets: set (routing, syllabus, admin or a user's), qid, query, label, expected, min_score.
+
+    Routing queries have a label, admin queries expected keywords and a least score. `own` is the path of a JSON
+    array of further queries with these fields, such as those that name an institution's people and places."""
+    rows = [("routing", i, q, label, None, None) for i, (q, label) in enumerate(lex.ROUTING_QUERIES)]
+    rows += [("syllabus", i, q, "syllabus", None, None) for i, q in enumerate(lex.SYLLABUS_QUERIES)]
+    rows += [("admin", i, q, "admin", words, least) for i, (q, words, least) in enumerate(lex.ADMIN_QUERIES)]
+    shipped = spark.createDataFrame(rows, QUERY_SET)
+    return shipped if own is None else shipped.unionByName(spark.read.schema(QUERY_SET).option("multiLine", True).json(own))
+
+
+def retrieval_report(hits: DataFrame, queries: DataFrame, content: str) -> DataFrame:
+    """Status of each query by its hits (query_id, score, `content`) and its expected keywords and least score:
+    query_id, top_score, keywords (how many of them occur in its hits), status. A query without hits fails."""
+    low = F.lower(F.concat_ws(" ", F.collect_list(F.col(content))))
+    per = hits.groupBy("query_id").agg(F.max("score").alias("top_score"), low.alias("_t"))
+    joined = queries.select("query_id", "expected", "min_score").join(per, "query_id", "left")
+    n = F.size(F.filter(F.coalesce("expected", F.array().cast("array<string>")), lambda w: F.contains(F.coalesce(F.col("_t"), F.lit("")), F.lower(w))))
+    score = F.coalesce("top_score", F.lit(0.0))
+    return joined.select("query_id", score.alias("top_score"), n.alias("keywords"), C.retrieval_status(score, F.coalesce("min_score", F.lit(0.0)), n).alias("status"))
+
+
 def retrieval_metrics(hits: DataFrame, title: str, complete: Column, good: float = 0.6, targets: Mapping[str, float] | None = None) -> DataFrame:
     """Of hits (query_id, rank, score, title, ...): share of queries whose first hit scores `good`, share of results
     whose title repeats among a query's results, share of complete metadata; and whether each meets its target."""
@@ -172,15 +212,23 @@ def new_keys(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
     return now.select(key).distinct().join(before.select(key).distinct(), key, "left_anti")
 
 
-def marker_contamination(df: DataFrame, ids: str, content: str, markers: DataFrame, marker_id: str, marker: str) -> DataFrame:
-    """Records that contain a marker phrase in whole words: ids, marker_id.
+def marker_contamination(df: DataFrame, ids: str, content: str, markers: DataFrame, marker_id: str, marker: str, most_bytes: int = 16 << 20) -> DataFrame:
+    """Records that contain a marker phrase in whole words: ids, marker_id. Markers without words are found nowhere.
 
-    A record that holds a phrase holds its longest word, the likeliest to be rare: an equi-join on that word finds
-    candidates, a containment test decides. Markers without words are found nowhere."""
+    Markers of up to `most_bytes` in all are sent to all workers, which look each up by its longest word, the
+    likeliest to be rare, in a record's words: records stay where they are. More markers are found by an equi-join
+    on that word; then a record's text moves once."""
     phrase = markers.select(F.col(marker_id).alias("marker_id"), T.words(F.col(marker)).alias("mw")).filter(F.size("mw") > 0)
     anchor = F.array_max(F.transform("mw", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    heads = phrase.select("marker_id", F.array_join("mw", " ").alias("whole"), anchor.alias("word"))
+    heads = phrase.select("marker_id", F.concat(F.lit(" "), F.array_join("mw", " "), F.lit(" ")).alias("whole"), anchor.alias("word"))
     rec = df.select(F.col(ids).alias("id"), T.words(F.col(content)).alias("w"))
-    found = rec.select("id", F.explode(F.array_distinct("w")).alias("word")).join(heads, "word").select("id", "marker_id", "whole")
-    full = found.join(rec.select("id", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("t")), "id")
-    return full.filter(F.contains("t", F.concat(F.lit(" "), F.col("whole"), F.lit(" ")))).select(F.col("id").alias(ids), "marker_id").distinct()
+    size = heads.agg(F.coalesce(F.sum(F.octet_length("whole")), F.lit(0))).first()[0]
+    if size <= most_bytes:
+        heads = F.broadcast(heads)
+    spaced = rec.select("id", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("t"), F.array_distinct("w").alias("w"))
+    if size <= most_bytes:
+        found = spaced.select("id", "t", F.explode("w").alias("word")).join(heads, "word")
+    else:
+        met = spaced.select("id", F.explode("w").alias("word")).join(heads, "word").select("id", "marker_id", "whole")
+        found = met.join(spaced.select("id", "t"), "id")
+    return found.filter(F.contains("t", F.col("whole"))).select(F.col("id").alias(ids), "marker_id").distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import segment as S
+from millrace.operators.dedup import keep_first
 
 # --- fixed values: lines that change the state ---
 DEPARTMENT = r"(?i)^DEPARTMENT OF (.+?)\s*$"
@@ -16,6 +17,7 @@ NAME = r"^(Dr\.\s*(?:\(Mrs\.?\)\s*)?|Mr\.\s*|Mrs\.\s*|Ms\.\s*|D\s+)(.+)$"
 PAGE_MARK = r"^--- PAGE \d+ ---$"
 DEGREES = r"Ph\.D|M\.E|M\.Tech|B\.E|B\.Tech|M\.Sc|M\.A"
 SMALL_WORDS = {" And ": " and "}
+AREA_CODES = ["0", "413"]
 
 
 def department_name(raw: Column) -> Column:
@@ -94,17 +96,33 @@ def faculty_profiles(docs: DataFrame, heads: DataFrame | None = None, doc: str =
     return out.select("doc", "line_no", "name", "designation", "department", "qualifications", "specialization", "phone", "email", "is_hod", F.when(F.col("is_hod"), F.col("hod_phone")).alias("hod_phone"), F.when(F.col("is_hod"), F.col("hod_email")).alias("hod_email"))
 
 
-def profile_entities(name: Column, department: Column, specialization: Column, most: int = 3) -> Column:
-    """Name, department and up to three specialisations."""
-    special = F.slice(F.filter(F.transform(F.split(F.coalesce(specialization, F.lit("")), "[,;]"), T.strip), lambda s: s != ""), 1, most)
-    return F.concat(F.array_compact(F.array(name, department)), special)
+def unique_profiles(profiles: DataFrame) -> DataFrame:
+    """Of profiles with the same name and department the first."""
+    return keep_first(profiles, [F.col("name"), F.col("department")], ["doc", "line_no"])
+
+
+def profile_entities(name: Column, department: Column, specialization: Column, most: int = 3, is_hod: Column | None = None) -> Column:
+    """Name, department, HOD for a head, and up to three specialisations, parted by comma, semicolon or slash."""
+    special = F.filter(F.transform(F.split(F.coalesce(specialization, F.lit("")), "[,;/]"), T.strip), lambda s: s != "")
+    head = F.array_compact(F.array(F.when(is_hod, F.lit("HOD")))) if is_hod is not None else F.array().cast("array<string>")
+    return F.concat(F.array_compact(F.array(name, department)), head, F.slice(special, 1, most))
+
+
+def profile_title() -> Column:
+    return F.concat(F.lit("Profile of "), F.col("name"), F.when(F.col("is_hod"), F.lit(", HOD of ")).otherwise(F.lit(", ")), F.col("department"))
 
 
 def render_profile() -> Column:
-    """A profile row as text; fields without a value are left out."""
-    line = lambda label, c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(f"**{label}**: "), F.col(c)))
-    rank = F.when(F.col("is_hod"), F.concat(F.col("designation"), F.lit(" & Head"))).otherwise(F.col("designation"))
-    return F.concat_ws("\n", F.concat(F.lit("## "), F.col("name")), F.concat(F.lit("**Designation**: "), rank), line("Department", "department"), line("Qualifications", "qualifications"), line("Specialization", "specialization"), line("Phone", "phone"), line("Email", "email"), line("Office phone (head)", "hod_phone"), line("Office email (head)", "hod_email"))
+    """A profile row as text; fields without a value are left out, and numbers that are only an area code."""
+    line = lambda label, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(label), c))
+    rank = F.when(F.col("is_hod"), F.concat(F.lit("Professor & Head of the Department ("), F.col("department"), F.lit(")"))).otherwise(F.col("designation"))
+    phone, email = T.either(F.col("hod_phone"), F.col("phone")), T.either(F.col("hod_email"), F.col("email"))
+    contacts = F.array_compact(F.array(line("Phone: ", F.when(~phone.isin(AREA_CODES), phone)), line("Email: ", email)))
+    contact = F.when(F.size(contacts) > 0, F.concat(F.lit("**Contact**:\n- "), F.array_join(contacts, "\n- ")))
+    return F.concat_ws(
+        "\n", line("**Name**: ", F.col("name")), line("**Designation**: ", rank), line("**Qualifications**: ", F.col("qualifications")),
+        line("**Specialization**: ", F.col("specialization")), contact, line("**Department**: ", F.col("department")),
+    )
 
 
 def rosters(profiles: DataFrame) -> DataFrame:

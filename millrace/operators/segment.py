@@ -17,13 +17,15 @@ from millrace.functions import classify as C
 from millrace.functions import text as T
 
 
-def document_text(pages: DataFrame, doc: str = "doc", page: str = "page_num", text: str = "text", marked: bool = False) -> DataFrame:
-    """Pages joined into documents by a blank line, in page order, blank pages left out; with page marks if asked."""
+def document_text(pages: DataFrame, doc: str = "doc", page: str = "page_num", text: str = "text", marked: bool = False, ended: bool = False) -> DataFrame:
+    """Pages joined into documents by a blank line, in page order, blank pages left out; with page marks if asked,
+    and with a blank line behind the last page too (`ended`)."""
     part = T.strip(F.col(text))
     shown = F.concat(F.lit("--- PAGE "), F.col(page).cast("string"), F.lit(" ---\n"), part) if marked else part
     kept = pages.filter(F.coalesce(part, F.lit("")) != "").select(F.col(doc).alias("doc"), F.struct(F.col(page).alias("n"), shown.alias("t")).alias("p"))
     joined = kept.groupBy("doc").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    return joined.select("doc", F.array_join(F.transform("ps", lambda p: p["t"]), "\n\n").alias("text"), F.element_at("ps", 1)["n"].alias("first_page"), F.element_at("ps", -1)["n"].alias("last_page"))
+    whole = F.concat(F.array_join(F.transform("ps", lambda p: p["t"]), "\n\n"), F.lit("\n\n" if ended else ""))
+    return joined.select("doc", whole.alias("text"), F.element_at("ps", 1)["n"].alias("first_page"), F.element_at("ps", -1)["n"].alias("last_page"))
 
 
 def lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,17 +7,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
 from millrace.operators import segment as S
+from millrace.operators.staging import staged
 
 Embedder = Callable[[list[str]], np.ndarray]
 
-#: Bytes of query vectors that are broadcast at once; more queries are searched in further blocks.
-QUERY_BYTES = 64 << 20
+#: Bytes of a block of query vectors and of index vectors, and scores that are held at once when two blocks meet.
+QUERY_BYTES, INDEX_BYTES, SCORES = 64 << 20, 64 << 20, 1 << 23
 
 
 def hashing_embedder(dimension: int = 256) -> Embedder:
@@ -36,6 +36,18 @@ def hashing_embedder(dimension: int = 256) -> Embedder:
     return embed
 
 
+def model_embedder(name: str, normalize: bool = True, batch: int = 8, device: str = "cpu") -> Callable[[], Embedder]:
+    """A maker of embedders for `embed` on a sentence-transformers model, which has to be installed on the workers."""
+
+    def make() -> Embedder:
+        from sentence_transformers import SentenceTransformer
+
+        model = SentenceTransformer(name, device=device)
+        return lambda texts: model.encode(texts, batch_size=batch, normalize_embeddings=normalize, show_progress_bar=False)
+
+    return make
+
+
 def embed(df: DataFrame, text: str, make: Callable[[], Embedder] = hashing_embedder, output: str = "embedding", batch: int = 8) -> DataFrame:
     """df with the vectors of a text column; `make` builds the embedder once a task, null texts count as empty."""
 
@@ -159,49 +171,41 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, query_id: str = "query_i
     """The k rows of the index with the greatest inner products for each query (in each group, if given):
     query_id, group, pos, score, rank; ties to the smaller pos, fewer than k if there are fewer.
 
-    Queries come in blocks of QUERY_BYTES; each block is broadcast and multiplied with each Arrow batch of the
-    index, which sends on its k best a query only, so what is shuffled is bounded by batches, not by pairs."""
-    spark = index.sparkSession
-    found = None
-    batches: list[tuple[list, list]] = [([], [])]
-    size = 0
-    for row in queries.select(query_id, query_vector).toLocalIterator():
-        batches[-1][0].append(row[0])
-        batches[-1][1].append(row[1])
-        size += 8 * len(row[1])
-        if size >= QUERY_BYTES:
-            batches.append(([], []))
-            size = 0
-    columns = [*([group] if group else []), pos, vector]
-    kinds = dict(index.dtypes)
-    id_kind = dict(queries.dtypes)[query_id]
-    schema = f"query_id {id_kind}, " + (f"`{group}` {kinds[group]}, " if group else "") + f"pos {kinds[pos]}, score double"
-    for ids, vectors in batches:
-        if not ids:
-            continue
-        shipped = spark.sparkContext.broadcast((ids, np.asarray(vectors, np.float64)))
-
-        def scan(frames: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pd.DataFrame]:
-            names, q = shipped.value
-            for pdf in frames:
-                if not len(pdf):
-                    continue
-                for g, part in pdf.groupby(group, dropna=False) if group else [(None, pdf)]:
-                    place = part[pos].to_numpy()
-                    scores = q @ np.stack(part[vector].to_numpy()).astype(np.float64).T
-                    rows, cols = best_places(scores, place, k)
-                    out = {"query_id": [names[r] for r in rows]}
-                    if group:
-                        out[group] = g
-                    yield pd.DataFrame(out | {"pos": place[cols], "score": scores[rows, cols]})
-
-        got = index.select(*columns).mapInPandas(scan, schema)
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        found = spark.createDataFrame([], schema)
-    by = ["query_id", *([group] if group else [])]
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("score"), "pos"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    Both sides are dealt by a hash to blocks of about QUERY_BYTES and INDEX_BYTES; each pair of blocks is one task
+    that multiplies them and sends on its k best a query only. Nothing but three sums comes to the driver, and what
+    is shuffled in the end is bounded by blocks, not by pairs. Rows without a vector take no part."""
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("q")).filter("q is not null")
+    rows = index.select(*([F.col(group).alias("g")] if group else [F.lit(0).alias("g")]), F.col(pos).alias("pos"), F.col(vector).alias("v")).filter("v is not null")
+    nbytes = lambda c: F.coalesce(8 * F.sum(F.size(c).cast("long")), F.lit(0))
+    (asked_bytes,), (row_bytes, n_rows) = asked.agg(nbytes("q")).first(), rows.agg(nbytes("v"), F.count(F.lit(1))).first()
+    # at least a block a core, as far as blocks stay large enough to be worth a task
+    blocks = max(1, -(-row_bytes // INDEX_BYTES), min(index.sparkSession.sparkContext.defaultParallelism, n_rows // 10_000))
+    q_blocks = max(1, -(-asked_bytes // QUERY_BYTES))
+    block = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.withColumn("q_block", block("query_id", q_blocks)).withColumn("block", every(blocks))
+    right = rows.withColumn("block", block("pos", blocks)).withColumn("q_block", every(q_blocks))
+    kinds = dict(rows.dtypes) | dict(asked.dtypes)
+    schema = f"query_id {kinds['query_id']}, g {kinds['g']}, pos {kinds['pos']}, score double"
+
+    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(q) and len(r):
+            names, asked_ = q["query_id"].to_numpy(), np.array(q["q"].tolist(), np.float64)
+            for g, part in r.groupby("g", dropna=False):
+                place, vectors = part["pos"].to_numpy(), np.array(part["v"].tolist(), np.float64)
+                step = max(1, SCORES // max(1, len(part)))
+                for at in range(0, len(names), step):
+                    scores = asked_[at : at + step] @ vectors.T
+                    at_q, at_r = best_places(scores, place, k)
+                    found.append(pd.DataFrame({"query_id": names[at : at + step][at_q], "g": g, "pos": place[at_r], "score": scores[at_q, at_r]}))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "g": [], "pos": [], "score": []})
+
+    by = ("block", "q_block")
+    hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, schema)
+    rank = F.row_number().over(Window.partitionBy("query_id", "g").orderBy(F.desc("score"), "pos"))
+    best = hits.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return best.withColumnRenamed("g", group) if group else best.drop("g")
 
 
 def route_by_index(queries: DataFrame, index: DataFrame, group: str, weak: float = 0.05, strong: float = 0.10, label: str | None = None, **how) -> DataFrame:
@@ -233,11 +237,50 @@ def index_report(index: DataFrame, group: str, vector: str = "embedding") -> Dat
     return index.groupBy(group).agg(F.max(F.size(vector)).alias("dimension"), F.count(F.lit(1)).alias("vectors"))
 
 
-def write_index(records: DataFrame, order: list[str], path: str, vector: str = "embedding") -> DataFrame:
-    """Records with their place in `order` written as an index table; returns its build statistics.
+def placed(df: DataFrame, order: list[str], name: str = "pos") -> DataFrame:
+    """df sorted by `order`, with each row's place from 0 without gaps.
+
+    Rows are sorted by ranges; the number of rows before each partition, one number a partition, is what the
+    driver adds up."""
+    part, own = F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_own")
+    cut = staged(df.orderBy(*order).select("*", part, own))
+    before, first = 0, []
+    for p, n in sorted(map(tuple, cut.groupBy("_part").count().collect())):
+        first.append((p, before))
+        before += n
+    starts = F.broadcast(df.sparkSession.createDataFrame(first, "_part int, _first long"))  # a row a partition
+    return cut.join(starts, "_part").select(*df.columns, (F.col("_first") + F.col("_own")).alias(name))
+
+
+def check_dimension(found: int | None, wanted: int | None) -> None:
+    """An error where an index and the model in use differ in dimension; an index without vectors fits any."""
+    if found is not None and wanted is not None and found != wanted:
+        raise ValueError(f"the index has vectors of {found} dimensions, the model {wanted}")
+
+
+def write_index(records: DataFrame, order: list[str], path: str, vector: str = "embedding", model: str = "hashing") -> DataFrame:
+    """Records written as an index table with their place in `order` (pos, from 0 without gaps); returns its build
+    statistics: vectors, embedding_dim, embed_model, which are kept beside it.
 
     Vector and metadata are one row, so they can't drift apart."""
     spark = records.sparkSession
-    placed = records.orderBy(*order).withColumn("pos", F.monotonically_increasing_id())
-    placed.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("vectors"), F.max(F.size(vector)).alias("embedding_dim"))
+    placed(records, order).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    stats = rows.agg(F.count(F.lit(1)).alias("vectors"), F.max(F.size(vector)).alias("embedding_dim"), F.lit(model).alias("embed_model"))
+    stats.write.mode("overwrite").parquet(f"{path.rstrip('/')}_stats")
+    return build_stats(spark, path)
+
+
+def build_stats(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path.rstrip('/')}_stats")
+
+
+def read_index(spark: SparkSession, path: str, dimension: int | None = None) -> DataFrame:
+    """The rows of an index; an error if its vectors don't have the dimension that is asked for."""
+    check_dimension(build_stats(spark, path).first()["embedding_dim"], dimension)
+    return spark.read.parquet(path)
+
+
+def rows_at(index: DataFrame, positions: DataFrame, pos: str = "pos") -> DataFrame:
+    """The index rows at the given positions; positions that the index doesn't have give no row."""
+    return index.join(positions.select(pos).filter(F.col(pos) >= 0).distinct(), pos, "left_semi")

@@ -31,6 +31,15 @@ def pdf_pages(data: bytes) -> Iterator[tuple[int, str]]:
             yield n, page.extract_text() or ""
 
 
+def mupdf_pages(data: bytes) -> Iterator[tuple[int, str]]:
+    """The page reader of PDF files by another layout engine; needs its library on the executors."""
+    import fitz
+
+    with fitz.open(stream=data, filetype="pdf") as pdf:
+        for n, page in enumerate(pdf, 1):
+            yield n, page.get_text() or ""
+
+
 def read_pages(spark: SparkSession, path: str, reader: PageReader = pdf_pages, pattern: str = "*.pdf") -> DataFrame:
     """doc (file name), page_num, text, error of all files below `path` that match; blank pages are dropped.
 
@@ -70,9 +79,14 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_json_array(df: DataFrame, path: str) -> None:
-    """Records as one JSON array in one file, for consumers that need that; for small results only."""
-    one = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("r")).agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("r"), ",\n"), F.lit("\n]")).alias("value"))
-    one.coalesce(1).write.mode("overwrite").text(path)
+    """Records as one JSON array in one file, for consumers that need that.
+
+    One task writes the file record by record; no part of it is ever held as a whole."""
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    first = F.monotonically_increasing_id() == 0
+    records = df.select(record.alias("r")).coalesce(1).select(F.concat(F.when(first, "").otherwise(","), "r").alias("value"))
+    line = lambda x: df.sparkSession.createDataFrame([(x,)], "value string").coalesce(1)
+    line("[").unionByName(records).unionByName(line("]")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def first_existing(spark: SparkSession, paths: Iterable[str]) -> str | None:
