@@ -244,7 +244,19 @@ def regulation_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sections(_read(spark, sf_dir, "documents")).withColumnRenamed("doc", "doc_id")
 
 
-@query()
+_OVERSIZE = """
+WITH c AS (SELECT doc_id, source, trim(regexp_replace(text, '[ \\x09-\\x0d]+', ' ', 'g')) AS t FROM documents),
+p AS (SELECT *, flatten(list_transform(string_split(regexp_replace(t, '([.!?]) ', '\\1' || chr(1), 'g'), chr(1)),
+  lambda s: CASE WHEN length(s) <= 1200 THEN [s] ELSE string_split(s, ' ') END)) AS pieces FROM c),
+r AS (SELECT *, list_reduce(pieces, lambda acc, s: CASE WHEN length(string_split(acc, chr(1))[-1]) + 1 + length(s) <= 800 THEN acc || ' ' || s ELSE acc || chr(1) || s END) AS packed FROM p),
+x AS (SELECT doc_id, source, CASE WHEN length(t) <= 1200 THEN [t] ELSE list_filter(string_split(packed, chr(1)), lambda x: length(x) >= 20) END AS parts FROM r),
+u AS (SELECT doc_id, source, len(parts) AS n, unnest(parts) AS content, generate_subscripts(parts, 1) AS i FROM x)
+SELECT doc_id, CASE WHEN n > 1 THEN source || ' (part ' || i || '/' || n || ')' ELSE source END AS section_title,
+  CAST(n AS INT) AS chunk_total, content, CAST(i AS INT) AS chunk_index FROM u
+"""
+
+
+@query(_OVERSIZE)
 def oversize_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text in parts of about 800 characters between sentences."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("section_title"), F.col("text").alias("content"))
@@ -353,10 +365,40 @@ def _text_tokens() -> tuple:
     return T.words(dedup.normal_name(F.col("text"))), [F.col("lang"), F.col("source")]
 
 
-_TOKENS = r"list_distinct(list_filter(string_split_regex(regexp_replace(lower(trim(substr(text, 1, 160))), '[^a-z0-9_\x09-\x0d ]', ' ', 'g'), '\s+'), lambda w: w <> ''))"
+_TOKENS = r"list_sort(list_distinct(list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9_\x09-\x0d ]', ' ', 'g'), '[\x09-\x0d ]+'), lambda w: w <> '')))"
+_LINKS = f"""
+t AS (SELECT doc_id, lang, source, {_TOKENS} AS ws FROM documents),
+c AS (SELECT lang, source, ws, min(doc_id) AS o FROM t WHERE len(ws) > 0 GROUP BY ALL),
+m AS (SELECT a.o AS i, b.o AS j, len(list_intersect(a.ws, b.ws)) AS n, len(a.ws) AS x, len(b.ws) AS y FROM c AS a JOIN c AS b
+  ON a.lang IS NOT DISTINCT FROM b.lang AND a.source IS NOT DISTINCT FROM b.source AND a.o < b.o),
+near AS (SELECT i, j, n / (x + y - n) AS similarity FROM m WHERE n / (x + y - n) >= 0.8),
+l AS (SELECT i, j, similarity FROM near UNION ALL SELECT c.o, t.doc_id, 1.0 FROM t JOIN c
+  ON t.lang IS NOT DISTINCT FROM c.lang AND t.source IS NOT DISTINCT FROM c.source AND t.ws = c.ws AND t.doc_id > c.o)
+"""
 
 
-@query()
+@query(f"WITH {_LINKS} SELECT i, j, round(similarity, 6) AS similarity FROM l")
+def near_dup_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar pairs of whole texts of a language and source; of equal token sets the first stands for all."""
+    tokens, block = _text_tokens()
+    links = dedup.jaccard_links(_read(spark, sf_dir, "documents"), tokens, block, "doc_id", 0.8)
+    return links.select("i", "j", F.round("similarity", 6).alias("similarity"))
+
+
+@query(f"""
+WITH RECURSIVE {_LINKS},
+b AS (SELECT j, list(i) AS before, row_number() OVER (ORDER BY j) AS k FROM near GROUP BY j),
+g AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS gone
+  UNION ALL
+  SELECT b.k, CASE WHEN len(list_filter(before, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, b.j) ELSE gone END FROM g JOIN b ON b.k = g.k + 1
+),
+e AS (SELECT gone FROM g ORDER BY k DESC LIMIT 1),
+f AS (SELECT j AS removed, min(i) AS kept, arg_min(similarity, i) AS similarity FROM near, e WHERE list_contains(gone, j) AND NOT list_contains(gone, i) GROUP BY 1)
+SELECT removed, kept, round(similarity, 6) AS similarity FROM f
+UNION ALL
+SELECT l.j, coalesce(f.kept, l.i), round(coalesce(f.similarity, l.similarity), 6) FROM l LEFT JOIN f ON f.removed = l.i WHERE l.j NOT IN (SELECT o FROM c)
+""")
 def greedy_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that the greedy pass over similar whole texts of a language and source removes, with what they fall to."""
     tokens, block = _text_tokens()
@@ -365,7 +407,21 @@ def greedy_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("removed", "kept", F.round("similarity", 6).alias("similarity"))
 
 
-@query()
+_DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
+
+
+@query(f"""
+WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS k FROM embeddings),
+g AS (
+  SELECT label, k, [{{'id': vec_id, 'v': embedding}}] AS leaders, vec_id, vec_id AS leader, CAST(1.0 AS DOUBLE) AS similarity FROM r WHERE k = 1
+  UNION ALL
+  SELECT label, k, CASE WHEN best.s >= 0.8 THEN leaders ELSE list_append(leaders, {{'id': vec_id, 'v': embedding}}) END, vec_id,
+    CASE WHEN best.s >= 0.8 THEN -best.p ELSE vec_id END, CASE WHEN best.s >= 0.8 THEN best.s ELSE 1.0 END
+  FROM (SELECT r.label, r.k, leaders, r.vec_id, r.embedding, list_max(list_transform(leaders, lambda x: {{'s': {_DOT.format(a="x.v", b="r.embedding")}, 'p': -x.id}})) AS best
+    FROM g JOIN r ON r.label = g.label AND r.k = g.k + 1)
+)
+SELECT vec_id, label, leader, round(similarity, 6) AS similarity FROM g
+""")
 def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy leader clusters of vectors within their labels."""
     e = _read(spark, sf_dir, "embeddings")
@@ -375,7 +431,6 @@ def leader_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- vectors ---
 
-_DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
 _ADJ = "SELECT label, vec_id, " + _DOT.format(a="embedding", b="nxt") + " AS similarity FROM (SELECT label, vec_id, embedding, lead(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS nxt FROM embeddings) WHERE nxt IS NOT NULL"
 
 
@@ -385,7 +440,29 @@ def adjacent_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("label", "vec_id", F.round("similarity", 6).alias("similarity"), F.round("smooth", 6).alias("smooth"))
 
 
-@query()
+def _fold(thresholds: str) -> str:
+    """SQL of the boundaries that a fold finds: CTEs a (similarities), s (smoothed), n (sizes) and f with a row a place."""
+    return f"""
+a AS ({_ADJ}),
+s AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS i, avg(similarity) OVER (PARTITION BY label ORDER BY vec_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS x FROM a),
+n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1),
+t AS ({thresholds}),
+f AS (
+  SELECT threshold, label, n, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS last FROM n, t
+  UNION ALL
+  SELECT f.threshold, f.label, f.n, s.i, CASE WHEN s.x < f.threshold AND s.i - f.last >= 5 AND f.n - s.i >= 5 THEN s.i ELSE f.last END FROM f JOIN s ON s.label = f.label AND s.i = f.i + 1
+),
+e AS (SELECT DISTINCT threshold, label, n, last AS start FROM f),
+d AS (SELECT *, lead(start, 1, n) OVER (PARTITION BY threshold, label ORDER BY start) - start AS size FROM e)"""
+
+
+@query(f"""
+WITH RECURSIVE {_fold("SELECT CAST(0.5 AS DOUBLE) AS threshold")},
+w AS (SELECT *, CAST(ceil(size / 20) AS BIGINT) AS windows FROM d WHERE size >= 5),
+v AS (SELECT *, windows - CASE WHEN windows > 2 AND size - (windows - 1) * 20 < 5 THEN 1 ELSE 0 END AS parts FROM w),
+u AS (SELECT *, unnest(range(parts)) AS i FROM v)
+SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY start, i) - 1 AS INT) AS chunk, CAST(start + 20 * i AS INT) AS start, CAST(CASE WHEN i = parts - 1 THEN size - 20 * i ELSE 20 END AS INT) AS length FROM u
+""")
 def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic boundaries along each label's vectors and the chunks between them."""
     got = vectors.topic_boundaries(_read(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding", 0.5)
@@ -410,14 +487,38 @@ def percentile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(*[F.round(c, 6).alias(c) for c in got.columns])
 
 
-@query()
+_GRID = "SELECT DISTINCT round(unnest(quantile_cont(similarity, [" + ", ".join(str(i / 100) for i in range(5, 100, 5)) + "])), 4) AS threshold FROM a"
+_TRIED = f"""{_fold(_GRID)},
+z AS (SELECT threshold, avg(least(size, 20)) AS mean_sentences FROM d WHERE label IN (SELECT label FROM s) GROUP BY 1)"""
+
+
+@query(f"WITH RECURSIVE {_TRIED} SELECT threshold, round(mean_sentences, 6) AS mean_sentences, row_number() OVER (ORDER BY abs(mean_sentences - 12), threshold) = 1 AS best FROM z")
 def threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate thresholds and the chunk sizes that each would give."""
     got = vectors.threshold_search(_read(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
     return got.select("threshold", F.round("mean_sentences", 6).alias("mean_sentences"), "best")
 
 
-@query()
+_WINDOWS = """
+c AS (SELECT label, vec_id, embedding, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS p, count(*) OVER (PARTITION BY label) AS n FROM embeddings),
+k AS (SELECT *, least(20, greatest(5, n // 2)) AS w FROM c),
+h AS (SELECT *, p // w AS window_no FROM k WHERE (p // w + 1) * w <= n),
+y AS (SELECT label, window_no, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS v FROM h),
+q AS (SELECT label, window_no, d, sum(v) AS s, sum(v * v) AS q, count(*) AS n FROM y GROUP BY ALL),
+o AS (SELECT label, window_no, max(n) AS n, (sum(s * s) - sum(q)) / (max(n) * (max(n) - 1)) AS purity FROM q GROUP BY ALL)"""
+
+
+@query(f"WITH {_WINDOWS} SELECT label, window_no, n, round(purity, 8) AS purity FROM o")
+def window_purity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = vectors.window_purity(_read(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
+    return got.select("label", "window_no", "n", F.round("purity", 8).alias("purity"))
+
+
+@query(
+    f"WITH RECURSIVE {_TRIED}, {_WINDOWS}, b AS (SELECT arg_min(threshold, {{'a': abs(mean_sentences - 12), 't': threshold}}) AS threshold FROM z) "
+    "SELECT round(coalesce((SELECT threshold FROM b), (SELECT quantile_cont(similarity, 0.25) FROM a)), 3) AS similarity_threshold, round((SELECT quantile_cont(similarity, 0.75) FROM a), 3) AS semantic_boundary_threshold, "
+    "round((SELECT quantile_cont(purity, 0.5) FROM o), 3) AS mixed_topic_threshold, round((SELECT quantile_cont(purity, 0.1) FROM o), 3) AS purity_floor"
+)
 def recommend_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.recommend(_read(spark, sf_dir, "embeddings"), "label", "vec_id", "embedding")
 
@@ -513,13 +614,14 @@ def latest_stage_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "WITH a AS (SELECT lang, count(*) AS n, avg(length(text)) AS c FROM documents WHERE doc_id % 2 = 0 GROUP BY 1), b AS (SELECT lang, count(*) AS n, avg(length(text)) AS c FROM documents WHERE source <> 'src0' GROUP BY 1) "
-    "SELECT coalesce(a.lang, b.lang) AS lang, coalesce(a.n, 0) AS now_n, coalesce(b.n, 0) AS before_n, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta, round(100 * (coalesce(a.n, 0) - coalesce(b.n, 0)) / nullif(b.n, 0), 2) AS delta_pct, round(coalesce(a.c, 0) - coalesce(b.c, 0), 4) AS delta_chars FROM a FULL OUTER JOIN b ON a.lang = b.lang"
+    "WITH a AS (SELECT page_id % 20 AS k, count(*) AS n, avg(length(html)) AS c FROM pages GROUP BY 1), b AS (SELECT doc_id % 20 AS k, count(*) AS n, avg(length(text)) AS c FROM documents GROUP BY 1) "
+    "SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS now_n, coalesce(b.n, 0) AS before_n, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta, round(100 * (coalesce(a.n, 0) - coalesce(b.n, 0)) / nullif(b.n, 0), 2) AS delta_pct, round(coalesce(a.c, 0) - coalesce(b.c, 0), 4) AS delta_chars FROM a FULL OUTER JOIN b ON a.k = b.k"
 )
 def baseline_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and lengths by language of two versions of the table."""
-    d = _read(spark, sf_dir, "documents")
-    return evaluate.baseline_delta(d.filter("doc_id % 2 = 0"), d.filter("source <> 'src0'"), "lang", "text")
+    """Counts and lengths of two whole tables, pages against documents, by a key that both have (groups of ids)."""
+    now = _read(spark, sf_dir, "pages").select((F.col("page_id") % 20).alias("k"), F.col("html").alias("text"))
+    before = _read(spark, sf_dir, "documents").select((F.col("doc_id") % 20).alias("k"), "text")
+    return evaluate.baseline_delta(now, before, "k", "text")
 
 
 @query("WITH x AS (SELECT lang, CASE WHEN " + _words("text") + " < 75 THEN 'too_short' WHEN length(text) > 8000 THEN 'too_long' ELSE 'accepted' END AS reason FROM documents) SELECT lang, reason, count(*) AS n FROM x GROUP BY 1, 2")
