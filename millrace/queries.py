@@ -702,3 +702,6 @@ def top_hits_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _read(spark, sf_dir, "embeddings")
     got = vectors.top_k(e.filter("vec_id % 50 = 0").select("vec_id", F.col("embedding").alias("q")), e, 3, query_id="vec_id", query_vector="q", pos="vec_id", group="label")
     return got.select("query_id", "label", "pos", "rank", F.round("score", 4).alias("score"))
+
+
+from millrace import authored as _authored  # noqa: E402, F401  (registers its queries)
