@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,11 +17,22 @@ UNK_PENALTY = 10.0
 
 
 def load_pieces(path: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a SentencePiece model file, by id."""
+    """A unigram vocabulary: the pieces of a SentencePiece file, by id, with log probabilities by Zipf's law.
+
+    The public files are of the merging kind: what they call scores are merge ranks, not log probabilities, and
+    adding them up means nothing. So a piece's probability is taken as 1 / (its place in the file's order), over
+    the sum of these; the file lists pieces in about the order of their frequency. Tokenizers are not trained here,
+    so the rule stands in for a fit. Unknown, control, byte and unused pieces get the least probability. Counts are
+    those of the Unigram tokenizer with this vocabulary, not of the merging tokenizer that the file describes."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    n = model.get_piece_size()
+    special = [model.is_unknown(i) or model.is_control(i) or model.is_byte(i) or (len(model.id_to_piece(i)) > 1 and not model.id_to_piece(i).strip(SPACE)) for i in range(n)]
+    places = np.cumsum(~np.array(special, bool))
+    total = math.log(sum(1 / k for k in range(1, int(places[-1]) + 1))) if n and places[-1] else 0.0
+    least = -math.log(n + 1) - total
+    return [(model.id_to_piece(i), least if special[i] else -math.log(int(places[i])) - total) for i in range(n)]
 
 
 class Counter:
@@ -118,8 +131,9 @@ def count_tokens(docs: DataFrame, model_path: str, unk_id: int = 0, id_col: str
     """doc_id, n_chars, n_tokens, score (of the best segmentation) of each whole text.
 
     Spaces become SPACE, one is put before the text, and the text is cut before each: no piece spans the cuts,
-    so chunks are counted by themselves and remembered. Null and empty texts have no tokens. Repeated rows are
-    counted each.
+    so chunks are counted by themselves and remembered. Null and empty texts have no tokens. Repeated rows and null
+    ids are counted each; texts are counted whole, however long; an empty table gives an empty result. Only the id
+    and the text are read, so other columns' names don't matter.
     """
 
     def make():

@@ -37,6 +37,30 @@ def test_token_counts_equal_the_tokenizer(spark, odd, none):
             assert counter.of(t)[0] == len(tok.encode(t).ids), t
 
 
+def test_token_counts_equal_an_independent_unigram_model(spark):
+    """The vocabulary as a SentencePiece unigram model, whose own Viterbi counts the fixtures' tokens."""
+    pt = pytest.importorskip("public_tokenizers")
+    sp = pytest.importorskip("sentencepiece")
+    pb = pytest.importorskip("sentencepiece.sentencepiece_model_pb2")
+    path = pt.path("piece_bpe_32k.model")
+    proto = pb.ModelProto()
+    with open(path, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.trainer_spec.model_type = pb.TrainerSpec.UNIGRAM
+    for piece, (text, score) in zip(proto.pieces, token_counts.load_pieces(path), strict=True):
+        assert piece.piece == text
+        piece.score = score
+        if len(text) > 1 and not text.strip("▁"):
+            piece.type = pb.ModelProto.SentencePiece.UNUSED  # runs of blanks
+    tok = sp.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, path).collect()}
+    want = {i: len(tok.encode(t)) for i, t in texts.items()}
+    assert got.keys() == want.keys()
+    assert [(i, got[i], want[i]) for i in got if got[i] != want[i]] == []
+
+
 def slow_hamming(rows, queries, k):
     code = lambda v: sum(1 << (63 - i) for i, x in enumerate(v[:64]) if x is not None and x > 0)
     codes = [(i, code(v)) for i, v in rows if v is not None and i is not None]
