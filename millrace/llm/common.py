@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Rows that one salted slice of a group holds on average.
 SLICE_ROWS = 2_000
+#: Rows of a key above which it may be a hot one, and the least number of keys that hot ones are fewer than.
+HOT_ROWS, HOT_KEYS = 500, 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -83,6 +85,18 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], salts: int, na
     return ranked.select(*mine, (F.col("_first") + F.col("_own")).cast("long").alias(name))
 
 
+def hub_join(left: DataFrame, right: DataFrame, key: str, weight: str, rows: int) -> DataFrame:
+    """left joined to right by `key`; right has one row a key, `weight` says how many rows of left (`rows` in all) hold it.
+
+    Keys with more than HOT_ROWS rows and more than a HOT_KEYS-th of all rows are sent to all tasks, so none of them
+    is a task of its own; there are fewer than HOT_KEYS such keys, whatever the data. The others are shuffled. right
+    has to be narrow; left is read twice."""
+    hot = max(HOT_ROWS, rows // HOT_KEYS)
+    heavy, light = right.filter(F.col(weight) > hot), right.filter(F.col(weight) <= hot)
+    held = left.join(F.broadcast(heavy), key)
+    return held.unionByName(left.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key).select(*held.columns))
+
+
 def unit_hash(*cols: Column | str) -> Column:
     """A repeatable number in [0, 1) for each row."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -39,7 +39,7 @@ def _best(query: np.ndarray, dist: np.ndarray, first_id: np.ndarray, code: np.nd
     return query[keep], dist[keep], first_id[keep], code[keep]
 
 
-def search_block(codes: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries: np.ndarray, k: int, most: np.ndarray | None = None):
+def search_block(codes: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries: np.ndarray, k: int, most: np.ndarray | None = None, start: int = 0):
     """The nearest codes of one index block for each query: (query row, code row, distance).
 
     codes: different codes with their smallest ids and numbers of copies (k at most). Segment tables are probed
@@ -47,7 +47,7 @@ def search_block(codes: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries
     SEGMENTS * (r + 1) - 1 has been verified, so a query ends as soon as that covers its kth verified distance
     (or `most`, a known bound of it). When a radius would take more probes than there are codes, the codes left
     are verified one by one instead. A code is verified where its nearest segment, the first of them, is probed,
-    so only once.
+    so only once. `start`: the first radius, where all codes that smaller ones reach are known already.
     """
     mine, theirs = _segments(codes), _segments(queries)
     tables = []
@@ -64,7 +64,7 @@ def search_block(codes: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries
         ok = d <= limit[q]
         found = tuple(np.concatenate(x) for x in zip(found, (q[ok], d[ok], ids[c[ok]], c[ok]), strict=True))
 
-    for radius in range(SEGMENT_BITS + 1):
+    for radius in range(start, SEGMENT_BITS + 1):
         if not len(open_q) or not len(codes):
             break
         scan = SEGMENTS * math.comb(SEGMENT_BITS, radius) > len(codes)
@@ -114,51 +114,106 @@ def _coded(rows: DataFrame, id_col: str, code: Column, k: int | None) -> DataFra
     return coded.withColumn("_nth", nth).filter(F.col("_nth") <= k).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
+def _segment(code: Column, i: int) -> Column:
+    return F.shiftrightunsigned(code, SEGMENT_BITS * i).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1))
+
+
+def _apart(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
+
+
+def probe(state: DataFrame, index: DataFrame, radius: int, k: int) -> DataFrame:
+    """The k nearest codes of each query among those not met before: code, hits (distance, first, other, n).
+
+    Each segment of a query is varied in `radius` bits, and the patterns are joined to the segments of the index. A
+    code is verified where its nearest segment, the first of them, is met, so only once, and is kept if it isn't
+    farther than the query's `most`."""
+    flips = F.expr(f"filter(sequence(0L, {(1 << SEGMENT_BITS) - 1}L), x -> bit_count(x) = {radius})")
+    parts = lambda c: F.posexplode(F.array(*[_segment(F.col(c), i) for i in range(SEGMENTS)])).alias("i", "part")
+    asked = state.select("code", "most", parts("code")).select("code", "most", "i", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("part")))).alias("part"))
+    entries = index.select(F.col("code").alias("other"), F.element_at("ids", 1).alias("first"), F.size("ids").alias("n"), parts("code"))
+    met = asked.join(entries, ["i", "part"])
+    apart = F.array(*[_apart(_segment(F.col("code"), i), _segment(F.col("other"), i)) for i in range(SEGMENTS)])
+    met = met.withColumn("apart", apart).filter((F.array_min("apart") == radius) & (F.array_position("apart", radius) == F.col("i") + 1))
+    met = met.withColumn("distance", _apart(F.col("code"), F.col("other"))).filter("distance <= most")
+    rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "first"))
+    best = met.select("code", "distance", "first", "other", "n").withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    return best.groupBy("code").agg(F.collect_list(F.struct("distance", "first", "other", "n")).alias("new"))
+
+
+HITS = "array<struct<distance:int,first:bigint,other:bigint,n:int>>"
+
+
+def _grown(state: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """state (code, hits, most) with the hits found; most: the kth smallest distance so far, copies counted."""
+    nothing = F.array().cast(HITS)
+    merged = F.slice(F.array_sort(F.concat("hits", F.coalesce(F.col("new").cast(HITS), nothing))), 1, k)
+    joined = state.join(found, "code", "left").select("code", "most", merged.alias("hits"))
+    start = F.struct(F.lit(0).alias("seen"), F.lit(BITS).alias("kth"))
+    step = lambda acc, h: F.struct((acc["seen"] + h["n"]).alias("seen"), F.when((acc["seen"] < k) & (acc["seen"] + h["n"] >= k), h["distance"]).otherwise(acc["kth"]).alias("kth"))
+    return joined.select("code", "hits", F.least("most", F.aggregate("hits", start, step)["kth"]).alias("most"))
+
+
+def scanned(state: DataFrame, index: DataFrame, radius: int, n_index: int, n_open: int, k: int) -> DataFrame:
+    """As `probe`, for all radii from `radius` on: pairs of blocks of the index and of the queries left."""
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, math.ceil(n_index / INDEX_BLOCK), min(cores, n_index // 4096))
+    q_blocks = max(1, math.ceil(n_open / QUERY_BLOCK))
+    block = lambda n: F.pmod(F.xxhash64("code"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.withColumn("block", block(blocks)).withColumn("q_block", every(q_blocks))
+    right = state.select("code", "most", block(q_blocks).alias("q_block")).withColumn("block", every(blocks))
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        queries_, ids = right.column("code").to_numpy().view(np.uint64), left.column("ids").to_pylist()
+        codes_ = left.column("code").to_numpy().view(np.uint64)
+        firsts, copies = np.array([x[0] for x in ids], np.int64), np.array([len(x) for x in ids], np.int64)
+        q, c, d = search_block(codes_, firsts, copies, queries_, k, right.column("most").to_numpy().astype(np.int64), radius)
+        columns = [queries_[q].view(np.int64), d.astype(np.int32), firsts[c], codes_[c].view(np.int64), copies[c].astype(np.int32)]
+        return pa.table(columns, names=["code", "distance", "first", "other", "n"])
+
+    by = ("block", "q_block")
+    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(search, "code long, distance int, first long, other long, n int")
+    rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "first"))
+    best = met.withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    return best.groupBy("code").agg(F.collect_list(F.struct("distance", "first", "other", "n")).alias("new"))
+
+
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k rows nearest to each query by Hamming distance of their sign codes, ties to the smaller id.
 
     Equal codes are searched once, as index (with their k smallest ids, which is all that a top k can hold) and
-    as query. The index is cut into blocks by a hash of the code, the queries too, and each pair of blocks is
-    one task, so the memory of a task is bounded. A first pass over each query's block with its own hash gives a
-    bound of its kth distance, which the other blocks need not search beyond. Rows with a null id or vector
-    (and queries alike) take no part; with fewer than k rows a query gets all; a row may find itself.
+    as query. The index is a table of segments and patterns; each round joins to it the patterns that differ from
+    the queries' segments in one bit more, so a query meets only the buckets that it probes. After radius r every
+    code within SEGMENTS * (r + 1) - 1 has been verified, and a query ends as soon as that covers its kth verified
+    distance. When a round would take more probes a query than there are codes, the queries left are compared with
+    all codes in pairs of blocks. A bucket with very many codes is split by adaptive execution's skewed joins.
+
+    Rows with a null id or vector (and queries alike) take no part; with fewer than k rows a query gets all; a row
+    may find itself; repeated rows are hits each; an empty table or query set gives an empty result.
     Returns query_id, rank (from 1), neighbor_id, distance.
     """
-    spark = rows.sparkSession
     index = stored(_coded(rows, id_col, sign_code(F.col(vector_col)), k), "codes")
     asked = stored(_coded(queries, id_col, sign_code(F.col(vector_col)), None), "asked")
-    codes = asked.select("code").distinct()
-    n_index, n_query = index.count(), codes.count()
-    blocks, q_blocks = max(1, math.ceil(n_index / INDEX_BLOCK)), max(1, math.ceil(n_query / QUERY_BLOCK))
-    block = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
-    asked_at = codes.select("code", block("code", q_blocks).alias("q_block"), F.pmod(F.xxhash64("code", F.lit(7)), F.lit(blocks)).cast("int").alias("home"))
-    dealt = index.select(block("code", blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"), "code", "ids")
-    out = "code long, distance int, ids array<long>"
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries_, ids = right.column("code").to_numpy().view(np.uint64), left.column("ids").to_pylist()
-        codes_ = left.column("code").to_numpy().view(np.uint64)
-        firsts, copies = np.array([x[0] for x in ids], np.int64), np.array([len(x) for x in ids], np.int64)
-        most = right.column("most").to_numpy().astype(np.int64)
-        q, c, d = search_block(codes_, firsts, copies, queries_, k, most)
-        return pa.table([pa.array(queries_[q].view(np.int64)), pa.array(d, pa.int32()), pa.array([ids[i] for i in c], pa.list_(pa.int64()))], names=["code", "distance", "ids"])
-
-    def run(asked_: DataFrame) -> DataFrame:
-        by = ("block", "q_block")
-        return dealt.groupBy(*by).cogroup(asked_.groupBy(*by)).applyInArrow(search, out)
-
-    def top(found: DataFrame) -> DataFrame:
-        each = found.select("code", "distance", F.explode("ids").alias("neighbor_id"))
-        rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "neighbor_id"))
-        return each.withColumn("rank", rank).filter(F.col("rank") <= k)
-
-    at_home = asked_at.select(F.col("home").alias("block"), "q_block", "code", F.lit(BITS).alias("most"))
-    first = stored(run(at_home), "first") if n_query and n_index else spark.createDataFrame([], out)
-    bound = top(first).groupBy("code").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(BITS)).alias("most"))
-    found = first
-    if blocks > 1:
-        others = asked_at.join(bound, "code", "left").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).filter("block <> home")
-        found = first.unionByName(run(others.select("block", "q_block", "code", F.coalesce("most", F.lit(BITS)).alias("most"))))
-    best = top(found).groupBy("code").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbor_id", "distance"))).alias("hits"))
-    answered = asked.join(best, "code").select(F.col("id").alias("query_id"), F.explode("hits").alias("hit"))
+    state = asked.select("code").distinct().select("code", F.array().cast(HITS).alias("hits"), F.lit(BITS).alias("most"))
+    n_index, done = index.count(), []
+    state = stored(state, "state")
+    for radius in range(SEGMENT_BITS + 1):
+        n_open = state.count()
+        if not n_open or not n_index:
+            break
+        scan = SEGMENTS * math.comb(SEGMENT_BITS, radius) > n_index
+        found = scanned(state, index, radius, n_index, n_open, k) if scan else probe(state, index, radius, k)
+        state = stored(_grown(state, found, k), "state")
+        if scan:
+            break
+        done.append(state.filter(F.col("most") < SEGMENTS * (radius + 1)))
+        state = state.filter(F.col("most") >= SEGMENTS * (radius + 1))
+    for ended in done:
+        state = state.unionByName(ended)
+    hits = state.select(F.col("code").alias("q"), F.explode("hits").alias("h")).select("q", "h.distance", F.col("h.other").alias("code")).join(index, "code")
+    each = hits.select("q", "distance", F.explode("ids").alias("neighbor_id"))
+    rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "neighbor_id"))
+    best = each.withColumn("rank", rank).filter(F.col("rank") <= k).groupBy("q").agg(F.array_sort(F.collect_list(F.struct("rank", "neighbor_id", "distance"))).alias("hits"))
+    answered = asked.join(best, asked["code"] == best["q"]).select(F.col("id").alias("query_id"), F.explode("hits").alias("hit"))
     return answered.select("query_id", F.col("hit.rank").alias("rank"), F.col("hit.neighbor_id").alias("neighbor_id"), F.col("hit.distance").alias("distance"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import WordHash, arrow_rows, fresh, mix, stored, text_bytes
+from millrace.llm.common import WordHash, arrow_rows, fresh, hub_join, mix, stored, text_bytes
 
 #: Words of a shingle; trees of the forest and the longest prefix of each; recall at the threshold to reach.
 WORDS, TREES, LONGEST, RECALL = 5, 20, 6, 0.9999
@@ -197,25 +197,27 @@ def components(edges: DataFrame) -> DataFrame:
     """node, comp (the smallest node of its connected component) for all ends of edges a - b.
 
     Large-star and small-star steps in turn: every node's larger (then smaller) neighbours are hung on its
-    smallest one, until the edges are stars. Nothing but two sums a round comes to the driver; each round is a
-    table in the shared folder.
+    smallest one, until the edges are stars. The smallest neighbours come from aggregations with partial results,
+    and reach the edges by `hub_join`, so a node with very many edges is no task of its own. Nothing but a count
+    and a sum a round comes to the driver; each round is a table in the shared folder.
     """
     one = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     now = stored(one, "edges")
-    state = None
+    state, n = None, now.count()
+    least = lambda e, own: e.groupBy("a").agg((F.least(F.min("b"), F.first("a")) if own else F.min("b")).alias("m"), F.count(F.lit(1)).alias("_n"))
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        large = hub_join(both, least(both, True), "a", "_n", 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stored(large.filter("a <> b").distinct(), "edges")
+        low = least(large, False)
+        small = hub_join(large, low, "a", "_n", n).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = small.unionByName(low.select("a", F.col("m").alias("b")))
         small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
         now = stored(small, "edges")
-        found = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if found == state:
+        n, total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if (n, total) == state:
             break
-        state = found
+        state = n, total
     return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())
 
 
