@@ -7,11 +7,12 @@ import gzip
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import shared_path, stored
+from millrace.llm.common import HOT_ROWS, hub_join, shared_path, stored, text_bytes
 
 #: Payload bytes of one archive file, about. It is read back as a whole.
 ARCHIVE_BYTES = 16 << 20
@@ -49,7 +50,9 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     the others revisits of it; pages with smaller payloads are all responses. Only ids, addresses, digests and
     lengths are shuffled by digest; payloads move once, by a unique key, and a revisit's payload is not written.
     A null payload is an empty one; a null id counts as the smallest; of repeated rows (same id and payload) one
-    keeps the role and the others revisit it. The archives are WARC 1.1 in UTF-8, each gzipped as a whole.
+    keeps the role and the others revisit it; an empty table gives no records. A payload is written whole, however
+    long. The archives are WARC 1.1 in UTF-8, each record a gzip member of its own, so a record can be read at its
+    offset. Columns other than the three named don't matter. The id -2**63 stands for a null one.
     """
     spark = pages.sparkSession
     body = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
@@ -62,10 +65,10 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
     )
     headers = stored(rows.select("pid", "url", "bytes", "digest"), "headers")
     total, n = headers.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
-    leaders = headers.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.max("pid").alias("leader"), F.max(F.struct("pid", "url")).alias("to"), F.count(F.lit(1)).alias("copies"))
-    leaders = leaders.filter("copies > 1").select("digest", "leader", F.col("to.url").alias("leader_url"))
+    leaders = headers.filter(F.col("bytes") >= min_bytes).groupBy("digest", "bytes").agg(F.max(F.struct("pid", "url")).alias("to"), F.count(F.lit(1)).alias("copies"))
+    leaders = leaders.filter("copies > 1").select("digest", F.col("to.pid").alias("leader"), F.col("to.url").alias("leader_url"), "copies")
     key = F.concat_ws("|", F.col("pid").cast("string"), "digest")
-    revisits = headers.select("pid", "digest").join(leaders, "digest").groupBy(key.alias("key")).agg(F.first("leader").alias("leader"), F.first("leader_url").alias("leader_url"))
+    revisits = hub_join(headers.select("pid", "digest"), leaders, "digest", "copies", n).groupBy(key.alias("key")).agg(F.first("leader").alias("leader"), F.first("leader_url").alias("leader_url"))
     files = max(1, -(-(total + 600 * n) // ARCHIVE_BYTES))
     placed = rows.withColumn("key", key).repartition(files, "key").join(revisits.repartition(files, "key"), "key", "left")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("url"))
@@ -98,11 +101,38 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
         F.when(is_revisit, F.lit("")).otherwise(F.col("body")),
     )
     path = shared_path(spark, "warc")
-    # the text writer's line end closes a record
-    placed.select(record.alias("value")).write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
+    whole = F.concat(record, F.lit(CRLF * 2)).alias("value")
+    placed.select(whole).mapInArrow(_members, "value string").write.option("lineSep", "\0").text(path)
     return path
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member without its last byte, which the text writer adds as its line end.
+
+    A member ends in its record's length, the highest byte last: 0 for records under 16 MB. A longer one, with an
+    empty member behind it, ends in 0 too. The column is called a string, but its bytes are written as they are."""
+    empty = gzip.compress(b"", mtime=0)
+
+    def column(members: list[bytes]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *map(len, members)], dtype=np.int32)
+        data = pa.Array.from_buffers(pa.string(), len(members), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(members))])
+        return pa.RecordBatch.from_arrays([data], names=["value"])
+
+    for batch in batches:
+        held: list[bytes] = []
+        size = 0
+        for at in range(batch.num_rows):
+            (data,) = text_bytes(batch.column(0).slice(at, 1))
+            member = gzip.compress(data, 6, mtime=0)
+            held.append((member if member[-1] == 0 else member + empty)[:-1])
+            size += len(member)
+            if size >= 8 << 20:
+                yield column(held)
+                held, size = [], 0
+        if held:
+            yield column(held)
+
+
 def parse_archive(data: bytes) -> Iterator[dict]:
     """The records of one archive, found by their Content-Length; a broken one is an error."""
     at, end = 0, len(data)
@@ -163,8 +193,19 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """records with each revisit's length (and payload, if there) taken from the response it refers to."""
+    """records with each revisit's length (and payload, if there) taken from the response it refers to.
+
+    Responses stay as they are. A response to which very many records refer is dealt to several places, each for
+    about HOT_ROWS of its revisits, so none is a task of its own. A revisit of nothing, or of a record that isn't
+    there, keeps its nulls. An empty table gives an empty result."""
     more = [c for c in ("payload_bytes", "payload") if c in records.columns]
-    answers = records.filter("record_type = 'response'").select(F.col("record_id").alias("_id"), *[F.col(c).alias(f"_{c}") for c in more])
-    joined = records.join(answers, records["refers_to_record"] == answers["_id"], "left")
-    return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in more else F.col(c) for c in records.columns])
+    records = stored(records, "records")
+    own = records.filter("record_type = 'response' or refers_to_record is null")
+    revisits = records.filter("record_type <> 'response' and refers_to_record is not null")
+    asked = stored(revisits.groupBy("refers_to_record").agg(F.count(F.lit(1)).alias("_n")), "asked")
+    places = F.ceil(F.col("_n") / HOT_ROWS).cast("int")
+    dealt = hub_join(revisits, asked, "refers_to_record", "_n", revisits.count()).withColumn("_place", F.pmod(F.xxhash64("record_id"), places)).drop("_n")
+    answers = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_record"), *[F.col(c).alias(f"_{c}") for c in more])
+    answers = answers.join(asked, "refers_to_record").withColumn("_place", F.explode(F.sequence(F.lit(0).cast("long"), places.cast("long") - 1))).drop("_n")
+    joined = dealt.join(answers, ["refers_to_record", "_place"], "left")
+    return own.unionByName(joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in more else F.col(c) for c in records.columns]))

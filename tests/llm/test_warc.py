@@ -50,6 +50,34 @@ def test_records_are_well_formed(spark):
     assert seen == len(PAGES)
 
 
+def test_each_record_is_a_member(spark):
+    import zlib
+
+    path, seen = warc.write_archives(pages(spark)), 0
+    for f in glob(f"{path.removeprefix('file:')}/part-*"):
+        rest = open(f, "rb").read()
+        while rest:
+            one = zlib.decompressobj(31)
+            assert len(list(warc.parse_archive(one.decompress(rest)))) == 1
+            rest, seen = one.unused_data, seen + 1
+    assert seen == len(PAGES)
+
+
+def test_long_records_end_in_a_zero_byte():
+    import pyarrow as pa
+
+    text = "x" * (17 << 20)
+    (got,) = warc._members(iter([pa.RecordBatch.from_arrays([pa.array([text])], names=["value"])]))
+    assert gzip.decompress(got.column(0).buffers()[2].to_pybytes() + b"\0") == text.encode()
+
+
+def test_many_revisits_of_one_response(spark, monkeypatch):
+    monkeypatch.setattr(warc, "HOT_ROWS", 3)
+    rows = [(i, "u", "the same") for i in range(40)] + [(100 + i, "u", f"own {i}") for i in range(5)]
+    got = warc.resolve_revisits(warc.read_archives(spark, warc.write_archives(pages(spark, rows)))).collect()
+    assert Counter((r.page_id, bytes(r.payload).decode()) for r in got) == Counter((i, h) for i, _, h in rows)
+
+
 def test_small_payloads_stay_responses(spark):
     got = warc.read_archives(spark, warc.write_archives(pages(spark), min_bytes=8), payloads=False)
     assert {r.page_id for r in got.filter("record_type = 'revisit'").collect()} == {None, 1, 9}
