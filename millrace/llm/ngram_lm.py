@@ -3,7 +3,9 @@
 No table of counts is ever in one place. Texts become batches of token numbers with the batch's own vocabulary.
 A batch asks for the counts of its different n-grams: one block of sorted hashes for each hash partition, with the
 batch's own multiplicities. A partition adds up all multiplicities it was sent and answers each block with totals,
-in the block's order. Partitions grow in number with the corpus, so a task holds about PARTITION_TOKENS entries.
+in the block's order. Both batches and partitions grow in size with the root of the corpus, so their numbers do too,
+and the number of blocks, their product, grows in proportion to the corpus, until tasks are as large as they may be;
+beyond that a block only gets smaller, and there is never more than one for each different n-gram of a batch.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import WordHash, crc_mod, mix, stored, text_bytes
 
-#: Text bytes of a batch, and tokens for which there is one hash partition.
-BATCH_BYTES, PARTITION_TOKENS = 8 << 20, 2_000_000
+#: Text bytes of a batch, and tokens for which there is one hash partition, for a corpus of up to BASE_BYTES; by how
+#: much they grow for larger ones at most.
+BATCH_BYTES, PARTITION_TOKENS, BASE_BYTES, MOST_GROWTH = 8 << 20, 2_000_000, 1 << 30, 4.0
 #: Parts that documents play: counted, counted and held out from the counts when weights are learned, only scored.
 COUNTED, WEIGHING, SCORED = 0, 1, 2
 #: Context frequencies 0, 1, 2-3, 4-7, ... share weights, those of 2 ** (BUCKETS - 2) and more too.
@@ -35,14 +38,20 @@ BLOCKS = "p int, ngram int, batch long, part int, hashes binary, times binary"
 ANSWERS = "batch long, ngram int, p int, part int, total binary, without binary, n_types long, n_types_without long"
 
 
+#: Integer arrays of fewer bytes are stored as they are.
+SMALL = 256
+_RAW, _PACKED = b"\0", b"\1"
+
+
 def _zip(x: np.ndarray) -> bytes:
-    """An integer array by byte planes, compressed."""
+    """An integer array by byte planes, compressed if that is worth it."""
     planes = x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    return _RAW + planes if len(planes) < SMALL else _PACKED + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def _unzip(data: bytes, kind: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    rest = memoryview(data)[1:]
+    raw = np.frombuffer(rest if data[:1] == _RAW else zstandard.ZstdDecompressor().decompress(rest), np.uint8)
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(raw.reshape(size, -1).T).reshape(-1).view(kind)
 
@@ -61,8 +70,13 @@ def _batch(columns: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, (_, t) in zip(columns, names, strict=True)], names=[n for n, _ in names])
 
 
-def token_batches(docs: DataFrame, id_col: str, text_col: str, folds: int, held_fold: int, weigh_fold: int) -> DataFrame:
-    """Documents of one part in batches of about BATCH_BYTES: their tokens as numbers in the batch's sorted
+def growth(text_bytes_: int) -> float:
+    """By how much batches and partitions are larger than for a corpus of BASE_BYTES."""
+    return min(MOST_GROWTH, max(1.0, math.sqrt(text_bytes_ / BASE_BYTES)))
+
+
+def token_batches(docs: DataFrame, id_col: str, text_col: str, folds: int, held_fold: int, weigh_fold: int, batch_bytes: int) -> DataFrame:
+    """Documents of one part in batches of about `batch_bytes`: their tokens as numbers in the batch's sorted
     vocabulary of hashes, each text between a beginning and an end."""
     fold = F.coalesce(crc_mod(id_col, folds), F.lit(held_fold))
     part = F.when(fold == held_fold, SCORED).when(fold == weigh_fold, WEIGHING).otherwise(COUNTED).cast("int")
@@ -93,7 +107,7 @@ def token_batches(docs: DataFrame, id_col: str, text_col: str, folds: int, held_
                 at[0].append(i)
                 at[1].append(h)
                 at[2] += len(t or b"") + 16
-                if at[2] >= BATCH_BYTES:
+                if at[2] >= batch_bytes:
                     yield flush(part)
         for part in sorted(held):
             yield flush(part)
@@ -210,14 +224,17 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model with `alpha` added to each count.
 
     Null and empty texts are one end token. A null id is only scored. Repeated rows count and are scored each.
-    Without training documents every token gets 1 / (0 + 1), log10 probability 0.
+    Texts are scored whole, however long; ties don't arise. Without training documents every token gets
+    1 / (0 + 1), log10 probability 0; an empty table gives an empty result. Only the id and the text are read.
     """
     spark = docs.sparkSession
-    batches = stored(token_batches(docs, id_col, text_col, folds, held_fold, weigh_fold), "batches", "uncompressed")
+    larger = growth(docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col).cast("string"))), F.lit(0))).first()[0])
+    batches = token_batches(docs, id_col, text_col, folds, held_fold, weigh_fold, round(BATCH_BYTES * larger))
+    batches = stored(batches, "batches", "uncompressed")
     sizes = {r[0]: r[1] for r in batches.groupBy("part").agg(F.sum("n_tokens")).collect()}
     without = sizes.get(COUNTED, 0)
     total = without + sizes.get(WEIGHING, 0)
-    partitions = max(1, math.ceil(sum(sizes.values()) / PARTITION_TOKENS))
+    partitions = max(1, math.ceil(sum(sizes.values()) / (PARTITION_TOKENS * larger)))
     answers = stored(_answers(_requests(batches, partitions)), "answers", "uncompressed")
     types, types_without = answers.filter("batch is null").agg(F.coalesce(F.sum("n_types"), F.lit(0)), F.coalesce(F.sum("n_types_without"), F.lit(0))).first()
     answers = answers.filter("batch is not null").select("batch", "ngram", "p", "part", "total", "without")

@@ -208,6 +208,23 @@ def test_lm_against_brute_force(spark, odd, none, monkeypatch):
     assert ngram_lm.score_documents(none).count() == 0
 
 
+def test_lm_blocks_grow_with_the_corpus(spark, monkeypatch):
+    for name, value in {"BATCH_BYTES": 4000, "PARTITION_TOKENS": 600, "BASE_BYTES": 60_000, "MOST_GROWTH": 10.0}.items():
+        monkeypatch.setattr(ngram_lm, name, value)
+    ask, blocks = ngram_lm._requests, []
+
+    def counted(batches, partitions):
+        blocks.append(ask(batches, partitions).count())
+        return ask(batches, partitions)
+
+    monkeypatch.setattr(ngram_lm, "_requests", counted)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(60))) for i in range(4000)]
+    for n in (400, 4000):
+        ngram_lm.score_documents(spark.createDataFrame(rows[:n], "doc_id long, text string").coalesce(1)).count()
+    assert blocks[1] < 14 * blocks[0]  # ten times the corpus, and not a hundred times the blocks
+
+
 def test_weights_prefer_what_predicts():
     cells = [(3, 4, 40, 100), (1, -1, 8, 100)]  # pairs predict well in bucket 3, not at all in bucket 1
     w = ngram_lm.learn_weights(cells, 1e6)
