@@ -16,6 +16,8 @@ BITS, SEGMENTS = 64, 4
 SEGMENT_BITS = BITS // SEGMENTS
 #: Different codes of an index block, and different query codes of a query block, about.
 INDEX_BLOCK, QUERY_BLOCK = 32_768, 4_096
+#: Comparisons of two codes in a block that cost as much as a probe, a row of a shuffled join.
+PROBE_COST = 64
 
 
 def sign_code(vector: Column) -> Column:
@@ -128,11 +130,13 @@ def probe(state: DataFrame, index: DataFrame, radius: int, k: int) -> DataFrame:
     Each segment of a query is varied in `radius` bits, and the patterns are joined to the segments of the index. A
     code is verified where its nearest segment, the first of them, is met, so only once, and is kept if it isn't
     farther than the query's `most`."""
-    flips = F.expr(f"filter(sequence(0L, {(1 << SEGMENT_BITS) - 1}L), x -> bit_count(x) = {radius})")
+    masks = (sum(1 << b for b in bits) for bits in combinations(range(SEGMENT_BITS), radius))
+    flips = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")  # one constant in the plan
     parts = lambda c: F.posexplode(F.array(*[_segment(F.col(c), i) for i in range(SEGMENTS)])).alias("i", "part")
-    asked = state.select("code", "most", parts("code")).select("code", "most", "i", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("part")))).alias("part"))
+    asked = state.repartition("code").select("code", "most", parts("code")).select("code", "most", "i", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("part")))).alias("part"))
     entries = index.select(F.col("code").alias("other"), F.element_at("ids", 1).alias("first"), F.size("ids").alias("n"), parts("code"))
-    met = asked.join(entries, ["i", "part"])
+    # few rows become very many here, which the planner doesn't foresee: it must not broadcast them
+    met = asked.hint("merge").join(entries, ["i", "part"])
     apart = F.array(*[_apart(_segment(F.col("code"), i), _segment(F.col("other"), i)) for i in range(SEGMENTS)])
     met = met.withColumn("apart", apart).filter((F.array_min("apart") == radius) & (F.array_position("apart", radius) == F.col("i") + 1))
     met = met.withColumn("distance", _apart(F.col("code"), F.col("other"))).filter("distance <= most")
@@ -186,8 +190,8 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
     as query. The index is a table of segments and patterns; each round joins to it the patterns that differ from
     the queries' segments in one bit more, so a query meets only the buckets that it probes. After radius r every
     code within SEGMENTS * (r + 1) - 1 has been verified, and a query ends as soon as that covers its kth verified
-    distance. When a round would take more probes a query than there are codes, the queries left are compared with
-    all codes in pairs of blocks. A bucket with very many codes is split by adaptive execution's skewed joins.
+    distance. When a round's probes would cost more than comparing a query with all codes (PROBE_COST comparisons a
+    probe), the queries left are compared with all codes in pairs of blocks. A bucket with very many codes is split by adaptive execution's skewed joins.
 
     Rows with a null id or vector (and queries alike) take no part; with fewer than k rows a query gets all; a row
     may find itself; repeated rows are hits each; an empty table or query set gives an empty result.
@@ -202,7 +206,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec
         n_open = state.count()
         if not n_open or not n_index:
             break
-        scan = SEGMENTS * math.comb(SEGMENT_BITS, radius) > n_index
+        scan = PROBE_COST * SEGMENTS * math.comb(SEGMENT_BITS, radius) > n_index
         found = scanned(state, index, radius, n_index, n_open, k) if scan else probe(state, index, radius, k)
         state = stored(_grown(state, found, k), "state")
         if scan:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -133,6 +134,20 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield column(held)
 
 
+def archive_members(data: bytes) -> Iterator[bytes]:
+    """The contents of an archive's gzip members, one by one, in time linear in the archive's size."""
+    at, end = 0, len(data)
+    while at < end:
+        member, out = zlib.decompressobj(31), []
+        while not member.eof:
+            if at >= end:
+                raise ValueError("an archive ends in the middle of a gzip member")
+            part = data[at : at + 4096]
+            out.append(member.decompress(part))
+            at += len(part) - len(member.unused_data)
+        yield b"".join(out)
+
+
 def parse_archive(data: bytes) -> Iterator[dict]:
     """The records of one archive, found by their Content-Length; a broken one is an error."""
     at, end = 0, len(data)
@@ -180,9 +195,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
         for batch in batches:
             for i in range(batch.num_rows):
                 rows, size = [], 0
-                for r in parse_archive(gzip.decompress(batch.column(0)[i].as_py())):
-                    rows.append({n: r[n] for n in names})
-                    size += len(r["payload"] or b"") if payloads else 1
+                for member in archive_members(batch.column(0)[i].as_py()):
+                    for r in parse_archive(member):
+                        rows.append({n: r[n] for n in names})
+                        size += len(r["payload"] or b"") if payloads else 1
                     if len(rows) >= 1000 or size > 8 << 20:
                         yield pa.RecordBatch.from_pylist(rows, arrow)
                         rows, size = [], 0

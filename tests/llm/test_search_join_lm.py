@@ -81,6 +81,11 @@ def test_hamming_against_brute_force(spark, monkeypatch):
             got[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
         want = slow_hamming(vectors, [v for v in vectors if v[0] % 7 == 0], 10)
         assert {q: [(d, i) for _, d, i in sorted(h)] for q, h in got.items()} == want
+    monkeypatch.setattr(hamming, "PROBE_COST", 1)  # more rounds of probes before all is compared
+    again = defaultdict(list)
+    for r in hamming.nearest(df, df.filter("vec_id % 7 = 0"), 10).collect():
+        again[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
+    assert {q: sorted(h) for q, h in again.items()} == {q: sorted(h) for q, h in got.items()}
     few = hamming.nearest(df.filter("vec_id < 3"), df.filter("vec_id = 1"), 10)
     assert few.count() == 3 and hamming.nearest(df.limit(0), df, 3).count() == 0 and hamming.nearest(df, df.limit(0), 3).count() == 0
 
