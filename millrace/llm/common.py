@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import re
 import tempfile
@@ -41,9 +42,31 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_made: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/millrace/{uuid.uuid4().hex}"
+    for held in _made:
+        held.append(folder)
+    return f"{folder}/{name}"
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables and archives that operators store inside the context when it ends.
+
+    Results read them lazily, so write what is to stay before the end."""
+    mine: list[str] = []
+    _made.append(mine)
+    try:
+        yield
+    finally:
+        _made.remove(mine)
+        for folder in mine:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

@@ -101,14 +101,15 @@ class Scores(dict):
         return self.model.langs[best], float(odds[best] / odds.sum())
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang", known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS, seen: int = 2) -> Model:
     """The model of the labelled rows of docs, from a sample of about `train_docs` different texts a language.
 
     The sample is by hash, from the whole table, all texts of a language that has no more. Copies of a text in a
     language count as one, so they neither keep a language out of the sample nor make it large. Counts of words and
-    n-grams are summed by Spark, and only the most frequent come to the driver: KNOWN_WORDS words seen twice or
-    more and KNOWN_GRAMS n-grams of each length a language, which bounds the driver's work and the broadcast.
-    Rows with a null language or text teach nothing.
+    n-grams are summed by Spark, and only the most frequent come to the driver, ties in the entries' order:
+    `known_words` words that occur `seen` times or more and `known_grams` n-grams of each length a language, which
+    bounds the driver's work and the broadcast. Rows with a null language or text teach nothing; null ids teach like
+    others; texts are counted whole, however long; an empty table gives a model without languages.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in rows.select("lang", F.xxhash64("text").alias("key")).distinct().groupBy("lang").count().collect()}
@@ -135,8 +136,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", l
     counted = stored(some.mapInArrow(count, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")), "counted")
     totals = {(r[0], r[1]): r[2] for r in counted.groupBy("lang", "size").agg(F.sum("n")).collect()}
     nth = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))
-    most = F.when(F.col("size") == 0, KNOWN_WORDS).otherwise(KNOWN_GRAMS)
-    known = counted.filter("size > 0 or n > 1").withColumn("nth", nth).filter(F.col("nth") <= most).select("lang", "size", "entry", "n").toArrow()
+    most = F.when(F.col("size") == 0, known_words).otherwise(known_grams)
+    known = counted.filter((F.col("size") > 0) | (F.col("n") >= seen)).withColumn("nth", nth).filter(F.col("nth") <= most).select("lang", "size", "entry", "n").toArrow()
     columns = [known.column(i) for i in range(4)]
     learned = [k for k in sizes if totals.get((k, 0))]
     return Model(learned, ((a.as_py(), b.as_py(), c.as_py(), d.as_py()) for a, b, c, d in zip(*columns, strict=True)), totals)
@@ -145,7 +146,9 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", l
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (posterior share of the best language): `und` and 0 for a null text or one without letters.
 
-    Words are the runs of letters of the whole lower-cased text. Repeated rows are each predicted."""
+    Words are the runs of letters of the whole lower-cased text, however long. Languages that score alike go to the
+    first by name. Repeated rows and null ids are each predicted; an empty table gives an empty result; a model
+    without languages predicts `und`. Other columns don't matter."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
@@ -162,7 +165,9 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1) -> DataFrame:
-    """Fits on the labelled rows outside the held-out fold (crc32 of the id as text) and predicts all rows."""
+    """Fits on the labelled rows outside the held-out fold (crc32 of the id as text) and predicts all rows.
+
+    Rows with a null id are held out. For odd input see `fit` and `predict`."""
     part = F.coalesce(crc_mod(id_col, folds), F.lit(held_fold))
     model = fit(docs.filter(part != held_fold), text_col=text_col, lang_col=lang_col)
     got = predict(docs, model, id_col, text_col)
@@ -172,7 +177,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1) -> DataFrame:
     """The documents whose language is told with a score of `least` or more.
 
-    The model is fitted as in `identify`. Rows are judged where they stand: nothing is shuffled."""
+    The model is fitted as in `identify`. Rows are judged where they stand: nothing is shuffled. Columns of any names
+    come along; repeated rows and null ids are judged each; an empty table stays empty."""
     part = F.coalesce(crc_mod(id_col, folds), F.lit(held_fold))
     shipped = docs.sparkSession.sparkContext.broadcast(fit(docs.filter(part != held_fold), text_col=text_col, lang_col=lang_col))
 

@@ -247,7 +247,7 @@ def fillings(counts: Counter, gap: int) -> list[tuple[int, ...]]:
     return [f for batch in filling_batches(counts, gap) for f in batch]
 
 
-def bin_completion(counts: Counter, capacity: int) -> Bins:
+def bin_completion(counts: Counter, capacity: int, most_nodes: int | None = None) -> Bins:
     """Bins for all items of the histogram, as few as the search can find.
 
     The incumbent is best-fit decreasing; if its number of bins meets the lower bound it is optimal. Else the
@@ -257,7 +257,9 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     packing of the rest may become the incumbent.
 
     A node branches on its best fillings first. When all branches made so are done, the nodes are visited again,
-    the first ones first, for their other fillings, so the search ends with a proof or after MOST_NODES visits.
+    the first ones first, for their other fillings. The search ends when the incumbent meets the lower bound, when
+    nothing is left to try, or after `most_nodes` visits (MOST_NODES). Taking as many alike bins at once as there can
+    be leaves out packings that use a filling fewer times, so an incumbent above the lower bound is not proven best.
     """
     counts = Counter({s: n for s, n in counts.items() if n > 0})
     if not counts:
@@ -296,7 +298,7 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     stack: list[tuple[Counter, tuple, int, int]] = [(counts, (), 0, 0)]
     later: deque[tuple[tuple, int, int]] = deque()  # nodes whose fillings have not all come
     again: tuple | None = None  # the one of them that is being continued
-    while (stack or again or later) and most > bound and nodes < MOST_NODES:
+    while (stack or again or later) and most > bound and nodes < (most_nodes or MOST_NODES):
         nodes += 1
         if stack:
             left, made, bins, waste = stack.pop()
@@ -327,7 +329,7 @@ def bin_completion(counts: Counter, capacity: int) -> Bins:
     return best
 
 
-def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+def pack_pieces(pieces: DataFrame, capacity: int = 2048, most_nodes: int | None = None) -> DataFrame:
     """pieces (doc_id, piece, start, length, ids_crc32, ...) with sequence_id and offset.
 
     Only the histogram of lengths (at most `capacity` entries) goes to the driver, and only the fillings, whose
@@ -337,7 +339,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     hist = Counter({r[0]: r[1] for r in pieces.groupBy("length").agg(F.count(F.lit(1))).collect()})
     starts: dict[int, list] = {}
     base, used = 0, Counter()
-    for filling, bins in bin_completion(hist, capacity):
+    for filling, bins in bin_completion(hist, capacity, most_nodes):
         offset = 0
         for size, times in filling:
             starts.setdefault(size, []).append((used[size], times, base, offset))
@@ -367,5 +369,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Documents tokenized, cut where longer than a sequence, and packed: see `token_pieces` and `pack_pieces`.
 
-    Repeated rows are packed each; null ids stay null; empty and null texts take one token."""
+    Repeated rows are packed each; null ids stay null; empty and null texts take one token; texts are packed whole,
+    however long; pieces that tie in length are exchangeable; an empty table gives an empty result. Only the id and
+    the text are read, so other columns' names don't matter."""
     return pack_pieces(stored(token_pieces(docs, tokenizer_path, capacity, end_id), "pieces"), capacity)

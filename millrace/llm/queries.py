@@ -144,9 +144,76 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_offset", "in_mix")
 
 
+# --- what SQL can say of operators whose whole result it can't express ---
+
+_TOKENS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of op1_quality."""
+    return op1_quality(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUALITY_SQL = rf"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {_TOKENS.format("text")} AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS ls FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM t WHERE len(ws) >= 5),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i+4], chr(10))) AS times FROM w),
+r AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS k FROM g WHERE times > 1) GROUP BY 1),
+c AS (SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM t LEFT JOIN r ON r.doc_id = t.doc_id)
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM c
+"""
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of op6_lm_score."""
+    got = op6_lm_score(spark, sf_dir)
+    return got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
+
+
+#: crc32 of an ASCII text: each byte is mixed in, then eight bits are shifted out.
+_CRC = "xor(list_reduce(flatten(list_transform(string_split({}, ''), lambda c: list_concat([CAST(ord(c) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295), 4294967295)"
+
+LM_SQL = rf"""
+WITH d AS (SELECT doc_id, {_CRC.format("CAST(doc_id AS VARCHAR)")} % 10 = 0 AS held_out,
+    list_append({_TOKENS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, chr(10)) AS ws FROM documents),
+e AS (SELECT doc_id, held_out, unnest(ws) AS w FROM d),
+c AS (SELECT w, count(*) AS c FROM e WHERE NOT held_out GROUP BY 1),
+n AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.1) / (n + 0.1 * (v + 1)))), 6) AS base_score
+FROM e LEFT JOIN c ON c.w = e.w, n GROUP BY 1, 2
+"""
+
+
+def shard_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of op7_sharding: all rows, their sizes, shards within the largest group of the mean, whole groups, gapless slots."""
+    got = op7_sharding(spark, sf_dir).join(_read(spark, sf_dir, "documents").select("doc_id", F.xxhash64("text").alias("t")), "doc_id")
+    per = got.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("last"))
+    shards = per.agg(F.count(F.lit(1)).alias("shards"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min((F.col("slots") == F.col("n")) & (F.col("last") == F.col("n") - 1)).alias("gapless"), (F.max("bytes") - F.min("bytes")).alias("spread"))
+    groups = got.groupBy("t").agg(F.sum("size").alias("g"), F.countDistinct("shard").alias("s")).agg(F.max("g").alias("largest"), (F.max("s") == 1).alias("together"))
+    return shards.join(groups).select("shards", "n", "bytes", "gapless", "together", (F.col("spread") <= F.col("largest")).alias("balanced"))  # one row each
+
+
+SHARD_SQL = "SELECT CAST(40 AS BIGINT) AS shards, count(*) AS n, CAST(sum(coalesce(strlen(text), 0) + 16) AS BIGINT) AS bytes, true AS gapless, true AS together, true AS balanced FROM documents"
+
+
+def mix_laws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of op10_mixing by source: all rows placed, each block's slot its own, and in the mix each full."""
+    got = op10_mixing(spark, sf_dir)
+    blocks = got.groupBy("source", "mix_slot").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("mix_offset").alias("places"), F.max("in_mix").alias("in_mix"))
+    own = got.groupBy("mix_slot").agg(F.countDistinct(F.coalesce("source", F.lit(""))).alias("sources")).agg((F.max("sources") == 1).alias("own"))
+    per = blocks.groupBy("source").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("blocks"), F.min((F.col("n") == F.col("places")) & (~F.col("in_mix") | (F.col("n") == 8))).alias("full"))
+    return per.join(own).select("source", "n", "blocks", "full", "own")  # own is one row
+
+
+MIX_SQL = "SELECT source, count(*) AS n, CAST(ceil(count(*) / 8) AS BIGINT) AS blocks, true AS full, true AS own FROM documents GROUP BY 1"
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, quality_counts, lm_base_scores, shard_laws, mix_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL}
+    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL, "quality_counts": QUALITY_SQL, "lm_base_scores": LM_SQL, "shard_laws": SHARD_SQL, "mix_laws": MIX_SQL}
