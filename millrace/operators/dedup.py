@@ -19,16 +19,16 @@ from millrace.operators.staging import staged
 SLICE = 256
 
 
-def _first_of(keyed: DataFrame, keys: list[str], order: Column, mine: list[str]) -> DataFrame:
+def _first_of(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
     """Of each key the row with the least `order`; of rows that tie in it the one with the least hash, so exactly one.
 
     One aggregation with partial results: a key with very many rows sends one of them a task, and is no task of
-    its own."""
-    kinds = dict(keyed.dtypes)
-    hashed = F.xxhash64(*[F.to_json(F.col(f"`{c}`")) if "map<" in kinds[c] else F.col(f"`{c}`") for c in mine])
-    row = F.struct(*[F.col(f"`{c}`") for c in mine])
-    best = F.min_by(row, F.struct(order.alias("o"), hashed.alias("h")))
-    return keyed.groupBy(*keys).agg(best.alias("_row")).select("_row.*")
+    its own. Columns of any names may come along."""
+    kinds = dict(df.dtypes)
+    hashed = F.xxhash64(*[F.to_json(F.col(f"`{c}`")) if "map<" in kinds[c] else F.col(f"`{c}`") for c in df.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    keyed = df.select(row, F.struct(order.alias("o"), hashed.alias("h")).alias("order"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    return keyed.groupBy(*[f"k{i}" for i in range(len(keys))]).agg(F.min_by("row", "order").alias("row")).select("row.*")
 
 
 def keep_first(df: DataFrame, key: Column | list[Column], order: list[str], always: Column | None = None) -> DataFrame:
@@ -36,12 +36,10 @@ def keep_first(df: DataFrame, key: Column | list[Column], order: list[str], alwa
 
     Of rows that tie in the order one stays, the same one whatever the partitions. Null keys are a key."""
     keys = key if isinstance(key, list) else [key]
-    mine = df.columns
-    keyed = df.select("*", *[k.alias(f"_k{i}") for i, k in enumerate(keys)])
-    if always is not None:
-        stay, keyed = keyed.filter(F.coalesce(always, F.lit(False))), keyed.filter(~F.coalesce(always, F.lit(False)))
-    out = _first_of(keyed, [f"_k{i}" for i in range(len(keys))], F.struct(*order), mine)
-    return out if always is None else out.unionByName(stay.select(*mine))
+    if always is None:
+        return _first_of(df, keys, F.struct(*order))
+    stays = F.coalesce(always, F.lit(False))
+    return _first_of(df.filter(~stays), keys, F.struct(*order)).unionByName(df.filter(stays))
 
 
 def title_program_key() -> list[Column]:
@@ -80,7 +78,7 @@ def keep_better(df: DataFrame, key: Column, title: Column, content: Column, vers
     """Of each key the best row by `worth`, the earlier of equals; exactly one, also of rows that tie in all that."""
     w = worth(title, content, version)
     rank = F.struct((-w["good"]).alias("g"), (-w["words"]).alias("w"), (-w["rank"]).alias("r"), F.col(order).alias("o"))
-    return _first_of(df.select("*", key.alias("_k"), rank.alias("_w")), ["_k"], F.col("_w"), df.columns)
+    return _first_of(df, [key], rank)
 
 
 def in_final_order(records: DataFrame, category: str = "category", title: str = "title") -> DataFrame:
