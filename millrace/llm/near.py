@@ -387,9 +387,12 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id"
     whole, however long. Other columns don't matter. An empty table gives an empty result.
     """
     signed, known = _grouped(docs, threshold, id_col, text_col, recall, slack)
-    out = signed.select("doc_id", "node").join(known, "node", "left")
+    worded = signed.filter("node is not null").select("doc_id", "node")
+    out = hub_join(worded, known, "node", "copies", worded.count()).select("doc_id", "copy_id", "class_id", "n_links")
+    lone = [F.lit(None).cast("long").alias("copy_id"), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links")]
+    out = out.unionByName(signed.filter("node is null").select("doc_id", *lone))
     real = lambda c: F.coalesce(F.nullif(F.col(c), F.lit(NO_ID)), F.col("doc_id"))
-    return out.select("doc_id", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", real("copy_id").alias("copy_id"), real("class_id").alias("class_id"), "n_links")
 
 
 def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str, recall: float, slack: float) -> tuple[DataFrame, DataFrame]:
@@ -416,7 +419,7 @@ def _grouped(docs: DataFrame, threshold: float, id_col: str, text_col: str, reca
     known = known.select("node", "copies", "rep", "text_hash", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "node").alias("root"))
     first = known.groupBy("root").agg(F.min(F.struct("rep", "text_hash")).alias("first"))
     first = first.select("root", F.col("first.rep").alias("class_id"), F.col("first.text_hash").alias("class_hash"))
-    known = known.join(first, "root").select("node", F.col("rep").alias("copy_id"), "class_id", "class_hash", (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    known = known.join(first, "root").select("node", "copies", F.col("rep").alias("copy_id"), "class_id", "class_hash", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     return signed, stored(known, "known")
 
 
