@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -103,27 +104,37 @@ def window_purity(rows: DataFrame, block: str, order: str, vector: str, least: i
     return got.select(f"_b.{block}", "_b.window_no", "n", "purity")
 
 
+def quantiles(df: DataFrame, value: str, shares: list[float], beyond: bool = False) -> list[float | None]:
+    """Values at the given shares of the way from the least to the greatest, interpolated; nulls are left out, and of
+    no values there is no quantile. With `beyond`, a share under 0 or over 1 goes on along the line through the two
+    values at that end.
+
+    The values are sorted by ranges; only those next to the shares, two each, come to the driver."""
+    rows = placed(df.select(F.col(value).cast("double").alias("v")).filter("v is not null"), ["v"])
+    n = rows.count()
+    if not n:
+        return [None] * len(shares)
+    exact = [x * (n - 1) if beyond else min(max(x * (n - 1), 0.0), n - 1.0) for x in shares]
+    low = [min(max(math.floor(x), 0), max(n - 2, 0)) for x in exact]
+    wanted = sorted({k for x in low for k in (x, min(x + 1, n - 1))})
+    at = dict(map(tuple, rows.filter(F.col("pos").isin(wanted)).select("pos", "v").collect()))
+    return [at[k] + (x - k) * (at[min(k + 1, n - 1)] - at[k]) for x, k in zip(exact, low, strict=True)]
+
+
 def percentiles(df: DataFrame, value: str) -> DataFrame:
     """p10, p25, p50, p75, p90 (interpolated) and mean of a column; one row."""
-    p = F.percentile(F.col(value), F.array(*[F.lit(x) for x in (0.10, 0.25, 0.50, 0.75, 0.90)]))
-    return df.agg(p.alias("p"), F.avg(value).alias("mean")).select(*[F.col("p")[i].alias(n) for i, n in enumerate(("p10", "p25", "p50", "p75", "p90"))], "mean")
+    names = ("p10", "p25", "p50", "p75", "p90")
+    found = quantiles(df, value, [0.10, 0.25, 0.50, 0.75, 0.90])
+    return df.agg(*[F.lit(x).cast("double").alias(n) for n, x in zip(names, found, strict=True)], F.avg(value).alias("mean"))
 
 
 def exclusive_quartiles(df: DataFrame, value: str) -> DataFrame:
     """q1, q2, q3 at places k (n + 1) / 4 of the sorted values, interpolated; null for fewer than two values.
 
-    Place p of n is the fraction (p - 1) / (n - 1) of an inclusive percentile; beyond the ends the line through
-    the last two values goes on."""
-    n = df.filter(F.col(value).isNotNull()).agg(F.count(F.lit(1))).first()[0]
-    if n < 2:
-        return df.agg(*[F.lit(None).cast("double").alias(f"q{k}") for k in (1, 2, 3)])
-    columns = []
-    for k in (1, 2, 3):
-        low = min(max(k * (n + 1) // 4, 1), n - 1)
-        share = k * (n + 1) / 4 - low
-        at = [F.percentile(F.col(value), F.lit((p - 1) / (n - 1))) for p in (low, low + 1)]
-        columns.append((at[0] + share * (at[1] - at[0])).alias(f"q{k}"))
-    return df.agg(*columns)
+    Place p of n is the share (p - 1) / (n - 1); beyond the ends the line through the last two values goes on."""
+    n = df.filter(F.col(value).isNotNull()).count()
+    found = quantiles(df, value, [(k * (n + 1) / 4 - 1) / (n - 1) for k in (1, 2, 3)], beyond=True) if n > 1 else [None] * 3
+    return df.agg(*[F.lit(x).cast("double").alias(f"q{k}") for k, x in enumerate(found, 1)])
 
 
 def threshold_search(rows: DataFrame, block: str, order: str, vector: str, target: float = 12.0, least: int = 5, most: int = 20) -> DataFrame:
@@ -131,7 +142,8 @@ def threshold_search(rows: DataFrame, block: str, order: str, vector: str, targe
     average sentences of a chunk that each would give; `best` marks the one nearest to the target, the lowest of equals."""
     sims = adjacent_similarity(rows, block, order, vector)
     grid = [i / 100 for i in range(5, 100, 5)]
-    candidates = sims.agg(F.percentile("similarity", F.array(*[F.lit(x) for x in grid])).alias("p")).select(F.explode(F.array_sort(F.array_distinct(F.transform("p", lambda x: F.round(x, 4))))).alias("threshold"))
+    found = [(x,) for x in quantiles(sims, "similarity", grid) if x is not None]
+    candidates = rows.sparkSession.createDataFrame(found, "x double").select(F.round("x", 4).alias("threshold")).distinct()
     smooth = sims.groupBy(block).agg(F.array_sort(F.collect_list(F.struct(order, "smooth"))).alias("_s")).select(block, F.transform("_s", lambda x: x["smooth"]).alias("_x"), (F.size("_s") + 1).alias("n"))
     tried = smooth.join(F.broadcast(candidates))  # 19 candidates at most
     ends = S.boundaries(F.col("_x"), F.col("n"), F.col("threshold"), least)
