@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import hamming, langid, mixing, near, ngram_lm, packing, quality, sharding, token_counts, warc
+from millrace.llm import exact, hamming, langid, mixing, near, ngram_lm, packing, quality, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -144,6 +144,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_offset", "in_mix")
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The owner of every document's text: of equal texts the row with the largest id stays."""
+    return exact.exact_owners(_read(spark, sf_dir, "documents"), keep="largest")
+
+
+OP12_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY t)
+"""
+
+
 # --- what SQL can say of operators whose whole result it can't express ---
 
 _TOKENS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -156,7 +168,8 @@ def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUALITY_SQL = rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, {_TOKENS.format("text")} AS ws,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS ls FROM documents),
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS ls FROM documents),
 w AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i, ws FROM t WHERE len(ws) >= 5),
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(ws[i:i+4], chr(10))) AS times FROM w),
 r AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS k FROM g WHERE times > 1) GROUP BY 1),
@@ -212,8 +225,8 @@ MIX_SQL = "SELECT source, count(*) AS n, CAST(ceil(count(*) / 8) AS BIGINT) AS b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, quality_counts, lm_base_scores, shard_laws, mix_laws)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, op12_exact_dedup, quality_counts, lm_base_scores, shard_laws, mix_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL, "quality_counts": QUALITY_SQL, "lm_base_scores": LM_SQL, "shard_laws": SHARD_SQL, "mix_laws": MIX_SQL}
+    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL, "op12_exact_dedup": OP12_SQL, "quality_counts": QUALITY_SQL, "lm_base_scores": LM_SQL, "shard_laws": SHARD_SQL, "mix_laws": MIX_SQL}
