@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, hamming, langid, mixing, near, ngram_lm, packing, quality, sharding, token_counts, warc
+from millrace.llm import exact, hamming, langid, mixing, near, ngram_lm, packing, quality, repair, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -156,6 +156,81 @@ FROM d WINDOW w AS (PARTITION BY t)
 """
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by a rule, with its faults and its cheapest repair."""
+    rows = repair.damaged(_read(spark, sf_dir, "conversations"))
+    return repair.repair_report(repair.repair_conversations(rows))
+
+
+#: crc32 of an ASCII text: each byte is mixed in, then eight bits are shifted out.
+_CRC = "xor(list_reduce(flatten(list_transform(string_split({}, ''), lambda c: list_concat([CAST(ord(c) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295), 4294967295)"
+
+
+def _way(z: str, cost: str, letter: str, line: str) -> str:
+    """A way to a state (cost, audit, lines) with one edit more; null where there is none."""
+    more = f" || chr(10) || {line}" if line else ""
+    return f"CASE WHEN {z} IS NOT NULL THEN {{'c': {z}.c + {cost}, 'a': {z}.a || '{letter}', 'o': {z}.o{more}}} END"
+
+
+def _with_insertions(source: str) -> str:
+    """The four states with rows put in: a user row leads to 2, an assistant row from 2 to 3."""
+    ins = lambda z, role: _way(z, "3", "I", f"'{role}:'")
+    one = f"SELECT *, list_min([z2, {', '.join(ins(z, 'user') for z in ('z0', 'z1', 'z3'))}]) AS y2 FROM {source}"
+    return f"SELECT * EXCLUDE (y2), y2, list_min([z3, {ins('y2', 'assistant')}]) AS y3 FROM ({one})"
+
+
+def _edits(to: str, role: str, sources: tuple[str, ...], initial: str) -> str:
+    """Keeping or re-roling a row from the sources, deleting it from the state itself."""
+    stays = "fault NOT IN ('blank', 'duplicate')"
+    ways = [_way(to, "4", "D", "")]
+    for z in sources:
+        ways.append(f"CASE WHEN {stays} AND ini = '{initial}' THEN {_way(z, 'cut', 'K', "role || ':' || text")} END")
+        if role:
+            ways.append(f"CASE WHEN {stays} THEN {_way(z, '(3 + cut)', 'R', f"'{role}:' || text")} END")
+    return f"list_min([{', '.join(ways)}])"
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fate
+  FROM conversations
+), d AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS nth
+  FROM k WHERE fate <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d
+), f AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+  FROM o
+), g AS (
+  SELECT *, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM f
+), w AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}} AS z0, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS z1,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS z2, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS z3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {_edits("z0", "", (), "")}, {_edits("z1", "", ("z0",), "s")}, {_edits("y2", "user", ("z0", "z1", "y3"), "u")}, {_edits("y3", "assistant", ("y2",), "a")}
+  FROM (
+    SELECT y.conv_id, g.i, z0, z1, y2, y3, role, text, ini, fault, cut
+    FROM ({_with_insertions("w")}) AS y JOIN g ON g.conv_id IS NOT DISTINCT FROM y.conv_id AND g.i = y.i + 1
+  )
+), e AS (
+  SELECT conv_id, list_min([z0, y3]) AS b FROM ({_with_insertions("w")}) QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), s AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM g GROUP BY conv_id
+)
+SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(b.c AS BIGINT) AS cost, b.a AS audit, sha256(substr(b.o, 2)) AS repaired_sha256
+FROM e LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+
 # --- what SQL can say of operators whose whole result it can't express ---
 
 _TOKENS = r"list_filter(string_split_regex(coalesce({}, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -186,9 +261,6 @@ def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 6).alias("base_score"))
 
 
-#: crc32 of an ASCII text: each byte is mixed in, then eight bits are shifted out.
-_CRC = "xor(list_reduce(flatten(list_transform(string_split({}, ''), lambda c: list_concat([CAST(ord(c) AS BIGINT)], [-1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295), 4294967295)"
-
 LM_SQL = rf"""
 WITH d AS (SELECT doc_id, {_CRC.format("CAST(doc_id AS VARCHAR)")} % 10 = 0 AS held_out,
     list_append({_TOKENS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, chr(10)) AS ws FROM documents),
@@ -225,8 +297,8 @@ MIX_SQL = "SELECT source, count(*) AS n, CAST(ceil(count(*) / 8) AS BIGINT) AS b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, op12_exact_dedup, quality_counts, lm_base_scores, shard_laws, mix_laws)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, op12_exact_dedup, op13_conversation_repair, quality_counts, lm_base_scores, shard_laws, mix_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL, "op12_exact_dedup": OP12_SQL, "quality_counts": QUALITY_SQL, "lm_base_scores": LM_SQL, "shard_laws": SHARD_SQL, "mix_laws": MIX_SQL}
+    return {"op3_warc": OP3_SQL, "op8_hamming": OP8_SQL, "op9_ngram_join": OP9_SQL, "op12_exact_dedup": OP12_SQL, "op13_conversation_repair": OP13_SQL, "quality_counts": QUALITY_SQL, "lm_base_scores": LM_SQL, "shard_laws": SHARD_SQL, "mix_laws": MIX_SQL}
