@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import exact, hamming, langid, mixing, near, ngram_lm, packing, quality, repair, sharding, token_counts, warc
+from millrace.llm import align, exact, hamming, langid, mixing, near, ngram_lm, packing, quality, repair, sharding, token_counts, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -144,6 +144,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "source", "mix_slot", "mix_offset", "in_mix")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's alignment of the byte-level and the SentencePiece tokenizer, and the counts of its linked ids."""
+    return align.align_documents(_read(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))[0]
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The owner of every document's text: of equal texts the row with the largest id stays."""
     return exact.exact_owners(_read(spark, sf_dir, "documents"), keep="largest")
@@ -202,9 +207,11 @@ WITH RECURSIVE k AS (
 ), o AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d
 ), f AS (
-  SELECT conv_id, turn, role, text, i, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-    WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault
   FROM o
 ), g AS (
   SELECT *, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut, lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini AS pair FROM f
@@ -297,7 +304,7 @@ MIX_SQL = "SELECT source, count(*) AS n, CAST(ceil(count(*) / 8) AS BIGINT) AS b
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, op12_exact_dedup, op13_conversation_repair, quality_counts, lm_base_scores, shard_laws, mix_laws)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_warc, op4_packing, op5_token_counts, op6_lm_score, op7_sharding, op8_hamming, op9_ngram_join, op10_mixing, op11_alignment, op12_exact_dedup, op13_conversation_repair, quality_counts, lm_base_scores, shard_laws, mix_laws)}
 
 
 def oracle_sql() -> dict[str, str]:
