@@ -3,21 +3,17 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
 
-BITS, SEGMENTS = 64, 4
-SEGMENT_BITS = BITS // SEGMENTS
-#: Different codes of an index block, and different query codes of a query block, about.
-INDEX_BLOCK, QUERY_BLOCK = 32_768, 4_096
-#: Comparisons of two codes in a block that cost as much as a probe, a row of a shuffled join.
-PROBE_COST = 64
+BITS = 64
+#: Least bits of a segment; more where the index has more codes.
+LEAST_BITS = 4
 
 
 def sign_code(vector: Column) -> Column:
@@ -26,85 +22,11 @@ def sign_code(vector: Column) -> Column:
     return F.aggregate(F.slice(vector, 1, BITS), F.lit(0).cast("long"), lambda acc, x: F.shiftleft(acc, 1).bitwiseOR(bit(x)))
 
 
-def _segments(codes: np.ndarray) -> list[np.ndarray]:
-    mask = np.uint64((1 << SEGMENT_BITS) - 1)
-    return [((codes >> np.uint64(SEGMENT_BITS * i)) & mask).astype(np.int64) for i in range(SEGMENTS)]
-
-
-def _best(query: np.ndarray, dist: np.ndarray, first_id: np.ndarray, code: np.ndarray, k: int):
-    """The k best codes of each query by distance, then smallest id."""
-    order = np.lexsort((first_id, dist, query))
-    query, dist, first_id, code = query[order], dist[order], first_id[order], code[order]
-    start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.zeros(0, np.int64)
-    rank = np.arange(len(query)) - np.repeat(start, np.diff(np.r_[start, len(query)]))
-    keep = rank < k
-    return query[keep], dist[keep], first_id[keep], code[keep]
-
-
-def search_block(codes: np.ndarray, ids: np.ndarray, copies: np.ndarray, queries: np.ndarray, k: int, most: np.ndarray | None = None, start: int = 0):
-    """The nearest codes of one index block for each query: (query row, code row, distance).
-
-    codes: different codes with their smallest ids and numbers of copies (k at most). Segment tables are probed
-    with all patterns that differ from the query's segment in 0, 1, 2, ... bits; after radius r every code within
-    SEGMENTS * (r + 1) - 1 has been verified, so a query ends as soon as that covers its kth verified distance
-    (or `most`, a known bound of it). When a radius would take more probes than there are codes, the codes left
-    are verified one by one instead. A code is verified where its nearest segment, the first of them, is probed,
-    so only once. `start`: the first radius, where all codes that smaller ones reach are known already.
-    """
-    mine, theirs = _segments(codes), _segments(queries)
-    tables = []
-    for s in mine:
-        order = np.argsort(s, kind="stable")
-        tables.append((order, np.searchsorted(s[order], np.arange((1 << SEGMENT_BITS) + 1))))
-    found = tuple(np.zeros(0, np.int64) for _ in range(4))
-    open_q = np.arange(len(queries))
-    limit = np.full(len(queries), BITS) if most is None else most.copy()
-
-    def verify(q: np.ndarray, c: np.ndarray) -> None:
-        nonlocal found
-        d = np.bitwise_count(queries[q] ^ codes[c]).astype(np.int64)
-        ok = d <= limit[q]
-        found = tuple(np.concatenate(x) for x in zip(found, (q[ok], d[ok], ids[c[ok]], c[ok]), strict=True))
-
-    for radius in range(start, SEGMENT_BITS + 1):
-        if not len(open_q) or not len(codes):
-            break
-        scan = SEGMENTS * math.comb(SEGMENT_BITS, radius) > len(codes)
-        if scan:
-            step = max(1, (1 << 21) // len(codes))
-            for at in range(0, len(open_q), step):
-                some = open_q[at : at + step]
-                q, c = np.repeat(some, len(codes)), np.tile(np.arange(len(codes)), len(some))
-                near = np.min([np.bitwise_count(theirs[i][q] ^ mine[i][c]) for i in range(SEGMENTS)], axis=0)
-                verify(q[near >= radius], c[near >= radius])
-                found = _best(*found, k)
-            break
-        for bits in combinations(range(SEGMENT_BITS), radius):
-            flip = sum(1 << b for b in bits)
-            for i, (order, ends) in enumerate(tables):
-                at = theirs[i][open_q] ^ flip
-                n = ends[at + 1] - ends[at]
-                if not (total := int(n.sum())):
-                    continue
-                q = np.repeat(open_q, n)
-                c = order[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends[at], n)]
-                near = np.stack([np.bitwise_count(theirs[j][q] ^ mine[j][c]) for j in range(SEGMENTS)])
-                first = (near.min(0) == radius) & (near.argmin(0) == i)
-                verify(q[first], c[first])
-            if len(found[0]) > 1 << 20:
-                found = _best(*found, k)
-        found = _best(*found, k)
-        # the kth smallest distance, copies counted
-        q, d, _, c = found
-        have = np.zeros(len(queries), np.int64)
-        for row in range(len(q)):
-            if have[q[row]] < k:
-                have[q[row]] += copies[c[row]]
-                if have[q[row]] >= k:
-                    limit[q[row]] = min(limit[q[row]], d[row])
-        open_q = open_q[limit[open_q] > SEGMENTS * (radius + 1) - 1]
-    q, d, _, c = _best(*found, k)
-    return q, c, d
+def segments_for(codes: int) -> list[tuple[int, int]]:
+    """Places and widths of the segments of a code, of about log2(codes) bits each: so a bucket holds about one code."""
+    many = -(-BITS // max(LEAST_BITS, math.floor(math.log2(max(codes, 2)))))
+    ends = [BITS * i // many for i in range(many + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:], strict=False)]
 
 
 def _coded(rows: DataFrame, id_col: str, code: Column, k: int | None) -> DataFrame:
@@ -116,32 +38,38 @@ def _coded(rows: DataFrame, id_col: str, code: Column, k: int | None) -> DataFra
     return coded.withColumn("_nth", nth).filter(F.col("_nth") <= k).groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids"))
 
 
-def _segment(code: Column, i: int) -> Column:
-    return F.shiftrightunsigned(code, SEGMENT_BITS * i).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1))
+def _segment(code: Column, span: tuple[int, int]) -> Column:
+    return F.shiftrightunsigned(code, span[0]).bitwiseAND(F.lit((1 << span[1]) - 1))
 
 
 def _apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def probe(state: DataFrame, index: DataFrame, radius: int, k: int) -> DataFrame:
-    """The k nearest codes of each query among those not met before: code, hits (distance, first, other, n).
+def _flips(width: int, radius: int) -> Column:
+    """The patterns of a segment with `radius` bits, as one constant in the plan."""
+    masks = [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
+    return F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>") if masks else F.array().cast("array<bigint>")
+
+
+def probe(state: DataFrame, index: DataFrame, radius: int, k: int, spans: list[tuple[int, int]]) -> DataFrame:
+    """The k nearest codes of each query among those not met before: code, new (distance, first, other, n).
 
     Each segment of a query is varied in `radius` bits, and the patterns are joined to the segments of the index. A
     code is verified where its nearest segment, the first of them, is met, so only once, and is kept if it isn't
     farther than the query's `most`."""
-    masks = (sum(1 << b for b in bits) for bits in combinations(range(SEGMENT_BITS), radius))
-    flips = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")  # one constant in the plan
-    parts = lambda c: F.posexplode(F.array(*[_segment(F.col(c), i) for i in range(SEGMENTS)])).alias("i", "part")
-    asked = state.repartition("code").select("code", "most", parts("code")).select("code", "most", "i", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("part")))).alias("part"))
+    parts = lambda c: F.posexplode(F.array(*[_segment(F.col(c), x) for x in spans])).alias("i", "part")
+    flips = reduce(lambda rest, x: F.when(F.col("i") == x[0], _flips(x[1][1], radius)).otherwise(rest), list(enumerate(spans))[1:], _flips(spans[0][1], radius))
+    asked = state.repartition("code").select("code", "most", parts("code"))
+    asked = asked.select("code", "most", "i", F.explode(F.transform(flips, lambda x: x.bitwiseXOR(F.col("part")))).alias("part"))
     entries = index.select(F.col("code").alias("other"), F.element_at("ids", 1).alias("first"), F.size("ids").alias("n"), parts("code"))
     # few rows become very many here, which the planner doesn't foresee: it must not broadcast them
-    met = asked.hint("merge").join(entries, ["i", "part"])
-    apart = F.array(*[_apart(_segment(F.col("code"), i), _segment(F.col("other"), i)) for i in range(SEGMENTS)])
+    met = asked.hint("merge").join(entries, ["i", "part"]).filter(_apart(F.col("code"), F.col("other")) <= F.col("most"))
+    apart = F.array(*[_apart(_segment(F.col("code"), x), _segment(F.col("other"), x)) for x in spans])
     met = met.withColumn("apart", apart).filter((F.array_min("apart") == radius) & (F.array_position("apart", radius) == F.col("i") + 1))
-    met = met.withColumn("distance", _apart(F.col("code"), F.col("other"))).filter("distance <= most")
+    met = met.select("code", _apart(F.col("code"), F.col("other")).alias("distance"), "first", "other", "n")
     rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "first"))
-    best = met.select("code", "distance", "first", "other", "n").withColumn("_rank", rank).filter(F.col("_rank") <= k)
+    best = met.withColumn("_rank", rank).filter(F.col("_rank") <= k)
     return best.groupBy("code").agg(F.collect_list(F.struct("distance", "first", "other", "n")).alias("new"))
 
 
@@ -158,63 +86,44 @@ def _grown(state: DataFrame, found: DataFrame, k: int) -> DataFrame:
     return joined.select("code", "hits", F.least("most", F.aggregate("hits", start, step)["kth"]).alias("most"))
 
 
-def scanned(state: DataFrame, index: DataFrame, radius: int, n_index: int, n_open: int, k: int) -> DataFrame:
-    """As `probe`, for all radii from `radius` on: pairs of blocks of the index and of the queries left."""
-    cores = index.sparkSession.sparkContext.defaultParallelism
-    blocks = max(1, math.ceil(n_index / INDEX_BLOCK), min(cores, n_index // 4096))
-    q_blocks = max(1, math.ceil(n_open / QUERY_BLOCK))
-    block = lambda n: F.pmod(F.xxhash64("code"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = index.withColumn("block", block(blocks)).withColumn("q_block", every(q_blocks))
-    right = state.select("code", "most", block(q_blocks).alias("q_block")).withColumn("block", every(blocks))
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        queries_, ids = right.column("code").to_numpy().view(np.uint64), left.column("ids").to_pylist()
-        codes_ = left.column("code").to_numpy().view(np.uint64)
-        firsts, copies = np.array([x[0] for x in ids], np.int64), np.array([len(x) for x in ids], np.int64)
-        q, c, d = search_block(codes_, firsts, copies, queries_, k, right.column("most").to_numpy().astype(np.int64), radius)
-        columns = [queries_[q].view(np.int64), d.astype(np.int32), firsts[c], codes_[c].view(np.int64), copies[c].astype(np.int32)]
-        return pa.table(columns, names=["code", "distance", "first", "other", "n"])
-
-    by = ("block", "q_block")
-    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(search, "code long, distance int, first long, other long, n int")
-    rank = F.row_number().over(Window.partitionBy("code").orderBy("distance", "first"))
-    best = met.withColumn("_rank", rank).filter(F.col("_rank") <= k)
-    return best.groupBy("code").agg(F.collect_list(F.struct("distance", "first", "other", "n")).alias("new"))
+def searched(index: DataFrame, codes: DataFrame, k: int) -> DataFrame:
+    """code, hits, most (the kth verified distance, copies counted) and radius (that of the round that covered it) of
+    each query code.
+
+    After radius r every code that differs in at most `segments * (r + 1) - 1` bits has been verified: of that many
+    bits some segment has r at most. A query ends as soon as this covers its kth verified distance, and the largest
+    radius, all patterns of a segment, ends every query."""
+    n_index = index.count()
+    spans = segments_for(n_index)
+    state = stored(codes.select("code", F.array().cast(HITS).alias("hits"), F.lit(BITS).alias("most")), "state")
+    ended = state.limit(0).withColumn("radius", F.lit(0))
+    for radius in range(max(w for _, w in spans) + 1):
+        if not n_index or not state.limit(1).count():
+            break
+        state = stored(_grown(state, probe(state, index, radius, k, spans), k), "state")
+        last = radius == max(w for _, w in spans)
+        over = F.lit(last) | (F.col("most") < len(spans) * (radius + 1))
+        ended = ended.unionByName(state.filter(over).withColumn("radius", F.lit(radius)))
+        state = state.filter(~over)
+    return ended
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """The k rows nearest to each query by Hamming distance of their sign codes, ties to the smaller id.
 
     Equal codes are searched once, as index (with their k smallest ids, which is all that a top k can hold) and
-    as query. The index is a table of segments and patterns; each round joins to it the patterns that differ from
-    the queries' segments in one bit more, so a query meets only the buckets that it probes. After radius r every
-    code within SEGMENTS * (r + 1) - 1 has been verified, and a query ends as soon as that covers its kth verified
-    distance. When a round's probes would cost more than comparing a query with all codes (PROBE_COST comparisons a
-    probe), the queries left are compared with all codes in pairs of blocks. A bucket with very many codes is split by adaptive execution's skewed joins.
+    as query. The index is a table of segments and patterns, its segments of about log2(codes) bits; each round joins
+    to it the patterns that differ from the queries' segments in one bit more, so a query meets only the buckets that it
+    probes, until its kth verified distance is covered (`searched`). A bucket with very many codes is split by adaptive
+    execution's skewed joins.
 
     Rows with a null id or vector (and queries alike) take no part; with fewer than k rows a query gets all; a row
-    may find itself; repeated rows are hits each; an empty table or query set gives an empty result.
-    Returns query_id, rank (from 1), neighbor_id, distance.
+    may find itself; repeated rows are hits each; an empty table or query set gives an empty result; other columns'
+    names don't matter. Returns query_id, rank (from 1), neighbor_id, distance.
     """
     index = stored(_coded(rows, id_col, sign_code(F.col(vector_col)), k), "codes")
     asked = stored(_coded(queries, id_col, sign_code(F.col(vector_col)), None), "asked")
-    state = asked.select("code").distinct().select("code", F.array().cast(HITS).alias("hits"), F.lit(BITS).alias("most"))
-    n_index, done = index.count(), []
-    state = stored(state, "state")
-    for radius in range(SEGMENT_BITS + 1):
-        n_open = state.count()
-        if not n_open or not n_index:
-            break
-        scan = PROBE_COST * SEGMENTS * math.comb(SEGMENT_BITS, radius) > n_index
-        found = scanned(state, index, radius, n_index, n_open, k) if scan else probe(state, index, radius, k)
-        state = stored(_grown(state, found, k), "state")
-        if scan:
-            break
-        done.append(state.filter(F.col("most") < SEGMENTS * (radius + 1)))
-        state = state.filter(F.col("most") >= SEGMENTS * (radius + 1))
-    for ended in done:
-        state = state.unionByName(ended)
+    state = searched(index, asked.select("code").distinct(), k)
     hits = state.select(F.col("code").alias("q"), F.explode("hits").alias("h")).select("q", "h.distance", F.col("h.other").alias("code")).join(index, "code")
     each = hits.select("q", "distance", F.explode("ids").alias("neighbor_id"))
     rank = F.row_number().over(Window.partitionBy("q").orderBy("distance", "neighbor_id"))

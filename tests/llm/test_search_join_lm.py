@@ -67,37 +67,48 @@ def slow_hamming(rows, queries, k):
     return {q: sorted((bin(code(v) ^ c).count("1"), i) for i, c in codes)[:k] for q, v in queries if v is not None}
 
 
-def test_hamming_against_brute_force(spark, monkeypatch):
+def hamming_rows():
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(6, 64))
     vectors = [(i, (centres[i % 6] * (i % 3 > 0) + rng.normal(size=64)).tolist()) for i in range(700)]
-    vectors += [(1000 + i, vectors[0][1]) for i in range(60)] + [(2000, None), (2001, [0.0] * 64)]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    for block in (32_768, 100):
-        monkeypatch.setattr(hamming, "INDEX_BLOCK", block)
-        monkeypatch.setattr(hamming, "QUERY_BLOCK", block // 4)
-        got = defaultdict(list)
-        for r in hamming.nearest(df, df.filter("vec_id % 7 = 0"), 10).collect():
-            got[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
-        want = slow_hamming(vectors, [v for v in vectors if v[0] % 7 == 0], 10)
-        assert {q: [(d, i) for _, d, i in sorted(h)] for q, h in got.items()} == want
-    monkeypatch.setattr(hamming, "PROBE_COST", 1)  # more rounds of probes before all is compared
-    again = defaultdict(list)
+    return vectors + [(1000 + i, vectors[0][1]) for i in range(60)] + [(2000, None), (2001, [0.0] * 64)]
+
+
+@pytest.mark.parametrize("least_bits", [4, 12])
+def test_hamming_against_brute_force(spark, monkeypatch, least_bits):
+    monkeypatch.setattr(hamming, "LEAST_BITS", least_bits)  # segments of any width
+    vectors = hamming_rows()
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").select("*", *[F.lit("x").alias(c) for c in ("code", "ids", "hits", "most", "radius", "n", "part", "i")])
+    got = defaultdict(list)
     for r in hamming.nearest(df, df.filter("vec_id % 7 = 0"), 10).collect():
-        again[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
-    assert {q: sorted(h) for q, h in again.items()} == {q: sorted(h) for q, h in got.items()}
+        got[r.query_id].append((r["rank"], r.distance, r.neighbor_id))
+    want = slow_hamming(vectors, [v for v in vectors if v[0] % 7 == 0], 10)
+    assert {q: [(d, i) for _, d, i in sorted(h)] for q, h in got.items()} == want
+
+
+def test_hamming_few_rows(spark):
+    df = spark.createDataFrame(hamming_rows()[:30], "vec_id long, embedding array<float>")
     few = hamming.nearest(df.filter("vec_id < 3"), df.filter("vec_id = 1"), 10)
     assert few.count() == 3 and hamming.nearest(df.limit(0), df, 3).count() == 0 and hamming.nearest(df, df.limit(0), 3).count() == 0
 
 
-def test_index_grows_radii_until_covered():
-    rng = np.random.default_rng(0)
-    codes = np.unique(rng.integers(0, 2**64, 5000, dtype=np.uint64))
-    queries = codes[:20] ^ np.uint64(0b1011)
-    q, c, d = hamming.search_block(codes, np.arange(len(codes)), np.ones(len(codes), np.int64), queries, 3)
-    for i in range(20):
-        want = sorted((int(x), k) for k, x in enumerate(np.bitwise_count(codes ^ queries[i])))[:3]
-        assert [(int(a), int(b)) for a, b in zip(d[q == i], c[q == i], strict=True)] == want
+def test_every_query_ends_by_a_covered_radius(spark):
+    """No query is compared with the whole index: each ends in a round whose radius covers its kth distance."""
+    for folder in ("sf0.01", "sf0.1"):
+        rows = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")
+        index = hamming._coded(rows, "vec_id", hamming.sign_code(F.col("embedding")), 10)
+        asked = hamming._coded(rows.filter("vec_id % 50 = 0"), "vec_id", hamming.sign_code(F.col("embedding")), None).select("code").distinct()
+        spans = hamming.segments_for(index.count())
+        ended = hamming.searched(index, asked, 10).collect()
+        assert len(ended) == asked.count() and all(r.most < len(spans) * (r.radius + 1) for r in ended)
+        assert max(r.radius for r in ended) < max(w for _, w in spans)
+
+
+def test_segments_are_as_wide_as_the_index_asks():
+    for n, width in ((0, 4), (100, 6), (500, 8), (51_282, 15), (1 << 32, 32)):
+        spans = hamming.segments_for(n)
+        assert sum(w for _, w in spans) == 64 and max(w for _, w in spans) in (width, width - 1, width - 2, width - 3)
+        assert [a for a, _ in spans] == [sum(w for _, w in spans[:i]) for i in range(len(spans))]
 
 
 def slow_join(rows, threshold=0.8):
