@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -13,14 +14,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import arrow_rows, crc_mod, stored, unit_hash
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters: word characters but underscores, decimal digits and other numbers (powers, fractions, numerals).
+LETTERS = re.compile("[^\\W\\d_" + "".join(c for c in map(chr, range(128, sys.maxunicode)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]+")
 UNKNOWN = "und"
 #: Different labelled texts of a language that the model is fitted on, about; fewer if there are fewer.
 TRAIN_DOCS = 2_000
-#: Words of a language that are known: the most frequent ones seen twice or more.
-KNOWN_WORDS = 30_000
-#: N-grams kept of a language and length.
-KNOWN_GRAMS = 20_000
 LONGEST = 5
 
 
@@ -95,21 +93,23 @@ class Scores(dict):
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
         at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        total = self.rows[at].sum(0, dtype=np.float64)
-        odds = np.exp(total - total.max())
-        best = int(total.argmax())
+        scores = self.rows[at]
+        mean = scores.sum(0, dtype=np.float64) / max(1, np.count_nonzero(scores.any(1)))
+        odds = np.exp(mean - mean.max())
+        best = int(mean.argmax())
         return self.model.langs[best], float(odds[best] / odds.sum())
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang", known_words: int = KNOWN_WORDS, known_grams: int = KNOWN_GRAMS, seen: int = 2) -> Model:
+def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", lang_col: str = "lang", known_words: int | None = None, known_grams: int | None = None) -> Model:
     """The model of the labelled rows of docs, from a sample of about `train_docs` different texts a language.
 
     The sample is by hash, from the whole table, all texts of a language that has no more. Copies of a text in a
     language count as one, so they neither keep a language out of the sample nor make it large. Counts of words and
-    n-grams are summed by Spark, and only the most frequent come to the driver, ties in the entries' order:
-    `known_words` words that occur `seen` times or more and `known_grams` n-grams of each length a language, which
-    bounds the driver's work and the broadcast. Rows with a null language or text teach nothing; null ids teach like
-    others; texts are counted whole, however long; an empty table gives a model without languages.
+    n-grams are summed by Spark, a row for each entry of a task; all come to the driver and to the tasks, so what the
+    sample holds bounds the model. `known_words` and `known_grams`, where given, keep no more than so many words and
+    n-grams of each length a language, the most frequent, ties in the entries' order. The label values must fit the
+    driver. Rows with a null language or text teach nothing; null ids teach like others; texts are counted whole,
+    however long; an empty table gives a model without languages.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     sizes = {r[0]: r[1] for r in rows.select("lang", F.xxhash64("text").alias("key")).distinct().groupBy("lang").count().collect()}
@@ -119,32 +119,38 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", l
     some = rows.filter(unit_hash("text") < shares[F.col("lang")]).dropDuplicates(["lang", "text"]).select("lang", "text")
 
     def count(batches):
+        by: dict[str, Counter] = {}
         for batch in batches:
-            by: dict[str, Counter] = {}
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 by.setdefault(k, Counter()).update(LETTERS.findall(t.lower()))
+        for k, words in by.items():
             flat: Counter = Counter()
-            for k, words in by.items():
-                for w, n in words.items():
-                    flat[k, 0, w] += n
-                    for size, g in grams_of(w):
-                        flat[k, size, g] += n
-            columns = [[x[i] for x in flat] for i in range(3)] + [list(flat.values())]
+            for w, n in words.items():
+                flat[0, w] += n
+                for size, g in grams_of(w):
+                    flat[size, g] += n
+            columns = [[k] * len(flat), [x[0] for x in flat], [x[1] for x in flat], list(flat.values())]
             kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["lang", "size", "entry", "n"])
 
     counted = stored(some.mapInArrow(count, "lang string, size int, entry string, n long").groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")), "counted")
     totals = {(r[0], r[1]): r[2] for r in counted.groupBy("lang", "size").agg(F.sum("n")).collect()}
-    nth = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))
-    most = F.when(F.col("size") == 0, known_words).otherwise(known_grams)
-    known = counted.filter((F.col("size") > 0) | (F.col("n") >= seen)).withColumn("nth", nth).filter(F.col("nth") <= most).select("lang", "size", "entry", "n").toArrow()
+    known = counted
+    if known_words is not None or known_grams is not None:
+        nth = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "entry"))
+        most = F.when(F.col("size") == 0, F.lit(known_words)).otherwise(F.lit(known_grams))
+        known = counted.withColumn("nth", nth).filter(F.coalesce(F.col("nth") <= most, F.lit(True)))
+    known = known.select("lang", "size", "entry", "n").toArrow()
     columns = [known.column(i) for i in range(4)]
     learned = [k for k in sizes if totals.get((k, 0))]
     return Model(learned, ((a.as_py(), b.as_py(), c.as_py(), d.as_py()) for a, b, c, d in zip(*columns, strict=True)), totals)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score (posterior share of the best language): `und` and 0 for a null text or one without letters.
+    """doc_id, lang_pred, score: `und` and 0 for a null text or one without letters.
+
+    The score is the best language's posterior share by the average word, words that say nothing left out: what one
+    word of the text says for it, so it doesn't grow with the text's length; 1 / languages where nothing is known.
 
     Words are the runs of letters of the whole lower-cased text, however long. Languages that score alike go to the
     first by name. Repeated rows and null ids are each predicted; an empty table gives an empty result; a model

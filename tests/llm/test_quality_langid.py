@@ -125,3 +125,29 @@ def test_copies_neither_hide_a_language_nor_fill_the_sample(spark):
     assert model.langs == [*["l" + c for c in "abcdefgh"], "zz"]
     got = {r.lang_pred for r in langid.predict(docs.filter("lang <> 'zz'"), model).collect()}
     assert got == set(model.langs) - {"zz"}
+
+
+def test_predictions_against_slow(spark, odd):
+    from test_pipeline import slow_tongue
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.filter("doc_id < 150").unionByName(odd.select("doc_id", "text", "lang"))
+    rows = docs.collect()
+    tell = slow_tongue([(r.lang, r.text) for r in rows if r.lang is not None and r.text is not None and r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1])
+    want = sorted((str(r.doc_id), *tell(r.text)) for r in rows)
+    got = sorted((str(r.doc_id), r.lang_pred, r.score) for r in langid.identify(docs).collect())
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert all(abs(a[2] - b[2]) < 1e-4 for a, b in zip(got, want, strict=True))
+
+
+def test_only_letters_make_words(spark):
+    rows = [(1, "²"), (2, "½²"), (3, "Ⅷ"), (4, "一"), (5, "a½b"), (6, "_1٣")]
+    model = langid.Model(["de", "en"], [("de", 1, "a", 3), ("en", 1, "b", 3)], {("de", 1): 3, ("en", 1): 3})
+    got = {r.doc_id: r.lang_pred for r in langid.predict(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [i for i in got if got[i] == "und"] == [1, 2, 3, 6]
+
+
+def test_known_words_and_grams_can_be_bounded(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    whole, part = langid.fit(docs), langid.fit(docs, known_words=50, known_grams=60)
+    assert all(len(p) <= (50 if size == 0 else 60) * len(part.langs) < len(w) for size, (w, p) in enumerate(zip(whole.rows, part.rows, strict=True)) if size not in (1, 2))
