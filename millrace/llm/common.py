@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +77,18 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_places(df: DataFrame, name: str) -> DataFrame:
+    """df plus each row's place: for a table read from Parquet files the file's part number and the row's number in it,
+    so what was written in an order is numbered in it; for other tables the place among its partitions."""
+    file, nth = fresh(df, "_file"), fresh(df, "_nth")
+    try:
+        held = df.select("*", F.col("_metadata.file_name").alias(file), F.col("_metadata.row_index").alias(nth))
+    except AnalysisException:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    part = F.coalesce(F.expr(f"try_cast(regexp_extract({file}, 'part-([0-9]+)', 1) as bigint)"), F.lit(0))
+    return held.select(*[held[f"`{c}`"] for c in df.columns], (F.shiftleft(part, 25) + F.col(nth)).alias(name))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df doesn't have, whatever the case: `name`, lengthened if need be."""
     taken = {c.lower() for c in df.columns}

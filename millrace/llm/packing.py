@@ -12,7 +12,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import arrow_rows, salted_rank, salts_for, stored, text_bytes
@@ -84,13 +84,14 @@ class ChunkIds(dict):
             self.pieces.clear()
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, place_col: str | None = None) -> DataFrame:
     """Each document's ids, then `end_id`, cut into pieces of `capacity` where longer: one row a piece.
 
     doc_id, piece (from 0), start (the document's ids before it), length, ids_crc32 (of the little-endian
-    uint32 ids), and with `with_ids` the ids as bytes. A null or empty text has `end_id` alone.
+    uint32 ids), with `with_ids` the ids as bytes, and with `place_col` the document's place. A null or empty text has
+    `end_id` alone; repeated rows have pieces each; null ids stay null; an empty table gives an empty result.
     """
-    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, *["place"] * (place_col is not None)]
 
     def make():
         memo, tail = ChunkIds(tokenizer_path), np.asarray([end_id], "<u4").tobytes()
@@ -99,19 +100,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
             texts = [(t or b"").split() for t in text_bytes(batch.column(1))]
             memo.trim()
             out: dict[str, list] = {n: [] for n in names}
-            for i, chunks in zip(batch.column(0).to_pylist(), texts, strict=True):
+            places = batch.column(2).to_pylist() if place_col is not None else [None] * len(texts)
+            for i, chunks, place in zip(batch.column(0).to_pylist(), texts, places, strict=True):
                 ids = b"".join([*map(memo.__getitem__, chunks), tail])
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    for n, v in zip(names, (i, k, at // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
-                        out[n].append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], k) for n, k in zip(names, kinds, strict=False)], names=names)
+                    row = {"doc_id": i, "piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part), "ids": part, "place": place}
+                    for n in names:
+                        out[n].append(row[n])
+            kinds = {"piece": pa.int32(), "ids": pa.binary()}
+            yield pa.RecordBatch.from_arrays([pa.array(out[n], kinds.get(n, pa.int64())) for n in names], names=names)
 
         return work
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(arrow_rows(make), PIECES + ", ids binary" * with_ids)
+    place = [F.col(place_col).cast("long").alias("place")] if place_col is not None else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *place)
+    return rows.mapInArrow(arrow_rows(make), PIECES + ", ids binary" * with_ids + ", place long" * len(place))
 
 
 def best_fit(counts: Counter, capacity: int) -> Bins:
@@ -334,7 +338,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, most_nodes: int | None
 
     Only the histogram of lengths (at most `capacity` entries) goes to the driver, and only the fillings, whose
     number follows the different lengths, come back. A piece's rank among those of its length decides which bin
-    it takes. Sequences are filled without gaps; numbers are from 0 without gaps. Empty in, empty out.
+    it takes. Sequences are filled without gaps; numbers are from 0 without gaps. Repeated rows are placed each, and
+    null ids like others; empty in, empty out.
     """
     hist = Counter({r[0]: r[1] for r in pieces.groupBy("length").agg(F.count(F.lit(1))).collect()})
     starts: dict[int, list] = {}
@@ -366,10 +371,22 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, most_nodes: int | None
     return ranked.select(*keep, "_rank").mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+#: Pieces of a document that its place leaves room for.
+PLACE_PIECES = 1 << 18
+
+
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, place_col: str | None = None) -> DataFrame:
     """Documents tokenized, cut where longer than a sequence, and packed: see `token_pieces` and `pack_pieces`.
 
+    With `place_col`, a column of docs with different whole numbers, sequences are read in the documents' order: a
+    sequence's number is the smallest place of a piece that it holds, a document's place times PLACE_PIECES plus the
+    piece; else they are numbered from 0.
+
     Repeated rows are packed each; null ids stay null; empty and null texts take one token; texts are packed whole,
-    however long; pieces that tie in length are exchangeable; an empty table gives an empty result. Only the id and
-    the text are read, so other columns' names don't matter."""
-    return pack_pieces(stored(token_pieces(docs, tokenizer_path, capacity, end_id), "pieces"), capacity)
+    however long; pieces that tie in length are exchangeable; an empty table gives an empty result. Only the id, the
+    text and the place are read, so other columns' names don't matter."""
+    packed = pack_pieces(stored(token_pieces(docs, tokenizer_path, capacity, end_id, place_col=place_col), "pieces"), capacity)
+    if place_col is None:
+        return packed
+    first = F.min(F.col("place") * PLACE_PIECES + F.col("piece")).over(Window.partitionBy("sequence_id"))
+    return packed.withColumn("sequence_id", first).drop("place")

@@ -32,7 +32,7 @@ def test_stages_on_odd_and_empty_tables(spark, odd, none):
 @pytest.mark.parametrize("name", list(Q.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.execute(Q.oracle_sql()[name])
     names = [d[0] for d in want.description]
@@ -184,6 +184,15 @@ def test_pipeline_against_brute_force(spark):
             want[r.doc_id, k // 2048] = (k, len(part), zlib.crc32(part.tobytes()))
     packed = cp.STAGES[-1][1](spark, got, SF).collect()
     assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packed} == want and len(packed) == len(want)
+    # sequences are numbered in the order of the mix, by the first piece that each holds
+    place, first = {r.doc_id: k for k, r in enumerate(rows)}, {}
+    for r in packed:
+        first.setdefault(r.sequence_id, []).append((place[r.doc_id], r.piece))
+    order = [min(first[s]) for s in sorted(first)]
+    assert order == sorted(order)
+    unmixed = cp.STAGES[-1][1](spark, cp.stored(got.orderBy("doc_id"), "t"), SF).collect()  # as without the mixing stage
+    numbers = lambda found: [r.doc_id for r in sorted(found, key=lambda r: (r.sequence_id, r.offset))]
+    assert numbers(unmixed) != numbers(packed)
     bins = {}
     for r in packed:
         bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
