@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import langid, mixing, near, packing, quality
-from millrace.llm.common import stored
+from millrace.llm.common import stored, with_places
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -53,11 +53,15 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces with their sequences and places.
 
+    Sequences are numbered in the order in which docs was written, that of the mix: a sequence's number follows the
+    first piece of the mix that it holds, so reading sequences by number keeps the sources near their weights.
+
     Null and empty texts are one token; repeated rows and null ids are packed each; long texts are cut into full
     sequences and a rest. An empty table gives an empty result. Extra columns are left behind."""
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+    placed = with_places(docs, "_place")
+    return packing.pack_documents(placed, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, place_col="_place")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
