@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as TY
 
 from millrace.config import DedupRules
 from millrace.functions import classify as C
 from millrace.functions import text as T
+from millrace.operators.clusters import leader_clusters
 from millrace.operators.staging import staged
 
-#: Rows of a block that leader clustering compares with each other at once.
-SLICE = 256
-
 
 def _first_of(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
     """Of each key the row with the least `order`; of rows that tie in it the one with the least hash, so exactly one.
@@ -194,74 +187,6 @@ def removal_report(before: DataFrame, after: DataFrame, target_pct: float = 15.0
     return n.select("*", (F.col("total_input") - F.col("total_output")).alias("total_removed"), rate.alias("duplicate_rate_pct")).withColumn("target_met", F.col("duplicate_rate_pct") < target_pct)
 
 
-def _cluster_slice(state: dict, names: list, vectors: np.ndarray, limits: np.ndarray) -> tuple[list, list]:
-    """Leaders and similarities of a slice of a block's rows in order; `state` holds the block's leaders so far.
-
-    Similarities to all earlier leaders come from one matrix product, those among the slice's rows from another;
-    what is left to do row by row is to choose."""
-    used, leaders = len(state["names"]), state["rows"]
-    best = np.full(len(names), -np.inf)
-    at = np.zeros(len(names), np.int64)
-    if used:
-        sims = vectors @ leaders[:used].T
-        at = sims.argmax(1)
-        best = sims[np.arange(len(names)), at]
-    own = vectors @ vectors.T
-    lead, found, new = [], [], []
-    for r, name in enumerate(names):
-        score, leader = best[r], state["names"][at[r]] if used else None
-        if new and (mine := own[r, new]).max() > score:  # of equals the earlier leader
-            score, leader = mine.max(), names[new[int(mine.argmax())]]
-        if score >= limits[r]:
-            lead.append(leader)
-            found.append(float(score))
-        else:
-            new.append(r)
-            lead.append(name)
-            found.append(1.0)
-    while used + len(new) > len(leaders):
-        leaders = np.concatenate([leaders, np.zeros((max(64, len(leaders)), vectors.shape[1]))]) if leaders.size else np.zeros((64 + len(new), vectors.shape[1]))
-    leaders[used : used + len(new)] = vectors[new]
-    state["rows"], state["names"] = leaders, state["names"] + [names[r] for r in new]
-    return lead, found
-
-
-def leader_clusters(rows: DataFrame, block: str, order: str, vector: str, threshold: float | str) -> DataFrame:
-    """Greedy leader clustering of unit vectors within blocks: rows plus leader (an order value) and similarity.
-
-    In order, a row joins the leader most similar to it if that is `threshold` (a number or a column) or more,
-    the earlier of equals, else it leads a new cluster; leaders never change. The rule is sequential in a block.
-    A block streams through one task in order and in Arrow batches; the task keeps only the leaders. A row without
-    a vector leads itself alone, with a null similarity; null blocks are a block."""
-    limit = rows[threshold] if isinstance(threshold, str) else F.lit(float(threshold))
-    one = rows.select(F.col(block).alias("block"), F.col(order).alias("o"), F.col(vector).alias("v"), limit.cast("double").alias("limit"))
-
-    def cluster(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, state = object(), {}
-        for pdf in frames:
-            blocks = pdf["block"].tolist()
-            lead, sims, lo = [], [], 0
-            while lo < len(blocks):
-                b = blocks[lo]
-                if b != at and not (b != b and at != at):
-                    at, state = b, {"names": [], "rows": np.zeros((0, 0))}
-                hi = lo + 1
-                while hi < min(len(blocks), lo + SLICE) and (blocks[hi] == b or (blocks[hi] != blocks[hi] and b != b)):
-                    hi += 1
-                part = pdf.iloc[lo:hi]
-                got = _cluster_slice(state, part["o"].tolist(), np.array(part["v"].tolist(), float), part["limit"].to_numpy(float))
-                lead += got[0]
-                sims += got[1]
-                lo = hi
-            yield pd.DataFrame({"block": pdf["block"], "o": pdf["o"], "leader": lead, "similarity": sims})
-
-    kinds = dict(one.dtypes)
-    schema = TY._parse_datatype_string(f"block {kinds['block']}, o {kinds['o']}, leader {kinds['o']}, similarity double")
-    got = one.filter("v is not null").repartition("block").sortWithinPartitions("block", "o").mapInPandas(cluster, schema)
-    alone = one.filter("v is null").select("block", "o", F.col("o").alias("leader"), F.lit(None).cast("double").alias("similarity"))
-    return got.unionByName(alone).withColumnsRenamed({"block": block, "o": order})
-
-
 def soft_dedup(records: DataFrame, order: str, vector: str, category: str = "category", title: str = "title", content: str = "content", version: str = "cleanup_version", rules: DedupRules = DedupRules()) -> DataFrame:
     """Exact, then semantic deduplication of records.
 

@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
+from millrace.operators import clusters as K
 from millrace.operators import dedup as D
 
 
@@ -49,21 +51,61 @@ def test_three_passes(spark):
     assert D.removal_report(df.limit(0), df.limit(0)).first().duplicate_rate_pct is None
 
 
-def test_leader_clusters_against_the_sequential_rule(spark):
-    rng = np.random.default_rng(1)
-    v = rng.normal(size=(150, 4))
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    df = spark.createDataFrame([(i, i % 3, v[i].tolist()) for i in range(150)], "o int, b int, v array<float>")
-    got = {r.o: r.leader for r in D.leader_clusters(df, "b", "o", "v", 0.8).collect()}
-    v = v.astype(np.float32).astype(float)
-    leaders = {0: [], 1: [], 2: []}
-    for i in range(150):
-        sims = [v[i] @ v[k] for k in leaders[i % 3]]
-        if sims and max(sims) >= 0.8:
-            assert got[i] == leaders[i % 3][int(np.argmax(sims))]
+def sequential_leaders(rows, limits):
+    """rows: (order, block, vector); the rule, one row at a time."""
+    leaders, out = {}, {}
+    for (i, b, x), limit in sorted(zip(rows, limits, strict=True), key=lambda r: r[0][0]):
+        mine = leaders.setdefault(b, [])
+        sims = [round(float(np.dot(x, y)), 12) for _, y in mine]
+        if sims and max(sims) >= limit:
+            out[i] = (mine[int(np.argmax(sims))][0], max(sims))
         else:
-            leaders[i % 3].append(i)
-            assert got[i] == i
+            mine.append((i, x))
+            out[i] = (i, 1.0)
+    return out
+
+
+def cluster_rows(n, blocks, dim, seed, copies=0):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dim))
+    v[n - copies :] = v[rng.integers(0, max(1, n - copies), copies)]  # ties
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    rows = [(int(o), None if b == 0 else int(b), v[i]) for i, (o, b) in enumerate(zip(rng.permutation(n), rng.integers(0, blocks, n), strict=True))]
+    return rows, [float(x) for x in rng.choice([0.6, 0.8, 0.9], n)]
+
+
+@pytest.mark.parametrize("stretch,bucket,block_rows,slice_rows", [(16_384, 512, 8_192, 1_024), (8, 2, 7, 3), (1, 1, 3, 2)])
+def test_leader_clusters_against_the_sequential_rule(spark, monkeypatch, stretch, bucket, block_rows, slice_rows):
+    """One round or many, with thresholds of their own, ties, and a null block: the same clusters."""
+    for name, value in (("STRETCH", stretch), ("BUCKET", bucket), ("BLOCK_ROWS", block_rows), ("SLICE", slice_rows)):
+        monkeypatch.setattr(K, name, value)
+    rows, limits = cluster_rows(130 if stretch > 1 else 40, 3, 3, 1, copies=15)
+    df = spark.createDataFrame([(*r[:2], r[2].tolist(), x) for r, x in zip(rows, limits, strict=True)], "o int, b int, v array<float>, x double").select("*", *[F.lit(1).alias(c) for c in ("at", "k", "near", "n", "block", "_part")])
+    got = {r.o: (r.leader, r.similarity) for r in D.leader_clusters(df, "b", "o", "v", "x").collect()}
+    want = sequential_leaders(rows, limits)
+    assert {o: a for o, (a, _) in got.items()} == {o: a for o, (a, _) in want.items()}
+    assert all(abs(got[o][1] - want[o][1]) < 1e-9 for o in want)
+
+
+def test_leader_clusters_odd_rows(spark):
+    df = spark.createDataFrame([(1, 1, [1.0, 0.0]), (2, 1, None), (3, None, [1.0, 0.0]), (4, None, [1.0, 0.0])], "o int, b int, v array<float>")
+    assert sorted(map(tuple, D.leader_clusters(df, "b", "o", "v", 0.9).select("o", "leader", "similarity").collect())) == [(1, 1, 1.0), (2, 2, None), (3, 3, 1.0), (4, 3, 1.0)]
+    assert D.leader_clusters(df.limit(0), "b", "o", "v", 0.9).count() == 0
+
+
+def test_no_task_clusters_a_long_block(spark, monkeypatch):
+    """Of a block of 6,000 rows a task never gets more than a stretch or a pair of blocks."""
+    monkeypatch.setattr(K, "STRETCH", 600)
+    monkeypatch.setattr(K, "BUCKET", 50)
+    monkeypatch.setattr(K, "BLOCK_ROWS", 500)
+    rows, _ = cluster_rows(6000, 1, 8, 2)
+    df = spark.createDataFrame([(o, 1, v.tolist()) for o, _, v in rows], "o int, b int, v array<float>")
+    got = D.leader_clusters(df, "b", "o", "v", 0.75)
+    want = sequential_leaders(rows, [0.75] * len(rows))
+    assert {r.o: r.leader for r in got.collect()} == {o: a for o, (a, _) in want.items()}
+    block = spark.range(6000).select(F.struct(F.lit(1).alias("block")).alias("at"), F.col("id").alias("o"))
+    sizes = [r["count"] for r in K._sliced(block, K._slices(block, "n"), "n", "slice").groupBy("slice").count().collect()]
+    assert len(sizes) == 12 and max(sizes) <= 600
 
 
 def test_soft_dedup_passes(spark):
