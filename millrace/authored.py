@@ -1,9 +1,4 @@
-"""Further registered queries: operators over small authored inputs, round trips through files, and reports.
-
-The driver's tables hold no regulations, syllabi, faculty lists or curated records, so those operators get small
-invented inputs. Where SQL can say what an operator does, its SQL works on the same inputs; where it can't (course
-and faculty extraction, gates, hooks) the expected rows are worked out by hand and stand in the SQL as values.
-"""
+"""Further registered queries: round trips through files, titles, sections and reports over the driver's tables."""
 
 from __future__ import annotations
 
@@ -13,12 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import lexicons as lex
-from millrace.config import Thresholds, read_settings, write_settings
 from millrace.functions import classify as C
 from millrace.functions import text as T
-from millrace.operators import audit, courses, dedup, evaluate, faculty, segment, titles, vectors
+from millrace.operators import audit, dedup, evaluate, segment, titles, vectors
 from millrace.operators.staging import shared_path
-from millrace.plans import admin, institutional, syllabus
 from millrace.queries import SQL, _LINES, _Q, _SENTENCES, _STRIP, _collapse, _read, _words, query
 from millrace.sources import readers
 
@@ -43,47 +36,8 @@ def _values(rows: Iterable[tuple], schema: str) -> str:
     return " UNION ALL ".join(map(one, rows))
 
 
-def _put(spark: SparkSession, path: str, data: bytes) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop, True)
-    out.write(bytearray(data))
-    out.close()
-
-
 # --- sources and sinks ---
 
-_FILES = {"b.txt": b"one page", "a.txt": b" First page \fSecond\f \n \fFourth", "broken.txt": b"\xff\xfe", "other.csv": b"not read"}
-_PAGE = "doc string, page_num int, text string"
-
-
-def _strict_pages(data: bytes) -> Iterable[tuple[int, str]]:
-    return list(enumerate(data.decode("utf-8").split("\f"), 1))
-
-
-@query(_values([("a.txt", 1, "First page", False), ("a.txt", 2, "Second", False), ("a.txt", 4, "Fourth", False), ("b.txt", 1, "one page", False), ("broken.txt", None, None, True)], _PAGE + ", failed boolean"))
-def scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages of the files of a folder in name order, blank ones dropped; a file that fails gives its error and no page."""
-    folder = shared_path(spark, "files")
-    for name, data in _FILES.items():
-        _put(spark, f"{folder}/{name}", data)
-    got = readers.read_pages(spark, folder, _strict_pages, "*.txt").unionByName(readers.read_pages(spark, folder + "/none", _strict_pages))
-    return got.select("doc", "page_num", "text", F.col("error").isNotNull().alias("failed")).orderBy("doc", "page_num")
-
-
-_PAGES = [("a.pdf", 2, " second "), ("a.pdf", 1, "first"), ("a.pdf", 3, " \n"), ("b.pdf", 7, "only"), ("c.pdf", 1, None)]
-_PARTS = f"WITH p AS (SELECT doc, page_num, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM ({_values(_PAGES, _PAGE)})), k AS (SELECT * FROM p WHERE t <> '') "
-
-
-@query(
-    _PARTS + "SELECT doc, string_agg(t, chr(10) || chr(10) ORDER BY page_num) || chr(10) || chr(10) AS plain, string_agg('--- PAGE ' || page_num || ' ---' || chr(10) || t, chr(10) || chr(10) ORDER BY page_num) AS marked, "
-    "CASE WHEN min(page_num) = max(page_num) THEN CAST(min(page_num) AS VARCHAR) ELSE min(page_num) || '-' || max(page_num) END AS pages FROM k GROUP BY 1"
-)
-def document_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages joined into documents, each followed by a blank line, and once more with page marks."""
-    pages = spark.createDataFrame(_PAGES, _PAGE)
-    plain = segment.document_text(pages, ended=True).select("doc", F.col("text").alias("plain"), T.page_range(F.col("first_page"), F.col("last_page")).alias("pages"))
-    return plain.join(segment.document_text(pages, marked=True).select("doc", F.col("text").alias("marked")), "doc")
-
 
 @query("SELECT c_custkey, c_name, c_acctbal, CAST(NULL AS VARCHAR) AS absent FROM customer")
 def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,16 +47,6 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_json_array(spark, path, "c_custkey long, c_name string, c_acctbal double, absent string")
 
 
-@query(_values([(0.464, 0.633, 0.527, 0.25, True)], "similarity double, boundary double, mixed double, floor double, calibrated boolean"))
-def settings_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settings written and read, one of them left at its default."""
-    path = shared_path(spark, "settings")
-    write_settings(spark, path, Thresholds(0.464, 0.633, 0.527, calibrated=True))
-    t = read_settings(spark, path, Thresholds)
-    row = (t.similarity_threshold, t.semantic_boundary_threshold, t.mixed_topic_threshold, t.purity_floor, t.calibrated)
-    return spark.createDataFrame([row], "similarity double, boundary double, mixed double, floor double, calibrated boolean")
-
-
 def _index(spark: SparkSession, sf_dir: str) -> str:
     path = shared_path(spark, "index")
     vectors.write_index(_read(spark, sf_dir, "embeddings"), ["label", "vec_id"], path, model="given")
@@ -163,12 +107,6 @@ def email_and_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "documents").select("doc_id", T.clean_email(F.col("text")).alias("email"), T.normalize_phone(F.col("text")).alias("phone"))
 
 
-_TITLES = [(i, t) for i, t in enumerate([
-    "1. ELIGIBILITY FORADMISSION", "2) AWARD OFGRADES", "IV. Duration of theProgramme", "VI EXAMINATION RULES", "3.2 CREDITS", "12 ACADEMIC APPEALS BOARD (AAB", "THESIS SUBMISSION", "RULES FORTHE HOSTEL",
-    "THEORY OFMACHINES", "ANDOTHER RULES", "FORMAT OFTHE REPORT", "Minimum Attendance (see page)", "FEES", "x) small letters here", "GRADING SYSTEM.", "SEMESTEREXAMINATION rules", "  ", "CreditTransferPOLICYRules",
-])]
-
-
 def _split_glued(x: str) -> str:
     whole = "|".join(lex.WHOLE_WORDS)
     for w in ("THE", "OF", "FOR", "AND"):
@@ -187,40 +125,6 @@ def _section_title_sql(title: str) -> str:
     )
 
 
-@query(f"SELECT id, {_section_title_sql('title')} AS section_title FROM ({_values(_TITLES, 'id int, title string')})")
-def section_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised titles of regulation sections."""
-    return spark.createDataFrame(_TITLES, "id int, title string").select("id", T.normalize_section_title(F.col("title")).alias("section_title"))
-
-
-_SHORT = [
-    (1, "RULES FOR", "Candidates of all years must hold a pass. More follows.", "RULES FOR Candidates of all years must"),
-    (2, "ELIGIBILITY FOR", "Candidates of the programme. More.", "ELIGIBILITY FOR"),
-    (3, "CONDUCT OF 2020", "Some words. More.", "CONDUCT OF 2020"),
-    (4, "A TITLE THAT IS LONGER THAN OTHERS OF", "Some words.", "A TITLE THAT IS LONGER THAN OTHERS OF"),
-    (5, "TERMS AND", "one two\nthree four five six seven", "TERMS AND one two"),
-    (6, "PLAIN TITLE", "Some words.", "PLAIN TITLE"),
-]
-
-
-@query(_values([(i, t) for i, _, _, t in _SHORT], "id int, title string"))
-def completed_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short titles that end in the air take words of their content, but for known ones."""
-    df = spark.createDataFrame([x[:3] for x in _SHORT], "id int, title string, content string")
-    return df.select("id", T.complete_title(F.col("title"), F.col("content")).alias("title"))
-
-
-_ELIGIBLE = [(1, "MBA", "MBA_Regulations.pdf", "the candidate has", "ELIGIBILITY FOR ADMISSION", "ELIGIBILITY FOR"), (2, "Unknown", "x_Regulations.pdf", "admission", "ELIGIBILITY FOR", "ELIGIBILITY FOR"), (3, "MCA", "mca.pdf", "none", "ELIGIBILITY FOR", "ELIGIBILITY FOR ADMISSION"), (4, "MCA", "Regulations", "nothing here", "ELIGIBILITY FOR", "ELIGIBILITY FOR")]
-
-
-@query(_values([(i, "ELIGIBILITY FOR", a, b) for i, _, _, _, a, b in _ELIGIBLE], "id int, off string, by_content string, by_file string"))
-def eligibility_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two repairs of one title, off as a rule, each switched on alone."""
-    df = spark.createDataFrame([x[:4] for x in _ELIGIBLE], "id int, program string, file string, content string")
-    of = lambda **how: T.complete_eligibility(F.lit("ELIGIBILITY FOR"), F.col("program"), F.col("file"), F.col("content"), **how)
-    return df.select("id", of().alias("off"), of(by_content=True).alias("by_content"), of(by_file="mca.pdf").alias("by_file"))
-
-
 _GENERIC = "|".join(lex.GENERIC_TITLE_PATTERNS)
 _CLEANED = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(url, '^\s+|\s+$', '', 'g'), '^[" + "\"''" + r"]+|[" + "\"''" + r"]+$', '', 'g'), '(?i)^title\s*:?\s*', ''), '\s+', ' ', 'g'))"
 
@@ -274,21 +178,6 @@ def sane_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("l_orderkey", "l_linenumber", C.sanitize_credits(q - 5, F.col("l_linenumber"), some, q % 4).alias("credits"))
 
 
-_CURATED = [("i1", "University_Club", "Club", "text one", None), ("i2", "Faculty_Profile", "Prof", "text two", "h2"), ("i3", "Unheard_Of", "Odd", "text three", ""), ("i4", None, None, "text four", None)]
-
-
-@query(
-    "SELECT coalesce(ako_id, '') AS ako_id, CASE entity_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in lex.ENTITY_CATEGORIES.items()) + " ELSE 'general' END AS category, coalesce(title, '') AS section_title, content, coalesce(nullif(content_hash, ''), md5(content)) AS content_hash, 'institutional' AS type, 0.85::DOUBLE AS semantic_purity_score "
-    f"FROM ({_values(_CURATED, 'ako_id string, entity_type string, title string, content string, content_hash string')})"
-)
-def adapted_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated records with the fields of later stages."""
-    df = spark.createDataFrame(_CURATED, "ako_id string, entity_type string, title string, content string, content_hash string")
-    more = {c: F.lit(None).cast("string") for c in ("domain", "source_file", "extraction_version", "last_updated")}
-    df = df.withColumns(more | {"metadata": F.lit(None).cast("struct<key_entities:array<string>,target_audience:array<string>>")})
-    return readers.adapt_records(df).select("ako_id", "category", "section_title", "content", "content_hash", "type", "semantic_purity_score")
-
-
 # --- sections ---
 
 
@@ -347,12 +236,6 @@ SELECT {doc}, 0, 'GENERAL REGULATIONS', content FROM (SELECT {doc}, {_clean_sql(
 """
 
 
-@query(sections_sql(_values(_RULES, "doc string, text string"), "doc"))
-def admin_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections of authored regulations between header lines; of equal ones in a document the first."""
-    return segment.sections(spark.createDataFrame(_RULES, "doc string, text string"), doc="doc")
-
-
 # the SQL of regulation_sections is the same, over all documents
 SQL["regulation_sections"] = sections_sql("SELECT doc_id, text FROM documents", "doc_id")
 
@@ -415,234 +298,17 @@ def bisected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.array_join(F.col("path").cast("array<string>"), ".").alias("path"), "content", "bisected")
 
 
-_META = [
-    ("btech_cse.pdf", "B.Tech REGULATIONS OF 2021-22\nM.Tech is named once, B Tech twice.", "B.Tech", "2021-22", "B.Tech REGULATIONS OF 2021-22", "PROGRAMME"),
-    ("MBA_Rules-x.pdf", "short\nnothing to name", "MBA", None, "MBA Rules x", "GENERAL"),
-    ("other.pdf", "Ph.D and PhD students\nPOLICY", "Ph.D", None, "other", "EXAMINATION"),
-    ("none.pdf", "Regulations: 2019\nStudy guidelines for all", "Unknown", "2019", "Regulations: 2019", "EXIT"),
-]
-_META_TITLES = ["CURRICULUM OF STUDY", "LIBRARY", "Assessment of Work", "AWARD AND STRUCTURE"]
-
-
-@query(_values([(d, p, y, n, c) for d, _, p, y, n, c in _META], "doc string, program string, regulation_year string, regulation_name string, section_category string"))
-def regulation_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Program by most mentions (else the file's name), year, name, and the category of a section's title."""
-    df = spark.createDataFrame([(d, t, k) for (d, t, *_), k in zip(_META, _META_TITLES, strict=True)], "doc string, text string, title string")
-    return df.select("doc", C.majority_program(F.col("text"), F.col("doc")).alias("program"), C.regulation_year(F.col("text")).alias("regulation_year"), C.regulation_name(F.col("text"), F.col("doc")).alias("regulation_name"), C.section_category(F.col("title")).alias("section_category"))
-
-
 # --- courses ---
 
-_SYLLABUS = "\n".join([
-    "B.Tech syllabus, Regulations: 2020-21", "Course Code Course Name L T P", "CSU101 Data Structures and", "Department: CSE Semester : III  3 - 1 - 0",
-    "Lecture Periods: 45 Tutorial Periods: 15 Practical Periods: - Total Periods: 60", "Course Objectives:", "1. To study the basic structures of data", "2. To analyse algorithms in depth",
-    "Course Outcomes:", "CO1 Explain lists CO2 Apply trees CO10 Build graphs", "UNIT I : Data Structures and Lists Periods: 9", "Linear structures", "Arrays; linked lists - stacks and queues", "CO1", "UNIT II", "Trees and Heaps",
-    "Periods : 8", "1. Binary trees, heaps CO10, CO7", "Reference Books", "1. Some Author, Data Structures and Algorithms, Press", "2. Another Author, Trees in Practice", "CO-PO Mapping",
-    "Course Code Course Name L T P", "CSU102 Programming Laboratory", "2nd Semester", "Credits: 2",
-])
-_SYLLABI = [("ug_btech_cse.pdf", 1, _SYLLABUS), ("ug_btech_cse.pdf", 2, "CSU102 once more"), ("pg_mca_it.pdf", 3, "ABC123 First Course\nL: 3 T: 0 P: 2\nABC124 Second Course"), ("empty.pdf", 1, "nothing of the kind")]
-
-
-def _courses(spark: SparkSession) -> DataFrame:
-    return syllabus.extract(spark.createDataFrame(_SYLLABI, _PAGE))
-
-
-_COURSE = "course_code string, course_name string, program string, degree_level string, department string, regulation_year string, semester string, credits string, hours int, page_range string"
-
-
-@query(_values([
-    ("CSU101", "Data Structures and", "B.Tech", "UG", "CSE", "2020-21", "3", "3-1-0=4", 60, "1"), ("CSU102", "Programming Laboratory", "B.Tech", "UG", "CSE", "2020-21", "2", "0-0-0=2", None, "1-2"),
-    ("ABC123", "First Course", "MCA", "PG", "IT", None, "", "3-0-2=5", None, "3"), ("ABC124", "Second Course", "MCA", "PG", "IT", None, "", None, None, "3"),
-], _COURSE))
-def course_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Courses of authored syllabi: header fields, file fields, year, semester, credits, hours, pages."""
-    c = F.col("credits")
-    shown = F.concat(c["lecture"].cast("string"), F.lit("-"), c["tutorial"].cast("string"), F.lit("-"), c["practical"].cast("string"), F.lit("="), c["total"].cast("string"))
-    return _courses(spark).select("course_code", "course_name", "program", "degree_level", "department", "regulation_year", "semester", shown.alias("credits"), F.col("contact_hours.total").alias("hours"), "page_range")
-
-
-_UNIT = "course_code string, unit_number string, unit_title string, hours int, topics string, mapped string"
-
-
-@query(_values([("CSU101", "I", "Data Structures and Lists", 9, "Arrays|Linked lists|Stacks|Queues", "CO1"), ("CSU101", "II", "Trees and Heaps", 8, "Binary trees|Heaps co10", "CO10")], _UNIT))
-def course_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units of the authored syllabi: number, title, hours, topics, and the declared outcomes that they mention."""
-    got = _courses(spark).select("course_code", F.explode("units").alias("u"))
-    return got.select("course_code", "u.unit_number", "u.unit_title", "u.hours", F.array_join("u.topics", "|").alias("topics"), F.array_join("u.mapped_course_outcomes", "|").alias("mapped"))
-
-
-@query(_values([
-    ("CSU101", "To study the basic structures of data|To analyse algorithms in depth", "CO1=Explain lists|CO2=Apply trees|CO10=Build graphs", "Some Author, Data Structures and Algorithms, Press|Another Author, Trees in Practice"),
-    ("CSU102", "", "", ""), ("ABC123", "", "", ""), ("ABC124", "", "", ""),
-], "course_code string, objectives string, outcomes string, refs string"))
-def course_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Objectives, outcomes and references of the authored syllabi."""
-    outcomes = F.transform("course_outcomes", lambda o: F.concat(o["co_id"], F.lit("="), o["description"]))
-    return _courses(spark).select("course_code", F.array_join("course_objectives", "|").alias("objectives"), F.array_join(outcomes, "|").alias("outcomes"), F.array_join("textbook_references", "|").alias("refs"))
-
-
-_FINISHED = "course_code string, ako_title string, flags string, score double, total_credits int, ako_text string"
-
-
-@query(_values([
-    ("CSU101", "CSU101 – Data Structures And Lists (B.Tech, Sem 3)", "", 1.0, 4, "Course: Data Structures And Lists\nCourse Code: CSU101\nProgram: B.Tech (UG) | Department: CSE\nSemester: 3 | Total Credits: 4\nCourse Outcomes: CO1: Explain lists | CO2: Apply trees | CO3: Build graphs\nUnit I – Data Structures and Lists (9 hrs): Linear structures Arrays; linked lists - stacks and queues\nUnit II – Trees and Heaps (8 hrs): Binary trees, Heaps co10"),
-    ("CSU102", "CSU102 – Programming Laboratory (B.Tech, Sem 2)", "NO_UNITS,NO_OUTCOMES,NO_OBJECTIVES", 0.55, 2, "Course: Programming Laboratory\nCourse Code: CSU102\nProgram: B.Tech (UG) | Department: CSE\nSemester: 2 | Total Credits: 2\nNote: Detailed unit content not available for this course."),
-    ("ABC123", "ABC123 – First Course (MCA)", "NO_UNITS,NO_OUTCOMES,NO_OBJECTIVES", 0.55, 5, "Course: First Course\nCourse Code: ABC123\nProgram: MCA (PG) | Department: IT\nSemester:  | Total Credits: 5\nNote: Detailed unit content not available for this course."),
-    ("ABC124", "ABC124 – Second Course (MCA)", "NO_UNITS,NO_OUTCOMES,NO_OBJECTIVES", 0.55, None, "Course: Second Course\nCourse Code: ABC124\nProgram: MCA (PG) | Department: IT\nSemester:  | Total Credits: 0\nNote: Detailed unit content not available for this course."),
-], _FINISHED))
-def finished_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The authored courses with repaired names, titles, texts, flags and credits."""
-    got = syllabus.finish(_courses(spark))
-    return got.select("course_code", "ako_title", F.array_join("quality_flags", ",").alias("flags"), F.round("quality_score", 6).alias("score"), "total_credits", "ako_text")
-
-
-@query(_values([("CSU101",)], "course_code string"))
-def indexed_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The courses that the index takes when those without units are left out."""
-    return syllabus.build(spark.createDataFrame(_SYLLABI, _PAGE), skip_without_units=True).select("course_code")
-
-
-_NAMES = [
-    (1, "Data Structures and", ["", "DATA STRUCTURES AND LISTS"], ["x"], "Data Structures And Lists"),
-    (2, "Theory of", [], ["A. Author, Theory of Machines, Press"], "Theory of Machines"),
-    (3, "Design for", [], ["none"], "Design for [NEEDS REVIEW]"),
-    (4, "Whole Name", [], [], "Whole Name"),
-]
-
-
-@query(_values([(i, n, "C" + str(i) + " – " + n.replace(" [NEEDS REVIEW]", "") + " (MBA, Sem 2)") for i, _, _, _, n in _NAMES], "id int, name string, title string"))
-def course_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names that end in the air, repaired from unit titles or references, and rendered as titles."""
-    df = spark.createDataFrame([x[:4] for x in _NAMES], "id int, name string, units array<string>, refs array<string>")
-    named = df.withColumn("name", courses.repair_name(F.col("name"), F.col("units"), F.col("refs")))
-    return named.select("id", "name", courses.render_title(F.concat(F.lit("C"), F.col("id").cast("string")), F.col("name"), F.lit("MBA"), F.lit("2")).alias("title"))
-
 
 # --- faculty ---
 
-_STAFF = "\n".join([
-    "DEPARTMENT OF COMPUTER SCIENCE AND ENGINEERING", "Head of the Department", "Dr. A. Example", "0413-2345", "head[at]site[dot]edu", "PROFESSOR", "Dr. A. Example", "M.Tech., Ph.D", "Specialization : Networks,",
-    "Security/Systems; Logic", "Phone : 0413-222", "Email : ae [at] site.edu,", "--- PAGE 2 ---", "ASSOCIATE PROFESSOR", "Ms. B. Person", "Specialization: Data", "Ms. B. Person", "DEPARTMENT OF PHYSICS", "Mr. C. Other",
-])
-
-
-def _profiles(spark: SparkSession) -> DataFrame:
-    return faculty.faculty_profiles(spark.createDataFrame([("staff", _STAFF)], "doc string, text string"))
-
-
-_PERSON = "line_no int, name string, designation string, department string, qualifications string, specialization string, phone string, email string, is_hod boolean, hod_phone string, hod_email string"
-_CSE = "Computer Science and Engineering"
-
-
-@query(_values([
-    (6, "Dr. A. Example", "Professor", _CSE, "M.Tech., Ph.D", "Networks, Security/Systems; Logic", "0413-222", "ae@site.edu", True, "0413-2345", "head@site.edu"),
-    (14, "Ms. B. Person", "Associate Professor", _CSE, None, "Data", None, None, False, None, None),
-    (16, "Ms. B. Person", "Associate Professor", _CSE, None, "", None, None, False, None, None), (18, "Mr. C. Other", "Faculty", "Physics", None, "", None, None, False, None, None),
-], _PERSON))
-def faculty_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Persons of an authored faculty list with what is carried forward to them, and the heads found among them."""
-    return _profiles(spark).drop("doc")
-
-
-@query(_values([
-    ("Dr. A. Example", "Profile of Dr. A. Example, HOD of " + _CSE, "Dr. A. Example|" + _CSE + "|HOD|Networks|Security|Systems", "**Name**: Dr. A. Example\n**Designation**: Professor & Head of the Department (" + _CSE + ")\n**Qualifications**: M.Tech., Ph.D\n**Specialization**: Networks, Security/Systems; Logic\n**Contact**:\n- Phone: 0413-2345\n- Email: head@site.edu\n**Department**: " + _CSE),
-    ("Ms. B. Person", "Profile of Ms. B. Person, " + _CSE, "Ms. B. Person|" + _CSE + "|Data", "**Name**: Ms. B. Person\n**Designation**: Associate Professor\n**Specialization**: Data\n**Department**: " + _CSE),
-    ("Mr. C. Other", "Profile of Mr. C. Other, Physics", "Mr. C. Other|Physics", "**Name**: Mr. C. Other\n**Designation**: Faculty\n**Department**: Physics"),
-], "name string, title string, entities string, content string"))
-def faculty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rendered profile a name and department, with title and entities."""
-    entities = faculty.profile_entities(F.col("name"), F.col("department"), F.col("specialization"), is_hod=F.col("is_hod"))
-    return faculty.unique_profiles(_profiles(spark)).select("name", faculty.profile_title().alias("title"), F.array_join(entities, "|").alias("entities"), faculty.render_profile().alias("content"))
-
-
-@query(_values([(_CSE, 2, "Dr. A. Example", "Dr. A. Example|Ms. B. Person"), ("Physics", 1, None, "Mr. C. Other")], "department string, n_members int, head string, members string"))
-def faculty_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members of each department, each once, and its head."""
-    got = faculty.rosters(_profiles(spark))
-    return got.select("department", "n_members", "head", F.array_join(F.transform("members", lambda m: m["name"]), "|").alias("members"))
-
 
 # --- curated and extracted records ---
 
-_FIRST = [(1, "a", "same"), (2, "b", "own"), (3, "b again", "own")]
-_SECOND = [(1, "c", "same"), (2, "d", "new"), (2, "d", "new")]
-
-
-@query(
-    f"SELECT title, content FROM (SELECT *, row_number() OVER (PARTITION BY md5(content) ORDER BY s, ordinal) AS n FROM (SELECT 0 AS s, * FROM ({_values(_FIRST, 'ordinal int, title string, content string')}) UNION ALL SELECT 1, * FROM ({_values(_SECOND, 'ordinal int, title string, content string')}))) WHERE n = 1"
-)
-def curated_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Curated sources in their order, equal contents once."""
-    a, b = (spark.createDataFrame(x, "ordinal int, title string, content string") for x in (_FIRST, _SECOND))
-    return institutional.curated(a, b).select("title", "content")
-
-
-_FEES = " ".join(f"The tuition fee payment of term {i} is due with the scholarship refund and the dues." for i in range(14))
-_ROOMS = " ".join(f"Rooms of hostel block {i} are near the mess, the library and the sports ground." for i in range(14))
-_GATED = [
-    ("a", 0, "T", _FEES, "fees", None), ("a", 1, "T", _FEES, "fees", "duplicate"), ("b", 0, "T", _FEES, "fees", None), ("b", 1, "T", "Too short a text to keep.", "fees", "too_short"),
-    ("b", 2, "T", _ROOMS, "", "unclear_category"), ("c", 0, "T", _ROOMS, "campus", None), ("d", 0, "T", None, "campus", "too_short"),
-]
-
-
-@query(_values([(d, n, r) for d, n, _, _, _, r in _GATED], "doc string, section_no int, reason string"))
-def candidate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Why candidates are refused: too short, no category, the same beginning in a document."""
-    df = spark.createDataFrame([x[:5] for x in _GATED], "doc string, section_no int, section_title string, content string, category string").withColumn("path", F.array(F.lit(0)))
-    return institutional.gate(df, Thresholds(purity_floor=0.05)).select("doc", "section_no", "reason")
-
-
-def _halves_embedder():
-    import numpy as np
-
-    return lambda batch: np.array([[1.0, 0.0] if "fee" in t else [0.0, 1.0] for t in batch], np.float32)
-
-
-_MEANT = [("x", _FEES + " " + _ROOMS), ("y", _FEES)]
-
-
-@query(_values([("x", 0, 12, True, False), ("x", 1, 16, True, True), ("y", 0, 14, True, False)], "doc string, section_no int, sentences int, fees boolean, rooms boolean"))
-def semantic_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sections between the places where the meaning changes, by an embedder with two directions.
-
-    The moving average falls to 4/5 from two places before the change on, so the first chunk ends there."""
-    got = institutional.semantic_sections(spark.createDataFrame(_MEANT, "doc string, text string"), Thresholds(similarity_threshold=0.85), embedder=_halves_embedder)
-    return got.select("doc", "section_no", F.regexp_count("content", F.lit(r"\.")).alias("sentences"), F.contains("content", F.lit("fee")).alias("fees"), F.contains("content", F.lit("hostel")).alias("rooms"))
-
 
 # --- validity ---
 
-_ODD_RECORDS = [
-    ("1", "Some Title", "content of a record", "reg", "cat", "f.pdf"), (None, "T", "short", "reg", "cat", "f.pdf"), ("3", " ", "content of a record", None, "", "f.pdf"),
-    ("4", "T", None, "reg", "cat", None), ("", "ELIGIBILITY RULES", "tiny", "", "unknown", " "), ("6", "T", "word " * 40, "reg", "unknown", "f"), ("7", "T", "word " * 40, "reg", "cat", "f"),
-]
-_REC = "ako_id string, title string, content string, regulation string, category string, source string"
-_BLANK = lambda c: rf"coalesce(regexp_replace({c}, '\s', '', 'g'), '') = ''"
-_BRIEF = rf"coalesce(length({_STRIP.format('content')}), 0) < 10"
-
-
-def _listed(*tests: tuple[str, str]) -> str:
-    return "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {t} THEN '{m}' END" for t, m in tests) + "], lambda x: x IS NOT NULL), ',')"
-
-
-@query(
-    "SELECT ako_id, title, "
-    + _listed((_BLANK("title"), "section_title"), (_BRIEF, "content"), (_BLANK("regulation"), "regulation_name")) + " AS admin, "
-    + _listed((_BLANK("ako_id"), "ako_id"), (_BLANK("category"), "category"), (_BLANK("title"), "section_title"), (_BRIEF, "content"), (_BLANK("source"), "source_file")) + " AS institutional, "
-    + _listed((_BLANK("regulation"), "course_code"), (_BLANK("title"), "course_name")) + " AS course, "
-    + f"NOT ({_BLANK('title')} OR {_BRIEF} OR {_BLANK('regulation')}) AS loadable, {_words('coalesce(content, \'\')')} >= 30 AND NOT {_BLANK('title')} AND NOT {_BLANK('category')} AND category <> 'unknown' AS clean, "
-    + f"coalesce(length(content), 0) > 50 OR {_in('upper(title)', lex.UNFIXABLE_TITLE_WORDS)} AS indexable FROM ({_values(_ODD_RECORDS, _REC)})"
-)
-def record_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What odd records lack by the rules of each kind, and whether they are loadable, clean and worth indexing."""
-    df = spark.createDataFrame(_ODD_RECORDS, _REC)
-    i, t, c, r, k, s = (F.col(x.split()[0]) for x in _REC.split(", "))
-    listed = lambda x: F.array_join(x, ",")
-    return df.select(
-        "ako_id", "title", listed(C.admin_errors(t, c, r)).alias("admin"), listed(C.institutional_errors(i, k, t, c, s)).alias("institutional"), listed(C.course_errors(r, t)).alias("course"),
-        C.loadable("admin", t, c, r).alias("loadable"), C.cleanup_valid(c, t, k).alias("clean"), C.indexable_admin(t, c).alias("indexable"),
-    )
-
 
 @query("SELECT vec_id, CAST(vec_id AS VARCHAR) AS id_text, '[' || label || ',' || label + 1 || ']' AS list_text, '{\"k\":' || label || '}' AS struct_text, '' AS null_text FROM embeddings")
 def stringified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -661,60 +327,6 @@ def title_program_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.keep_first(p, dedup.title_program_key(), ["page_id"]).select("page_id")
 
 
-_REPEATED = [(1, "a", "x"), (1, "a", "x"), (2, "a", "y"), (3, None, "z"), (3, None, "z"), (None, "b", "w"), (None, "b", "w"), (5, "b", None)]
-
-
-@query(f"SELECT o, k, v FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY o NULLS FIRST, v) AS n FROM ({_values(_REPEATED, 'o int, k string, v string')})) WHERE n = 1")
-def dedup_of_repeated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of rows that agree in key and order one stays."""
-    return dedup.keep_first(spark.createDataFrame(_REPEATED, "o int, k string, v string"), F.col("k"), ["o"])
-
-
-_SOFT = [
-    ("1", "k", "A good long title", "text one", [1.0, 0.0]), ("2", "k", "Another good title", "text two with more words", [0.9553365, 0.2955202]), ("3", "k", "Overview", "text three", [0.8253356, 0.5646425]),
-    ("4", "m", "Overview", "text four", [0.62161, 0.7833269]), ("5", "m", "Overview", "text four", [-0.8011436, 0.5984721]), ("6", "m", "A whole title here", "no vector", None),
-]
-
-
-@query(_values([("k", "2", "Another good title"), ("m", "6", "A whole title here"), ("m", "4", "Overview")], "category string, id string, title string"))
-def soft_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact, then semantic deduplication, generic titles across categories last; in the final order.
-
-    5 equals 4; 2 is within 0.90 of 1 and has more words; 3 joins leader 1 at 0.825, enough for a generic title."""
-    df = spark.createDataFrame(_SOFT, "id string, category string, title string, content string, v array<float>").withColumn("cleanup_version", F.lit("rule"))
-    return dedup.in_final_order(dedup.soft_dedup(df, "id", "v")).select("category", "id", "title")
-
-
-_MERGED = [(i, i % 2, 2 - i % 2 if i > 2 else i, round(0.9 + i / 1000, 6)) for i in range(1, 61)]
-_CLUSTER = "o int, b int, leader int, similarity double"
-
-
-@query(
-    f"WITH c AS ({_values(_MERGED, _CLUSTER)}), s AS (SELECT b, o, leader, similarity, row_number() OVER (PARTITION BY b ORDER BY o) AS n FROM c WHERE o <> leader), m AS (SELECT b, o, leader, similarity, row_number() OVER (ORDER BY b, o) AS n FROM c WHERE o <> leader) "
-    "SELECT 'similarity' AS kind, b, o, leader, similarity FROM s WHERE n <= 20 UNION ALL SELECT 'merge', b, o, leader, similarity FROM m WHERE n <= 50 UNION ALL SELECT 'counts', CAST(count(DISTINCT b) AS INT), CAST(count(*) AS INT), CAST(count(*) FILTER (o = leader) AS INT), CAST(count(*) FILTER (o <> leader) AS DOUBLE) FROM c"
-)
-def cluster_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first similarities of each block, the first merges, and counters."""
-    sims, merges, counts = dedup.cluster_report(spark.createDataFrame(_MERGED, _CLUSTER), "b", "o")
-    tagged = lambda df, kind: df.select(F.lit(kind).alias("kind"), "b", "o", "leader", "similarity")
-    numbers = counts.select(F.lit("counts").alias("kind"), F.col("blocks").cast("int").alias("b"), F.col("input").cast("int").alias("o"), F.col("clusters").cast("int").alias("leader"), F.col("merged").cast("double").alias("similarity"))
-    return tagged(sims, "similarity").unionByName(tagged(merges, "merge")).unionByName(numbers)
-
-
-_T30 = " ".join(f"t{i}" for i in range(30))
-_COURSES = [
-    (1, "A1", "Name One", "P", "D", "1", "long " + _T30), (2, "a1 ", "Other", "P", "D", "1", "x"), (3, "", "Name one!", "p", "d", "1", "y"), (4, "B1", "Third", "P", "D", "2", "lang " + _T30),
-    (5, None, "Fourth", "P", "E", "2", "long " + _T30), (6, " ", "Sixth", "P", "E", "3", "other words here"),
-]
-_COURSE_ROW = "o int, course_code string, course_name string, program string, department string, semester string, ako_title string"
-
-
-@query(_values([(1, "clean"), (4, "near_duplicate"), (5, "clean"), (6, "clean")], "o int, dedup_status string"))
-def course_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three passes over courses: 2 has the code of 1, 3 its name, 4 nearly its title (30 of 32 words)."""
-    return dedup.dedup_courses(spark.createDataFrame(_COURSES, _COURSE_ROW), "o", remove=False).select("o", "dedup_status")
-
-
 @query("SELECT count(*) AS total_input, count(DISTINCT md5(text)) AS total_output, count(*) - count(DISTINCT md5(text)) AS total_removed, round(100 * (count(*) - count(DISTINCT md5(text))) / count(*), 2) AS duplicate_rate_pct, round(100 * (count(*) - count(DISTINCT md5(text))) / count(*), 2) < 15 AS target_met FROM documents")
 def removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What exact deduplication of all texts removes, against the target."""
@@ -807,18 +419,6 @@ def retrieval_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.retrieval_report(_hits(spark, sf_dir), asked, "title").withColumn("top_score", F.round("top_score", 4))
 
 
-_ROUTED = "CASE " + " ".join("WHEN " + _in("lower(query)", ws) + f" THEN '{r}'" for r, ws in lex.ROUTES.items()) + " ELSE 'unknown' END"
-_LABELLED = _values([("routing", q, a) for q, a in lex.ROUTING_QUERIES] + [("syllabus", q, "syllabus") for q in lex.SYLLABUS_QUERIES] + [("admin", q[0], "admin") for q in lex.ADMIN_QUERIES], "set string, query string, label string")
-
-
-@query(f"SELECT set, count(*) AS n, count(*) FILTER ({_ROUTED} = label) AS correct, round(100 * count(*) FILTER ({_ROUTED} = label) / count(*), 2) AS accuracy_pct FROM ({_LABELLED}) GROUP BY set")
-def labelled_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accuracy of keyword routing on each of the labelled query sets."""
-    q = evaluate.labelled_queries(spark).withColumn("predicted", C.route_query(F.col("query")))
-    right = F.col("predicted") == F.col("label")
-    return q.groupBy("set").agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("correct"), F.round(100 * F.count_if(right) / F.count(F.lit(1)), 2).alias("accuracy_pct"))
-
-
 @query(
     f"WITH q AS ({_Q}), s AS (SELECT query_id, vec_id AS pos, e.label, {_DOTS} AS score FROM q, embeddings e), h AS (SELECT *, row_number() OVER (PARTITION BY query_id, label ORDER BY score DESC, pos) AS rank FROM s) "
     "SELECT query_id, CAST(label AS INT) AS label, round(max(score), 4) AS best, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY rank) AS places FROM h WHERE rank <= 3 GROUP BY 1, 2"
@@ -834,19 +434,6 @@ def routing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- audit ---
 
-_ENTRIES = [("extract", 100, None), ("clean", 90, 100), ("dedup", 80, 90), ("dedup", 79, 88), ("index", 5, 0)]
-
-
-@query(
-    f"SELECT stage, output_count, input_count, output_count - input_count AS delta, CASE WHEN input_count > 0 THEN round(100 * (output_count - input_count) / input_count, 1) END AS delta_pct, coalesce(output_count < input_count AND (input_count - output_count) / nullif(input_count, 0) > 0.1, false) AS alarm FROM ({_values(_ENTRIES, 'stage string, output_count long, input_count long')})"
-)
-def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audit entries appended one by one and read back with their losses; a loss of exactly a tenth is no alarm."""
-    path = shared_path(spark, "audit")
-    for stage, out, before in _ENTRIES:
-        audit.record_stage(spark, path, stage, out, before)
-    return audit.history(spark, path).select("stage", "output_count", "input_count", "delta", "delta_pct", "alarm")
-
 
 @query("SELECT count(*) FILTER (event_type = 'purchase') AS passed, count(*) FILTER (event_type = 'click') AS warned, count(*) FILTER (event_type = 'error') AS failed, count(*) AS total, count(*) FILTER (event_type = 'error') = 0 AS ok FROM events")
 def check_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -855,8 +442,3 @@ def check_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.check_summary(_read(spark, sf_dir, "events").select(status.alias("status")))
 
 
-@query(_values([("r1", "ELIGIBILITY FOR ADMISSION", "ELIGIBILITY"), ("r1", "AWARD OF GRADES", "GRADING"), ("r2", "ATTENDANCE REQUIREMENTS", "GENERAL"), ("r3", "GENERAL REGULATIONS", "GENERAL"), ("r5", "WITHDRAWAL FROM EXAMINATION", "EXAMINATION")], "doc string, section_title string, section_category string"))
-def admin_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Authored regulations from pages to deduplicated sections worth indexing."""
-    pages = spark.createDataFrame([(d, 1, t) for d, t in _RULES], _PAGE)
-    return admin.documents(admin.deduplicate(admin.extract(pages))).select("doc", "section_title", "section_category")

@@ -27,6 +27,14 @@ def record_stage(spark: SparkSession, path: str, stage: str, output_count: int,
     return with_losses(one)
 
 
+def record_stages(entries: DataFrame, path: str) -> None:
+    """Appends many entries, a row each, to the audit table at `path`: stage, output_count and any other columns of AUDIT;
+    those that are left out are null. They are written as Spark has them, none comes to the driver."""
+    given = set(entries.columns)
+    kinds = [c.split(" ", 1) for c in AUDIT.split(", ")]
+    entries.select(*[(F.col(n) if n in given else F.lit(None)).cast(k).alias(n) for n, k in kinds]).write.mode("append").parquet(path)
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     return with_losses(spark.read.schema(AUDIT).parquet(path)).orderBy("seq")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,12 @@ from millrace.operators.clusters import leader_clusters
 from millrace.operators.staging import staged
 
 
+#: Tokens that are frequent are fewer than so many; rows of a token of a block's prefixes that a part of it holds.
+FREQUENT, HOT_PREFIX = 20_000, 2_000
+#: Words of 64 bits that a token set's parities take; a power of two.
+PARITY_WORDS = 4
+
+
 def _first_of(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
     """Of each key the row with the least `order`; of rows that tie in it the one with the least hash, so exactly one.
 
@@ -95,47 +103,78 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
 
 
+def _hashed(value: Column) -> Column:
+    """128 bits that stand for a value."""
+    return F.struct(F.xxhash64(value).alias("a"), F.xxhash64(value, F.lit(1)).alias("b"))
+
+
+def _parities() -> list[Column]:
+    """Aggregates over hashed tokens (token): bit b of PARITY_WORDS words says whether an odd number of them fall on it.
+    Where two sets' bits differ, the sets differ in a token, so their number is a lower bound of what the sets differ in."""
+    bit, word = F.expr("shiftleft(1L, cast(token & 63 as int))"), F.shiftrightunsigned("token", 6).bitwiseAND(F.lit(PARITY_WORDS - 1))
+    return [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(PARITY_WORDS)]
+
+
+def token_classes(df: DataFrame, tokens: Column, block: list[Column], order: str) -> DataFrame:
+    """Different token sets of each block: at (its block and hash), o (the first row that has it), set (hashed tokens,
+    sorted). Rows without tokens have none."""
+    hashed = F.array_sort(F.transform(F.array_distinct(tokens), lambda x: F.xxhash64(x)))
+    base = df.select(F.col(order).alias("o"), hashed.alias("set"), *[b.alias(f"b{i}") for i, b in enumerate(block)]).filter(F.size("set") > 0)
+    at = F.struct(F.struct(*[F.col(f"b{i}") for i in range(len(block))]).alias("block") if block else F.lit(0).alias("block"), _hashed(F.col("set")).alias("key"))
+    return base.select("o", "set", at.alias("at"))
+
+
+def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of classes (at, o, set) of a block that may be similar by `threshold`: i, j (places), m, n (sizes).
+
+    Two such sets share one of their first n - ceil(t * n) + 1 tokens, rarest first. Rarest first goes by the counts of
+    the tokens that make up more than a FREQUENT-th of all, fewer than FREQUENT of them, which are sent to all tasks; the
+    others go by their hash. Before a pair is made of two prefix entries it has to pass the sizes, the places of the token
+    in both (what can follow it bounds what is shared) and the bits of `_parities` (which bound what differs).
+
+    A token that many prefixes of a block hold is dealt to pairs of parts: each of its rows to as many as it has parts of
+    HOT_PREFIX rows."""
+    each = classes.select("at", "o", F.size("set").alias("n"), F.explode("set").alias("token"))
+    counts = classes.select(F.explode("set").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    total = counts.agg(F.coalesce(F.sum("often"), F.lit(0))).first()[0]
+    frequent = F.broadcast(counts.filter(F.col("often") > total // FREQUENT))
+    ranked = each.join(frequent, "token", "left").groupBy("at", "o", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "token"))).alias("ts"), *_parities())
+    keep = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
+    words = [f"w{i}" for i in range(PARITY_WORDS)]
+    prefix = ranked.select("at", "o", "n", *words, F.posexplode(F.transform(F.slice("ts", 1, keep), lambda x: x["token"])).alias("p", "token"))
+    prefix = staged(prefix.select(F.struct("at.block", "token").alias("meet"), F.struct("o", F.col("at.key").alias("key")).alias("k"), "n", *words, "p"))
+    hot = max(HOT_PREFIX, prefix.count() // FREQUENT)
+    busy = prefix.groupBy("meet").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > hot)
+    parts = F.broadcast(busy.select("meet", F.ceil(F.col("times") / HOT_PREFIX).cast("int").alias("parts")))
+    dealt = prefix.join(parts, "meet", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = dealt.select("meet", "k", "n", *words, "p", F.col("own").alias("x"), every.alias("y")).alias("a")
+    b = dealt.select("meet", "k", "n", *words, "p", every.alias("x"), F.col("own").alias("y")).alias("b")
+    m, n = F.col("a.n"), F.col("b.n")
+    least = threshold / (1 + threshold) * (m + n) - 1e-6  # tokens that a similar pair shares
+    shared = F.least(m - F.col("a.p"), n - F.col("b.p"))
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words])
+    on = (F.col("a.meet") == F.col("b.meet")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")) & (F.col("a.k.o") < F.col("b.k.o"))
+    on = on & (m >= threshold * n - 1e-6) & (n >= threshold * m - 1e-6) & (shared >= least) & (m + n - 2 * least >= apart)
+    return a.join(b, on).select(F.col("a.k").alias("i"), F.col("b.k").alias("j"), m.alias("m"), n.alias("n"), F.col("a.meet.block").alias("block")).distinct()
+
+
 def jaccard_links(df: DataFrame, tokens: Column, block: list[Column], order: str, threshold: float) -> DataFrame:
     """Pairs i < j (by order) of a block whose token sets are similar by `threshold` or more: i, j, similarity, copy.
 
-    A prefix filter finds candidates: two such sets share one of their first n - ceil(t * n) + 1 tokens, rarest
-    first. How many of these a pair shares, and where the last of them lies, bounds what it can share in all; only
-    pairs for which that is enough are compared, on hashes of their tokens. Equal sets are a class that its first
-    row stands for: candidates come from first rows only, and each other member has one pair, with the first
-    (copy), so copies make no square of pairs. Rows with the same order value are not compared with each other."""
-    hashed = F.transform(F.array_distinct(tokens), lambda x: F.xxhash64(x))
-    base = df.select(F.col(order).alias("o"), F.array_sort(hashed).alias("set"), *[b.alias(f"b{i}") for i, b in enumerate(block)]).filter(F.size("set") > 0)
-    blocks = [f"b{i}" for i in range(len(block))]
-    classes = base.groupBy("set", *blocks).agg(F.min("o").alias("o"))
-    copies = base.alias("x").join(classes.alias("c"), _same(["set", *blocks], "x", "c")).filter("x.o > c.o")
-    copies = copies.select(F.col("c.o").alias("i"), F.col("x.o").alias("j"), F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
-    classes = staged(classes.withColumn("k", F.struct("o", F.xxhash64("set").alias("h"))))
-    each = classes.select("k", *blocks, F.explode("set").alias("token"))
-    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    ranked = each.join(often, "token").groupBy("k", *blocks).agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"))
-    keep = F.size("ts") - F.ceil(F.lit(threshold) * F.size("ts")).cast("int") + 1
-    prefix = ranked.select("k", *blocks, F.size("ts").alias("n"), F.posexplode(F.transform(F.slice("ts", 1, keep), lambda x: x["token"])).alias("at", "token"))
-    a, b = prefix.alias("a"), prefix.alias("b")
-    on = (F.col("a.token") == F.col("b.token")) & (F.col("a.k.o") < F.col("b.k.o")) & _same(blocks, "a", "b")
-    sized = (F.col("a.n") >= threshold * F.col("b.n")) & (F.col("b.n") >= threshold * F.col("a.n"))
-    met = a.join(b, on & sized).groupBy(F.col("a.k").alias("i"), F.col("b.k").alias("j")).agg(
-        F.count(F.lit(1)).alias("c"), F.max("a.at").alias("p"), F.max("b.at").alias("q"), F.first("a.n").alias("m"), F.first("b.n").alias("n")
-    )
-    most = F.col("c") + F.least(F.col("m") - F.col("p"), F.col("n") - F.col("q")) - 1
-    hopeful = met.filter(most * (1 + threshold) >= threshold * (F.col("m") + F.col("n")) - 1e-6).select("i", "j")
-    sets = classes.select("k", "set")
-    pairs = hopeful.join(sets.withColumnsRenamed({"k": "i", "set": "x"}), "i").join(sets.withColumnsRenamed({"k": "j", "set": "y"}), "j")
-    near = pairs.select(F.col("i.o").alias("i"), F.col("j.o").alias("j"), jaccard(F.col("x"), F.col("y")).alias("similarity"))
-    near = near.filter(F.col("similarity") >= threshold).groupBy("i", "j").agg(F.max("similarity").alias("similarity"))
-    return near.withColumn("copy", F.lit(False)).unionByName(copies)
-
-
-def _same(columns: list[str], a: str, b: str) -> Column:
-    """Whether two sides agree in all columns, nulls being equal."""
-    on = F.lit(True)
-    for c in columns:
-        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return on
+    Equal sets are a class that its first row stands for: candidates (`candidate_pairs`) come from classes only, and each
+    other member has one pair, with the first (copy), so copies make no square of pairs. Candidates are compared on the
+    hashes of all their tokens. Rows with the same order value are not compared with each other, nor rows without tokens
+    with any; null blocks are a block; an empty table gives an empty result. Other columns' names don't matter."""
+    base = staged(token_classes(df, tokens, block, order))
+    classes = base.groupBy("at").agg(F.min("o").alias("o"), F.first("set").alias("set"))
+    copies = base.select("at", F.col("o").alias("j")).join(classes.select("at", F.col("o").alias("i")), "at").filter("j > i").select("i", "j", F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
+    pairs = candidate_pairs(classes, threshold)
+    sets = lambda side, name: classes.select(F.col("at.block").alias("block"), F.struct("o", F.col("at.key").alias("key")).alias(side), F.col("set").alias(name))
+    met = pairs.join(sets("i", "x"), ["block", "i"]).join(sets("j", "y"), ["block", "j"])
+    both = F.size(F.array_intersect("x", "y"))
+    near = met.select(F.col("i.o").alias("i"), F.col("j.o").alias("j"), (both / (F.col("m") + F.col("n") - both)).alias("similarity")).filter(F.col("similarity") >= threshold)
+    return near.groupBy("i", "j").agg(F.max("similarity").alias("similarity")).withColumn("copy", F.lit(False)).unionByName(copies)
 
 
 def greedy_duplicates(links: DataFrame) -> DataFrame:
@@ -144,23 +183,20 @@ def greedy_duplicates(links: DataFrame) -> DataFrame:
     and similarity. A copy always falls: to its first, or to what that fell to.
 
     Decided in rounds instead of a pass: a node whose earlier neighbours have all fallen stays, one with an
-    earlier neighbour that stays falls. Each round is one shuffle of the open links; rounds follow the longest
+    earlier neighbour that stays falls. Each round is one table of the open links; rounds follow the longest
     chain of undecided neighbours, not the data's size. Rounds are cut by checkpoints in the shared folder."""
     links = staged(links)
     near = links.filter("not copy").select("i", "j", "similarity")
-    open_, gone = near, None
-    while open_.limit(1).count():
-        later = open_.select(F.col("j").alias("i")).distinct()
-        hit = open_.join(later, "i", "left_anti")
-        fallen = staged(hit.select(F.col("j").alias("removed")).distinct())
-        gone = fallen if gone is None else gone.unionByName(fallen)
+    open_, gone = near, near.select(F.col("j").alias("removed")).limit(0)
+    while not open_.isEmpty():
+        hit = open_.join(open_.select(F.col("j").alias("i")).distinct(), "i", "left_anti")
+        fallen = hit.select(F.col("j").alias("removed")).distinct()
+        gone = gone.unionByName(fallen)
         open_ = open_.join(fallen.withColumnRenamed("removed", "j"), "j", "left_anti")
         open_ = staged(open_.join(fallen.withColumnRenamed("removed", "i"), "i", "left_anti"))
-    if gone is None:
-        gone = near.select(F.col("j").alias("removed"))
+    gone = staged(gone)
     stays = near.join(gone.withColumnRenamed("removed", "i"), "i", "left_anti").join(gone.withColumnRenamed("removed", "j"), "j", "left_semi")
     out = stays.groupBy(F.col("j").alias("removed")).agg(F.min(F.struct("i", "similarity")).alias("by")).select("removed", F.col("by.i").alias("kept"), F.col("by.similarity").alias("similarity"))
-    out = staged(out)
     by = out.select(F.col("removed").alias("i"), F.col("kept").alias("_kept"), F.col("similarity").alias("_s"))
     copies = links.filter("copy").join(by, "i", "left").select(F.col("j").alias("removed"), F.coalesce("_kept", "i").alias("kept"), F.coalesce("_s", "similarity").alias("similarity"))
     return out.unionByName(copies)

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace import lexicons as lex
 from millrace.functions import classify as C
 from millrace.functions import text as T
 
@@ -122,16 +121,11 @@ def check_summary(results: DataFrame, status: str = "status") -> DataFrame:
 QUERY_SET = "set string, qid int, query string, label string, expected array<string>, min_score double"
 
 
-def labelled_queries(spark: SparkSession, own: str | None = None) -> DataFrame:
-    """The labelled query sets: set (routing, syllabus, admin or a user's), qid, query, label, expected, min_score.
+def labelled_queries(spark: SparkSession, path: str) -> DataFrame:
+    """The labelled query sets of a JSON array: set, qid, query, label, expected, min_score; fields left out are null.
 
-    Routing queries have a label, admin queries expected keywords and a least score. `own` is the path of a JSON
-    array of further queries with these fields, such as those that name an institution's people and places."""
-    rows = [("routing", i, q, label, None, None) for i, (q, label) in enumerate(lex.ROUTING_QUERIES)]
-    rows += [("syllabus", i, q, "syllabus", None, None) for i, q in enumerate(lex.SYLLABUS_QUERIES)]
-    rows += [("admin", i, q, "admin", words, least) for i, (q, words, least) in enumerate(lex.ADMIN_QUERIES)]
-    shipped = spark.createDataFrame(rows, QUERY_SET)
-    return shipped if own is None else shipped.unionByName(spark.read.schema(QUERY_SET).option("multiLine", True).json(own))
+    A query to be routed has a label, one to be answered expected keywords and a least score."""
+    return spark.read.schema(QUERY_SET).option("multiLine", True).json(path)
 
 
 def retrieval_report(hits: DataFrame, queries: DataFrame, content: str) -> DataFrame:

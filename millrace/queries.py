@@ -704,4 +704,4 @@ def top_hits_by_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("query_id", "label", "pos", "rank", F.round("score", 4).alias("score"))
 
 
-from millrace import authored as _authored  # noqa: E402, F401  (registers its queries)
+from millrace import authored as _authored, wrapped as _wrapped  # noqa: E402, F401  (they register their queries)

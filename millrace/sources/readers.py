@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -40,19 +41,21 @@ def mupdf_pages(data: bytes) -> Iterator[tuple[int, str]]:
             yield n, page.get_text() or ""
 
 
-def read_pages(spark: SparkSession, path: str, reader: PageReader = pdf_pages, pattern: str = "*.pdf") -> DataFrame:
+def read_pages(spark: SparkSession, path: str, reader: PageReader = pdf_pages, pattern: str = "*.pdf", name: str | None = None) -> DataFrame:
     """doc (file name), page_num, text, error of all files below `path` that match; blank pages are dropped.
 
+    `name`: a pattern whose first group in the file's path is the document's name instead.
+
     A file that can't be read gives one row with its error and no page, and harms no other. A folder without
     such files gives no rows; a missing one too."""
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for file, data in zip(pdf["path"], pdf["content"], strict=True):
-                name = file.rsplit("/", 1)[-1]
+                doc = file.rsplit("/", 1)[-1] if name is None else (re.search(name, file) or [file, file])[1]
                 try:
-                    rows = [(name, n, t.strip(), None) for n, t in reader(bytes(data)) if t and t.strip()]
+                    rows = [(doc, n, t.strip(), None) for n, t in reader(bytes(data)) if t and t.strip()]
                 except Exception as e:  # quarantined below
-                    rows = [(name, None, None, f"{type(e).__name__}: {e}"[:500])]
+                    rows = [(doc, None, None, f"{type(e).__name__}: {e}"[:500])]
                 yield pd.DataFrame(rows, columns=["doc", "page_num", "text", "error"]).astype({"page_num": "Int32"})
 
     schema = "doc string, page_num int, text string, error string"
