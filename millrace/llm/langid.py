@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -14,8 +13,18 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import arrow_rows, crc_mod, stored, unit_hash
 
-#: Runs of letters: word characters but underscores, decimal digits and other numbers (powers, fractions, numerals).
-LETTERS = re.compile("[^\\W\\d_" + "".join(c for c in map(chr, range(128, sys.maxunicode)) if c.isnumeric() and not c.isalpha() and not c.isdecimal()) + "]+")
+#: Runs of word characters but underscores and decimal digits: letters, and other numbers (powers, fractions, numerals).
+RUNS = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text in lower case."""
+    found = RUNS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split(" ") if w]
+
+
 UNKNOWN = "und"
 #: Different labelled texts of a language that the model is fitted on, about; fewer if there are fewer.
 TRAIN_DOCS = 2_000
@@ -89,7 +98,7 @@ class Scores(dict):
     def predict(self, text: str | None) -> tuple[str, float]:
         if len(self) > self.most:
             self.clear()
-        found = LETTERS.findall(text.lower()) if text else []
+        found = words_of(text) if text else []
         if not found or not self.model.langs:
             return UNKNOWN, 0.0
         at = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
@@ -122,7 +131,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, text_col: str = "text", l
         by: dict[str, Counter] = {}
         for batch in batches:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                by.setdefault(k, Counter()).update(LETTERS.findall(t.lower()))
+                by.setdefault(k, Counter()).update(words_of(t))
         for k, words in by.items():
             flat: Counter = Counter()
             for w, n in words.items():
