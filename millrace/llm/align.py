@@ -17,9 +17,9 @@ from millrace.llm.common import stored
 
 SPACE = "▁"
 #: Documents that a task works on at a time; different linked pairs of documents after which a batch ends.
-SLICE, BATCH_PAIRS = 256, 6_000_000
+SLICE, BATCH_PAIRS = 256, 2_000_000
 #: Chunks, and their characters, that a worker remembers.
-MOST_CHUNKS, MOST_CHARS = 600_000, 16 << 20
+MOST_CHUNKS, MOST_CHARS = 300_000, 8 << 20
 #: Pairs of a group above which its links are counted by different ids, not laid out one by one.
 WIDE = 4_096
 #: Keys of a row of a batch's table of pairs.
