@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -12,13 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
-from millrace.operators import segment as S
+from millrace.operators.clusters import ranked_in
 from millrace.operators.staging import staged
 
 Embedder = Callable[[list[str]], np.ndarray]
 
 #: Bytes of a block of query vectors and of index vectors, and scores that are held at once when two blocks meet.
 QUERY_BYTES, INDEX_BYTES, SCORES = 64 << 20, 64 << 20, 1 << 23
+#: Places of a block that are worked on together.
+CHUNK = 4_096
 
 
 def hashing_embedder(dimension: int = 256) -> Embedder:
@@ -68,20 +71,90 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda acc, v: acc + v)
 
 
+def _haloed(df: DataFrame, before: int, after: int) -> DataFrame:
+    """df (at, k, ...) with the stretch of CHUNK places (as many as before and after at least) that a row is needed in: its own (`own`), the one behind if it is
+    among the last `before` places of its own, the one ahead if it is among the first `after`."""
+    chunk, place = F.floor(F.col("k") / CHUNK).cast("long"), F.pmod("k", F.lit(CHUNK))
+    also = [F.when(place < after, chunk - 1), F.when(place >= CHUNK - before, chunk + 1)]
+    each = F.explode(F.array_compact(F.array(chunk, *also)))
+    return df.withColumn("_own", chunk).withColumn("chunk", each).filter("chunk >= 0").withColumn("own", F.col("_own") == F.col("chunk")).drop("_own")
+
+
+def _similarities(rows: DataFrame, block: str, order: str, vector: str, half_width: int = 2) -> DataFrame:
+    """at (struct of the block), o, k (place in the block from 0), similarity to the next row, smooth; no block is one task.
+
+    Rows are sorted by ranges and numbered; stretches of CHUNK places get the rows at their ends twice, so that each can
+    compute what it has: the product with the next row, then the moving average."""
+    ranked = ranked_in(rows.select(F.col(block).alias("block"), F.col(order).alias("o"), F.col(vector).alias("v")), "block", ["o"]).select(F.struct("block").alias("at"), "o", "k", "v")
+    w = Window.partitionBy("at", "chunk").orderBy("k")
+    pairs = _haloed(ranked, 0, 1).select("at", "chunk", "own", "o", "k", "v", F.lead("v").over(w).alias("_next")).filter("own and _next is not null")
+    pairs = pairs.select("at", "o", "k", dot(F.col("v"), F.col("_next")).alias("similarity"))
+    smooth = F.avg("similarity").over(w.rowsBetween(-half_width, half_width))
+    return _haloed(pairs, half_width, half_width).withColumn("smooth", smooth).filter("own").select("at", "o", "k", "similarity", "smooth")
+
+
 def adjacent_similarity(rows: DataFrame, block: str, order: str, vector: str, half_width: int = 2) -> DataFrame:
-    """Each row's similarity to the next of its block and its moving average: block, order, similarity, smooth."""
-    w = Window.partitionBy(block).orderBy(order)
-    pairs = rows.select(block, order, vector, F.lead(vector).over(w).alias("_next")).filter(F.col("_next").isNotNull())
-    pairs = pairs.select(block, order, dot(F.col(vector), F.col("_next")).alias("similarity"))
-    return pairs.withColumn("smooth", F.avg("similarity").over(w.rowsBetween(-half_width, half_width)))
+    """Each row's similarity to the next of its block and its moving average: block, order, similarity, smooth.
+
+    A block may be long: it is worked on in stretches (`_similarities`). Rows that tie in the order are exchangeable; null
+    blocks are a block; a block's last row has none; an empty table gives an empty result. Other columns' names don't matter."""
+    return _similarities(rows, block, order, vector, half_width).select(F.col("at.block").alias(block), F.col("o").alias(order), "similarity", "smooth")
+
+
+def topic_spans(sims: DataFrame, sizes: DataFrame, thresholds: list[float], least: int = 5) -> DataFrame:
+    """at, threshold, n, start, end: the spans between the places at which topics end.
+
+    sims: as `_similarities` gives them; sizes: at and n, the rows of each block. A topic ends at a place where the smoothed
+    similarity is under the threshold, if the span since the last end and what is left have `least` rows. Whether a place
+    may end a span depends on what came before only by the places still to be skipped, fewer than `least`. So each stretch
+    of CHUNK places is folded once for each such number, in parallel; what a stretch hands on, `least` numbers, is put
+    together along a block; then each stretch takes the fold that holds."""
+    steps = sims.withColumn("chunk", F.floor(F.col("k") / CHUNK).cast("long"))
+    chunks = steps.groupBy("at", "chunk").agg(F.array_sort(F.collect_list(F.struct("k", "smooth"))).alias("s")).join(sizes, "at")
+    chunks = chunks.select("at", "chunk", "n", (F.col("chunk") * CHUNK + 1).alias("lo"), F.transform("s", lambda x: x["smooth"]).alias("x"), F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"))
+
+    def fold(skip: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            place = F.col("lo") + i
+            last = F.coalesce(F.try_element_at(acc, F.lit(-1)), F.col("lo") + skip - least)
+            cut = (F.get("x", i) < F.col("threshold")) & (place - last >= least) & (F.col("n") - place >= least)
+            return F.when(cut, F.concat(acc, F.array(place))).otherwise(acc)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size("x") - 1), F.array().cast("array<bigint>"), step)
+
+    folded = staged(chunks.withColumn("cuts", F.transform(F.sequence(F.lit(0), F.lit(least - 1)), fold)).withColumn("hi", F.col("lo") + F.size("x")).drop("x"))
+    # of each fold: the last end, or null if it has none, and the places that the next stretch has to skip
+    last = lambda cuts: F.try_element_at(cuts, F.lit(-1))
+    left = lambda cuts, skip: F.greatest(F.lit(0), F.when(last(cuts).isNull(), skip - (F.col("hi") - F.col("lo"))).otherwise(least - (F.col("hi") - last(cuts)))).cast("int")
+    handed = F.transform("cuts", lambda cuts, skip: F.struct(last(cuts).alias("last"), left(cuts, skip).alias("skip")))
+    along = folded.select("at", "threshold", "chunk", handed.alias("h")).groupBy("at", "threshold").agg(F.array_sort(F.collect_list(F.struct("chunk", "h"))).alias("hs"))
+    start = F.struct(F.lit(least - 1).alias("skip"), F.lit(0).cast("bigint").alias("last"), F.array().cast("array<struct<chunk:bigint,skip:int,last:bigint>>").alias("out"))
+
+    def walk(acc: Column, x: Column) -> Column:
+        mine = F.get(x["h"], acc["skip"])
+        entered = F.struct(x["chunk"].alias("chunk"), acc["skip"].alias("skip"), acc["last"].alias("last"))
+        return F.struct(mine["skip"].alias("skip"), F.coalesce(mine["last"], acc["last"]).alias("last"), F.concat(acc["out"], F.array(entered)).alias("out"))
+
+    walked = along.select("at", "threshold", F.aggregate("hs", start, walk).alias("w"))
+    held = walked.select("at", "threshold", F.explode("w.out").alias("e")).select("at", "threshold", "e.chunk", "e.skip", "e.last")
+    met = folded.join(held, ["at", "threshold", "chunk"]).select("at", "threshold", "n", F.get("cuts", F.col("skip")).alias("cuts"), "last")
+    inner = met.select("at", "threshold", "n", F.explode(F.transform("cuts", lambda c, i: F.struct(F.when(i == 0, F.col("last")).otherwise(F.get("cuts", i - 1)).alias("start"), c.alias("end")))).alias("s"))
+    inner = inner.select("at", "threshold", "n", "s.start", "s.end")
+    ends = walked.join(sizes, "at").select("at", "threshold", "n", F.col("w.last").alias("start"), F.col("n").cast("long").alias("end"))
+    single = sizes.join(walked.select("at").distinct(), "at", "left_anti").select("at", F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"), "n", F.lit(0).cast("long").alias("start"), F.col("n").cast("long").alias("end"))
+    return inner.unionByName(ends).unionByName(single)
+
+
+def _sizes(rows: DataFrame, block: str) -> DataFrame:
+    return rows.groupBy(F.struct(F.col(block).alias("block")).alias("at")).agg(F.count(F.lit(1)).cast("int").alias("n"))
 
 
 def topic_boundaries(rows: DataFrame, block: str, order: str, vector: str, threshold: float, least: int = 5) -> DataFrame:
-    """block, n (its rows), ends: places at which a topic ends, found by a fold over the smoothed similarities."""
-    sims = adjacent_similarity(rows, block, order, vector).groupBy(block).agg(F.array_sort(F.collect_list(F.struct(order, "smooth"))).alias("_s"))
-    sizes = rows.groupBy(block).agg(F.count(F.lit(1)).cast("int").alias("n"))
-    joined = sizes.join(sims, block, "left").withColumn("_x", F.coalesce(F.transform("_s", lambda x: x["smooth"]), F.array().cast("array<double>")))
-    return joined.select(block, "n", S.boundaries(F.col("_x"), F.col("n"), threshold, least).alias("ends"))
+    """block, n (its rows), ends: places at which a topic ends (`topic_spans`), as an array; a long block's similarities
+    are worked on in stretches, only its ends are put together."""
+    spans = topic_spans(staged(_similarities(rows, block, order, vector)), _sizes(rows, block), [threshold], least)
+    ends = F.array_sort(F.collect_list(F.when(F.col("end") < F.col("n"), F.col("end").cast("int"))))
+    return spans.groupBy("at", "n").agg(ends.alias("ends")).select(F.col("at.block").alias(block), "n", "ends")
 
 
 def pairwise_purity(rows: DataFrame, block: str, vector: str) -> DataFrame:
@@ -94,14 +167,19 @@ def pairwise_purity(rows: DataFrame, block: str, vector: str) -> DataFrame:
 
 
 def window_purity(rows: DataFrame, block: str, order: str, vector: str, least: int = 5, most: int = 20) -> DataFrame:
-    """Purity of a block's full windows of min(most, max(least, n // 2)) rows: block, window_no, n, purity."""
-    w = Window.partitionBy(block)
-    place = F.row_number().over(w.orderBy(order)) - 1
-    size = F.least(F.lit(most), F.greatest(F.lit(least), F.floor(F.count(F.lit(1)).over(w) / 2)))
-    cut = rows.select(block, vector, place.alias("_p"), size.alias("_w"), F.count(F.lit(1)).over(w).alias("_n"))
-    cut = cut.withColumn("window_no", F.floor(F.col("_p") / F.col("_w"))).filter((F.col("window_no") + 1) * F.col("_w") <= F.col("_n"))
-    got = pairwise_purity(cut.select(F.struct(block, "window_no").alias("_b"), vector), "_b", vector)
-    return got.select(f"_b.{block}", "_b.window_no", "n", "purity")
+    """Purity of a block's full windows of min(most, max(least, n // 2)) rows: block, window_no, n, purity.
+
+    Rows are numbered by ranges, so a long block is no task of its own."""
+    ranked = ranked_in(rows.select(F.col(block).alias("block"), F.col(order).alias("o"), F.col(vector).alias("v")), "block", ["o"]).select(F.struct("block").alias("at"), "k", "v")
+    sized = _sizes(rows, block).withColumn("w", F.least(F.lit(most), F.greatest(F.lit(least), F.floor(F.col("n") / 2))))
+    cut = ranked.join(sized, "at").withColumn("window_no", F.floor(F.col("k") / F.col("w"))).filter((F.col("window_no") + 1) * F.col("w") <= F.col("n"))
+    got = pairwise_purity(cut.select(F.struct("at", "window_no").alias("_b"), "v"), "_b", "v")
+    return got.select(F.col("_b.at.block").alias(block), "_b.window_no", "n", "purity")
+
+
+def decimal_round(x: float, places: int) -> float:
+    """x to so many decimal places, halves away from zero, as Spark rounds."""
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-places), ROUND_HALF_UP))
 
 
 def quantiles(df: DataFrame, value: str, shares: list[float], beyond: bool = False) -> list[float | None]:
@@ -140,16 +218,12 @@ def exclusive_quartiles(df: DataFrame, value: str) -> DataFrame:
 def threshold_search(rows: DataFrame, block: str, order: str, vector: str, target: float = 12.0, least: int = 5, most: int = 20) -> DataFrame:
     """Candidate thresholds (the different 5th to 95th percentiles of all adjacent similarities, to 4 places) with the
     average sentences of a chunk that each would give; `best` marks the one nearest to the target, the lowest of equals."""
-    sims = adjacent_similarity(rows, block, order, vector)
-    grid = [i / 100 for i in range(5, 100, 5)]
-    found = [(x,) for x in quantiles(sims, "similarity", grid) if x is not None]
-    candidates = rows.sparkSession.createDataFrame(found, "x double").select(F.round("x", 4).alias("threshold")).distinct()
-    smooth = sims.groupBy(block).agg(F.array_sort(F.collect_list(F.struct(order, "smooth"))).alias("_s")).select(block, F.transform("_s", lambda x: x["smooth"]).alias("_x"), (F.size("_s") + 1).alias("n"))
-    tried = smooth.join(F.broadcast(candidates))  # 19 candidates at most
-    ends = S.boundaries(F.col("_x"), F.col("n"), F.col("threshold"), least)
-    edges = F.concat(F.array(F.lit(0)), ends, F.array(F.col("n")))
-    sizes = F.transform(F.slice(edges, 2, F.size(edges)), lambda e, i: F.least(e - F.get(edges, i), F.lit(most)))
-    got = tried.select("threshold", F.explode(sizes).alias("size")).groupBy("threshold").agg(F.avg("size").alias("mean_sentences"))
+    sims = staged(_similarities(rows, block, order, vector))
+    found = quantiles(sims, "similarity", [i / 100 for i in range(5, 100, 5)])
+    candidates = sorted({decimal_round(x, 4) for x in found if x is not None})  # 19 at most
+    sizes = _sizes(rows, block).join(sims.select("at").distinct(), "at", "left_semi")
+    spans = topic_spans(sims, sizes, candidates or [0.0], least)
+    got = spans.groupBy("threshold").agg(F.avg(F.least(F.col("end") - F.col("start"), F.lit(most))).alias("mean_sentences"))
     rank = F.row_number().over(Window.orderBy(F.abs(F.col("mean_sentences") - target), "threshold"))
     return got.withColumn("best", rank == 1)
 

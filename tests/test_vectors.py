@@ -1,6 +1,7 @@
 import statistics
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import audit, evaluate
@@ -101,3 +102,43 @@ def test_routing_report(spark):
     hits = spark.createDataFrame([(1, "x", 5, 0.5, 1), (1, "x", 6, 0.4, 2), (1, "y", 7, 0.7, 1)], "query_id int, db string, pos int, score double, rank int")
     r = V.routing_report(hits, "db").first()
     assert r.scores == {"x": 0.5, "y": 0.7} and [h.pos for h in r.top_hits["x"]] == [5, 6]
+
+
+def slow_boundaries(v, threshold, least=5):
+    sims = [float(a @ b) for a, b in zip(v, v[1:], strict=False)]
+    smooth = [float(np.mean(sims[max(0, i - 2) : i + 3])) for i in range(len(sims))]
+    ends = []
+    for i in range(1, len(v)):
+        if smooth[i - 1] < threshold and i - (ends[-1] if ends else 0) >= least and len(v) - i >= least:
+            ends.append(i)
+    return sims, smooth, ends
+
+
+@pytest.mark.parametrize("chunk", [2, 3, 7, 4096])
+def test_folds_over_stretches(spark, monkeypatch, chunk):
+    """Similarities, averages and boundaries of a block in stretches of any length are those of one fold."""
+    monkeypatch.setattr(V, "CHUNK", chunk)
+    v, df = _frame(spark, n=90, blocks=3)
+    df = df.filter("b < 2 or pos = 2").withColumn("b", F.nullif(F.col("b"), F.lit(1)))
+    of = {0: v[0::3], None: v[1::3], 2: v[2:3]}
+    got = {(r.b, r.pos): (r.similarity, r.smooth) for r in V.adjacent_similarity(df, "b", "pos", "embedding").collect()}
+    for b, w in of.items():
+        w = w.astype(float)
+        for threshold in (-0.2, 0.0, 0.3):
+            sims, smooth, _ = slow_boundaries(w, threshold)
+        first = {0: 0, None: 1, 2: 2}[b]
+        assert np.allclose([got[b, first + 3 * i] for i in range(len(sims))], list(zip(sims, smooth, strict=True))) if sims else True
+    assert len(got) == 58
+    for threshold in (-0.2, 0.0, 0.3):
+        ends = {r.b: (r.n, r.ends) for r in V.topic_boundaries(df, "b", "pos", "embedding", threshold).collect()}
+        assert ends == {b: (len(w), slow_boundaries(w.astype(float), threshold)[2]) for b, w in of.items()}
+    assert V.topic_boundaries(df.limit(0), "b", "pos", "embedding", 0.1).count() == 0
+
+
+def test_long_blocks_are_many_tasks(spark, monkeypatch):
+    """A block of 3,000 rows is dealt in stretches: no window or fold sees more than a stretch and its ends."""
+    monkeypatch.setattr(V, "CHUNK", 100)
+    df = spark.range(3000).select(F.lit(1).alias("b"), F.col("id").alias("o"), F.array(F.sin("id"), F.cos("id")).cast("array<float>").alias("v"))
+    sims = V._similarities(df, "b", "o", "v")
+    assert max(r["count"] for r in V._haloed(sims, 2, 2).groupBy("at", "chunk").count().collect()) <= 104
+    assert sims.count() == 2999 and V.topic_boundaries(df, "b", "o", "v", 0.6).first().n == 3000
