@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -17,8 +19,9 @@ TitleGenerator = Callable[[str, str], str]
 PROMPT_CHARS, REWRITE_CHARS = 1200, 1500
 
 
-def http_generator(url: str, model: str, max_tokens: int = 40, temperature: float = 0.2, timeout: float = 60) -> TitleGenerator:
-    """A generator that asks an HTTP service which takes {model, prompt, options} and answers {response}."""
+def http_generator(url: str, model: str, max_tokens: int = 40, temperature: float = 0.2, timeout: float = 60, strict: bool = False) -> TitleGenerator:
+    """A generator that asks an HTTP service which takes {model, prompt, options} and answers {response}; a failure is an
+    empty answer, or with `strict` an error, for callers that try again (`answered`)."""
 
     def ask(category: str, text: str) -> str:
         import json
@@ -31,11 +34,50 @@ def http_generator(url: str, model: str, max_tokens: int = 40, temperature: floa
             with urllib.request.urlopen(request, timeout=timeout) as answer:
                 return str(json.load(answer).get("response", "")).strip()
         except (OSError, ValueError):
+            if strict:
+                raise
             return ""
 
     return ask
 
 
+def answered(records: DataFrame, key: str, category: str, content: str, make: Callable[[], TitleGenerator], path: str, in_flight: int = 4, retries: int = 3, backoff: float = 0.5, waves: int = 8) -> DataFrame:
+    """key and answer of the records, each asked of the service once: answers are a table at `path`, and only keys that it
+    lacks are asked, so a lost task, a failed job or a second call doesn't ask again for what is stored.
+
+    Keys are asked in `waves`, each stored as it ends. A task has `in_flight` requests open at most; a request that fails
+    is tried `retries` times more, after `backoff` seconds, then twice as long, and so on; one that fails for good is not
+    stored and stays open for the next call. Keys have to be different; null keys are not asked; null texts count as empty."""
+    spark = records.sparkSession
+    kind = dict(records.dtypes)[key]
+    rows = records.select(F.col(key).alias("key"), F.col(category).alias("category"), F.col(content).alias("content")).filter("key is not null")
+
+    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        generate = make()
+
+        def one(row: tuple) -> str | None:
+            for k in range(retries + 1):
+                try:
+                    return generate(row[1] or "", (row[2] or "")[:PROMPT_CHARS])
+                except (OSError, ValueError):
+                    if k < retries:
+                        time.sleep(backoff * 2**k)
+            return None
+
+        with ThreadPoolExecutor(in_flight) as pool:
+            for pdf in frames:
+                answers = pool.map(one, pdf[["key", "category", "content"]].itertuples(index=False))
+                yield pd.DataFrame({"key": pdf["key"], "answer": list(answers)}).dropna(subset=["answer"])
+
+    schema = f"key {kind}, answer string"
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    for wave in range(waves):
+        mine = rows.filter(F.pmod(F.xxhash64("key"), F.lit(waves)) == wave)
+        todo = mine.join(spark.read.schema(schema).parquet(path).select("key"), "key", "left_anti")
+        todo.mapInPandas(ask, schema).write.mode("append").parquet(path)
+    return rows.select("key").join(spark.read.schema(schema).parquet(path), "key").withColumnRenamed("key", key)
+
+
 def no_generator(category: str, text: str) -> str:
     """The default hook: no title, so the rule-based one stays."""
     return ""

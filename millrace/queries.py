@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace import lexicons as lex
 from millrace.functions import classify as C
 from millrace.functions import text as T
-from millrace.operators import audit, dedup, evaluate, segment, vectors
+from millrace.operators import audit, dedup, evaluate, graph, segment, vectors
 
 #: Words that the test prose contains, in categories.
 TEST_LEXICON = {"alpha": ["the", "and", "of"], "beta": ["der", "die", "und", "das"], "gamma": ["que", "de", "la"], "delta": ["le", "les", "est"], "omega": ["was", "for", "in"]}
@@ -536,6 +536,17 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("query_id", "pos", "rank", F.round("score", 4).alias("score"))
 
 
+@query("SELECT count(*) FILTER (vec_id % 50 = 0) AS queries, 5 * count(*) FILTER (vec_id % 50 = 0) AS hits, true AS recalled FROM embeddings")
+def graph_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the graph index finds of the 5 best vectors of the query set: whether it is 0.95 or more of them."""
+    e = _read(spark, sf_dir, "embeddings")
+    q = e.filter("vec_id % 50 = 0").select("vec_id", F.col("embedding").alias("q"))
+    found = graph.search_graph(q, graph.build_graph(e, "vec_id"), 5, query_id="vec_id", query_vector="q")
+    exact = vectors.top_k(q, e, 5, query_id="vec_id", query_vector="q", pos="vec_id").select("query_id", "pos", F.lit(1).alias("best"))
+    met = found.join(exact, ["query_id", "pos"], "left")
+    return met.agg(F.countDistinct("query_id").alias("queries"), F.count(F.lit(1)).alias("hits"), (F.count("best") >= 0.95 * F.count(F.lit(1))).alias("recalled"))
+
+
 @query(
     f"WITH q AS ({_Q}), s AS (SELECT query_id, q.label AS want, e.label AS label, max(" + _DOT.format(a="q.q", b="e.embedding") + ") AS score FROM q, embeddings e GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER w AS n, coalesce(lead(score) OVER w, 0.0) AS runner_up FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, label)) "
     "SELECT query_id, label AS predicted, round(score, 4) AS score, round(score - runner_up, 4) AS margin, CASE WHEN label <> want THEN 'WRONG_DB' WHEN score - runner_up < 0.05 THEN 'WEAK_SEPARATION' WHEN score - runner_up < 0.10 THEN 'MODERATE_MATCH' ELSE 'GOOD_MATCH' END AS status FROM r WHERE n = 1"

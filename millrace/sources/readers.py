@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,15 +82,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_json_array(df: DataFrame, path: str) -> None:
-    """Records as one JSON array in one file, for consumers that need that.
+def write_json_array(df: DataFrame, path: str, parts: int | None = None) -> None:
+    """Records as JSON arrays: each file of the folder `path` is one array, which `read_json_array` reads.
 
-    One task writes the file record by record; no part of it is ever held as a whole."""
-    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    first = F.monotonically_increasing_id() == 0
-    records = df.select(record.alias("r")).coalesce(1).select(F.concat(F.when(first, "").otherwise(","), "r").alias("value"))
-    line = lambda x: df.sparkSession.createDataFrame([(x,)], "value string").coalesce(1)
-    line("[").unionByName(records).unionByName(line("]")).coalesce(1).write.mode("overwrite").text(path)
+    Every task writes the files of its own rows as they come, and Spark's commit makes them visible together; parts=1
+    gives one file, for consumers that need that. An empty table gives an empty array."""
+    record = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = False
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            if values:
+                lines = [("," if opened or k else "[") + v for k, v in enumerate(values)]
+                opened = True
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]"] if opened else ["[]"], pa.string())], names=["value"])
+
+    (record.coalesce(parts) if parts else record).mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
 
 
 def first_existing(spark: SparkSession, paths: Iterable[str]) -> str | None:
