@@ -121,6 +121,21 @@ def salted_rank(df: DataFrame, keys: list[str], order: list[str], salts: int, na
     return ranked.select(*mine, (F.col("_first") + F.col("_own")).cast("long").alias(name))
 
 
+def ordered_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """df plus each row's place, from 0 without gaps, when sorted by `order`; rows that tie in it are exchangeable.
+
+    Rows are sorted by ranges and stored; a partition's first place is the sum of the counts before it, one number a
+    partition."""
+    part, own = F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("_nth")
+    cut = stored(df.orderBy(*order).select("*", part, own), "ordered")
+    before, first = 0, []
+    for p, n in sorted(map(tuple, cut.groupBy("_part").count().collect())):
+        first.append((p, before))
+        before += n
+    starts = F.broadcast(df.sparkSession.createDataFrame(first, "_part int, _from long"))  # a row a partition
+    return cut.join(starts, "_part").select(*df.columns, (F.col("_from") + F.col("_nth")).alias(name))
+
+
 def hub_join(left: DataFrame, right: DataFrame, key: str, weight: str, rows: int) -> DataFrame:
     """left joined to right by `key`; right has one row a key, `weight` says how many rows of left (`rows` in all) hold it.
 

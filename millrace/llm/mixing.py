@@ -8,10 +8,14 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import salted_rank, salts_for
+from millrace.llm.common import ordered_rank, salted_rank, salts_for, stored
 
 #: Slots of one hyperperiod: weights are multiples of 1/PERIOD, and the schedule repeats after PERIOD slots.
 PERIOD = 4_096
+#: Sources that are scheduled by themselves at most; those with a smaller share of the weight than its inverse go together.
+MOST_SOURCES = 16_384
+#: Stands for these; no source has this name, as names are text or null.
+FEW = ("few",)
 
 
 def whole_shares(weights: dict, period: int = PERIOD) -> dict:
@@ -75,12 +79,28 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, alpha: float = 0.9
 
     Adds to the columns of docs: mix_slot (long, null without weight), mix_offset (int, place in the block),
     in_mix (boolean). Columns of those names in docs are replaced. Null source is a source of its own; repeated
-    rows each take a place; an empty table gives an empty result. The number of sources must fit the driver.
+    rows each take a place; an empty table gives an empty result.
+
+    Of the sources only those with a MOST_SOURCES-th of the weight or more, MOST_SOURCES at most, are scheduled by
+    themselves and known to the driver. The others are scheduled as one source with the sum of their weights, whose stream
+    takes their blocks earliest deadline first: block j of b at (j + 1) / b, by a sort. Its blocks may hold rows of several.
     """
     spark = docs.sparkSession
     mine = [c for c in docs.columns if c not in ("mix_slot", "mix_offset", "in_mix")]
-    counts = {r[0]: r[1] for r in docs.groupBy(F.col(source_col).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    slots = whole_shares(tempered(counts, alpha) if weights is None else {k: w for k, w in weights.items() if k in counts})
+    sources = docs.groupBy(F.col(source_col).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    if weights is not None:  # those that it names, no more of them than it has
+        named = spark.createDataFrame([(k,) for k in weights], "k string").distinct()
+        counts = {r[0]: r[1] for r in sources.join(F.broadcast(named), sources["k"].eqNullSafe(named["k"]), "left_semi").collect()}
+        slots, least, few, most = whole_shares({k: w for k, w in weights.items() if k in counts}), None, 0, docs.count()
+    else:
+        sources = stored(sources.withColumn("w", F.pow(F.col("n").cast("double"), F.lit(float(alpha)))), "sources")
+        total, most = sources.agg(F.coalesce(F.sum("w"), F.lit(0.0)), F.coalesce(F.max("n"), F.lit(0))).first()
+        least = total / MOST_SOURCES
+        counts = {r[0]: r[1] for r in sources.filter(F.col("w") >= least).select("k", "n").collect()}  # MOST_SOURCES at most
+        few, few_weight = sources.filter(F.col("w") < least).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0.0))).first()
+        shares = {(k,): w for k, w in tempered(counts, alpha).items()} | ({FEW: few_weight} if few else {})
+        slots = {k if k == FEW else k[0]: a for k, a in whole_shares(shares).items()}
+        counts |= {FEW: few} if few else {}
     period = sum(slots.values())
     offsets: dict = {k: [] for k in slots}
     for t, k in enumerate(pfair(slots)):
@@ -88,12 +108,19 @@ def mix_sources(docs: DataFrame, weights: dict | None = None, alpha: float = 0.9
     # the first slot that a source would have to fill without a full block
     ends = [(b := counts[k] // block_rows) // a * period + offsets[k][b % a] for k, a in slots.items()]
     end = min(ends, default=0)
-    table = spark.createDataFrame([(k, slots[k], offsets[k]) for k in slots], "_source string, _share int, _offsets array<int>")
+    table = spark.createDataFrame([(None if k == FEW else k, k == FEW, slots[k], offsets[k]) for k in slots], "_source string, _few boolean, _share int, _offsets array<int>")
     row = F.struct(*[F.col(f"`{c}`") for c in mine])
     keyed = docs.select(row.alias("_row"), F.col(source_col).cast("string").alias("_source"), F.col(id_col).alias("_id"), F.xxhash64(*[F.col(f"`{c}`") for c in mine]).alias("_hash"))
-    ranked = salted_rank(keyed, ["_source"], ["_id", "_hash"], salts_for(max(counts.values(), default=0)), "_rank")
+    ranked = salted_rank(keyed, ["_source"], ["_id", "_hash"], salts_for(most), "_rank").withColumn("_few", F.lit(False))
+    if few:
+        small = sources.filter(F.col("w") < least).select(F.struct(F.col("k").alias("_source")).alias("_at"), "n")
+        at = ranked.withColumn("_at", F.struct("_source"))
+        due = (F.floor(F.col("_rank") / block_rows) + 1) / F.ceil(F.col("n") / block_rows)
+        rest = ordered_rank(at.join(small, "_at").withColumn("_due", due).drop("_at", "n"), ["_due", "_source", "_rank"], "_place")
+        rest = rest.select("_row", F.lit(None).cast("string").alias("_source"), F.col("_place").alias("_rank"), F.lit(True).alias("_few"))
+        ranked = at.join(small, "_at", "left_anti").select("_row", "_source", "_rank", "_few").unionByName(rest)
     block = F.floor(F.col("_rank") / block_rows).cast("long")
-    r = ranked.alias("r").join(F.broadcast(table).alias("t"), F.col("r._source").eqNullSafe(F.col("t._source")), "left")
+    r = ranked.alias("r").join(F.broadcast(table).alias("t"), F.col("r._source").eqNullSafe(F.col("t._source")) & (F.col("r._few") == F.col("t._few")), "left")
     slot = F.when(F.col("_share").isNotNull(), F.floor(block / F.col("_share")).cast("long") * period + F.get("_offsets", F.pmod(block, F.col("_share")).cast("int")))
     return r.select(
         "_row.*",

@@ -198,3 +198,19 @@ def test_all_fillings_come_in_the_end(monkeypatch):
     for _ in range(60):
         sizes = [rng.randint(3, 14) for _ in range(rng.randint(1, 9))]
         assert sum(n for _, n in packing.bin_completion(Counter(sizes), 20)) == fewest_bins(sizes, 20)
+
+
+def test_very_many_sources_are_scheduled_as_one(spark, monkeypatch):
+    """Sources under a share of the weight go together, by their deadlines: all rows are placed, and the large keep their share."""
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 10)
+    rows = [(i, "big") for i in range(800)] + [(1000 + i, f"s{i % 60}") for i in range(400)] + [(5000 + i, None) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    got = mixing.mix_sources(docs, alpha=1.0, block_rows=4).collect()
+    assert sorted((r.doc_id, r.source) for r in got) == sorted(rows) and len({(r.mix_slot, r.mix_offset) for r in got}) == len(rows)
+    order = sorted(got, key=lambda r: (r.mix_slot, r.mix_offset))
+    mixed = [r for r in order if r.in_mix]
+    for n in range(40, len(mixed), 40):
+        assert abs(sum(r.source == "big" for r in mixed[:n]) - n * 800 / 1209) <= 3 * 4
+    small = [r.source for r in order if r.source not in ("big", None)]
+    for n in (120, 240, 360):  # sources of 6 or 7 rows are two blocks: all have had one when half of them have come
+        assert len(set(small[:n])) >= min(60, n // 4)
