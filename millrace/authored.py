@@ -442,3 +442,4 @@ def check_tracker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.check_summary(_read(spark, sf_dir, "events").select(status.alias("status")))
 
 
+from millrace import wrapped as _wrapped  # noqa: E402, F401  (registers its queries)

@@ -28,3 +28,13 @@ def test_wrapped_rules_are_the_same_in_spark(spark):
     from millrace import wrapped
 
     assert spark.range(5).select(F.expr(wrapped._pick("id", ["a", None])).alias("x")).collect()[1].x is None
+
+
+def test_query_modules_load_in_any_order():
+    """A worker may load the module of a hook first."""
+    import subprocess
+    import sys
+
+    for first in ("queries", "authored", "wrapped"):
+        code = f"import millrace.{first}; import millrace.queries as q; assert len(q.QUERIES) > 110 and len(q.SQL) == len(q.QUERIES)"
+        subprocess.run([sys.executable, "-c", code], check=True)
