@@ -99,17 +99,23 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
         def work(batch: pa.RecordBatch):
             texts = [(t or b"").split() for t in text_bytes(batch.column(1))]
             memo.trim()
-            out: dict[str, list] = {n: [] for n in names}
+            docs_, pieces, starts, lengths, sums, parts, at_ = out = [[] for _ in range(7)]
             places = batch.column(2).to_pylist() if place_col is not None else [None] * len(texts)
             for i, chunks, place in zip(batch.column(0).to_pylist(), texts, places, strict=True):
                 ids = b"".join([*map(memo.__getitem__, chunks), tail])
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
-                    row = {"doc_id": i, "piece": k, "start": at // 4, "length": len(part) // 4, "ids_crc32": zlib.crc32(part), "ids": part, "place": place}
-                    for n in names:
-                        out[n].append(row[n])
+                    docs_.append(i)
+                    pieces.append(k)
+                    starts.append(at // 4)
+                    lengths.append(len(part) // 4)
+                    sums.append(zlib.crc32(part))
+                    at_.append(place)
+                    if with_ids:
+                        parts.append(part)
+            columns = dict(zip(("doc_id", "piece", "start", "length", "ids_crc32", "ids", "place"), out, strict=True))
             kinds = {"piece": pa.int32(), "ids": pa.binary()}
-            yield pa.RecordBatch.from_arrays([pa.array(out[n], kinds.get(n, pa.int64())) for n in names], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(columns[n], kinds.get(n, pa.int64())) for n in names], names=names)
 
         return work
 
