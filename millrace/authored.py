@@ -337,8 +337,8 @@ def removal_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT row_number() OVER (ORDER BY coalesce(lang, ''), lower(coalesce(source, '')), doc_id) - 1 AS pos, doc_id FROM documents")
 def final_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents in the final order: category, title in lower case, then id."""
-    docs = _read(spark, sf_dir, "documents").select("doc_id", F.coalesce("lang", F.lit("")).alias("c"), F.lower(F.coalesce("source", F.lit(""))).alias("t"))
-    return vectors.placed(docs, ["c", "t", "doc_id"]).select("pos", "doc_id")
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return dedup.in_final_order(docs, "lang", "source", then=("doc_id",), place="pos").select("pos", "doc_id")
 
 
 # --- calibration and reports ---

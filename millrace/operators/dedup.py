@@ -12,6 +12,7 @@ from millrace.functions import classify as C
 from millrace.functions import text as T
 from millrace.operators.clusters import leader_clusters
 from millrace.operators.staging import staged
+from millrace.operators.vectors import placed
 
 
 #: Tokens that are frequent are fewer than so many; rows of a token of a block's prefixes that a part of it holds.
@@ -82,9 +83,15 @@ def keep_better(df: DataFrame, key: Column, title: Column, content: Column, vers
     return _first_of(df, [key], rank)
 
 
-def in_final_order(records: DataFrame, category: str = "category", title: str = "title") -> DataFrame:
-    """Records sorted by category, then title in lower case; nulls count as empty."""
-    return records.orderBy(F.coalesce(F.col(category), F.lit("")), F.lower(F.coalesce(F.col(title), F.lit(""))))
+def in_final_order(records: DataFrame, category: str = "category", title: str = "title", then: tuple[str, ...] = (), place: str | None = None) -> DataFrame:
+    """Records sorted by category, then title in lower case, then the columns `then`; nulls count as empty in the first two.
+
+    With `place` each row gets its place in the order, from 0 without gaps; rows that tie are exchangeable."""
+    keys = [F.coalesce(F.col(category), F.lit("")), F.lower(F.coalesce(F.col(title), F.lit("")))]
+    if place is None:
+        return records.orderBy(*keys, *then)
+    keyed = records.select(F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("row"), *[k.alias(f"k{i}") for i, k in enumerate([*keys, *map(F.col, then)])])
+    return placed(keyed, [c for c in keyed.columns if c != "row"], "place").select("row.*", F.col("place").alias(place))
 
 
 def normal_name(name: Column) -> Column:
