@@ -115,18 +115,23 @@ def _along(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return run
 
 
-def _fallen(rows: pa.Table, leaders: pa.Table) -> pa.Table:
+def _declared(ddl: str) -> pa.Schema:
+    """The Arrow schema of a declared result. Spark compares nested types to the letter: blocks or vectors of the input that
+    can't be null have other types than the declared ones, so results are cast."""
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def _fallen(rows: pa.Table, leaders: pa.Table, schema: pa.Schema) -> pa.Table:
     """Rows with a mark: whether a leader of the last stretch takes them."""
     v, limit = _vectors(rows.column("v")), rows.column("limit").to_numpy()
     others, hit = _vectors(leaders.column("v")), np.zeros(rows.num_rows, bool)
     for at in range(0, len(v) if len(others) else 0, SLICE):
         hit[at : at + SLICE] = _products(v[at : at + SLICE], others).max(1) >= limit[at : at + SLICE]
-    return rows.select(["at", "o", "k", "v", "limit"]).append_column("fallen", pa.array(hit))
+    return rows.select(["at", "o", "k", "v", "limit"]).append_column("fallen", pa.array(hit)).cast(schema)
 
 
-def _nearest(rows: pa.Table, leaders: pa.Table) -> pa.Table:
+def _nearest(rows: pa.Table, leaders: pa.Table, schema: pa.Schema) -> pa.Table:
     """The best earlier leader of a block for each row, the first of equals: at, o, similarity, nth, leader."""
-    schema = pa.schema([rows.schema.field("at"), rows.schema.field("o"), ("similarity", pa.float64()), ("nth", pa.int64()), ("leader", rows.schema.field("o").type)])
     if not rows.num_rows or not leaders.num_rows:
         return schema.empty_table()
     leaders = leaders.sort_by("k")
@@ -139,7 +144,8 @@ def _nearest(rows: pa.Table, leaders: pa.Table) -> pa.Table:
         best[part] = sims.max(1)
     some = pa.array(np.flatnonzero(best > -np.inf))
     at_leader = pa.array(which[best > -np.inf])
-    return pa.table([rows.column("at").take(some), rows.column("o").take(some), pa.array(best[best > -np.inf]), leaders.column("k").take(at_leader), leaders.column("o").take(at_leader)], schema=schema)
+    columns = [rows.column("at").take(some), rows.column("o").take(some), pa.array(best[best > -np.inf]), leaders.column("k").take(at_leader), leaders.column("o").take(at_leader)]
+    return pa.table(columns, names=schema.names).cast(schema)
 
 
 def _sliced(df: DataFrame, parts: DataFrame, n: str, name: str) -> DataFrame:
@@ -178,7 +184,7 @@ def leader_clusters(rows: DataFrame, block: str, order: str, vector: str, thresh
     open_ = ranked_in(one.filter("v is not null"), "block", ["o"]).select(F.struct("block").alias("at"), "o", "k", "v", "limit")
     ddl = f"at struct<block:{kinds['block']}>, o {kinds['o']}, k bigint, v {kinds['v']}"
     clustered, marked = f"{ddl}, leader {kinds['o']}, similarity double", f"{ddl}, limit double, fallen boolean"
-    schema = to_arrow_schema(StructType.fromDDL(clustered))
+    schema, marked_schema = _declared(clustered), _declared(marked)
     decided, taken = [], []
     open_ = staged(open_)
     while True:
@@ -197,7 +203,7 @@ def leader_clusters(rows: DataFrame, block: str, order: str, vector: str, thresh
         rest = staged(rest)
         parts = _slices(rest, "n")
         left, right = _sliced(rest, parts, "n", "slice"), _every(leaders, parts, "n", "slice")
-        met = staged(left.groupBy("at", "slice").cogroup(right.groupBy("at", "slice")).applyInArrow(lambda a, b: _fallen(a, b), marked))
+        met = staged(left.groupBy("at", "slice").cogroup(right.groupBy("at", "slice")).applyInArrow(lambda a, b: _fallen(a, b, marked_schema), marked))
         taken.append(met.filter("fallen").drop("fallen"))
         open_ = met.filter("not fallen").drop("fallen")
         if not open_.limit(1).count():
@@ -214,7 +220,8 @@ def leader_clusters(rows: DataFrame, block: str, order: str, vector: str, thresh
         left = _every(_sliced(followers.drop("limit"), mine, "n", "slice"), theirs, "m", "other")
         right = _every(_sliced(leaders, theirs, "m", "other"), mine, "n", "slice")
         best = f"at struct<block:{kinds['block']}>, o {kinds['o']}, similarity double, nth bigint, leader {kinds['o']}"
-        pairs = left.groupBy("at", "slice", "other").cogroup(right.groupBy("at", "slice", "other")).applyInArrow(lambda a, b: _nearest(a, b), best)
+        best_schema = _declared(best)
+        pairs = left.groupBy("at", "slice", "other").cogroup(right.groupBy("at", "slice", "other")).applyInArrow(lambda a, b: _nearest(a, b, best_schema), best)
         chosen = pairs.groupBy("at", "o").agg(F.max_by(F.struct("leader", "similarity"), F.struct("similarity", -F.col("nth"))).alias("b"))
         result = result.unionByName(chosen.select("at", "o", "b.leader", "b.similarity"))
     return result.select(F.col("at.block").alias(block), F.col("o").alias(order), "leader", "similarity").unionByName(alone)

@@ -108,6 +108,17 @@ def test_no_task_clusters_a_long_block(spark, monkeypatch):
     assert len(sizes) == 12 and max(sizes) <= 600
 
 
+def test_clusters_of_blocks_that_are_never_null(spark, monkeypatch):
+    """Blocks and vectors that can't be null, as `soft_dedup` makes them, go through rounds too."""
+    monkeypatch.setattr(K, "STRETCH", 8)
+    monkeypatch.setattr(K, "BUCKET", 4)
+    v = F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: F.when(i == F.col("id") % 5, 1.0).otherwise(0.0).cast("float"))
+    df = spark.range(60).select("id", F.coalesce((F.col("id") % 2).cast("string"), F.lit("")).alias("b"), v.alias("v"))
+    assert not df.schema["b"].nullable and not df.schema["v"].dataType.containsNull
+    got = {r.id: (r.leader, r.similarity) for r in D.leader_clusters(df, "b", "id", "v", 0.9).collect()}
+    assert got == {i: (i % 10, 1.0) for i in range(60)}
+
+
 def test_soft_dedup_passes(spark):
     unit = lambda a: [float(np.cos(a)), float(np.sin(a))]
     rows = [
