@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,8 +20,10 @@ from millrace.operators.vectors import placed
 
 #: Tokens that are frequent are fewer than so many; rows of a token of a block's prefixes that a part of it holds.
 FREQUENT, HOT_PREFIX = 20_000, 2_000
-#: Words of 64 bits that a token set's parities take; a power of two.
-PARITY_WORDS = 4
+#: Words of 64 bits that a token set's parities take in prefixes; a power of two. Tokens a word of those that pairs are tested by.
+PARITY_WORDS, FINE_TOKENS = 4, 64
+#: Sets that are prepared at once.
+SLICE_SETS = 1_024
 
 
 def _first_of(df: DataFrame, keys: list[Column], order: Column) -> DataFrame:
@@ -115,13 +120,6 @@ def _hashed(value: Column) -> Column:
     return F.struct(F.xxhash64(value).alias("a"), F.xxhash64(value, F.lit(1)).alias("b"))
 
 
-def _parities() -> list[Column]:
-    """Aggregates over hashed tokens (token): bit b of PARITY_WORDS words says whether an odd number of them fall on it.
-    Where two sets' bits differ, the sets differ in a token, so their number is a lower bound of what the sets differ in."""
-    bit, word = F.expr("shiftleft(1L, cast(token & 63 as int))"), F.shiftrightunsigned("token", 6).bitwiseAND(F.lit(PARITY_WORDS - 1))
-    return [F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"w{i}") for i in range(PARITY_WORDS)]
-
-
 def token_classes(df: DataFrame, tokens: Column, block: list[Column], order: str) -> DataFrame:
     """Different token sets of each block: at (its block and hash), o (the first row that has it), set (hashed tokens,
     sorted). Rows without tokens have none."""
@@ -131,56 +129,125 @@ def token_classes(df: DataFrame, tokens: Column, block: list[Column], order: str
     return base.select("o", "set", at.alias("at"))
 
 
-def candidate_pairs(classes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of classes (at, o, set) of a block that may be similar by `threshold`: i, j (places), m, n (sizes).
+def _parities(token: np.ndarray, row: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Bits of rows of tokens, words[r] words of 64 of row r, in one array: bit b says whether an odd number of the row's tokens
+    fall on it. Where two sets' bits differ, the sets differ in a token, so their number is a lower bound of what the sets
+    differ in. Numbers of words are powers of two, so the bits of two halves xored are those of half as many words."""
+    u = token.view(np.uint64)
+    bits = np.zeros(int(words.sum()), np.uint64)
+    at = (np.cumsum(words) - words)[row] + ((u >> np.uint64(6)) & (words - 1).astype(np.uint64)[row]).astype(np.int64)
+    np.bitwise_xor.at(bits, at, np.uint64(1) << (u & np.uint64(63)))
+    return bits.view(np.int64)
 
-    Two such sets share one of their first n - ceil(t * n) + 1 tokens, rarest first. Rarest first goes by the counts of
-    the tokens that make up more than a FREQUENT-th of all, fewer than FREQUENT of them, which are sent to all tasks; the
-    others go by their hash. Before a pair is made of two prefix entries it has to pass the sizes, the places of the token
-    in both (what can follow it bounds what is shared) and the bits of `_parities` (which bound what differs).
 
-    A token that many prefixes of a block hold is dealt to pairs of parts: each of its rows to as many as it has parts of
-    HOT_PREFIX rows."""
-    each = classes.select("at", "o", F.size("set").alias("n"), F.explode("set").alias("token"))
-    counts = classes.select(F.explode("set").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+def _cut(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.int64()))
+
+
+def _prepared(threshold: float, common: np.ndarray, often: np.ndarray):
+    """k, block, set in; PREPARED out: the set's size, its first n - ceil(t * n) + 1 tokens, rarest first by the counts of the common
+    (sorted) tokens, its parities in PARITY_WORDS words, and in a word for FINE_TOKENS tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, SLICE_SETS):
+                batch = whole.slice(lo, SLICE_SETS)
+                sets = batch.column("set")
+                n, token = np.asarray(sets.value_lengths(), np.int64), sets.flatten().to_numpy(zero_copy_only=False)
+                row, count = np.repeat(np.arange(len(n)), n), np.zeros(len(token), np.int64)
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, token), len(common) - 1)
+                    count = np.where(common[at] == token, often[at], 0)
+                ranked = token[np.lexsort((token, count, row))]
+                keep = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+                first = ranked[np.arange(len(token)) - (np.cumsum(n) - n)[row] < keep[row]]
+                few = _parities(token, row, np.full(len(n), PARITY_WORDS)).reshape(-1, PARITY_WORDS)
+                words = np.maximum(PARITY_WORDS, 2 ** np.ceil(np.log2(np.maximum(n / FINE_TOKENS, 1))).astype(np.int64))
+                columns = [batch.column("k"), batch.column("block"), pa.array(n, pa.int32()), _cut(first, np.minimum(keep, n)), _cut(_parities(token, row, words), words), *[pa.array(np.ascontiguousarray(w)) for w in few.T]]
+                yield pa.RecordBatch.from_arrays(columns, names=["k", "block", "n", "tokens", "bits", *[f"w{i}" for i in range(PARITY_WORDS)]])
+
+    return run
+
+
+PREPARED = "k long, block long, n int, tokens array<long>, bits array<long>, " + ", ".join(f"w{i} long" for i in range(PARITY_WORDS))
+
+
+def prepared(classes: DataFrame, threshold: float) -> DataFrame:
+    """PREPARED of classes (k, at, set), the block as a hash. Rarest first goes by the counts of the tokens that make up more than a FREQUENT-th of
+    all, fewer than FREQUENT of them, which are sent to all tasks; the others go by their hash."""
+    counts = staged(classes.select(F.explode("set").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("often")))
     total = counts.agg(F.coalesce(F.sum("often"), F.lit(0))).first()[0]
-    frequent = F.broadcast(counts.filter(F.col("often") > total // FREQUENT))
-    ranked = each.join(frequent, "token", "left").groupBy("at", "o", "n").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "token"))).alias("ts"), *_parities())
-    keep = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
+    common = sorted(map(tuple, counts.filter(F.col("often") > total // FREQUENT).collect()))
+    return classes.select("k", F.xxhash64("at.block").alias("block"), "set").mapInArrow(_prepared(threshold, np.array([t for t, _ in common], np.int64), np.array([n for _, n in common], np.int64)), PREPARED)
+
+
+def candidate_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of sets (PREPARED) of a block that may be similar by `threshold`: i < j (their k), m, n (sizes), each once.
+
+    Two such sets share one of their prefixes' tokens. Before a pair is made of two prefix entries it has to pass the sizes,
+    the places of the token in both (what can follow it bounds what is shared) and the bits of `_parities` (which bound what
+    differs). Blocks and tokens meet by a hash; pairs of two blocks that it makes one are left out by the caller.
+
+    A token that many prefixes of a block hold is dealt to pairs of parts: each of its rows to as many as it has parts of
+    HOT_PREFIX rows. Entries of the others are shuffled once, as both sides of the join are the same."""
     words = [f"w{i}" for i in range(PARITY_WORDS)]
-    prefix = ranked.select("at", "o", "n", *words, F.posexplode(F.transform(F.slice("ts", 1, keep), lambda x: x["token"])).alias("p", "token"))
-    prefix = staged(prefix.select(F.struct("at.block", "token").alias("meet"), F.struct("o", F.col("at.key").alias("key")).alias("k"), "n", *words, "p"))
+    each = sets.select("k", "n", *words, "block", F.posexplode("tokens").alias("p", "token"))
+    prefix = each.select(F.xxhash64("block", "token").alias("meet"), "k", "n", *words, "p")
     hot = max(HOT_PREFIX, prefix.count() // FREQUENT)
     busy = prefix.groupBy("meet").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > hot)
-    parts = F.broadcast(busy.select("meet", F.ceil(F.col("times") / HOT_PREFIX).cast("int").alias("parts")))
-    dealt = prefix.join(parts, "meet", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    a = dealt.select("meet", "k", "n", *words, "p", F.col("own").alias("x"), every.alias("y")).alias("a")
-    b = dealt.select("meet", "k", "n", *words, "p", every.alias("x"), F.col("own").alias("y")).alias("b")
+    parts = F.broadcast(staged(busy.select("meet", F.ceil(F.col("times") / HOT_PREFIX).cast("int").alias("parts"))))
     m, n = F.col("a.n"), F.col("b.n")
     least = threshold / (1 + threshold) * (m + n) - 1e-6  # tokens that a similar pair shares
     shared = F.least(m - F.col("a.p"), n - F.col("b.p"))
     apart = reduce(Column.__add__, [F.bit_count(F.col(f"a.{w}").bitwiseXOR(F.col(f"b.{w}"))) for w in words])
-    on = (F.col("a.meet") == F.col("b.meet")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")) & (F.col("a.k.o") < F.col("b.k.o"))
-    on = on & (m >= threshold * n - 1e-6) & (n >= threshold * m - 1e-6) & (shared >= least) & (m + n - 2 * least >= apart)
-    return a.join(b, on).select(F.col("a.k").alias("i"), F.col("b.k").alias("j"), m.alias("m"), n.alias("n"), F.col("a.meet.block").alias("block")).distinct()
+    near = (m >= threshold * n - 1e-6) & (n >= threshold * m - 1e-6) & (shared >= least) & (m + n - 2 * least >= apart)
+
+    def pairs(a: DataFrame, b: DataFrame, on: Column) -> DataFrame:
+        met = a.alias("a").join(b.alias("b"), on & (F.col("a.k") < F.col("b.k")) & near)
+        return met.select(F.col("a.k").alias("i"), F.col("b.k").alias("j"), m.alias("m"), n.alias("n"))
+
+    meets = F.col("a.meet") == F.col("b.meet")
+    few = prefix.join(parts.select("meet"), "meet", "left_anti").repartition("meet")
+    dealt = prefix.join(parts, "meet").withColumn("own", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    a = dealt.select("meet", "k", "n", *words, "p", F.col("own").alias("x"), every.alias("y"))
+    b = dealt.select("meet", "k", "n", *words, "p", every.alias("x"), F.col("own").alias("y"))
+    often = pairs(a, b, meets & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")))
+    return pairs(few, few, meets).unionByName(often).distinct()
+
+
+def _bits_apart(x: Column, y: Column) -> Column:
+    """Bits in which parities differ; those of twice as many words are folded to as many as the others have. Sets that differ
+    more in size, which can be similar by thresholds under 0.5 only, count as 0 apart."""
+    short = F.least(F.size(x), F.size(y))
+    xor = lambda a, b: a.bitwiseXOR(b)
+    fold = lambda a: F.when(F.size(a) > short, F.zip_with(F.slice(a, F.lit(1), short), F.slice(a, short + 1, short), xor)).otherwise(a)
+    apart = F.aggregate(F.zip_with(fold(x), fold(y), xor), F.lit(0), lambda n, w: n + F.bit_count(w))
+    return F.when(F.greatest(F.size(x), F.size(y)) <= 2 * short, apart).otherwise(0)
 
 
 def jaccard_links(df: DataFrame, tokens: Column, block: list[Column], order: str, threshold: float) -> DataFrame:
     """Pairs i < j (by order) of a block whose token sets are similar by `threshold` or more: i, j, similarity, copy.
 
     Equal sets are a class that its first row stands for: candidates (`candidate_pairs`) come from classes only, and each
-    other member has one pair, with the first (copy), so copies make no square of pairs. Candidates are compared on the
-    hashes of all their tokens. Rows with the same order value are not compared with each other, nor rows without tokens
-    with any; null blocks are a block; an empty table gives an empty result. Other columns' names don't matter."""
+    other member has one pair, with the first (copy), so copies make no square of pairs. Candidates have to pass parities as
+    long as their sets ask for, which bound what they differ in, before whole sets are sent for them; then they are compared
+    on the hashes of all their tokens. Rows with the same order value are not compared with each other, nor rows without
+    tokens with any; null blocks are a block; an empty table gives an empty result. Other columns' names don't matter."""
     base = staged(token_classes(df, tokens, block, order))
-    classes = base.groupBy("at").agg(F.min("o").alias("o"), F.first("set").alias("set"))
+    classes = staged(base.groupBy("at").agg(F.min("o").alias("o"), F.first("set").alias("set")).withColumn("k", F.monotonically_increasing_id()))
     copies = base.select("at", F.col("o").alias("j")).join(classes.select("at", F.col("o").alias("i")), "at").filter("j > i").select("i", "j", F.lit(1.0).alias("similarity"), F.lit(True).alias("copy"))
-    pairs = candidate_pairs(classes, threshold)
-    sets = lambda side, name: classes.select(F.col("at.block").alias("block"), F.struct("o", F.col("at.key").alias("key")).alias(side), F.col("set").alias(name))
-    met = pairs.join(sets("i", "x"), ["block", "i"]).join(sets("j", "y"), ["block", "j"])
-    both = F.size(F.array_intersect("x", "y"))
-    near = met.select(F.col("i.o").alias("i"), F.col("j.o").alias("j"), (both / (F.col("m") + F.col("n") - both)).alias("similarity")).filter(F.col("similarity") >= threshold)
+    sets = staged(prepared(classes, threshold))
+    pairs = candidate_pairs(sets, threshold)
+    of = lambda df, value, side, name: df.select(F.col("k").alias(side), F.col(value).alias(name))
+    m, n = F.col("m"), F.col("n")
+    most = m + n - 2 * (threshold / (1 + threshold) * (m + n) - 1e-6)  # tokens that a similar pair differs in
+    tested = pairs.join(of(sets, "bits", "i", "x"), "i").join(of(sets, "bits", "j", "y"), "j").filter(_bits_apart(F.col("x"), F.col("y")) <= most)
+    held = classes.select("k", F.struct("at.block", "o", "set").alias("held"))
+    met = staged(tested.select("i", "j", "m", "n")).join(of(held, "held", "i", "x"), "i").join(of(held, "held", "j", "y"), "j")
+    met = met.filter(F.col("x.block").eqNullSafe(F.col("y.block")) & (F.col("x.o") != F.col("y.o")))
+    both = F.size(F.array_intersect("x.set", "y.set"))
+    near = met.select(F.least("x.o", "y.o").alias("i"), F.greatest("x.o", "y.o").alias("j"), (both / (m + n - both)).alias("similarity")).filter(F.col("similarity") >= threshold)
     return near.groupBy("i", "j").agg(F.max("similarity").alias("similarity")).withColumn("copy", F.lit(False)).unionByName(copies)
 
 

@@ -34,6 +34,27 @@ def test_greedy_jaccard_against_the_sequential_rule(spark):
     assert {x[0] for x in got} == gone
 
 
+def test_whole_sets_are_sent_for_similar_pairs_only(spark, monkeypatch):
+    """Pairs of large sets that meet and are not similar are left out by their parities, before sets are sent."""
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(700)]
+    texts = [" ".join([*rng.sample(base, 600 if i < 30 else 680), *(f"x{i}_{k}" for k in range(40))]) for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "o int, t string")
+    seen = {}
+
+    def kept(df, real=D.staged):
+        got = real(df)
+        seen[tuple(got.columns)] = got.count()
+        return got
+
+    monkeypatch.setattr(D, "staged", kept)
+    got = {(r.i, r.j) for r in D.jaccard_links(df, T.words(F.col("t")), [], "o", 0.8).collect()}
+    sets = [set(t.split()) for t in texts]
+    want = {(i, j) for j in range(40) for i in range(j) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.8}
+    assert got == want and len(want) >= 45
+    assert len(want) <= seen["i", "j", "m", "n"] <= 2 * len(want)
+
+
 def test_three_passes(spark):
     rows = [
         (1, "A1", "Name One", "P", "D", "1", "long " + " ".join(f"t{i}" for i in range(30))),
