@@ -6,9 +6,9 @@ Order is explicit: every row carries its document and an ordinal, nothing relies
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,15 +17,19 @@ from millrace.functions import classify as C
 from millrace.functions import text as T
 
 
-def document_text(pages: DataFrame, doc: str = "doc", page: str = "page_num", text: str = "text", marked: bool = False, ended: bool = False) -> DataFrame:
+#: Texts of an Arrow batch that are held as Python objects at once.
+SLICE_TEXTS = 128
+
+
+def document_text(pages: DataFrame, doc: str = "doc", page: str = "page_num", text: str = "text", marked: bool = False, ended: bool = False, parts: bool = False) -> DataFrame:
     """Pages joined into documents by a blank line, in page order, blank pages left out; with page marks if asked,
-    and with a blank line behind the last page too (`ended`)."""
+    and with a blank line behind the last page too (`ended`). `parts` adds the pages: an array of n (page) and t (text)."""
     part = T.strip(F.col(text))
     shown = F.concat(F.lit("--- PAGE "), F.col(page).cast("string"), F.lit(" ---\n"), part) if marked else part
     kept = pages.filter(F.coalesce(part, F.lit("")) != "").select(F.col(doc).alias("doc"), F.struct(F.col(page).alias("n"), shown.alias("t")).alias("p"))
     joined = kept.groupBy("doc").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     whole = F.concat(F.array_join(F.transform("ps", lambda p: p["t"]), "\n\n"), F.lit("\n\n" if ended else ""))
-    return joined.select("doc", whole.alias("text"), F.element_at("ps", 1)["n"].alias("first_page"), F.element_at("ps", -1)["n"].alias("last_page"))
+    return joined.select("doc", whole.alias("text"), F.element_at("ps", 1)["n"].alias("first_page"), F.element_at("ps", -1)["n"].alias("last_page"), *[F.col("ps").alias("pages")] * parts)
 
 
 def lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -177,11 +181,14 @@ def split_oversize(text: Column, target: int = 800, most: int = 1200, least: int
     """A text's parts of about `target` characters, cut between sentences; a sentence over `most` is cut between
     words. Parts under `least` characters are dropped. A text up to `most` long is one part; null stays null.
 
-    Each part's end depends on the one before, so texts go through Arrow batches, in time linear in their length."""
+    Each part's end depends on the one before, so texts go through Arrow batches, in time linear in their length; SLICE_TEXTS of
+    a batch are Python objects at a time."""
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _oversize_parts(t, target, most, least))
+    @F.arrow_udf("array<string>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for at in range(0, len(texts), SLICE_TEXTS):
+                yield pa.array([_oversize_parts(t, target, most, least) for t in texts.slice(at, SLICE_TEXTS).to_pylist()], pa.list_(pa.string()))
 
     return cut(text)
 

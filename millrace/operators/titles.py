@@ -7,11 +7,13 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
 from millrace.functions import text as T
+from millrace.operators.segment import SLICE_TEXTS
 
 #: Takes a category and a text and returns a title, empty on failure.
 TitleGenerator = Callable[[str, str], str]
@@ -87,24 +89,26 @@ def with_titles(records: DataFrame, make: Callable[[], TitleGenerator] = lambda:
     """records with llm_title, title_source (llm or rule_based_fallback) and title_reason (null, empty_response,
     too_short_n, too_long_n, generic). Every row comes out, with the fallback title where none is valid.
 
-    Without a generator nothing leaves the JVM."""
+    Without a generator nothing leaves the JVM; else the first PROMPT_CHARS of a text do, SLICE_TEXTS of which are Python
+    objects at a time."""
 
-    @F.pandas_udf("array<string>")
-    def ask(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def ask(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         generate = make()
-        for cats, texts in frames:
-            out = []
-            for c, t in zip(cats.fillna(""), texts.fillna(""), strict=True):
-                tries: list[str] = []
-                while len(tries) < attempts and not any(2 <= len(x.split()) <= 12 for x in tries):
-                    tries.append(generate(c, t[:PROMPT_CHARS]))
-                out.append(tries)
-            yield pd.Series(out)
+        for cats, texts in batches:
+            for at in range(0, len(texts), SLICE_TEXTS):
+                out = []
+                for c, t in zip(cats.slice(at, SLICE_TEXTS).to_pylist(), texts.slice(at, SLICE_TEXTS).to_pylist(), strict=True):
+                    tries: list[str] = []
+                    while len(tries) < attempts and not any(2 <= len(x.split()) <= 12 for x in tries):
+                        tries.append(generate(c or "", t or ""))
+                    out.append(tries)
+                yield pa.array(out, pa.list_(pa.string()))
 
     if make() is no_generator:
         tried = records.withColumn("_tries", F.array(F.lit("")))
     else:
-        tried = records.withColumn("_tries", ask(F.col(category), F.col(content)))
+        tried = records.withColumn("_tries", ask(F.col(category), F.substring(content, 1, PROMPT_CHARS)))
     cleaned = F.transform("_tries", T.clean_title_candidate)
     good = F.get(F.filter(cleaned, C.is_valid_title), F.lit(0))
     last = F.element_at(cleaned, -1)
@@ -117,12 +121,13 @@ def with_titles(records: DataFrame, make: Callable[[], TitleGenerator] = lambda:
 def rewrite(records: DataFrame, make: Callable[[], TitleGenerator], text: str, least: int = 50) -> DataFrame:
     """records with `text` rewritten by the hook from its first characters; answers under `least` keep the text."""
 
-    @F.pandas_udf("string")
-    def run(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generate = make()
-        for s in frames:
-            yield s.map(lambda t: generate("", t[:REWRITE_CHARS]) if t else "")
+        for texts in batches:
+            for at in range(0, len(texts), SLICE_TEXTS):
+                yield pa.array([generate("", t) if t else "" for t in texts.slice(at, SLICE_TEXTS).to_pylist()], pa.string())
 
     raw = f"{text}_raw"
-    answered = records.withColumn(raw, F.col(text)).withColumn("_new", run(F.col(text)))
+    answered = records.withColumn(raw, F.col(text)).withColumn("_new", run(F.substring(text, 1, REWRITE_CHARS)))
     return answered.withColumn(text, F.when(F.length(T.strip(F.col("_new"))) >= least, F.col("_new")).otherwise(F.col(raw))).drop("_new")

@@ -94,3 +94,12 @@ def test_document_text(spark):
     r = S.document_text(pages).first()
     assert (r.text, r.first_page, r.last_page) == ("a\n\nb", 1, 2)
     assert S.document_text(pages, marked=True).first().text == "--- PAGE 1 ---\na\n\n--- PAGE 2 ---\nb"
+
+
+def test_texts_go_through_python_in_slices(spark):
+    """More texts than a slice of a batch, nulls among them, come back in order."""
+    n = 3 * S.SLICE_TEXTS + 7
+    texts = [None if i % 50 == 0 else f"{i} " + "A sentence of some length. " * (60 if i % 3 else 2) for i in range(n)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = {r.i: r.p for r in df.select("i", S.split_oversize(F.col("t")).alias("p")).collect()}
+    assert got == {i: S._oversize_parts(t, 800, 1200, 20) for i, t in enumerate(texts)}
