@@ -9,17 +9,21 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from millrace.functions import classify as C
+from millrace.operators.clusters import _vectors as flat
 from millrace.operators.clusters import ranked_in
 from millrace.operators.staging import staged
 
 Embedder = Callable[[list[str]], np.ndarray]
 
 #: Bytes of a block of query vectors and of index vectors, and scores that are held at once when two blocks meet.
-QUERY_BYTES, INDEX_BYTES, SCORES = 64 << 20, 64 << 20, 1 << 23
+QUERY_BYTES, INDEX_BYTES, SCORES = 64 << 20, 64 << 20, 1 << 21
 #: Places of a block that are worked on together.
 CHUNK = 4_096
 
@@ -274,21 +278,26 @@ def top_k(queries: DataFrame, index: DataFrame, k: int, query_id: str = "query_i
     kinds = dict(rows.dtypes) | dict(asked.dtypes)
     schema = f"query_id {kinds['query_id']}, g {kinds['g']}, pos {kinds['pos']}, score double"
 
-    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+    declared = to_arrow_schema(StructType.fromDDL(schema))
+
+    def search(q: pa.Table, r: pa.Table) -> pa.Table:
+        """Vectors stay in Arrow's buffers, those of a group become one array; rows are no Python objects."""
         found = []
-        if len(q) and len(r):
-            names, asked_ = q["query_id"].to_numpy(), np.array(q["q"].tolist(), np.float64)
-            for g, part in r.groupby("g", dropna=False):
-                place, vectors = part["pos"].to_numpy(), np.array(part["v"].tolist(), np.float64)
-                step = max(1, SCORES // max(1, len(part)))
-                for at in range(0, len(names), step):
+        if q.num_rows and r.num_rows:
+            asked_, groups = flat(q.column("q")), r.column("g").combine_chunks().dictionary_encode("encode")
+            for code in range(len(groups.dictionary)):
+                part = r.filter(pa.compute.equal(groups.indices, code)) if len(groups.dictionary) > 1 else r
+                place, vectors = part.column("pos").to_numpy(), flat(part.column("v"))
+                step = max(1, SCORES // max(1, part.num_rows))
+                for at in range(0, q.num_rows, step):
                     scores = asked_[at : at + step] @ vectors.T
                     at_q, at_r = best_places(scores, place, k)
-                    found.append(pd.DataFrame({"query_id": names[at : at + step][at_q], "g": g, "pos": place[at_r], "score": scores[at_q, at_r]}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "g": [], "pos": [], "score": []})
+                    hit = [q.column("query_id").take(pa.array(at + at_q)), part.column("g").take(pa.array(at_r)), part.column("pos").take(pa.array(at_r)), pa.array(scores[at_q, at_r])]
+                    found.append(pa.table(hit, names=declared.names).cast(declared))
+        return pa.concat_tables(found) if found else declared.empty_table()
 
     by = ("block", "q_block")
-    hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, schema)
+    hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(lambda a, b: search(a, b), schema)
     rank = F.row_number().over(Window.partitionBy("query_id", "g").orderBy(F.desc("score"), "pos"))
     best = hits.withColumn("rank", rank).filter(F.col("rank") <= k)
     return best.withColumnRenamed("g", group) if group else best.drop("g")
