@@ -171,18 +171,31 @@ def units(text: Column, declared: Column) -> Column:
     )
 
 
-def extract_courses(docs: DataFrame, file: str = "doc", text: str = "text") -> DataFrame:
-    """One row a valid course of the documents (file name, whole text); `section_no` orders a file's courses."""
+def extract_courses(docs: DataFrame, file: str = "doc", text: str = "text", pages: str | None = None) -> DataFrame:
+    """One row a valid course of the documents (file name, whole text); `section_no` orders a file's courses.
+
+    `pages`: a column with the document's pages, an array of n and t; then courses get page_range, the pages that contain
+    their code, as `course_pages` does by a join."""
     program, degree, department = file_fields(F.col(file))
-    cut = docs.select(F.col(file).alias("doc"), program.alias("program"), degree.alias("degree"), department.alias("department"), regulation_year(F.col(text)).alias("regulation_year"), F.posexplode(course_sections(F.col(text))).alias("section_no", "section"))
-    s = F.col("section")
     pattern = rf"(?im)({CODE})\s+(.+?)(?=\n|Periods|Credit|Course\s+Code|Department:|$)"
-    got = cut.withColumn("course_code", T.strip(F.regexp_extract(s, pattern, 1))).withColumn("course_name", T.collapse(F.regexp_extract(s, pattern, 2))).withColumn("course_outcomes", outcomes(s))
+
+    def spanned(code: Column) -> Column:
+        hits = F.transform(F.filter(pages, lambda p: F.contains(p["t"], code)), lambda p: p["n"])
+        return F.when(F.size(hits) > 0, T.page_range(F.array_min(hits), F.array_max(hits))).otherwise("N/A")
+
+    def found(section: Column) -> Column:
+        code = T.strip(F.regexp_extract(section, pattern, 1))
+        return F.struct(section.alias("section"), code.alias("course_code"), *([spanned(code).alias("page_range")] if pages else []))
+
+    cut = docs.select(F.col(file).alias("doc"), program.alias("program"), degree.alias("degree"), department.alias("department"), regulation_year(F.col(text)).alias("regulation_year"), F.posexplode(F.transform(course_sections(F.col(text)), found)).alias("section_no", "x"))
+    cut = cut.select("*", "x.section", "x.course_code", *["x.page_range"] * bool(pages)).drop("x")
+    s = F.col("section")
+    got = cut.withColumn("course_name", T.collapse(F.regexp_extract(s, pattern, 2))).withColumn("course_outcomes", outcomes(s))
     level = F.when(F.col("degree") != "", F.col("degree")).when(F.col("program").isin("MBA", "MCA", "M.Tech", "M.Sc"), "PG").when(F.col("program").isin("B.Tech", "B.E"), "UG").otherwise("")
     return got.filter((F.col("course_code") != "") & (F.col("course_name") != "")).select(
         F.lit("course").alias("object_type"), "program", level.alias("degree_level"), "department", "regulation_year", "course_code", "course_name", semester(s).alias("semester"),
         credits_of(s).alias("credits"), contact_hours(s).alias("contact_hours"), objectives(s).alias("course_objectives"), "course_outcomes", units(s, F.col("course_outcomes")).alias("units"),
-        references(s).alias("textbook_references"), "doc", "section_no",
+        references(s).alias("textbook_references"), "doc", "section_no", *["page_range"] * bool(pages),
     )
 
 

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
 from millrace.operators import courses, dedup, segment, vectors
-from millrace.operators.staging import staged
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    got = staged(courses.extract_courses(segment.document_text(pages), file="doc"))
-    return courses.course_pages(got, pages)
+    """Courses of pages, in one pass: no text goes through a join or is staged."""
+    return courses.extract_courses(segment.document_text(pages, parts=True), file="doc", pages="pages")
 
 
 def finish(extracted: DataFrame, with_topics: bool = True) -> DataFrame:

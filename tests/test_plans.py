@@ -122,3 +122,17 @@ def test_curated_sources(spark):
     a = spark.createDataFrame([(1, "a", "same"), (2, "b", "own")], "ordinal int, title string, content string")
     b = spark.createDataFrame([(1, "c", "same")], "ordinal int, title string, content string")
     assert sorted(r.title for r in institutional.curated(a, b).collect()) == ["a", "b"]
+
+
+def test_courses_take_their_pages_without_a_join(spark):
+    """Texts of pages are neither broadcast nor joined; the pages that hold a code are those that `course_pages` finds."""
+    from millrace.operators import courses, segment
+    from millrace.plans import syllabus
+
+    head = "Course Code Course Name L T P\n"
+    rows = [("ug_mba_it.pdf", 3, head + "CSU101 First Name\nmore"), ("ug_mba_it.pdf", 5, "of CSU101 again\n" + head + "CSU102 Second Name\n"), ("ug_mba_it.pdf", 4, " \n"), ("x.pdf", 1, "nothing")]
+    pages = spark.createDataFrame(rows, "doc string, page_num int, text string")
+    got = syllabus.extract(pages)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+    want = courses.course_pages(courses.extract_courses(segment.document_text(pages)), pages)
+    assert sorted(map(tuple, got.select("course_code", "page_range").collect())) == sorted(map(tuple, want.select("course_code", "page_range").collect())) == [("CSU101", "3-5"), ("CSU102", "5")]
