@@ -235,15 +235,30 @@ def normal_category(category: Column) -> Column:
 
 
 def regulation_year(text: Column, patterns: Sequence[str] = tuple(lex.ADMIN_YEAR_PATTERNS)) -> Column:
-    """The first pattern's first match, null if none matches."""
-    return F.coalesce(*[F.nullif(F.regexp_extract(text, "(?i)" + p, 1), F.lit("")) for p in patterns])
+    """The first pattern's first match, null if none matches. Later patterns are looked for only if the first ones fail."""
+    def first(rest: Sequence[str]) -> Column:
+        if not rest:
+            return F.lit(None).cast("string")
+        return T.let(F.regexp_extract(text, "(?i)" + rest[0], 1), lambda y: F.when(y != "", y).otherwise(first(rest[1:])))
+
+    out = first(patterns)
+    # all of the given patterns hold four digits
+    return F.when(text.rlike(r"\d{4}"), out) if tuple(patterns) == tuple(lex.ADMIN_YEAR_PATTERNS) else out
 
 
 def majority_program(text: Column, file: Column | None = None) -> Column:
-    """The program mentioned most, the first of equals; then one in the file name; else Unknown."""
+    """The program mentioned most, the first of equals; then one in the file name; else Unknown.
+
+    One search finds the mentions of all programs, which can't overlap each other; a mention is then told by its own pattern."""
+    mention = f"(?i)(?=[{lex.PROGRAM_LETTERS}])(?:{'|'.join(lex.PROGRAM_PATTERNS.values())})"
+
+    def most(found: Column) -> Column:
+        of = lambda p: F.size(F.filter(found, lambda m: m.rlike(rf"(?i)\A(?:{p})")))
+        best = F.array_max(F.array(*[F.struct(of(p).alias("s"), F.lit(-i).alias("p"), F.lit(n).alias("n")) for i, (n, p) in enumerate(lex.PROGRAM_PATTERNS.items())]))
+        return F.when(F.size(found) > 0, best["n"])
+
     def best(of: Column) -> Column:
-        most = F.array_max(F.array(*[F.struct(F.regexp_count(of, F.lit("(?i)" + p)).alias("s"), F.lit(-i).alias("p"), F.lit(n).alias("n")) for i, (n, p) in enumerate(lex.PROGRAM_PATTERNS.items())]))
-        return T.let(most, lambda m: F.when(m["s"] > 0, m["n"]))
+        return T.let(F.regexp_extract_all(of, F.lit(mention), F.lit(0)), most)
 
     out = best(text)
     if file is not None:
@@ -254,7 +269,7 @@ def majority_program(text: Column, file: Column | None = None) -> Column:
 
 def regulation_name(text: Column, file: Column) -> Column:
     """The first of twenty lines, 11 to 199 characters long, that names a regulation; else the file's name."""
-    lines = F.transform(F.slice(F.split(text, "\n"), 1, 20), T.strip)
+    lines = F.transform(F.split(F.substring_index(text, "\n", 20), "\n"), T.strip)
     named = F.filter(lines, lambda x: (F.length(x) > 10) & (F.length(x) < 200) & F.upper(x).rlike("|".join(lex.REGULATION_NAME_WORDS)))
     clean = T.collapse(F.translate(F.regexp_replace(file, r"(?i)\.pdf$", ""), "_-", "  "))
     return F.coalesce(F.get(named, F.lit(0)), clean)

@@ -34,13 +34,17 @@ def collapse(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space at the ends."""
-    return F.regexp_replace(text, r"^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
 
 
 def plain_typography(text: Column) -> Column:
-    for old, new in lex.TYPOGRAPHY:
-        text = F.replace(text, F.lit(old), F.lit(new))
-    return text
+    """Typographic marks as plain ones; a text of ASCII is not searched for them."""
+    def replaced(t: Column) -> Column:
+        for old, new in lex.TYPOGRAPHY:
+            t = F.replace(t, F.lit(old), F.lit(new))
+        return t
+
+    return let(text, lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(replaced(t)))
 
 
 def words(text: Column) -> Column:
@@ -84,10 +88,14 @@ def title_case(text: Column) -> Column:
 
 def clean_regulation(text: Column) -> Column:
     """Page numbers and table marks out, lines with a letter or more than two words kept, one line, plain quotes."""
-    t = _drop(text, [r"(?m)^\d+$", r"(?i)Page\s+\d+\s+of\s+\d+", r"(?i)Page\s+\d+", r"(?i)Table\s+\d+", r"(?i)Figure\s+\d+"])
+    marks = [r"(?i)Page\s+\d+\s+of\s+\d+", r"(?i)Page\s+\d+", r"(?i)Table\s+\d+", r"(?i)Figure\s+\d+"]
+    # a mark ends in e, white space and a digit: one search for that spares most texts those for the four marks
+    t = let(_drop(text, [r"(?m)^\d+$"]), lambda x: F.when(x.rlike(r"\s\d(?<=[eE\s]\s\d)"), _drop(x, marks)).otherwise(x))
     lines = F.transform(F.split(t, "\n"), strip)
     kept = F.filter(lines, lambda x: (x != "") & (x.rlike("[A-Za-z]") | (word_count(x) > 2)))
-    return F.trim(plain_typography(collapse(F.array_join(kept, "\n"))))
+    # lines without white space at their ends, joined by a space, are collapsed unless there is more white space in one
+    one = let(F.array_join(kept, " "), lambda x: F.when(F.contains(x, F.lit("  ")) | x.rlike(r"[\t\x0B\f\r]"), collapse(x)).otherwise(x))
+    return F.trim(plain_typography(one))
 
 
 def clean_institutional(text: Column, running_header: str | None = None) -> Column:
@@ -158,14 +166,19 @@ def normalize_section_title(title: Column) -> Column:
     whole = "|".join(lex.WHOLE_WORDS)
     for word in ("THE", "OF", "FOR", "AND"):
         t = F.regexp_replace(t, rf"\b(?!(?:{whole})\b){word}([A-Z])", f"{word} $1")
-    t = F.when(F.contains(t, F.lit("(")) & ~F.contains(t, F.lit(")")), F.regexp_replace(t, r"(?s)\s*\(.*", "")).otherwise(t)
+    # each step that uses a title more than once has it computed once
+    t = let(t, lambda x: F.when(F.contains(x, F.lit("(")) & ~F.contains(x, F.lit(")")), F.regexp_replace(x, r"(?s)\s*\(.*", "")).otherwise(x))
     t = F.regexp_replace(t, r"[()]", "")
-    canonical = F.lit(None).cast("string")
-    for variant, form in reversed(lex.CANONICAL_TITLES.items()):
-        canonical = F.when(F.contains(F.upper(t), F.lit(variant)), F.lit(form)).otherwise(canonical)
-    t = F.upper(F.coalesce(canonical, t))
+
+    def canonical(upper: Column) -> Column:
+        out = upper
+        for variant, form in reversed(lex.CANONICAL_TITLES.items()):
+            out = F.when(F.contains(upper, F.lit(variant)), F.lit(form.upper())).otherwise(out)
+        return out
+
+    t = let(F.upper(t), canonical)
     t = strip(F.regexp_replace(F.regexp_replace(t, r"\s+", " "), r"[^\w\s]\z", ""))
-    return F.when(F.length(t) <= 5, "").otherwise(t)
+    return let(t, lambda x: F.when(F.length(x) <= 5, "").otherwise(x))
 
 
 def complete_title(title: Column, content: Column) -> Column:
@@ -178,9 +191,10 @@ def complete_title(title: Column, content: Column) -> Column:
     first = F.lit(None).cast("string")
     for end in ("\n", "! ", "? ", ". "):  # the last wins
         first = F.when(F.contains(content, F.lit(end)), F.substring_index(content, end, 1)).otherwise(first)
-    first = F.coalesce(F.nullif(strip(first), F.lit("")), strip(content))
-    longer = strip(F.concat(title, F.lit(" "), F.array_join(F.slice(words(first), 1, 5), " ")))
-    return F.when((F.length(title) < 25) & dangling & ~fixed & (F.length(longer) <= 80), longer).otherwise(title)
+    # let, not nullif: Spark works out what nullif takes for every row, a title that lacks nothing needs no content
+    some = let(strip(first), lambda x: F.coalesce(F.when(x != "", x), strip(content)))
+    longer = strip(F.concat(title, F.lit(" "), F.array_join(F.slice(words(some), 1, 5), " ")))
+    return F.when((F.length(title) < 25) & dangling & ~fixed, let(longer, lambda x: F.when(F.length(x) <= 80, x).otherwise(title))).otherwise(title)
 
 
 def complete_eligibility(title: Column, program: Column, file: Column, content: Column, by_content: bool = False, by_file: str | None = None) -> Column:

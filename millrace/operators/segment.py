@@ -6,7 +6,7 @@ Order is explicit: every row carries its document and an ordinal, nothing relies
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,34 +37,41 @@ def lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
 
 
-def sections(docs: DataFrame, header: Callable[[Column], Column] = C.is_header, doc: str = "doc_id", text: str = "text", min_chars: int = 50, title: str = "GENERAL REGULATIONS") -> DataFrame:
-    """A document's sections between header lines: doc, section_no, section_title, content.
+def sections(docs: DataFrame, header: Callable[[Column], Column] = C.is_header, doc: str = "doc_id", text: str = "text", min_chars: int = 50, title: str = "GENERAL REGULATIONS", keep: Sequence[str] = ()) -> DataFrame:
+    """A document's sections between header lines: doc, the columns `keep`, section_no, section_title, content.
 
-    `header` is a predicate on a line. Only documents with a header are taken apart into rows of lines. Lines of under three characters,
+    `header` is a predicate on a line. A document's row is cut into its sections where it is: no line and no text is shuffled. Lines of under three characters,
     short lines in capitals and lines of symbols are left out of contents, which are then cleaned; sections under
     `min_chars` are dropped. Of sections with the same title and the same first 200 characters the first stays.
     A document without any header is one section if it is longer than `min_chars`. What comes before the first
     header is dropped.
     """
-    headed = F.coalesce(F.exists(F.split(F.col(text), "\n"), lambda x: header(x)), F.lit(False))
-    one = docs.filter(headed).select(F.col(doc).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("k", "line")).filter("line <> ''")
-    flagged = one.withColumn("is_head", header(F.col("line")))
-    order = Window.partitionBy("doc").orderBy("k")
-    numbered = flagged.withColumn("section_no", F.sum(F.col("is_head").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    x = T.strip(F.col("line"))
-    content = (F.length(x) >= 3) & ~(T.is_upper(x) & (T.word_count(x) <= 3)) & ~x.rlike(r"^[()\d\s\-=.:/|]+$")
-    body = F.array_sort(F.collect_list(F.when(~F.col("is_head") & content, F.struct("k", x.alias("line")))))
-    parts = numbered.filter("section_no > 0").groupBy("doc", "section_no").agg(F.max(F.when(F.col("is_head"), x)).alias("head"), body.alias("ls"))
-    made = parts.select("doc", "section_no", T.normalize_section_title(F.col("head")).alias("section_title"), T.clean_regulation(F.array_join(F.transform("ls", lambda p: p["line"]), "\n")).alias("content"))
-    made = made.filter((F.length("content") >= min_chars) & (F.col("section_title") != ""))
-    key = F.substring(F.lower(T.collapse(F.col("content"))), 1, 200)
-    first = F.row_number().over(Window.partitionBy("doc", "section_title", key).orderBy("section_no"))
-    made = made.withColumn("_n", first).filter("_n = 1").drop("_n")
-    # an array of none or one, so that a text is cleaned once, not once to be tested and once to be returned
-    long = lambda c: F.filter(F.array(c), lambda x: F.length(x) > min_chars)
-    rest = docs.filter(~headed).select(F.col(doc).alias("doc"), F.explode(long(T.clean_regulation(F.col(text)))).alias("content"))
-    whole = rest.select("doc", F.lit(0).cast("long").alias("section_no"), F.lit(title).alias("section_title"), "content")
-    return made.unionByName(whole)
+    def section(no: Column, head: Column, body: Column) -> Column:
+        made = F.array(T.clean_regulation(F.array_join(body, "\n")))
+        return F.transform(made, lambda c: F.struct(head.alias("section_title"), F.substring(F.lower(c), 1, 200).alias("key"), no.cast("long").alias("section_no"), c.alias("content")))
+
+    def kept(line: Column) -> Column:
+        x = line["x"]
+        return ~line["is_head"] & (F.length(x) >= 3) & ~(T.is_upper(x) & (T.word_count(x) <= 3)) & ~x.rlike(r"^[()\d\s\-=.:/|]+$")
+
+    def between(ls: Column, heads: Column) -> Column:
+        def part(at: Column, k: Column) -> Column:
+            own = F.slice(ls, at + 2, F.coalesce(F.get(heads, k + 1), F.size(ls)) - at - 1)
+            body = F.transform(F.filter(own, kept), lambda p: p["x"])
+            return T.let(T.normalize_section_title(F.get(ls, at)["x"]), lambda head: F.when(head != "", F.get(section(k + 1, head, body), F.lit(0))))
+
+        made = F.filter(F.transform(heads, part), lambda s: F.length(s["content"]) >= min_chars)
+        # in order of title, beginning and place a section that repeats one stands behind it
+        return T.let(F.array_sort(made), lambda ss: F.filter(ss, lambda s, i: ~F.coalesce((F.get(ss, i - 1)["section_title"] == s["section_title"]) & (F.get(ss, i - 1)["key"] == s["key"]), F.lit(False))))
+
+    def cut(ls: Column) -> Column:
+        whole = F.filter(section(F.lit(0), F.lit(title), F.array(F.col(text))), lambda s: F.length(s["content"]) > min_chars)
+        at = F.array_compact(F.transform(ls, lambda line, i: F.when(line["is_head"], i)))
+        return T.let(at, lambda heads: F.when(F.size(heads) > 0, between(ls, heads)).otherwise(whole))
+
+    lines_ = F.transform(F.split(F.col(text), "\n"), lambda line: F.struct(T.strip(line).alias("x"), F.coalesce(header(line), F.lit(False)).alias("is_head")))
+    rows = docs.select(F.col(doc).alias("doc"), *keep, F.explode(T.let(lines_, cut)).alias("_s"))
+    return rows.select("doc", *keep, "_s.section_no", "_s.section_title", "_s.content")
 
 
 def rule_sections(docs: DataFrame, doc: str = "doc_id", text: str = "text", min_words: int = 50) -> DataFrame:

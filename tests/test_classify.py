@@ -84,3 +84,10 @@ def test_record_errors_and_flags(apply):
     assert apply(lambda u, o, b, n, c: C.course_flags(u.cast("int"), o.cast("int"), b.cast("int"), n, c.cast("int")), ("1", "1", "1", "Name", "3"), ("0", None, "1", "Theory of", "0")) == [[], ["NO_UNITS", "NO_OUTCOMES", "TRUNCATED_NAME", "ZERO_CREDITS"]]
     assert apply(C.sanitize_credits, (4, 0, 0, 0), (99, 3, 1, 0), (99, 30, 1, 0), types="int") == [4, 4, 0]
     assert apply(lambda r, m: C.margin_class(r.cast("boolean"), m.cast("double")), ("false", "1"), ("true", "0.01"), ("true", "0.07"), ("true", "0.1")) == ["WRONG_DB", "WEAK_SEPARATION", "MODERATE_MATCH", "GOOD_MATCH"]
+
+
+def test_programs_and_years_by_one_search(apply):
+    """Mentions at each other's edges are told apart as by a search for each program; a later year pattern counts if earlier ones fail."""
+    texts = ["MBA MCA mca", "Ph.D.x and phd; Ph. D", "M Tech M.Sc m.\nsc B.Techs", "xMBA MBAs", "B.Tech-MBA.MBA", "", None]
+    assert apply(C.majority_program, *texts) == ["MCA", "Ph.D", "M.Sc", "Unknown", "MBA", "Unknown", "Unknown"]
+    assert apply(C.regulation_year, "Regulation: 2019 effective from 2021-22", "Effective from : 202021", "regulations 2018", "in 2017", "none", None) == ["2021-22", "202021", "2018", None, None, None]

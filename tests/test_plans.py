@@ -136,3 +136,12 @@ def test_courses_take_their_pages_without_a_join(spark):
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
     want = courses.course_pages(courses.extract_courses(segment.document_text(pages)), pages)
     assert sorted(map(tuple, got.select("course_code", "page_range").collect())) == sorted(map(tuple, want.select("course_code", "page_range").collect())) == [("CSU101", "3-5"), ("CSU102", "5")]
+
+
+def test_admin_sections_are_cut_where_the_document_is(spark):
+    """Each page's text is shuffled once: what is told of a document goes along, sections are not met with it by a join or a window."""
+    text = f"Regulations: 2021\nELIGIBILITY FOR ADMISSION\n{RULE}\nAWARD OF GRADES\n{RULE} Again.\nAWARD OF GRADES\n{RULE} Again."
+    got = admin.extract(spark.createDataFrame([("a", 1, text), ("b", 1, RULE), ("c", 1, " ")], "doc string, page_num int, text string"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and plan.count("Exchange") == 1
+    assert sorted((r.doc, r.section_no, r.section_title, r.regulation_year) for r in got.collect()) == [("a", 1, "ELIGIBILITY FOR ADMISSION", "2021"), ("a", 2, "AWARD OF GRADES", "2021"), ("b", 0, "GENERAL REGULATIONS", None)]

@@ -60,3 +60,23 @@ def test_page_range_and_previews(apply):
 
 def test_title_candidates(apply):
     assert apply(T.clean_title_candidate, '"Title: Some  name"', "'x'") == ["Some name", "x"]
+
+
+def test_searches_that_are_spared_change_nothing(apply):
+    """Texts with and without marks, odd white space and typography are cleaned as by plain searches for each."""
+    import re
+
+    from millrace import lexicons as lex
+
+    def clean(t):
+        for p in (r"(?m)^\d+$", r"(?i)Page\s+\d+\s+of\s+\d+", r"(?i)Page\s+\d+", r"(?i)Table\s+\d+", r"(?i)Figure\s+\d+"):
+            t = re.sub(p, "", t, flags=re.A)
+        kept = [x for x in (x.strip(" \t\n\x0b\f\r") for x in t.split("\n")) if x and (re.search("[A-Za-z]", x) or len(x.split()) > 2)]
+        t = re.sub(r"[ \t\n\x0b\f\r]+", " ", "\n".join(kept)).strip(" ")
+        for old, new in lex.TYPOGRAPHY:
+            t = t.replace(old, new)
+        return t.strip(" ")
+
+    texts = ["a page 1 of 2 b", "PAGE \t\n 7\nx", "tabTable 1le 5 figure\t3", "rule 5, tree 6", "\x0b a  b\tc \r\n12\n1 2\n1 2 3", "Page\n12\n13\nz", "\u201cq\u201d \u2013 \u2026", "\u00e9 \u2019", "", "plain words"]
+    assert apply(T.clean_regulation, *texts) == [clean(t) for t in texts]
+    assert apply(T.strip, " \t\n\x0b\f\r a b\u00a0\r\n", "", None, " \n", "\u2003x ") == ["a b\u00a0", "", None, "", "\u2003x"]
