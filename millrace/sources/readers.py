@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
+from tempfile import TemporaryFile
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import lexicons as lex
+from millrace.functions import text as T
 
-#: Takes a file's bytes and yields (page number, text).
-PageReader = Callable[[bytes], Iterable[tuple[int, str]]]
+#: Takes a file's bytes, or an iterator of blocks of them, and yields (page number, text).
+PageReader = Callable[[bytes], Iterable[tuple[int, str]]] | Callable[[Iterator[bytes]], Iterable[tuple[int, str]]]
+#: Bytes of a block in which files go to Python; characters of pages, and pages, that come back at once.
+BLOCK, PAGE_CHARS, PAGES = 2_048, 1 << 20, 4_096
 
 
-def text_pages(data: bytes) -> Iterator[tuple[int, str]]:
-    """The page reader of plain text files: pages end in form feeds."""
-    for n, t in enumerate(data.decode("utf-8", "replace").split("\f"), 1):
-        yield n, t
+def text_pages(data: bytes | Iterable[bytes]) -> Iterator[tuple[int, str]]:
+    """The page reader of plain text files, whole or in blocks: pages end in form feeds. One page is held at a time."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    n, page = 1, []
+    for block in [data] if isinstance(data, bytes) else data:
+        *ends, last = decoder.decode(block).split("\f")
+        for t in ends:
+            yield n, "".join([*page, t])
+            n, page = n + 1, []
+        page.append(last)
+    yield n, "".join([*page, decoder.decode(b"", True)])
 
 
 def pdf_pages(data: bytes) -> Iterator[tuple[int, str]]:
@@ -42,29 +55,63 @@ def mupdf_pages(data: bytes) -> Iterator[tuple[int, str]]:
             yield n, page.get_text() or ""
 
 
-def read_pages(spark: SparkSession, path: str, reader: PageReader = pdf_pages, pattern: str = "*.pdf", name: str | None = None) -> DataFrame:
+_PAGE_ROWS = pa.schema([("doc", pa.string()), ("page_num", pa.int32()), ("text", pa.string()), ("error", pa.string())])
+
+
+def _page_rows(doc: str, pages: Iterable[tuple[int, str]]) -> Iterator[pa.RecordBatch]:
+    """Rows of a file's pages that are not blank, few at once."""
+    made = lambda ns, ts: pa.RecordBatch.from_arrays([pa.array([doc] * len(ns)), pa.array(ns, pa.int32()), pa.array(ts, pa.string()), pa.nulls(len(ns), pa.string())], schema=_PAGE_ROWS)
+    ns, ts, size = [], [], 0
+    for n, t in pages:
+        if t and (t := t.strip()):
+            ns.append(n)
+            ts.append(t)
+            size += len(t)
+            if size >= PAGE_CHARS or len(ns) >= PAGES:
+                yield made(ns, ts)
+                ns, ts, size = [], [], 0
+    if ns:
+        yield made(ns, ts)
+
+
+def read_pages(spark: SparkSession, path: str, reader: PageReader = pdf_pages, pattern: str = "*.pdf", name: str | None = None, blocks: bool = False) -> DataFrame:
     """doc (file name), page_num, text, error of all files below `path` that match; blank pages are dropped.
 
     `name`: a pattern whose first group in the file's path is the document's name instead.
+    `blocks`: the reader takes an iterator of blocks of the file's bytes; then no file is whole in a worker.
 
-    A file that can't be read gives one row with its error and no page, and harms no other. A folder without
-    such files gives no rows; a missing one too."""
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for file, data in zip(pdf["path"], pdf["content"], strict=True):
-                doc = file.rsplit("/", 1)[-1] if name is None else (re.search(name, file) or [file, file])[1]
+    A file that can't be read gives one row with its error and no page, and harms no other: its pages wait in a
+    temporary file until it has been read. A folder without such files gives no rows; a missing one too."""
+    def received(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+        for batch in batches:
+            files, parts = batch.columns
+            for k in range(batch.num_rows):
+                yield files[k].as_py(), parts[k].as_py()
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for file, own in groupby(received(batches), itemgetter(0)):
+            doc = file.rsplit("/", 1)[-1] if name is None else (re.search(name, file) or [file, file])[1]
+            parts = map(itemgetter(1), own)
+            with TemporaryFile() as held:
                 try:
-                    rows = [(doc, n, t.strip(), None) for n, t in reader(bytes(data)) if t and t.strip()]
-                except Exception as e:  # quarantined below
-                    rows = [(doc, None, None, f"{type(e).__name__}: {e}"[:500])]
-                yield pd.DataFrame(rows, columns=["doc", "page_num", "text", "error"]).astype({"page_num": "Int32"})
+                    with pa.ipc.new_stream(held, _PAGE_ROWS) as out:
+                        for rows in _page_rows(doc, reader(parts if blocks else b"".join(parts))):
+                            out.write_batch(rows)
+                except Exception as e:  # quarantined
+                    yield pa.RecordBatch.from_pylist([{"doc": doc, "error": f"{type(e).__name__}: {e}"[:500]}], schema=_PAGE_ROWS)
+                    continue
+                held.seek(0)
+                yield from pa.ipc.open_stream(held)
 
     schema = "doc string, page_num int, text string, error string"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content").mapInPandas(scan, schema)
+    # an Arrow batch holds some thousands of rows: rows of blocks bound it, rows of files don't; an empty file is one block
+    starts = lambda c: F.sequence(F.lit(1), F.greatest(F.octet_length(c), F.lit(1)), F.lit(BLOCK))
+    cut = T.let(F.col("content"), lambda c: F.transform(starts(c), lambda at: F.substring(c, at, F.lit(BLOCK))))
+    return files.select("path", F.explode(cut).alias("part")).mapInArrow(scan, schema)
 
 
 def pages_and_errors(pages: DataFrame) -> tuple[DataFrame, DataFrame]:

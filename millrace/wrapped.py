@@ -7,6 +7,8 @@ is expected of them DuckDB computes from the tables' own columns.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -471,11 +473,11 @@ def faculty_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FILED = {"grp": "page_id % 20", "n": "page_id", "t": "CASE page_id % 9 WHEN 0 THEN ' ' || chr(10) ELSE coalesce(translate(html, chr(12), ' '), '') END"}
 
 
-def _paged(data: bytes) -> list[tuple[int, str]]:
-    text = data.decode("utf-8")
-    if "BROKEN FILE" in text:
-        raise ValueError("a file that can't be read")
-    return list(enumerate(text.split("\f"), 1))
+def _paged(blocks: Iterator[bytes]) -> Iterator[tuple[int, str]]:
+    for n, text in readers.text_pages(blocks):
+        if "BROKEN FILE" in text:
+            raise ValueError("a file that can't be read")
+        yield n, text
 
 
 @query(
@@ -488,7 +490,7 @@ def scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _rows(spark, sf_dir, "pages", **_FILED).groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("p"))
     text = F.concat(F.when(F.col("grp") == 7, "BROKEN FILE").otherwise(""), F.array_join(F.transform("p", lambda x: x["t"]), "\f"))
     p.select("grp", text.alias("value")).write.partitionBy("grp").text(folder)
-    got = readers.read_pages(spark, folder, _paged, "*.txt", name=r"grp=(\d+)").unionByName(readers.read_pages(spark, folder + "/none", _paged))
+    got = readers.read_pages(spark, folder, _paged, "*.txt", name=r"grp=(\d+)", blocks=True).unionByName(readers.read_pages(spark, folder + "/none", _paged, blocks=True))
     return got.select("doc", "page_num", "text", F.col("error").isNotNull().alias("failed"))
 
 

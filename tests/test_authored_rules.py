@@ -38,3 +38,36 @@ def test_query_modules_load_in_any_order():
     for first in ("queries", "authored", "wrapped"):
         code = f"import millrace.{first}; import millrace.queries as q; assert len(q.QUERIES) > 110 and len(q.SQL) == len(q.QUERIES)"
         subprocess.run([sys.executable, "-c", code], check=True)
+
+
+def test_files_are_read_in_blocks(spark, tmp_path):
+    """Long files go to Python in blocks and come back in batches; one that fails at its end gives no page."""
+    folder = tmp_path / "f"
+    folder.mkdir()
+    pages = [f"p\u00e9 {k} " * (k % 50) for k in range(9_000)]
+    (folder / "a.txt").write_bytes("\f".join(pages).encode())
+    (folder / "b.txt").write_bytes(("x\f" * 20_000 + "BAD").encode())
+    (folder / "c.txt").write_bytes(b"")
+
+    def reader(blocks):
+        sizes = 0
+        for n, t in readers.text_pages(map(lambda b: b[: readers.BLOCK + 1], blocks)):
+            sizes += 1
+            if t == "BAD":
+                raise ValueError(f"after {sizes}")
+            yield n, t
+
+    got = readers.read_pages(spark, str(folder), reader, "*.txt", blocks=True)
+    whole = readers.read_pages(spark, str(folder), readers.text_pages, "*.txt").filter("doc <> 'b.txt'").collect()
+    rows = got.collect()
+    assert [tuple(r) for r in rows if r.error] == [("b.txt", None, None, "ValueError: after 20001")]
+    want = [("a.txt", n, t.strip(), None) for n, t in enumerate(pages, 1) if t.strip()]
+    assert sorted(tuple(r) for r in rows if not r.error) == sorted(map(tuple, whole)) == want
+
+
+def test_text_pages_of_any_blocks():
+    for data in ("\u00e9\f\u20ac \U0001f600\f".encode(), b"\xff\xe2\x82\fx\xe2", b"", b"\f\f"):
+        want = list(enumerate(data.decode("utf-8", "replace").split("\f"), 1))
+        for size in (1, 2, 3, 100):
+            assert list(readers.text_pages(data[k : k + size] for k in range(0, len(data), size))) == want
+        assert list(readers.text_pages(data)) == want
